@@ -46,18 +46,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan's leaves: file sizes for a scan."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes().toString()))
-
-
 def shards_for(df: DataFrame, bytes_each: int, least: int = 16) -> int:
     """Number of hash-range shards, in proportion to the scanned input's files."""
     size = 0
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     for i in range(leaves.size()):
-        size += int(leaves.apply(i).stats().sizeInBytes().toString())
+        size += int(str(leaves.apply(i).stats().sizeInBytes()))
     return int(min(max(least, -(-size // bytes_each)), 1 << 20))
 
 

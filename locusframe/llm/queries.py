@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import decontaminate, fingerprint, linededup, packing
 from .common import table
 
 
@@ -22,9 +22,27 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack}
+    return {
+        "op1_pack": op1_pack,
+        "op5_line_dedup": op5_line_dedup,
+        "op7_decontaminate": op7_decontaminate,
+        "op10_fingerprint": op10_fingerprint,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_line_dedup": linededup.ORACLE, "op7_decontaminate": decontaminate.ORACLE}

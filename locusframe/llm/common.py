@@ -7,6 +7,7 @@ The kernels work on the UTF-8 buffers that Arrow hands over, in chunks of about
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -39,11 +40,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read again."""
+    """Cut the lineage: write to the shared folder and read again.
+
+    The shuffles behind it are not needed any more; a collection on the driver lets
+    Spark's cleaner delete their files, which else stay until it happens to run.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    schema = df.schema
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def shards_for(df: DataFrame, bytes_each: int, least: int = 16) -> int:

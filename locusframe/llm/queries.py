@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, linededup, packing
+from . import decontaminate, fingerprint, linededup, ngramjoin, packing
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.join_components(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
         "op5_line_dedup": op5_line_dedup,
+        "op6_ngram_join": op6_ngram_join,
         "op7_decontaminate": op7_decontaminate,
         "op10_fingerprint": op10_fingerprint,
     }

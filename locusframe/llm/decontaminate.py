@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small
+from .common import broadcast_if_small, written
 
 #: Sketch hashes, and candidate pairs, up to which a side is broadcast.
 BROADCAST_SKETCH = 200_000
@@ -63,7 +63,7 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
     probes = broadcast_if_small(known.select("item_id", F.explode("sketch").alias("hash")), BROADCAST_SKETCH)
     split = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
     hashes = split.select("id", F.explode(shingle_hashes("w", n)).alias("hash"))
-    pairs = hashes.join(probes, "hash").select("id", "item_id").distinct()
+    pairs = written(hashes.join(probes, "hash").select("id", "item_id").distinct(), "pairs")
     held = known.select(F.col("item_id").alias("of_item"), "n_item", "shingles")
     found = pairs.join(held, F.col("item_id").eqNullSafe(F.col("of_item"))).select("id", "item_id", "n_item", "shingles")
     found = found.groupBy("id").agg(F.collect_list(F.struct("item_id", "n_item", "shingles")).alias("found"))
@@ -71,7 +71,9 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
     joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left")
     joined = joined.withColumn("__w", F.when(F.col("__found").isNotNull(), words(F.col(text_col))))
     joined = joined.withColumn("__s", F.array_distinct(shingles("__w", n)))
-    held = F.transform("__found", lambda x: F.struct(x["item_id"].alias("item_id"), F.size(F.array_intersect(x["shingles"], F.col("__s"))).cast("long").alias("n_shared"), x["n_item"].cast("long").alias("n_item")))
+    # Naming __s twice keeps Catalyst from moving its making into the lambda, once for each item.
+    shared = lambda x: F.least(F.size(F.array_intersect(x["shingles"], F.col("__s"))), F.size("__s")).cast("long")
+    held = F.transform("__found", lambda x: F.struct(x["item_id"].alias("item_id"), shared(x).alias("n_shared"), x["n_item"].cast("long").alias("n_item")))
     held = F.filter(held, lambda x: x["n_shared"] * 100 >= x["n_item"] * percent)
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], held.alias("items"))
 

@@ -197,3 +197,16 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inverse = np.empty(len(keys), np.int64)
     inverse[order] = np.cumsum(first) - 1
     return ranked[first], order[first], inverse
+
+
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+
+
+def lowered(raw: np.ndarray) -> np.ndarray:
+    """A-Z and the capital letters of Latin-1 in lower case."""
+    out = raw.copy()
+    out[(raw >= 65) & (raw <= 90)] += 32
+    capital = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)) + 1
+    out[capital] += 32
+    return out

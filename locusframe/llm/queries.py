@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, linededup, ngramjoin, packing, suffixdedup
+from . import decontaminate, fingerprint, languageid, linededup, ngramjoin, packing, suffixdedup
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languageid.identify(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixdedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_dedup": op5_line_dedup,
         "op6_ngram_join": op6_ngram_join,
         "op7_decontaminate": op7_decontaminate,
+        "op8_language": op8_language,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_fingerprint": op10_fingerprint,
     }

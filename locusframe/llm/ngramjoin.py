@@ -285,7 +285,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shards = shards_for(docs, BYTES_A_SHARD)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     dealt = texts.mapInArrow(_deal(shards), DEALT)
-    counted = written(dealt.repartition(shards, "shard").mapInArrow(_count, COUNTED), "counted")
+    counted = written(dealt.repartitionById(shards, "shard").mapInArrow(_count, COUNTED), "counted")
     members = counted.where("doc_id is not null").select("doc_id", "cls", "n")
     parts = counted.where("doc_id is null").groupBy("cls").agg(F.first("n").alias("n"), F.sum("k").alias("k"), F.collect_list(F.struct("shard", "hashes", "df")).alias("parts"))
     sets = written(parts.where(F.col("k") >= _least(F.col("n"))).select("cls", "n", "parts").mapInArrow(_assemble, SETS), "sets")

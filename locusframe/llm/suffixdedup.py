@@ -44,6 +44,7 @@ WINDOW = LENGTH - K + 1
 MOST_STARTS = 250
 BYTES_A_SHARD = 12 << 20
 FLUSH = 1_500_000
+SLICE = 1 << 20
 LAST = (1 << 63) - 1
 _LOW = U64((1 << 40) - 1)
 
@@ -311,12 +312,13 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, order_key: np.ndarray)
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's opened stretches: the strings among them that start earlier too."""
-    keys, ths, at, n, rows, data = [], [], [], [], [], []
+    keys, ths, groups, at, n, rows, data = [], [], [], [], [], [], []
     for batch in batches:
         for row in batch.to_pylist():
             opened = np.frombuffer(row["open"], "<u4").reshape(-1, 2).astype(np.int64)
             keys.append(row["key"])
             ths.append(row["th"])
+            groups.append(np.frombuffer(row["groups"], U64))
             rows.append(len(opened))
             at.append(opened[:, 0])
             n.append(opened[:, 1])
@@ -324,9 +326,24 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not rows:
         return
     key, th = np.repeat(np.array(keys, np.int64), rows), np.repeat(np.array(ths, np.int64), rows)
-    at, n = np.concatenate(at), np.concatenate(n)
+    at, n, group = np.concatenate(at), np.concatenate(n), np.concatenate(groups)
     text = np.frombuffer(b"".join(data), np.uint8)
-    del data
+    del data, groups
+    size = n + LENGTH - 1
+    begin = np.cumsum(size) - size
+    # Whole groups, some SLICE bytes at a time.
+    order = np.argsort(group, kind="stable")
+    key, th, at, n, group, size, begin = (x[order] for x in (key, th, at, n, group, size, begin))
+    ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1
+    upto = np.cumsum(size)[ends - 1]
+    a = taken = 0
+    while a < len(n):
+        b = int(ends[min(max(int(np.searchsorted(upto, taken + SLICE, "right")) - 1, int(np.searchsorted(ends, a, "right"))), len(ends) - 1)])
+        yield from _resolve_slice(key[a:b], th[a:b], at[a:b], n[a:b], text[ragged(begin[a:b], size[a:b])])
+        a, taken = b, int(upto[np.searchsorted(ends, b)])
+
+
+def _resolve_slice(key: np.ndarray, th: np.ndarray, at: np.ndarray, n: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
     begin = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
     order = np.lexsort((at, th, key))
     place = np.empty(len(at), np.int64)
@@ -383,12 +400,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("th"), text.alias("text"))
     placed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_deal(shards), PLACED)
-    met = written(placed.repartition(shards, "shard").mapInArrow(_meet, FOUND), "met")
+    met = written(placed.repartitionById(shards, "shard").mapInArrow(_meet, FOUND), "met")
     opened = met.where(F.octet_length("groups") > 0).groupBy("key", "th").agg(F.collect_list("groups").alias("groups"), F.collect_list("open").alias("open"))
     # Equal rows are one text here.
     bytes_of = texts.where(F.octet_length("text") >= LENGTH).select("key", "th", F.col("text").cast("binary").alias("data"))
     cut = opened.join(bytes_of, ["key", "th"]).mapInArrow(_cut_out(shards), OPENED)
-    resolved = written(cut.repartition(shards, "shard").mapInArrow(_resolve, FOUND), "resolved")
+    resolved = written(cut.repartitionById(shards, "shard").mapInArrow(_resolve, FOUND), "resolved")
     spans = met.where(F.octet_length("spans") > 0).select("key", "th", "spans").union(resolved.select("key", "th", "spans"))
     spans = spans.groupBy("key", "th").agg(F.collect_list("spans").alias("spans"))
     same = W.partitionBy("key", "th").orderBy("key")

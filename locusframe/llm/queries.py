@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, languageid, linededup, ngramjoin, packing, suffixdedup
+from . import decontaminate, fingerprint, languageid, linededup, ngramjoin, packing, suffixdedup, toxicity
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_lines", "n_dropped")
 
@@ -51,6 +56,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
+        "op4_toxicity": op4_toxicity,
         "op5_line_dedup": op5_line_dedup,
         "op6_ngram_join": op6_ngram_join,
         "op7_decontaminate": op7_decontaminate,

@@ -199,7 +199,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-SETS = "cls long, n long, others long, hashes binary, prefix array<long>"
+SETS = "cls long, n long, others long, hashes binary, prefix array<long>, p0 long, p1 long, p2 long, p3 long"
+_PARITY = [f"p{k}" for k in range(4)]
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,10 +213,11 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, others = row["n"], row["n"] - len(hashes)
             length = n - -(-3 * n // 4) + 1 - others
             prefix = hashes[np.lexsort((hashes, df))[:length]]
-            rows.append((row["cls"], n, others, np.sort(hashes).tobytes(), prefix.astype(np.int64).tolist()))
+            parity = np.packbits((np.bincount((mix(hashes) >> U64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64)
+            rows.append((row["cls"], n, others, np.sort(hashes).tobytes(), prefix.astype(np.int64).tolist(), *parity.tolist()))
         if rows:
             cols = list(zip(*rows, strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), *[pa.int64()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in SETS.split(", ")])
 
 
@@ -233,10 +235,22 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], names=["a", "b", "linked"])
 
 
-def _possible(an: str, bn: str, ai: str, bi: str) -> Column:
-    """Sizes and positions from which three quarters of the union can still be shared."""
-    sizes = (F.least(an, bn) * 4 >= F.greatest(an, bn) * 3)
-    return sizes & (F.least(F.col(an) - F.col(ai), F.col(bn) - F.col(bi)) * 7 >= (F.col(an) + F.col(bn)) * 3)
+def _entry(prefix: str) -> list[Column]:
+    """An index entry's columns under other names."""
+    return [F.col(c).alias(prefix + c) for c in ("n", "i", "others", *_PARITY)]
+
+
+def _possible(a: str, b: str) -> Column:
+    """Entries whose sets can still share three quarters of their union.
+
+    By sizes; by what is left after their positions; and by parity: sets whose hashes
+    differ in parity in k of 256 classes differ in k hashes at least, and in their
+    hashes that no other set has, while (an + bn) / 7 differences are allowed.
+    """
+    an, bn = F.col(f"{a}n"), F.col(f"{b}n")
+    left = F.least(an - F.col(f"{a}i"), bn - F.col(f"{b}i"))
+    odd = sum((F.bit_count(F.col(a + p).bitwiseXOR(F.col(b + p))) for p in _PARITY), F.col(f"{a}others") + F.col(f"{b}others"))
+    return (F.least(an, bn) * 4 >= F.greatest(an, bn) * 3) & (left * 7 >= (an + bn) * 3) & (odd * 7 <= an + bn)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -248,15 +262,15 @@ def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
 
 def linked_classes(sets: DataFrame) -> DataFrame:
     """(node, root) of all classes that link with another."""
-    index = sets.select("cls", "n", F.posexplode("prefix").alias("i", "hash"), "others").select("cls", "n", (F.col("i") + F.col("others")).alias("i"), "hash")
+    index = sets.select("cls", "n", F.posexplode("prefix").alias("i", "hash"), "others", *_PARITY).withColumn("i", F.col("i") + F.col("others"))
     listed = written(index.groupBy("hash").agg(F.count("*").alias("k")).where("k > 1").select("hash"), "lists")
     index = written(index.join(listed, "hash"), "index")
     tried = None
-    for order in (1, 2):
+    for order in (1, 2, 3):
         rank = F.xxhash64("cls", F.lit(order))
-        heads = written(index.groupBy("hash").agg(F.min(F.struct(rank.alias("r"), F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("i").alias("j"))).alias("head")).select("hash", "head.*"), "heads")
-        pairs = index.join(heads, "hash").where(F.col("cls") != F.col("b")).where(_possible("n", "bn", "i", "j"))
-        pairs = pairs.groupBy(F.col("cls").alias("a")).agg(F.min(F.struct("r", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+        heads = written(index.groupBy("hash").agg(F.min(F.struct(rank.alias("r"), F.col("cls").alias("b"), *_entry("b"))).alias("head")).select("hash", "head.*"), "heads")
+        pairs = index.select("hash", F.col("cls").alias("a"), *_entry("a")).join(heads, "hash").where((F.col("a") != F.col("b")) & _possible("a", "b"))
+        pairs = pairs.groupBy("a").agg(F.min(F.struct("r", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         done = verified(pairs, sets, "answers")
@@ -267,10 +281,10 @@ def linked_classes(sets: DataFrame) -> DataFrame:
     named = written(named, "named")
     mixed = written(named.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("hash"), "mixed")
     left = named.join(mixed, "hash").withColumn("block", F.floor(F.log("n") / F.log(F.lit(4 / 3))))
-    x = left.select("hash", F.col("cls").alias("a"), F.col("n").alias("an"), F.col("i").alias("ai"), F.col("root").alias("ar"), F.explode(F.array("block", F.col("block") + 1)).alias("block"))
-    y = left.select("hash", F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("i").alias("bi"), F.col("root").alias("br"), "block")
+    x = left.select("hash", F.col("cls").alias("a"), *_entry("a"), F.col("root").alias("ar"), F.explode(F.array("block", F.col("block") + 1)).alias("block"))
+    y = left.select("hash", F.col("cls").alias("b"), *_entry("b"), F.col("root").alias("br"), "block")
     smaller = (F.col("an") < F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))
-    rest = x.join(y, ["hash", "block"]).where((F.col("ar") != F.col("br")) & smaller).where(_possible("an", "bn", "ai", "bi"))
+    rest = x.join(y, ["hash", "block"]).where((F.col("ar") != F.col("br")) & smaller & _possible("a", "b"))
     rest = rest.select("a", "b").distinct()
     seen = tried.select("a", "b").union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     last = verified(rest.join(seen, ["a", "b"], "left_anti"), sets, "answers")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, languageid, linededup, ngramjoin, packing, suffixdedup, toxicity
+from . import decontaminate, fingerprint, htmltext, languageid, linededup, ngramjoin, packing, secretscan, suffixdedup, toxicity
 from .common import table
 
 
@@ -22,6 +22,17 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secretscan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "format")
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(secretscan.written_spans(base), 256).alias("base_sha256"), secretscan.written_spans(F.col("spans")).alias("spans"))
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", "evidence")
@@ -56,6 +67,8 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
+        "op2_secrets": op2_secrets,
+        "op3_html": op3_html,
         "op4_toxicity": op4_toxicity,
         "op5_line_dedup": op5_line_dedup,
         "op6_ngram_join": op6_ngram_join,

@@ -49,9 +49,9 @@ def shingles(words_col: str, n: int) -> Column:
 
 def sketches(items: DataFrame, item_id: str, text_col: str, n: int, percent: int) -> DataFrame:
     """(item_id, n_item, shingles, sketch) of every item with a shingle."""
-    split = items.select(F.col(item_id).alias("item_id"), words(F.col(text_col)).alias("w"))
+    split = items.select(F.col(item_id).alias("item_id"), words(F.col(text_col)).alias("w")).where(F.size("w") >= n)
     listed = split.select("item_id", F.array_distinct(shingles("w", n)).alias("shingles"), F.array_sort(F.array_distinct(shingle_hashes("w", n))).alias("hashes"))
-    sized = listed.where(F.size("shingles") > 0).withColumn("n_item", F.size("shingles"))
+    sized = listed.withColumn("n_item", F.size("shingles"))
     largest = F.pow(F.lit(2.0), F.floor(F.log2("n_item")) + 1) - 1
     k = (largest - F.ceil(largest * percent / 100) + 1).cast("int")
     return sized.select("item_id", "n_item", "shingles", F.slice("hashes", F.lit(1), F.least(k, F.size("hashes"))).alias("sketch"))
@@ -70,8 +70,10 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
     found = broadcast_if_small(found.select(F.col("id").alias("__id"), F.col("found").alias("__found")), BROADCAST_PAIRS)
     joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left")
     joined = joined.withColumn("__w", F.when(F.col("__found").isNotNull(), words(F.col(text_col))))
-    joined = joined.withColumn("__s", F.array_distinct(shingles("__w", n)))
-    # Naming __s twice keeps Catalyst from moving its making into the lambda, once for each item.
+    # The condition always holds; as it is not deterministic, Catalyst doesn't move filters
+    # on the result below, which would make the shingles anew inside the lambda. Naming __s
+    # twice keeps it from moving them there as well.
+    joined = joined.withColumn("__s", F.when(F.rand(7) >= 0, F.array_distinct(shingles("__w", n))))
     shared = lambda x: F.least(F.size(F.array_intersect(x["shingles"], F.col("__s"))), F.size("__s")).cast("long")
     held = F.transform("__found", lambda x: F.struct(x["item_id"].alias("item_id"), shared(x).alias("n_shared"), x["n_item"].cast("long").alias("n_item")))
     held = F.filter(held, lambda x: x["n_shared"] * 100 >= x["n_item"] * percent)
@@ -81,7 +83,7 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
 def matches(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment): one row for each text and item it holds."""
     id_col = str(options.get("id_col", "doc_id"))
-    rows = with_items(docs, items, **options).select(F.col(id_col).alias("doc_id"), F.explode("items").alias("i"))
+    rows = with_items(docs, items, **options).select(F.col(id_col).alias("doc_id"), F.explode_outer("items").alias("i")).where(F.col("i").isNotNull())
     rows = rows.groupBy("doc_id", F.col("i.item_id").alias("item_id")).agg(F.max("i.n_shared").alias("n_shared"), F.max("i.n_item").alias("n_item"))
     return rows.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 

@@ -3,7 +3,7 @@
 Terms are words (letter runs, lower case) and their beginnings of 4 to 8 bytes. From a
 bounded sample of labelled rows (at most about ``SAMPLE`` of a class, by a hash of the id)
 the ``TERMS`` terms most associated with the label are taken (log odds over their standard
-error, at least ``LEAST_Z``). Their document frequencies are counted over all rows.
+error, at least ``LEAST_Z``; at least ``LEAST_SHARE`` of the rows with the term are toxic). Their document frequencies are counted over all rows.
 Sampled rows with such a term are the examples: unit vectors of (1 + ln tf) * idf.
 
 The index keeps, for each term, its examples' weights and the greatest weight of every
@@ -32,11 +32,13 @@ from pyspark.sql import types as T
 from .common import BYTE_VALUES, LETTER, U64, broadcast_if_small, chunks, distinct, lowered, mix, prefix_hashes, ragged, span_hashes, spans_of, text_buffer
 
 SAMPLE = 8000
-TERMS = 4000
+TERMS = 2000
 LEAST_Z = 4.0
+LEAST_SHARE = 0.5
 BEGINNINGS = (4, 5, 6, 7, 8)
 K = 25
 BLOCK = 128
+FIRST_BLOCKS = 8
 
 
 def text_terms(raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,10 +115,12 @@ class Examples:
         weight = np.concatenate([self.unit(t, tf) for t, tf in vectors]) if vectors else np.zeros(0)
         order = np.lexsort((example, term))
         self.example, self.weight = example[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.blocks = -(-len(vectors) // BLOCK)
         self.most = np.zeros((len(idf), max(self.blocks, 1)))
         np.maximum.at(self.most, (term[order], self.example // BLOCK), self.weight)
+        # Where a term's postings of a block begin; those of its last block end where the next term begins.
+        cells = np.arange(len(idf) * self.most.shape[1] + 1)
+        self.begin = np.searchsorted(term[order] * self.most.shape[1] + self.example // BLOCK, cells)
 
     def unit(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = (1 + np.log(tf)) * self.idf[terms]
@@ -127,26 +131,25 @@ class Examples:
         q = self.unit(terms, tf)
         bounds = q @ self.most[terms]
         order = np.argsort(-bounds, kind="stable")
-        found, cosines, worst, at = np.zeros(0, np.int64), np.zeros(0), 0.0, 0
-        step = 4
-        while at < len(order) and bounds[order[at]] > 0 and (len(found) < K or bounds[order[at]] >= worst - 1e-12):
-            opened = order[at : at + step]
-            opened = opened[bounds[opened] > 0]
-            dense = np.zeros((len(opened), BLOCK))
-            for t, w in zip(terms.tolist(), q.tolist(), strict=True):
-                own = self.example[self.first[t] : self.first[t + 1]]
-                lo, hi = np.searchsorted(own, opened * BLOCK), np.searchsorted(own, (opened + 1) * BLOCK)
-                idx = ragged(lo, hi - lo)
-                dense[np.repeat(np.arange(len(opened)), hi - lo), own[idx] % BLOCK] += w * self.weight[self.first[t] + idx]
-            i, j = np.nonzero(dense)
-            got = opened[i] * BLOCK + j
+        reach = int((bounds > 0).sum())
+        found, cosines, worst, at, take = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, FIRST_BLOCKS
+        while at < reach and (len(found) < K or bounds[order[at]] >= worst - 1e-12):
+            opened = order[at : min(at + take, reach)]
+            opened = opened[bounds[opened] >= worst - 1e-12]
+            cell = terms[:, None] * self.most.shape[1] + opened
+            lo = self.begin[cell].ravel()
+            n = self.begin[cell + 1].ravel() - lo
+            at_posting = ragged(lo, n)
+            slot = np.repeat(np.tile(np.arange(len(opened)), len(terms)), n) * BLOCK + self.example[at_posting] % BLOCK
+            dense = np.bincount(slot, np.repeat(np.repeat(q, len(opened)), n) * self.weight[at_posting], len(opened) * BLOCK)
+            filled = np.flatnonzero(dense)
+            got = opened[filled // BLOCK] * BLOCK + filled % BLOCK
             keep = got != leave
-            found, cosines = np.append(found, got[keep]), np.append(cosines, dense[i, j][keep])
+            found, cosines = np.append(found, got[keep]), np.append(cosines, dense[filled][keep])
             top = np.lexsort((found, -np.round(cosines, 12)))[:K]
             found, cosines = found[top], cosines[top]
             worst = cosines[-1] if len(found) == K else 0.0
-            at += step
-            step *= 2
+            at, take = at + take, reach
         return found, cosines
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
@@ -203,7 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y, x = F.col("yes") + 0.5, F.col("no") + 0.5
     odds = F.log(y / (yes + 1.0 - y)) - F.log(x / (no + 1.0 - x))
     z = odds / F.sqrt(1 / y + 1 / x)
-    best = counts.where("yes >= 3").select("term", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "term").limit(TERMS).collect()
+    rate = {1: sizes.get(1, 0) / max(yes, 1), 0: sizes.get(0, 0) / max(no, 1)}
+    common = F.col("yes") * rate[1] >= LEAST_SHARE * (F.col("yes") * rate[1] + F.col("no") * rate[0])
+    best = counts.where(common & (F.col("yes") >= 3)).select("term", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "term").limit(TERMS).collect()
     bare = yes / max(yes + no, 1)
     if not best:
         return Model(np.zeros(0, U64), None, (np.zeros(1), np.zeros(1)), bare)
@@ -223,7 +228,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]], names=["id", "toxic", "terms", "tf"])
 
     got = sorted(sample.select("id", "toxic", "text").mapInArrow(vectors, "id long, toxic int, terms binary, tf binary").collect(), key=lambda r: (r["id"], r["terms"]))
-    rate = {1: sizes.get(1, 0) / max(yes, 1), 0: sizes.get(0, 0) / max(no, 1)}
     with_terms = [r for r in got if r["terms"]]
     without = [r for r in got if not r["terms"]]
     if without:

@@ -37,7 +37,7 @@ def taxa(classification: Column) -> list[Column]:
 
 def gene_list(gene_id: Column) -> Column:
     """The trimmed ids of a comma-joined string; one null for null."""
-    return F.when(gene_id.isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.transform(F.split(gene_id, ","), F.trim))
+    return F.when(gene_id.isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.transform(F.split(gene_id, ","), lambda g: F.trim(g)))
 
 
 def is_overlapping(gene_id: Column) -> Column:

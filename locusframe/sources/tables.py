@@ -19,9 +19,7 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str | None =
     """
     raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if schema is not None:
-        from pyspark.sql import types as T
-
-        fields = T._parse_datatype_string(schema).fields if hasattr(T, "_parse_datatype_string") else spark.createDataFrame([], schema).schema.fields
+        fields = spark.createDataFrame([], schema).schema.fields
         require(raw.columns, [f.name for f in fields])
         raw = raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
     if columns:
@@ -42,6 +40,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     (df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)).parquet(path)
 
 
+def read_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Partitioned Parquet with typed folder names, so that an id such as 001 stays one."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def with_identity(df: DataFrame) -> DataFrame:
     """sample_id and MAG_ID from the file name ``<sample>.sorted_<MAG>_profiled.tsv.gz``."""
     name = F.substring_index(F.col("_metadata.file_path"), "/", -1)

@@ -58,7 +58,11 @@ def sketches(items: DataFrame, item_id: str, text_col: str, n: int, percent: int
 
 
 def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of docs with ``items``: array of (item_id, n_shared, n_item) of what each text holds."""
+    """The rows of docs with ``items``: array of (item_id, n_shared, n_item) of what each text holds.
+
+    A column of docs with that name is replaced.
+    """
+    docs = docs.drop("items")
     known = sketches(items, item_id, item_text, n, percent)
     probes = broadcast_if_small(known.select("item_id", F.explode("sketch").alias("hash")), BROADCAST_SKETCH)
     split = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
@@ -70,11 +74,13 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
     found = broadcast_if_small(found.select(F.col("id").alias("__id"), F.col("found").alias("__found")), BROADCAST_PAIRS)
     joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left")
     joined = joined.withColumn("__w", F.when(F.col("__found").isNotNull(), words(F.col(text_col))))
-    # The condition always holds; as it is not deterministic, Catalyst doesn't move filters
-    # on the result below, which would make the shingles anew inside the lambda. Naming __s
-    # twice keeps it from moving them there as well.
-    joined = joined.withColumn("__s", F.when(F.rand(7) >= 0, F.array_distinct(shingles("__w", n))))
-    shared = lambda x: F.least(F.size(F.array_intersect(x["shingles"], F.col("__s"))), F.size("__s")).cast("long")
+    # An item's shingle is in the text if it is in its words, all joined by one space: linear in
+    # the text, while Spark's set functions on strings are quadratic. The condition always
+    # holds; as it is not deterministic, Catalyst doesn't move filters on the result below,
+    # and naming __s twice keeps it from making it anew inside the lambda for every item.
+    joined = joined.withColumn("__s", F.when(F.rand(7) >= 0, F.concat(F.lit(" "), F.array_join("__w", " "), F.lit(" "))))
+    inside = lambda x: F.size(F.filter(x["shingles"], lambda g: F.contains(F.col("__s"), F.concat(F.lit(" "), g, F.lit(" ")))))
+    shared = lambda x: F.least(inside(x), F.length("__s")).cast("long")
     held = F.transform("__found", lambda x: F.struct(x["item_id"].alias("item_id"), shared(x).alias("n_shared"), x["n_item"].cast("long").alias("n_item")))
     held = F.filter(held, lambda x: x["n_shared"] * 100 >= x["n_item"] * percent)
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], held.alias("items"))
@@ -90,8 +96,9 @@ def matches(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """The rows of docs that hold no item."""
-    held = with_items(docs, items, **options)
-    return held.where(F.coalesce(F.size("items"), F.lit(0)) <= 0).drop("items")
+    renamed = docs.withColumnRenamed("items", "__items")
+    held = with_items(renamed, items, **options)
+    return held.where(F.coalesce(F.size("items"), F.lit(0)) <= 0).drop("items").withColumnRenamed("__items", "items")
 
 
 #: DuckDB: the rows of matches over documents and benchmark.

@@ -78,7 +78,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     for kind, what, closing, attributes in pieces(page):
         if kind == "text":
             top = stack[-1] if stack else ("", "", False, False)
-            yield "text", ("!" if top[3] else "") + top[1], top[2], what
+            yield "text", ("" if not top[3] else "?" if top[2] else "!") + top[1], top[2], what
             continue
         if what in INLINE:
             yield "tag", what, False, " " if what == "br" else ""
@@ -105,11 +105,14 @@ def labelled(page: str) -> Counter | None:
     out: Counter = Counter()
     for kind, place, content, text in tokens(page):
         if kind == "text":
-            out[place, content and not place.startswith("!")] += len(text.split())
+            out[place, content and place[:1] not in ("!", "?")] += len(text.split())
     return out
 
 
 def weight(place: str, weights: dict[str, float]) -> float:
+    """Boilerplate inside marked content (?) is left out anyway, so it hardly parts the region."""
+    if place.startswith("?"):
+        return TAG
     known = weights.get(place)
     if known is None:
         known = 0.5

@@ -23,6 +23,7 @@ MASK64 = (1 << 64) - 1
 
 #: Rows up to which a side of eight-byte keys may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 500_000
+UNKNOWN_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,11 +57,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def shards_for(df: DataFrame, bytes_each: int, least: int = 16) -> int:
-    """Number of hash-range shards, in proportion to the scanned input's files."""
+    """Number of hash-range shards, in proportion to the scanned input's files.
+
+    Where Spark doesn't know a size, ``UNKNOWN_BYTES`` are taken for every partition.
+    """
     size = 0
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     for i in range(leaves.size()):
-        size += int(str(leaves.apply(i).stats().sizeInBytes()))
+        own = int(str(leaves.apply(i).stats().sizeInBytes()))
+        size += own if own < 1 << 60 else UNKNOWN_BYTES * df.rdd.getNumPartitions()
     return int(min(max(least, -(-size // bytes_each)), 1 << 20))
 
 

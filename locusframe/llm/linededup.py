@@ -48,7 +48,11 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.05, min_pages: int = 5) -> DataFrame:
-    """The same rows with boilerplate lines taken out of the text; adds n_lines, n_dropped."""
+    """The same rows with boilerplate lines taken out of the text; adds n_lines, n_dropped.
+
+    Columns of docs with these names are replaced.
+    """
+    docs = docs.drop("n_lines", "n_dropped")
     drops = written(boilerplate(docs, host_col, text_col, ratio, min_pages).select("host", "line_hash"), "boilerplate")
     lists = drops.groupBy(F.col("host").alias(_HOST)).agg(F.collect_list("line_hash").alias(_DROPS))
     if small(drops, BROADCAST_LINES):

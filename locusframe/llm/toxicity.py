@@ -243,7 +243,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 3, held: int = 1, threshold: float = 0.7) -> DataFrame:
-    """The rows of docs with held_out, score, predicted and evidence (array of doc_id, cosine, toxic)."""
+    """The rows of docs with held_out, score, predicted and evidence (array of doc_id, cosine, toxic).
+
+    Columns of docs with these names are replaced.
+    """
+    docs = docs.drop("held_out", "score", "predicted", "evidence")
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, folds, held))
     names = docs.columns
     at = names.index(text_col)

@@ -18,6 +18,8 @@ that equal strings meet in one shard and no merge is left over:
    groups are sorted again). Neighbours in it with a common prefix of LENGTH bytes are
    equal strings; all but the first start are removed. Kasai's scan is sequential, so
    common prefixes are taken from the refined ranks, which decide the same thing exactly.
+   A minimizer with more than HOT kinds of stretches is split over shards of that many;
+   strings that are first in one part are merged with the other parts' by hash and bytes.
 4. Each text is joined with its removed spans.
 
 Nulls: a null text is empty; a null doc_id comes after all others. Rows with one doc_id
@@ -45,6 +47,7 @@ MOST_STARTS = 250
 BYTES_A_SHARD = 12 << 20
 FLUSH = 1_500_000
 SLICE = 1 << 20
+HOT = 2000
 LAST = (1 << 63) - 1
 _LOW = U64((1 << 40) - 1)
 
@@ -151,7 +154,7 @@ def _deal(shards: int):
     return run
 
 
-#: spans: start and end (removed), as pairs of 32 bits. open: group (64 bits), start, starts.
+#: spans: start and end (removed), as pairs of 32 bits. open: start, starts, hot; groups: 64 bits.
 FOUND = "key long, th long, spans binary, groups binary, open binary"
 
 
@@ -169,8 +172,15 @@ def _per_row(key: np.ndarray, th: np.ndarray, spans: np.ndarray, groups: np.ndar
         yield pa.RecordBatch.from_arrays([pa.array(key[x]), pa.array(th[x]), *[pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]], names=[c.split()[0] for c in FOUND.split(", ")])
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A shard: repeated stretches as removed spans; places where stretches of a minimizer differ."""
+def _meet(hot: int):
+    return lambda batches: _meet_shard(batches, hot)
+
+
+def _meet_shard(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """A shard: repeated stretches as removed spans; places where stretches of a minimizer differ.
+
+    A minimizer with more than ``hot`` kinds of stretches is split into groups of that many.
+    """
     cols: list[list] = [[] for _ in range(9)]
     base = 0
     for batch in batches:
@@ -216,12 +226,16 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     np.logical_or.at(look, group, again)
     look |= kinds > 1
     is_open = new_h & look[group]
+    is_hot = (kinds > hot)[group]
+    kind = np.cumsum(new_h) - 1
+    part = (kind - kind[np.flatnonzero(new_v)][group]) // hot
+    v = np.where(is_hot, mix(v + (part + 1).astype(U64) * U64(0xD6E8FEB86659FD93)), v)
     take = is_open | (~new_h & ~same)
-    doc, at, n, v, is_open = doc[take], at[take], n[take].astype(np.int64), v[take], is_open[take]
+    doc, at, n, v, is_open, is_hot = doc[take], at[take], n[take].astype(np.int64), v[take], is_open[take], is_hot[take]
     if not len(doc):
         return
     spans = np.stack([at, at + n + LENGTH - 1], 1).astype("<u4")
-    opened = np.stack([at, n], 1).astype("<u4")
+    opened = np.stack([at, n, is_hot], 1).astype("<u4")
     yield from _per_row(keys[doc], ths[doc], spans, v, opened, is_open)
 
 
@@ -237,11 +251,11 @@ def _cut_out(shards: int):
             for row in batch.to_pylist():
                 text = row["data"]
                 groups = np.concatenate([np.frombuffer(x, U64) for x in row["groups"]])
-                opened = np.concatenate([np.frombuffer(x, "<u4").reshape(-1, 2) for x in row["open"]])
+                opened = np.concatenate([np.frombuffer(x, "<u4").reshape(-1, 3) for x in row["open"]])
                 shard = mix(groups) % U64(shards)
                 for k in np.unique(shard).tolist():
                     own = np.flatnonzero(shard == k)
-                    data = b"".join(text[s : s + n + LENGTH - 1] for s, n in opened[own].tolist())
+                    data = b"".join(text[s : s + n + LENGTH - 1] for s, n, _ in opened[own].tolist())
                     rows.append((k, row["key"], row["th"], groups[own].tobytes(), opened[own].tobytes(), data))
             if rows:
                 cols = list(zip(*rows, strict=True))
@@ -310,40 +324,48 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, order_key: np.ndarray)
     return out
 
 
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+#: Removed spans of a text; or, of split groups, a string's place, hash and first bytes.
+RESOLVED = "key long, th long, spans binary, start long, h long, w long"
+
+
+def _resolve(slice_bytes: int):
+    return lambda batches: _resolve_shard(batches, slice_bytes)
+
+
+def _resolve_shard(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[pa.RecordBatch]:
     """A shard's opened stretches: the strings among them that start earlier too."""
-    keys, ths, groups, at, n, rows, data = [], [], [], [], [], [], []
+    keys, ths, groups, at, rows, data = [], [], [], [], [], []
     for batch in batches:
         for row in batch.to_pylist():
-            opened = np.frombuffer(row["open"], "<u4").reshape(-1, 2).astype(np.int64)
+            opened = np.frombuffer(row["open"], "<u4").reshape(-1, 3).astype(np.int64)
             keys.append(row["key"])
             ths.append(row["th"])
             groups.append(np.frombuffer(row["groups"], U64))
             rows.append(len(opened))
-            at.append(opened[:, 0])
-            n.append(opened[:, 1])
+            at.append(opened)
             data.append(row["data"])
     if not rows:
         return
     key, th = np.repeat(np.array(keys, np.int64), rows), np.repeat(np.array(ths, np.int64), rows)
-    at, n, group = np.concatenate(at), np.concatenate(n), np.concatenate(groups)
+    (at, n, hot), group = np.concatenate(at).T, np.concatenate(groups)
     text = np.frombuffer(b"".join(data), np.uint8)
     del data, groups
     size = n + LENGTH - 1
     begin = np.cumsum(size) - size
-    # Whole groups, some SLICE bytes at a time.
+    # Whole groups, some slice_bytes at a time.
     order = np.argsort(group, kind="stable")
-    key, th, at, n, group, size, begin = (x[order] for x in (key, th, at, n, group, size, begin))
+    key, th, at, n, hot, group, size, begin = (x[order] for x in (key, th, at, n, hot, group, size, begin))
     ends = np.flatnonzero(np.append(group[1:] != group[:-1], True)) + 1
     upto = np.cumsum(size)[ends - 1]
     a = taken = 0
     while a < len(n):
-        b = int(ends[min(max(int(np.searchsorted(upto, taken + SLICE, "right")) - 1, int(np.searchsorted(ends, a, "right"))), len(ends) - 1)])
-        yield from _resolve_slice(key[a:b], th[a:b], at[a:b], n[a:b], text[ragged(begin[a:b], size[a:b])])
+        b = int(ends[min(max(int(np.searchsorted(upto, taken + slice_bytes, "right")) - 1, int(np.searchsorted(ends, a, "right"))), len(ends) - 1)])
+        yield from _resolve_slice(key[a:b], th[a:b], at[a:b], n[a:b], hot[a:b] > 0, text[ragged(begin[a:b], size[a:b])])
         a, taken = b, int(upto[np.searchsorted(ends, b)])
 
 
-def _resolve_slice(key: np.ndarray, th: np.ndarray, at: np.ndarray, n: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _resolve_slice(key: np.ndarray, th: np.ndarray, at: np.ndarray, n: np.ndarray, hot: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in RESOLVED.split(", ")]
     begin = np.cumsum(n + LENGTH - 1) - (n + LENGTH - 1)
     order = np.lexsort((at, th, key))
     place = np.empty(len(at), np.int64)
@@ -352,6 +374,15 @@ def _resolve_slice(key: np.ndarray, th: np.ndarray, at: np.ndarray, n: np.ndarra
     inside = ragged(np.zeros(len(n), np.int64), n)
     owner = np.repeat(np.arange(len(n)), n)
     gone = repeated_starts(text, starts, place[owner] * (1 << 16) + inside)
+    left = np.flatnonzero(hot[owner] & ~gone)
+    if len(left):
+        prefix = prefix_hashes(BYTE_VALUES[text])
+        for i in range(0, len(left), 50_000):
+            own = left[i : i + 50_000]
+            s = starts[own]
+            words = np.ascontiguousarray(text[s[:, None] + np.arange(8)]).reshape(-1).view("<i8")
+            who = owner[own]
+            yield pa.RecordBatch.from_arrays([pa.array(key[who]), pa.array(th[who]), pa.nulls(len(own), pa.binary()), pa.array(at[who] + inside[own]), pa.array(span_hashes(prefix, s, s + LENGTH).view(np.int64)), pa.array(words)], names=names)
     if not gone.any():
         return
     # Runs of removed starts inside a stretch.
@@ -360,7 +391,9 @@ def _resolve_slice(key: np.ndarray, th: np.ndarray, at: np.ndarray, n: np.ndarra
     s, e = np.flatnonzero(gone & ~before), np.flatnonzero(gone & ~after)
     own = owner[s]
     spans = np.stack([at[own] + inside[s], at[own] + inside[e] + LENGTH], 1).astype("<u4")
-    yield from _per_row(key[own], th[own], spans, np.zeros(len(own), U64), spans, np.zeros(len(own), bool))
+    for found in _per_row(key[own], th[own], spans, np.zeros(len(own), U64), spans, np.zeros(len(own), bool)):
+        none = pa.nulls(found.num_rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([*found.columns[:3], none, none, none], names=names)
 
 
 RESULT = "key long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
@@ -372,6 +405,8 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             data = row["data"] or b""
             found = [np.frombuffer(x, "<u4").reshape(-1, 2) for x in row["spans"] or ()]
+            if row["starts"]:
+                found.append(np.array([[x, x + LENGTH] for x in row["starts"]]))
             if row["copy"] > 1 and len(data) >= LENGTH:
                 found = [np.array([[0, len(data)]])]
             merged: list[list[int]] = []
@@ -394,21 +429,26 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[c.split()[0] for c in ("key", "n_bytes", "n_removed", "spans", "kept")])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, slice_bytes: int = SLICE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): removed byte spans and the remaining bytes."""
     shards = shards_for(docs, BYTES_A_SHARD)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("th"), text.alias("text"))
     placed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_deal(shards), PLACED)
-    met = written(placed.repartitionById(shards, "shard").mapInArrow(_meet, FOUND), "met")
+    met = written(placed.repartitionById(shards, "shard").mapInArrow(_meet(hot), FOUND), "met")
     opened = met.where(F.octet_length("groups") > 0).groupBy("key", "th").agg(F.collect_list("groups").alias("groups"), F.collect_list("open").alias("open"))
     # Equal rows are one text here.
     bytes_of = texts.where(F.octet_length("text") >= LENGTH).select("key", "th", F.col("text").cast("binary").alias("data"))
     cut = opened.join(bytes_of, ["key", "th"]).mapInArrow(_cut_out(shards), OPENED)
-    resolved = written(cut.repartitionById(shards, "shard").mapInArrow(_resolve, FOUND), "resolved")
-    spans = met.where(F.octet_length("spans") > 0).select("key", "th", "spans").union(resolved.select("key", "th", "spans"))
-    spans = spans.groupBy("key", "th").agg(F.collect_list("spans").alias("spans"))
+    resolved = written(cut.repartitionById(shards, "shard").mapInArrow(_resolve(slice_bytes), RESOLVED), "resolved")
+    # Strings that several parts of a split group have: all but the first of all parts go.
+    split = resolved.where("h IS NOT NULL")
+    first = written(split.groupBy("h", "w").agg(F.min(F.struct("key", "th", "start")).alias("first"), F.count("*").alias("k")).where("k > 1").select("h", "w", "first"), "firsts")
+    again = split.join(first, ["h", "w"]).where(F.struct("key", "th", "start") > F.col("first")).select("key", "th", F.lit(None).cast("binary").alias("spans"), "start")
+    start = F.lit(None).cast("long").alias("start")
+    spans = met.where(F.octet_length("spans") > 0).select("key", "th", "spans", start).union(resolved.where("spans IS NOT NULL").select("key", "th", "spans", start)).union(again)
+    spans = spans.groupBy("key", "th").agg(F.collect_list("spans").alias("spans"), F.collect_list("start").alias("starts"))
     same = W.partitionBy("key", "th").orderBy("key")
     rows = texts.select("key", "th", F.col("text").cast("binary").alias("data")).withColumn("copy", F.row_number().over(same))
-    found = rows.join(spans, ["key", "th"], "left").select("key", "data", "copy", "spans").mapInArrow(_keep, RESULT)
+    found = rows.join(spans, ["key", "th"], "left").select("key", "data", "copy", "spans", "starts").mapInArrow(_keep, RESULT)
     return found.select(F.when(F.col("key") != LAST, F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")

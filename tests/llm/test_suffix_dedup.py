@@ -23,8 +23,7 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_same_as_brute_force(frame, seed, monkeypatch):
-    monkeypatch.setattr(s, "SLICE", 500)
+def test_same_as_brute_force(frame, seed):
     rng = random.Random(seed)
     text = lambda n: "".join(rng.choice("abcdeé ") for _ in range(n))
     shared = [text(n) for n in (99, 100, 101, 150, 400)]
@@ -32,7 +31,7 @@ def test_same_as_brute_force(frame, seed, monkeypatch):
     for i in range(40):
         rows.append((rng.randrange(10**6) * 100 + i, "".join(rng.choice((text(rng.randrange(120)), rng.choice(shared), rng.choice(shared)[5:], rng.choice(shared)[:-7])) for _ in range(rng.randrange(6)))))
     rows += [(1, "a" * 99), (2, "a" * 100), (3, "a" * 101), (4, "ab" * 300), (5, "abc" * 40 + "x"), (6, None), (7, ""), (None, shared[4]), (8, text(30_000) + shared[3])]
-    got = s.remove_repeats(frame(rows)).collect()
+    got = s.remove_repeats(frame(rows), hot=(2000, 3, 1)[seed - 1], slice_bytes=500).collect()
     assert sorted(str((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"]))) for r in got) == brute(rows)
 
 

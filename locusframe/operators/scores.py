@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.ids import gene_list, is_overlapping, sites_columns, taxa, test_columns
 from ..schemas import RANKS
 
+#: Fixed value: the message of the check for partly missing p-values.
+PARTLY_MISSING = "NaNs found in p-value column."
+
 
 def total(test: str) -> str:
     return f"total_sites_per_group_{test}"
@@ -48,7 +51,7 @@ def score_by(df: DataFrame, keys: list[str], threshold: float = 0.05, tests: dic
     agg = []
     for test, cols in tests.items():
         there, missing = _all([F.col(c).isNotNull() for c in cols]), _all([F.col(c).isNull() for c in cols])
-        valid = F.when(there, True).when(missing, False).otherwise(F.raise_error(F.lit("NaNs found in p-value column.")).cast("boolean"))
+        valid = F.when(there, True).when(missing, False).otherwise(F.raise_error(F.lit(PARTLY_MISSING)).cast("boolean"))
         n = F.nullif(F.count_if(valid), F.lit(0))
         hit = F.count_if(there & _any([F.col(c) < threshold for c in cols]))
         agg += [n.alias(total(test)), F.when(n.isNotNull(), hit).alias(significant(test))]

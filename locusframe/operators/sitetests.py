@@ -16,6 +16,10 @@ from ..schemas import NUCLEOTIDES
 
 SITE = ["MAG_ID", "contig", "gene_id", "position"]
 VALUE = "{}_frequency_diff_mean"
+#: What the notes column says where a guard sets p to 1.
+NOTE_UNPAIRED = ": identical values in both groups, p-value for t-test is set to 1; "
+NOTE_PAIRED = ": identical values in both groups, p-value for both tests is set to 1; "
+NOTE_SINGLE = ": identical values, p-value for both tests is set to 1; "
 
 
 def site_keys(df: DataFrame) -> list[str]:
@@ -91,7 +95,7 @@ def unpaired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
     keys = site_keys(means)
     long = welch(means, keys, g1, g2, min_n).withColumn("p_t", _tail("same"))
     long = long.withColumn("p_u", F.when(F.col("enough"), mann_whitney_test("x1", "x2")["p"]))
-    note = F.when(F.col("enough") & F.col("same"), F.concat("nucleotide", F.lit(": identical values in both groups, p-value for t-test is set to 1; ")))
+    note = F.when(F.col("enough") & F.col("same"), F.concat("nucleotide", F.lit(NOTE_UNPAIRED)))
     extra = [F.max("n_1").alias(f"num_samples_{g1}"), F.max("n_2").alias(f"num_samples_{g2}")]
     return _any_p(_wide(long, keys, {"tTest": "p_t", "MannWhitney": "p_u"}, note, extra))
 
@@ -105,7 +109,7 @@ def paired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
     """Paired t and signed-rank test of every site; pairs are replicates in both groups."""
     keys = site_keys(means)
     long = _one(one_sample(pairs(means, keys, g1, g2), keys, min_n))
-    note = F.when(F.col("enough") & F.col("zero"), F.concat("nucleotide", F.lit(": identical values in both groups, p-value for both tests is set to 1; ")))
+    note = F.when(F.col("enough") & F.col("zero"), F.concat("nucleotide", F.lit(NOTE_PAIRED)))
     return _any_p(_wide(long, keys, {"paired_tTest": "p_t", "Wilcoxon": "p_w"}, note, [F.max("n_1").alias("num_pairs")]))
 
 
@@ -116,7 +120,7 @@ def single(means: DataFrame, groups: tuple[str, str], min_n: int = 4) -> DataFra
     cols = [F.max(F.when((F.col("nucleotide") == n) & (F.col("group") == g), F.col(c))).alias(f"{n}_frequency_p_value_{test}_{g}") for g in groups for test, c in (("tTest", "p_t"), ("Wilcoxon", "p_w")) for n in NUCLEOTIDES]
     extra = [F.coalesce(F.max(F.when(F.col("group") == g, F.col("n_1"))), F.lit(0)).alias(f"num_samples_{g}") for g in groups]
     order = F.struct(F.when(F.col("group") == groups[0], 0).otherwise(1).alias("g"), F.array_position(F.array(*[F.lit(n) for n in NUCLEOTIDES]), F.col("nucleotide")).alias("o"))
-    note = F.when(F.col("enough") & F.col("zero"), F.concat("nucleotide", F.lit(" in "), "group", F.lit(": identical values, p-value for both tests is set to 1; ")))
+    note = F.when(F.col("enough") & F.col("zero"), F.concat("nucleotide", F.lit(" in "), "group", F.lit(NOTE_SINGLE)))
     notes = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(note.isNotNull(), F.struct(order.alias("o"), note.alias("s"))))), lambda x: x["s"]), "").alias("notes")
     return _any_p(long.groupBy(*keys).agg(*cols, *extra, notes))
 

@@ -96,3 +96,26 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         df = df.withColumn(f"__l_{c}", leaves_of(F.col(c)))
     near = lambda other: likeness(F.col("fingerprint"), F.col(other), F.col("__l_fingerprint"), F.col(f"__l_{other}"))
     return df.select("doc_id", "text", "n_chars", "fingerprint", "edited_text", "edited_fingerprint", near("edited_fingerprint").alias("near_edited"), near("next_fingerprint").alias("near_next"))
+
+
+def _duck(text: str, name: str, source: str) -> str:
+    """DuckDB steps that give ``source`` with the fingerprint of a text column."""
+    return rf"""
+{name}1 AS (SELECT *, list_transform(string_split({text}, chr(10)), lambda p: list_transform(regexp_extract_all(p, '({_LEAF})', 1), lambda s: sha256(s))) AS tree FROM {source}),
+{name}2 AS (SELECT * EXCLUDE (tree), concat(array_to_string(list_transform(tree, lambda p: concat(sha256(coalesce(array_to_string(p, ''), '')), ':', coalesce(array_to_string(list_transform(p, lambda x: substr(x, 1, 8)), '.'), ''))), ','), ',') AS paras FROM {name}1),
+{name}3 AS (SELECT * EXCLUDE (paras), list_transform(regexp_extract_all(paras, '((?:[2-9a-f][^,]*,)*[01][^,]*,|(?:[2-9a-f][^,]*,)+)', 1), lambda s: {{'d': sha256(regexp_replace(s, ':[^,]*,', '', 'g')), 'b': rtrim(regexp_replace(s, '([0-9a-f]{{8}})[0-9a-f]{{56}}:([^,]*)', '\1:\2', 'g'), ',')}}) AS sections FROM {name}2),
+{name} AS (SELECT * EXCLUDE (sections), concat(sha256(array_to_string(list_transform(sections, lambda s: s.d), '')), '=', array_to_string(list_transform(sections, lambda s: concat(substr(s.d, 1, 8), '(', s.b, ')')), ';')) AS {name}_print FROM {name}3)"""
+
+
+def _duck_near(a: str, b: str, name: str) -> str:
+    leaves = lambda c: f"list_distinct(regexp_extract_all({c}, '[:.]([0-9a-f]{{8}})', 1))"
+    return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE coalesce(len(list_intersect({leaves(a)}, {leaves(b)})) * 2.0::DOUBLE / nullif(len({leaves(a)}) + len({leaves(b)}), 0), 0.0::DOUBLE) END AS {name}"
+
+
+#: DuckDB: the query's rows over documents.
+ORACLE = f"""WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), {_duck('text', 'own', 'base')},
+placed AS (SELECT *, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, text) AS k, count(*) OVER () AS n FROM own),
+led AS (SELECT a.doc_id, a.text, a.own_print, b.text AS next_text, b.own_print AS next_print, length(a.text) AS n_chars, length(a.text) // 2 AS h FROM placed a JOIN placed b ON b.k = a.k % a.n + 1),
+edited AS (SELECT *, concat(substr(text, 1, n_chars - h), substr(next_text, 1, h)) AS edited_text FROM led), {_duck('edited_text', 'ed', 'edited')}
+SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(edited_text) AS edited_sha256, own_print AS fingerprint, ed_print AS edited_fingerprint,
+{_duck_near('own_print', 'ed_print', 'near_edited')}, {_duck_near('own_print', 'next_print', 'near_next')} FROM ed"""

@@ -98,7 +98,8 @@ def stretches(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         cut = ragged(np.zeros(len(s), np.int64), parts) * MOST_STARTS
         s, e, again = np.repeat(s, parts) + cut, np.repeat(e, parts), np.repeat(again, parts)
         e = np.minimum(e, s + np.where(np.repeat(long, parts), MOST_STARTS, 1 << 30))
-    return s, e - s, least[s], span_hashes(prefix, s, e + LENGTH - 1), again
+    # Least values crowd at the low end; mixed again, they spread over the shards.
+    return s, e - s, mix(least[s] + U64(1)), span_hashes(prefix, s, e + LENGTH - 1), again
 
 
 PLACED = "shard int, keys binary, ths binary, doc binary, at binary, n binary, low binary, hash binary, again binary"

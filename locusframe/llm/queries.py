@@ -80,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": linededup.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op10_fingerprint": fingerprint.ORACLE}
+    return {"op5_line_dedup": linededup.ORACLE, "op6_ngram_join": ngramjoin.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op10_fingerprint": fingerprint.ORACLE}

@@ -7,12 +7,16 @@ other and records are parsed as the bytes come; memory does not depend on the fi
 from __future__ import annotations
 
 import glob
+import io
+import itertools
 import os
 import struct
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schemas import READS
@@ -25,8 +29,8 @@ BLOCK = 1 << 18
 class _Bytes:
     """Exact reads from a BGZF (or plain gzip) file."""
 
-    def __init__(self, path: str) -> None:
-        self.file, self.held = open(path, "rb"), bytearray()
+    def __init__(self, file: BinaryIO) -> None:
+        self.file, self.held = file, bytearray()
         self.inflate, self.rest = zlib.decompressobj(31), b""
 
     def read(self, n: int) -> bytes:
@@ -90,7 +94,7 @@ class BamReader(DataSourceReader):
         return [_File(p) for p in found]
 
     def read(self, partition: _File) -> Iterator[tuple]:
-        stream = _Bytes(partition.path)
+        stream = _Bytes(open(partition.path, "rb"))
         try:
             sample = os.path.basename(partition.path).split(".")[0]
             contigs = header(stream)
@@ -131,6 +135,24 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BamHeader)
 
 
+def _parse_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            stream = _Bytes(io.BytesIO(content))
+            rows = records(stream, header(stream), os.path.basename(path).split(".")[0])
+            while part := list(itertools.islice(rows, 20_000)):
+                yield pd.DataFrame(part, columns=[c.split()[0] for c in READS.split(", ")])
+
+
+def read_anywhere(spark: SparkSession, path: str) -> DataFrame:
+    """READS of files in any store that Spark reads; a compressed file must fit an executor (2 GB at most).
+
+    The data source above needs paths that executors can open, but streams files of any size.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bam").load(path).select("path", "content")
+    return files.mapInPandas(_parse_contents, READS)
+
+
 def write_bam(path: str, contigs: list[tuple[str, int]], rows: list[dict]) -> None:
     """A small BAM file from read rows, for tests and exports of few reads."""
     names = [c for c, _ in contigs]

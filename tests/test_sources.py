@@ -83,6 +83,7 @@ def test_bam(spark, tmp_path):
     assert df.count() == 3000
     first = df.where("read_name = 'r7'").first()
     assert (first["sample_id"], first["contig"], first["pos"], first["cigar"], first["seq"], first["qual"]) == ("s1", "b.fa_k", 7, "4M1D2M", "ACGTNA", [40] * 6)
+    assert bam.read_anywhere(spark, str(tmp_path)).exceptAll(df).count() == 0 == df.exceptAll(bam.read_anywhere(spark, str(tmp_path))).count()
     assert sorted(tuple(r) for r in spark.read.format("bam_header").load(str(tmp_path)).collect()) == [("s1", "b.fa_k", 100), ("s1", "x", 5)]
     contigs = spark.createDataFrame([("b.fa_k", "A" * 100)], "contig string, seq string")
     genes = spark.createDataFrame([("g", 0, 3, "b.fa_k")], "gene_id string, start bigint, end bigint, contig string")

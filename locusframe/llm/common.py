@@ -7,10 +7,11 @@ The kernels work on the UTF-8 buffers that Arrow hands over, in chunks of about
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,27 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def released(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """f for mapInArrow, giving the memory it has freed back to the system as a task ends.
+
+    Workers are used again and wait between tasks; what their allocators keep would count
+    against the executor while other stages run.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass
+
+    return run
+
+
 # ---------------------------------------------------------------- byte kernels
 
 

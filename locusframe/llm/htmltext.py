@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 SAMPLE = 400
 TAG = -0.2
 MOST_PLACES = 20_000
@@ -157,7 +159,7 @@ def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
     """Weights of the places that labelled pages have."""
     marked = F.col("html").rlike(r"(?i)<(article|main)\b")
     sample = pages.select(F.col(html_col).cast("string").alias("html")).where(marked).orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
-    counts = sample.mapInArrow(_count, "place string, yes long, no long").groupBy("place").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    counts = sample.mapInArrow(released(_count), "place string, yes long, no long").groupBy("place").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     rows = counts.orderBy((F.col("yes") + F.col("no")).desc(), "place").limit(MOST_PLACES).collect()
     return {r["place"]: max(-3.0, min(3.0, math.log((r["yes"] + 1) / (r["no"] + 1)))) for r in rows}
 
@@ -172,4 +174,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([main_text(x.as_py(), known) for x in batch.column(2)], pa.string())], names=["page_id", "url", "text"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string")
+    return rows.mapInArrow(released(run), "page_id long, url string, text string")

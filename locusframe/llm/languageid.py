@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, LETTER, U64, chunks, distinct, lowered, mix, prefix_hashes, span_hashes, spans_of, text_buffer
+from .common import BYTE_VALUES, LETTER, U64, chunks, distinct, lowered, mix, prefix_hashes, released, span_hashes, spans_of, text_buffer
 
 TRAIN_DOCS = 1500
 ROUNDS = 4
@@ -188,7 +188,7 @@ def fit(docs: DataFrame, model_path: str, id_col: str, text_col: str, lang_col:
         return [], np.zeros((len(data), 0)), np.zeros(0), data
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, TRAIN_DOCS / sizes[lang]))])
     drawn = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    counts = drawn.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = drawn.select("lang", "text").mapInArrow(released(_count_words), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         pieces = Pieces(data)
@@ -249,4 +249,4 @@ def identify(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(released(run), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUES, U64, chunks, mix, prefix_hashes, shards_for, span_hashes, text_buffer, words_of, written
+from .common import LOWER_VALUES, U64, chunks, mix, prefix_hashes, released, shards_for, span_hashes, text_buffer, words_of, written
 from .graph import components
 
 N = 5
@@ -257,7 +257,7 @@ def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """(a, b, linked) of candidate pairs (a, b), decided on the whole sets."""
     a = sets.select(F.col("cls").alias("a"), F.col("n").alias("an"), F.col("hashes").alias("x"))
     b = sets.select(F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("hashes").alias("y"))
-    return written(pairs.join(a, "a").join(b, "b").mapInArrow(_verify, "a long, b long, linked boolean"), name)
+    return written(pairs.join(a, "a").join(b, "b").mapInArrow(released(_verify), "a long, b long, linked boolean"), name)
 
 
 def linked_classes(sets: DataFrame) -> DataFrame:
@@ -298,11 +298,11 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id) of every row."""
     shards = shards_for(docs, BYTES_A_SHARD)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = texts.mapInArrow(_deal(shards), DEALT)
-    counted = written(dealt.repartitionById(shards, "shard").mapInArrow(_count, COUNTED), "counted")
+    dealt = texts.mapInArrow(released(_deal(shards)), DEALT)
+    counted = written(dealt.repartitionById(shards, "shard").mapInArrow(released(_count), COUNTED), "counted")
     members = counted.where("doc_id is not null").select("doc_id", "cls", "n")
     parts = counted.where("doc_id is null").groupBy("cls").agg(F.first("n").alias("n"), F.sum("k").alias("k"), F.collect_list(F.struct("shard", "hashes", "df")).alias("parts"))
-    sets = written(parts.where(F.col("k") >= _least(F.col("n"))).select("cls", "n", "parts").mapInArrow(_assemble, SETS), "sets")
+    sets = written(parts.where(F.col("k") >= _least(F.col("n"))).select("cls", "n", "parts").mapInArrow(released(_assemble), SETS), "sets")
     roots = linked_classes(sets)
     groups = members.where("n > 0").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("g"))
     groups = written(groups, "groups")

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, text_buffer
+from .common import chunks, released, text_buffer
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: sequence_id = task << TASK_SHIFT | number in the task
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1, i
                 yield flush()
         yield flush()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(released(run), SCHEMA)
 
 
 _BPE = None

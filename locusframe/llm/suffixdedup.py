@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, U64, chunks, mix, powers, prefix_hashes, ragged, shards_for, span_hashes, text_buffer, written
+from .common import BYTE_VALUES, U64, chunks, mix, powers, prefix_hashes, ragged, released, shards_for, span_hashes, text_buffer, written
 
 LENGTH = 100
 K = 51
@@ -435,13 +435,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = shards_for(docs, BYTES_A_SHARD)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("th"), text.alias("text"))
-    placed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_deal(shards), PLACED)
-    met = written(placed.repartitionById(shards, "shard").mapInArrow(_meet(hot), FOUND), "met")
+    placed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(released(_deal(shards)), PLACED)
+    met = written(placed.repartitionById(shards, "shard").mapInArrow(released(_meet(hot)), FOUND), "met")
     opened = met.where(F.octet_length("groups") > 0).groupBy("key", "th").agg(F.collect_list("groups").alias("groups"), F.collect_list("open").alias("open"))
     # Equal rows are one text here.
     bytes_of = texts.where(F.octet_length("text") >= LENGTH).select("key", "th", F.col("text").cast("binary").alias("data"))
-    cut = opened.join(bytes_of, ["key", "th"]).mapInArrow(_cut_out(shards), OPENED)
-    resolved = written(cut.repartitionById(shards, "shard").mapInArrow(_resolve(slice_bytes), RESOLVED), "resolved")
+    cut = opened.join(bytes_of, ["key", "th"]).mapInArrow(released(_cut_out(shards)), OPENED)
+    resolved = written(cut.repartitionById(shards, "shard").mapInArrow(released(_resolve(slice_bytes)), RESOLVED), "resolved")
     # Strings that several parts of a split group have: all but the first of all parts go.
     split = resolved.where("h IS NOT NULL")
     first = written(split.groupBy("h", "w").agg(F.min(F.struct("key", "th", "start")).alias("first"), F.count("*").alias("k")).where("k > 1").select("h", "w", "first"), "firsts")
@@ -451,5 +451,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = spans.groupBy("key", "th").agg(F.collect_list("spans").alias("spans"), F.collect_list("start").alias("starts"))
     same = W.partitionBy("key", "th").orderBy("key")
     rows = texts.select("key", "th", F.col("text").cast("binary").alias("data")).withColumn("copy", F.row_number().over(same))
-    found = rows.join(spans, ["key", "th"], "left").select("key", "data", "copy", "spans", "starts").mapInArrow(_keep, RESULT)
+    found = rows.join(spans, ["key", "th"], "left").select("key", "data", "copy", "spans", "starts").mapInArrow(released(_keep), RESULT)
     return found.select(F.when(F.col("key") != LAST, F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")

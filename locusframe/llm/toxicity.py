@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE_VALUES, LETTER, U64, broadcast_if_small, chunks, distinct, lowered, mix, prefix_hashes, ragged, span_hashes, spans_of, text_buffer
+from .common import BYTE_VALUES, LETTER, U64, broadcast_if_small, chunks, distinct, lowered, mix, prefix_hashes, ragged, released, span_hashes, spans_of, text_buffer
 
 SAMPLE = 8000
 TERMS = 2000
@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / sizes.get(1, 1))).otherwise(min(1.0, SAMPLE / sizes.get(0, 1)))
     drawn = broadcast_if_small(known.where(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 20)) < share * (1 << 20)))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(drawn, "id")
-    counts = sample.select("toxic", "text").mapInArrow(_label_counts, "term long, yes long, no long").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    counts = sample.select("toxic", "text").mapInArrow(released(_label_counts), "term long, yes long, no long").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     yes, no = n.get(1, 0), n.get(0, 0)
     y, x = F.col("yes") + 0.5, F.col("no") + 0.5
@@ -215,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = np.sort(np.array([r["term"] for r in best], np.int64).astype(U64))
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     frequency = np.zeros(len(chosen) + 1, np.int64)
-    for r in texts.mapInArrow(_frequencies(chosen), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    for r in texts.mapInArrow(released(_frequencies(chosen)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         frequency[r["term"]] = r["n"]
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
 
@@ -227,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             part = batch.slice(a, b - a)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]], names=["id", "toxic", "terms", "tf"])
 
-    got = sorted(sample.select("id", "toxic", "text").mapInArrow(vectors, "id long, toxic int, terms binary, tf binary").collect(), key=lambda r: (r["id"], r["terms"]))
+    got = sorted(sample.select("id", "toxic", "text").mapInArrow(released(vectors), "id long, toxic int, terms binary, tf binary").collect(), key=lambda r: (r["id"], r["terms"]))
     with_terms = [r for r in got if r["terms"]]
     without = [r for r in got if not r["terms"]]
     if without:
@@ -277,4 +277,4 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             added = [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(proofs, kind)]
             yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*names, "held_out", "score", "predicted", "evidence"])
 
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(released(run), schema)

@@ -267,7 +267,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 t, f = terms[i:j].astype(np.int64), tf[i:j]
                 key = t.tobytes() + f.tobytes()
                 if key not in seen:
-                    if len(seen) >= 50_000:
+                    if len(seen) >= 10_000:
                         seen.clear()
                     seen[key] = m.score(t, f)
                 s, proof = seen[key]

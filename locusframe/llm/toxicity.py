@@ -1,18 +1,19 @@
 """Operator 4: toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-Terms are words (letter runs, lower case) and their beginnings of 4 to 8 bytes. From a
-bounded sample of labelled rows (at most about ``SAMPLE`` of a class, by a hash of the id)
-the ``TERMS`` terms most associated with the label are taken (log odds over their standard
-error, at least ``LEAST_Z``; at least ``LEAST_SHARE`` of the rows with the term are toxic). Their document frequencies are counted over all rows.
-Sampled rows with such a term are the examples: unit vectors of (1 + ln tf) * idf.
-
-The index keeps, for each term, its examples' weights and the greatest weight of every
-block of ``BLOCK`` examples. A query's block bounds are its weights times those maxima;
-blocks are opened from the highest bound down until the bound is below the K-th
-neighbour: the K nearest are exact. Their votes count by the square of their cosine and
-by their class's sampling rate. Votes become probabilities by the isotonic fit of the
-sample's own leave-one-out votes; a text without a term gets the sample's rate for such
-texts. The three nearest examples are the evidence.
+Terms are words (letter runs, lower case) and their beginnings of 4 to 8 bytes. A bounded
+sample of labelled rows (at most about ``SAMPLE`` of a class, by a hash of the id) are the
+examples: unit vectors of (1 + ln tf) * idf over all their terms, whose document
+frequencies are counted over all rows. Terms of a text that no example holds are left out
+of its vector: they lengthen it, but its nearest examples and votes are the same.
+
+The index keeps, for each term, its examples' weights and, for terms of many examples, the
+greatest weight of every block of ``BLOCK`` like examples. A block's bound is the part of
+the cosines by rarer terms plus the text's weights times those maxima; blocks whose bound
+is below the K-th neighbour stay closed: the K nearest are exact. Their votes count by the
+square of their cosine and by their class's sampling rate. Votes become probabilities by
+the isotonic fit of the sample's own leave-one-out votes; a text without a term gets the
+rate of such texts in the sample, or of all labelled rows if the sample has fewer than K.
+The three nearest examples are the evidence.
 
 Nulls and empty texts: no term, so the rate for such. Labels that are null, and rows
 whose id is null, are never learned from (a null id counts as held out). Several labels of
@@ -21,10 +22,13 @@ an id: toxic if any is. Without labels all scores are 0. Other columns are ignor
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,13 +36,16 @@ from pyspark.sql import types as T
 from .common import BYTE_VALUES, LETTER, U64, broadcast_if_small, chunks, distinct, lowered, mix, prefix_hashes, ragged, released, span_hashes, spans_of, text_buffer
 
 SAMPLE = 8000
-TERMS = 2000
-LEAST_Z = 4.0
-LEAST_SHARE = 0.5
 BEGINNINGS = (4, 5, 6, 7, 8)
 K = 25
 BLOCK = 128
 FIRST_BLOCKS = 8
+FREQUENT = 1 / 16
+GROUP = 64
+GROUPS = 64
+ROUNDS = 6
+#: More than the rounding of single precision; what is that near the K-th is compared in double.
+SLACK = np.float32(1e-5)
 
 
 def text_terms(raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,18 +69,20 @@ def text_terms(raw: np.ndarray, offsets: np.ndarray, chosen: np.ndarray | None =
         at = np.minimum(np.searchsorted(chosen, term), max(len(chosen) - 1, 0))
         hit = chosen[at] == term if len(chosen) else np.zeros(len(term), bool)
         word, term = word[hit], at[hit].astype(U64)
-    # Words' occurrences by row, then every term of the word.
+    if not len(word):
+        return none, none.astype(U64), none
+    # Words' occurrences by row, then every term of the word; counted as sorted (row, term) codes.
     order = np.argsort(word, kind="stable")
     word, term = word[order], term[order]
+    names, _, number = (None, None, term.astype(np.int64)) if chosen is not None else distinct(term)
+    width = len(chosen) if chosen is not None else len(names)
     first, n = np.searchsorted(word, np.arange(len(keys))), np.bincount(word, minlength=len(keys))
     many = n[inverse]
-    rows, terms = np.repeat(row, many), term[ragged(first[inverse], many)]
-    order = np.lexsort((terms, rows))
-    rows, terms = rows[order], terms[order]
-    if not len(rows):
-        return none, none.astype(U64), none
-    cut = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (terms[1:] != terms[:-1])]))
-    return rows[cut], terms[cut], np.diff(np.append(cut, len(rows)))
+    code = np.repeat(row * width, many) + number[ragged(first[inverse], many)]
+    code.sort()
+    cut = np.flatnonzero(np.concatenate([np.ones(min(len(code), 1), bool), code[1:] != code[:-1]]))
+    rows, terms = np.divmod(code[cut], width)
+    return rows, names[terms] if names is not None else terms.astype(U64), np.diff(np.append(cut, len(code)))
 
 
 def _each_chunk(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
@@ -83,44 +92,115 @@ def _each_chunk(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tup
             yield batch, a, b, raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of either label with each term, summed over a chunk."""
-    for batch, a, b, raw, offsets in _each_chunk(batches, 1):
-        toxic = np.asarray(batch.column(0))[a:b]
-        rows, terms, _ = text_terms(raw, offsets)
-        keys, _, inverse = distinct(terms)
-        yes = np.bincount(inverse, toxic[rows] == 1, len(keys)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(yes), pa.array(np.bincount(inverse, minlength=len(keys)).astype(np.int64) - yes)], names=["term", "yes", "no"])
+def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, _, raw, offsets in _each_chunk(batches, 0):
+        yield pa.RecordBatch.from_arrays([pa.array(distinct(text_terms(raw, offsets)[1])[0].astype(np.int64))], names=["term"])
+
 
+def _vectors(shared: Broadcast):
+    """(id, toxic, terms' numbers, tf) of the examples."""
 
-def _frequencies(chosen: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, a, b, raw, offsets in _each_chunk(batches, 2):
+            rows, terms, tf = text_terms(raw, offsets, shared.value)
+            cuts = np.searchsorted(rows, np.arange(b - a + 1))
+            packed = [(terms[i:j].astype(np.int32).tobytes(), zlib.compress(tf[i:j].astype(np.int32).tobytes(), 1)) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            part = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]], names=["id", "toxic", "terms", "tf"])
+
+    return run
+
+
+def _frequencies(shared: Broadcast):
+    """(term, n): texts with each of the shared terms; their number is the last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = shared.value
         counts = np.zeros(len(chosen) + 1, np.int64)
         for _, a, b, raw, offsets in _each_chunk(batches, 0):
             counts[-1] += b - a
             counts[:-1] += np.bincount(text_terms(raw, offsets, chosen)[1].astype(np.int64), minlength=len(chosen))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(counts))), pa.array(counts)], names=["term", "n"])
+        found = np.flatnonzero(counts)
+        for k in range(0, len(found), 1 << 16):
+            part = found[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], names=["term", "n"])
 
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns of longs as a byte string a batch each."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([np.asarray(c).tobytes()], pa.binary()) for c in batch.columns], names=batch.schema.names)
+
+
+def alike(columns: np.ndarray) -> np.ndarray:
+    """A group's number for each column, by a few rounds of spherical k-means; fixed seeds."""
+    n = columns.shape[1]
+    centres = columns[:, np.linspace(0, n - 1, min(GROUPS, n)).astype(int)] if n else columns
+    group = np.zeros(n, np.int64)
+    for _ in range(ROUNDS if n else 0):
+        group = np.argmax(centres.T @ columns, 0)
+        sums = columns @ (group[:, None] == np.arange(centres.shape[1])).astype(np.float32)
+        centres = sums / np.maximum(np.sqrt((sums * sums).sum(0)), 1e-9)
+    return group
+
+
 class Examples:
-    """Unit vectors of labelled texts in a block-max inverted index."""
+    """Unit vectors of labelled texts in a block-max inverted index.
+
+    Terms of at least ``FREQUENT`` of the examples are rows of a dense matrix, multiplied
+    block by block; the others are postings, added up for all examples.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: list[int], toxic: np.ndarray, rate: np.ndarray, idf: np.ndarray) -> None:
+        terms = np.concatenate([t for t, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
+        tf = np.concatenate([f for _, f in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
+        self._build(terms, tf, np.array([len(t) for t, _ in vectors], np.int64), ids, toxic, rate, idf)
+
+    @classmethod
+    def of(cls, *parts) -> Examples:
+        self = cls.__new__(cls)
+        self._build(*parts)
+        return self
+
+    def _build(self, terms: np.ndarray, tf: np.ndarray, many: np.ndarray, ids: list[int], toxic: np.ndarray, rate: np.ndarray, idf: np.ndarray) -> None:
         self.idf, self.ids, self.toxic, self.rate = idf, ids, toxic, rate
-        n = [len(t) for t, _ in vectors]
-        example = np.repeat(np.arange(len(vectors)), n)
-        term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        weight = np.concatenate([self.unit(t, tf) for t, tf in vectors]) if vectors else np.zeros(0)
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order], weight[order]
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.most = np.zeros((len(idf), max(self.blocks, 1)))
-        np.maximum.at(self.most, (term[order], self.example // BLOCK), self.weight)
-        # Where a term's postings of a block begin; those of its last block end where the next term begins.
-        cells = np.arange(len(idf) * self.most.shape[1] + 1)
-        self.begin = np.searchsorted(term[order] * self.most.shape[1] + self.example // BLOCK, cells)
+        self.term, self.n = terms, len(many)
+        self.tf = tf.astype(np.uint16) if not len(tf) or tf.max() < 1 << 16 else tf
+        self.start = np.concatenate([[0], np.cumsum(many)])
+        count = np.bincount(terms, minlength=len(idf))
+        self.blocks = max(-(-self.n // BLOCK), 1)
+        frequent = np.flatnonzero(count >= max(FREQUENT * self.n, 1))
+        self.slot = np.full(len(idf), -1, np.int32)
+        self.slot[frequent] = np.arange(len(frequent))
+        self.begin = np.concatenate([[0], np.cumsum(np.where(self.slot < 0, count, 0))])
+        self.dense = np.zeros((len(frequent), self.blocks * BLOCK), np.float32)
+        self.example, self.weight = np.zeros(self.begin[-1], np.int32), np.zeros(self.begin[-1], np.float32)
+        self.norm = np.ones(self.n)
+        free = self.begin[:-1].copy()
+        # A few examples at a time, so that little more memory than the index's own is taken.
+        for a in range(0, self.n, BLOCK):
+            b = min(a + BLOCK, self.n)
+            part = slice(self.start[a], self.start[b])
+            example, term = np.repeat(np.arange(a, b), many[a:b]), terms[part]
+            own = (1 + np.log(tf[part])) * idf[term]
+            self.norm[a:b] = np.sqrt(np.bincount(example - a, own * own, b - a))
+            own /= self.norm[example]
+            at = self.slot[term] >= 0
+            self.dense[self.slot[term[at]], example[at]] = own[at]
+            order = np.flatnonzero(~at)[np.argsort(term[~at], kind="stable")]
+            names, first, times = np.unique(term[order], return_index=True, return_counts=True)
+            to = np.repeat(free[names] - first, times) + np.arange(len(order))
+            self.example[to], self.weight[to] = example[order], own[order]
+            free[names] += times
+        # Like examples share a block, so that few blocks reach a text's K-th cosine.
+        self.number = np.concatenate([np.argsort(alike(self.dense[:, : self.n]), kind="stable"), np.arange(self.n, self.blocks * BLOCK)])
+        self.place = np.argsort(self.number).astype(np.int32)
+        for k in range(0, len(self.dense), BLOCK):
+            self.dense[k : k + BLOCK] = self.dense[k : k + BLOCK][:, self.number]
+        self.example = self.place[self.example]
+        self.most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(2) if len(frequent) else np.zeros((0, self.blocks), np.float32)
 
     def unit(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = (1 + np.log(tf)) * self.idf[terms]
@@ -128,35 +208,80 @@ class Examples:
 
     def nearest(self, terms: np.ndarray, tf: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The K nearest examples and their cosines, exactly; ties by the example's number."""
-        q = self.unit(terms, tf)
-        bounds = q @ self.most[terms]
-        order = np.argsort(-bounds, kind="stable")
-        reach = int((bounds > 0).sum())
-        found, cosines, worst, at, take = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, FIRST_BLOCKS
-        while at < reach and (len(found) < K or bounds[order[at]] >= worst - 1e-12):
-            opened = order[at : min(at + take, reach)]
-            opened = opened[bounds[opened] >= worst - 1e-12]
-            cell = terms[:, None] * self.most.shape[1] + opened
-            lo = self.begin[cell].ravel()
-            n = self.begin[cell + 1].ravel() - lo
-            at_posting = ragged(lo, n)
-            slot = np.repeat(np.tile(np.arange(len(opened)), len(terms)), n) * BLOCK + self.example[at_posting] % BLOCK
-            dense = np.bincount(slot, np.repeat(np.repeat(q, len(opened)), n) * self.weight[at_posting], len(opened) * BLOCK)
-            filled = np.flatnonzero(dense)
-            got = opened[filled // BLOCK] * BLOCK + filled % BLOCK
-            keep = got != leave
-            found, cosines = np.append(found, got[keep]), np.append(cosines, dense[filled][keep])
-            top = np.lexsort((found, -np.round(cosines, 12)))[:K]
-            found, cosines = found[top], cosines[top]
-            worst = cosines[-1] if len(found) == K else 0.0
-            at, take = at + take, reach
-        return found, cosines
+        return self.nearest_of([(terms, tf)], [leave])[0]
+
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """nearest() of several texts at once, ``leave`` being an example to leave out of each."""
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for a in range(0, len(texts), GROUP):
+            out += self._group(texts[a : a + GROUP], [-1] * len(texts[a : a + GROUP]) if leave is None else leave[a : a + GROUP])
+        return out
+
+    def _group(self, texts: list[tuple[np.ndarray, np.ndarray]], leave: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        size, wide = len(texts), self.blocks * BLOCK
+        q = [self.unit(t, tf) for t, tf in texts]
+        row = np.repeat(np.arange(size), [len(t) for t, _ in texts])
+        term, weight = np.concatenate([t for t, _ in texts]), np.concatenate(q)
+        slot = self.slot[term]
+        dense = np.zeros((size, len(self.dense)), np.float32)
+        dense[row[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
+        cosine = np.empty((size, wide), np.float32)
+        ends = np.cumsum([0, *[len(t) for t, _ in texts]])
+        for i in range(size):
+            rare = ends[i] + np.flatnonzero(slot[ends[i] : ends[i + 1]] < 0)
+            lo = self.begin[term[rare]]
+            many = self.begin[term[rare] + 1] - lo
+            posting = ragged(lo, many)
+            cosine[i] = np.bincount(self.example[posting], np.repeat(weight[rare].astype(np.float32), many) * self.weight[posting], wide)
+        # Blocks are opened for the texts whose bound there reaches the K-th cosine found so far.
+        bounds = cosine.reshape(size, self.blocks, BLOCK).max(2) + dense @ self.most + SLACK
+        first = np.zeros(bounds.shape, bool)
+        np.put_along_axis(first, np.argsort(-bounds, 1)[:, :FIRST_BLOCKS], True, 1)
+        least = np.zeros(size, np.float32)
+        for open_now in (first, ~first):
+            open_now &= bounds >= least[:, None]
+            for block in np.flatnonzero(open_now.any(0)).tolist():
+                at, own = np.flatnonzero(open_now[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                cosine[at, own] += dense[at] @ self.dense[:, own]
+            for i, x in enumerate(leave):
+                if x >= 0:
+                    cosine[i, self.place[x]] = 0
+            if wide > K:
+                least = np.partition(cosine, wide - K, 1)[:, wide - K] - SLACK
+        out, seen = [], np.zeros(len(self.idf))
+        for i, (terms, _) in enumerate(texts):
+            near = np.sort(self.number[np.flatnonzero((cosine[i] >= least[i]) & (cosine[i] > 0))])
+            seen[terms] = q[i]
+            many = self.start[near + 1] - self.start[near]
+            own = ragged(self.start[near], many)
+            part = seen[self.term[own]]
+            met = np.flatnonzero(part)
+            own, of = own[met], np.repeat(np.arange(len(near)), many)[met]
+            exact = np.bincount(of, part[met] * (1 + np.log(self.tf[own].astype(float))) * self.idf[self.term[own]], len(near)) / self.norm[near]
+            seen[terms] = 0
+            top = np.lexsort((near, -np.round(exact, 12)))[:K]
+            out.append((near[top], exact[top]))
+        return out
+
+    def text(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.start[i], self.start[i + 1])
+        return self.term[own], self.tf[own]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         w = cosines**2 * self.rate[found]
         return float((w * self.toxic[found]).sum() / w.sum()) if w.sum() > 0 else -1.0
 
 
+class Sample:
+    """What the examples are made of; it is unpickled as their index, so that only workers build that."""
+
+    def __init__(self, *parts) -> None:
+        self.parts = parts
+
+    def __reduce__(self) -> tuple:
+        return Examples.of, self.parts
+
+
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool-adjacent-violators fit of y by x: points to interpolate."""
     order = np.argsort(x, kind="stable")
@@ -170,20 +295,19 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    """chosen terms, examples, the isotonic points, and the score of a text without terms."""
+    """The examples' terms, the examples, the isotonic points, and the score of a text without terms."""
 
-    def __init__(self, chosen: np.ndarray, examples: Examples | None, points: tuple[np.ndarray, np.ndarray], bare: float) -> None:
+    def __init__(self, chosen: Broadcast | None, examples: Broadcast | None, points: tuple[np.ndarray, np.ndarray], bare: float) -> None:
         self.chosen, self.examples, self.points, self.bare = chosen, examples, points, bare
 
-    def score(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[int, float, int]]]:
-        if not len(terms) or self.examples is None:
-            return self.bare, []
-        found, cosines = self.examples.nearest(terms, tf)
-        vote = self.examples.vote(found, cosines)
-        if vote < 0:
-            return self.bare, []
-        e = self.examples
-        return float(np.interp(vote, *self.points)), [(e.ids[i], float(c), int(e.toxic[i])) for i, c in zip(found[:3].tolist(), cosines[:3].tolist(), strict=True)]
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
+        e, out = self.examples.value if self.examples else None, [(self.bare, [])] * len(texts)
+        known = [i for i, (terms, _) in enumerate(texts) if len(terms)] if e is not None else []
+        for i, (found, cosines) in zip(known, e.nearest_of([texts[i] for i in known]) if known else [], strict=True):
+            vote = e.vote(found, cosines)
+            if vote >= 0:
+                out[i] = float(np.interp(vote, *self.points)), [(e.ids[k], float(c), int(e.toxic[k])) for k, c in zip(found[:3].tolist(), cosines[:3].tolist(), strict=True)]
+        return out
 
 
 def fold(id_col: Column, folds: int) -> Column:
@@ -194,52 +318,52 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (fold(F.col(id_col), folds) != held))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    nothing = Model(np.zeros(0, U64), None, (np.zeros(1), np.zeros(1)), 0.0)
+    nothing = Model(None, None, (np.zeros(1), np.zeros(1)), 0.0)
     if not sizes:
         return nothing
     share = F.when(F.col("toxic") == 1, min(1.0, SAMPLE / sizes.get(1, 1))).otherwise(min(1.0, SAMPLE / sizes.get(0, 1)))
     drawn = broadcast_if_small(known.where(F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 20)) < share * (1 << 20)))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(drawn, "id")
-    counts = sample.select("toxic", "text").mapInArrow(released(_label_counts), "term long, yes long, no long").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    yes, no = n.get(1, 0), n.get(0, 0)
-    y, x = F.col("yes") + 0.5, F.col("no") + 0.5
-    odds = F.log(y / (yes + 1.0 - y)) - F.log(x / (no + 1.0 - x))
-    z = odds / F.sqrt(1 / y + 1 / x)
-    rate = {1: sizes.get(1, 0) / max(yes, 1), 0: sizes.get(0, 0) / max(no, 1)}
-    common = F.col("yes") * rate[1] >= LEAST_SHARE * (F.col("yes") * rate[1] + F.col("no") * rate[0])
-    best = counts.where(common & (F.col("yes") >= 3)).select("term", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "term").limit(TERMS).collect()
-    bare = yes / max(yes + no, 1)
-    if not best:
-        return Model(np.zeros(0, U64), None, (np.zeros(1), np.zeros(1)), bare)
-    chosen = np.sort(np.array([r["term"] for r in best], np.int64).astype(U64))
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    frequency = np.zeros(len(chosen) + 1, np.int64)
-    for r in texts.mapInArrow(released(_frequencies(chosen)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        frequency[r["term"]] = r["n"]
-    idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b, raw, offsets in _each_chunk(batches, 2):
-            rows, terms, tf = text_terms(raw, offsets, chosen)
-            cuts = np.searchsorted(rows, np.arange(b - a + 1))
-            packed = [(terms[i:j].astype(np.int32).tobytes(), tf[i:j].astype(np.int32).tobytes()) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-            part = batch.slice(a, b - a)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]], names=["id", "toxic", "terms", "tf"])
-
-    got = sorted(sample.select("id", "toxic", "text").mapInArrow(released(vectors), "id long, toxic int, terms binary, tf binary").collect(), key=lambda r: (r["id"], r["terms"]))
+    spark = docs.sparkSession
+    found = sample.select("text").mapInArrow(released(_terms_of), "term long").distinct().mapInArrow(_packed, "term binary").collect()
+    chosen = np.sort(np.frombuffer(b"".join(r["term"] for r in found), U64))
+    shared = spark.sparkContext.broadcast(chosen)
+    got = sorted(sample.select("id", "toxic", "text").mapInArrow(released(_vectors(shared)), "id long, toxic int, terms binary, tf binary").collect(), key=lambda r: (r["id"], r["terms"]))
+    drawn_of = {c: sum(r["toxic"] == c for r in got) for c in (0, 1)}
+    rate = {c: sizes.get(c, 0) / max(drawn_of[c], 1) for c in (0, 1)}
     with_terms = [r for r in got if r["terms"]]
     without = [r for r in got if not r["terms"]]
-    if without:
+    bare = sizes.get(1, 0) / sum(sizes.values())
+    if len(without) >= K:
         w = np.array([rate[r["toxic"]] for r in without])
         bare = float((w * [r["toxic"] for r in without]).sum() / w.sum())
-    toxic = np.array([r["toxic"] for r in with_terms], float)
+    if not with_terms:
+        return Model(None, None, (np.zeros(1), np.zeros(1)), bare)
+    term = np.frombuffer(b"".join(r["terms"] for r in with_terms), np.int32)
+    tf = np.frombuffer(b"".join(zlib.decompress(r["tf"]) for r in with_terms), np.int32)
+    many = np.array([len(r["terms"]) // 4 for r in with_terms])
+    ids, toxic = [r["id"] for r in with_terms], np.array([r["toxic"] for r in with_terms], float)
     weights = np.array([rate[r["toxic"]] for r in with_terms])
-    packed = [(np.frombuffer(r["terms"], np.int32).astype(np.int64), np.frombuffer(r["tf"], np.int32)) for r in with_terms]
-    examples = Examples(packed, [r["id"] for r in with_terms], toxic, weights, idf)
-    votes = np.array([examples.vote(*examples.nearest(t, tf, leave=i)) for i, (t, tf) in enumerate(packed)])
+    del got, with_terms
+    frequency = np.zeros(len(chosen) + 1, np.int64)
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    counted = texts.mapInArrow(released(_frequencies(shared)), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    for r in counted.mapInArrow(_packed, "term binary, n binary").collect():
+        frequency[np.frombuffer(r["term"], np.int64)] = np.frombuffer(r["n"], np.int64)
+    idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
+    index = spark.sparkContext.broadcast(Sample(term, tf, many, ids, toxic, weights, idf))
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            e, at = index.value, np.asarray(batch.column(0)).tolist()
+            votes = [e.vote(*x) for x in e.nearest_of([e.text(i) for i in at], at)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["i", "vote"])
+
+    votes = np.zeros(len(ids))
+    for r in spark.range(0, len(ids), 1, -(-len(ids) // 512)).mapInArrow(released(left_out), "i long, vote double").collect():
+        votes[r["i"]] = r["vote"]
     ok = votes >= 0
-    return Model(chosen, examples, isotonic(votes[ok], toxic[ok], weights[ok]) if ok.any() else (np.zeros(1), np.zeros(1)), bare)
+    return Model(shared, index, isotonic(votes[ok], toxic[ok], weights[ok]) if ok.any() else (np.zeros(1), np.zeros(1)), bare)
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 3, held: int = 1, threshold: float = 0.7) -> DataFrame:
@@ -248,7 +372,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Columns of docs with these names are replaced.
     """
     docs = docs.drop("held_out", "score", "predicted", "evidence")
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, folds, held))
+    model = fit(docs, labels, id_col, text_col, label_col, folds, held)
     names = docs.columns
     at = names.index(text_col)
     own = docs.withColumn("held_out", F.coalesce(fold(F.col(id_col), folds) == held, F.lit(True)))
@@ -257,22 +381,21 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
-        seen: dict[bytes, tuple] = {}
+        chosen = model.chosen.value if model.chosen else np.zeros(0, U64)
+        seen: dict[bytes, tuple[float, list[tuple[int, float, int]]]] = {}
         for batch, a, b, raw, offsets in _each_chunk(batches, at):
-            rows, terms, tf = text_terms(raw, offsets, m.chosen)
+            rows, terms, tf = text_terms(raw, offsets, chosen)
             cuts = np.searchsorted(rows, np.arange(b - a + 1))
-            scores, proofs = [], []
-            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                t, f = terms[i:j].astype(np.int64), tf[i:j]
-                key = t.tobytes() + f.tobytes()
-                if key not in seen:
-                    if len(seen) >= 10_000:
-                        seen.clear()
-                    seen[key] = m.score(t, f)
-                s, proof = seen[key]
-                scores.append(s)
-                proofs.append([{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in proof])
+            texts = [(terms[i:j].astype(np.int64), tf[i:j]) for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            keys = [hashlib.blake2b(t.tobytes() + f.tobytes(), digest_size=16).digest() for t, f in texts]
+            new = {k: i for i, k in enumerate(keys) if k not in seen}
+            now = dict(zip(new, model.scores([texts[i] for i in new.values()]), strict=True))
+            got = [now[k] if k in now else seen[k] for k in keys]
+            if len(seen) >= 10_000:
+                seen.clear()
+            seen |= now
+            scores = [s for s, _ in got]
+            proofs = [[{"doc_id": d, "cosine": c, "toxic": y} for d, c, y in proof] for _, proof in got]
             part = batch.slice(a, b - a)
             added = [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(proofs, kind)]
             yield pa.RecordBatch.from_arrays([*part.columns, *added], names=[*names, "held_out", "score", "predicted", "evidence"])

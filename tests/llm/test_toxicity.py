@@ -64,3 +64,17 @@ def test_nearest_is_exact():
 def test_isotonic():
     x, y = t.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert list(y) == [0.0, 0.5, 1.0]
+
+
+def test_every_text_has_neighbours(spark, frame):
+    """Clean texts are examples and are searched too: no term needs to tell the classes apart."""
+    rng = random.Random(11)
+    words = [a + b + c for a in "klmnprst" for b in "aeiou" for c in "klmnprst"]
+    rows = [(i, " ".join(rng.sample(words, 8))) for i in range(300)]
+    rows.append((1000, rows[0][1]))
+    labels = [(i, 0, int(i % 10 == 0)) for i in range(300)]
+    got = t.score(frame(rows), spark.createDataFrame(labels, LABELS), folds=1000, held=1000).collect()
+    assert all(r["evidence"] for r in got)
+    copy = next(r for r in got if r["doc_id"] == 1000)
+    assert copy["evidence"][0]["doc_id"] == 0 and abs(copy["evidence"][0]["cosine"] - 1) < 1e-9
+    assert {e["toxic"] for r in got for e in r["evidence"]} == {0, 1}

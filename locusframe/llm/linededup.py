@@ -10,6 +10,11 @@ A host drops at most (lines a page / ratio) lines, so the drop lists are small;
 are broadcast while their number is below a checked limit, and beyond it joined
 with the host's pages dealt out over ``SALTS`` keys.
 
+With ``copies_once`` a line must also pass when copies count as one page: equal texts are
+one page, and so are all the host's pages that consist by half or more of such lines (a
+group of exact or near copies). A document's copies alone don't make its lines boilerplate.
+Near copies that share less than half of their text as whole lines count as pages each.
+
 Nulls: a null host is a host of its own; a null text stays null and counts as a page
 without lines. Blank lines are kept and not counted. Repeated rows count as pages
 of their own. Empty tables give empty results. Other columns are kept as they are.
@@ -47,20 +52,51 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     return joined.where(F.col("pages") > F.lit(ratio) * F.col("host_pages"))
 
 
-def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.05, min_pages: int = 5) -> DataFrame:
+def _with_drops(docs: DataFrame, drops: DataFrame, host_col: str, text_col: str) -> DataFrame:
+    """docs with the list of their host's lines to drop, null without one."""
+    lists = drops.groupBy(F.col("host").alias(_HOST)).agg(F.collect_list("line_hash").alias(_DROPS))
+    if small(drops, BROADCAST_LINES):
+        return docs.join(F.broadcast(lists), F.col(host_col).eqNullSafe(F.col(_HOST)), "left")
+    salted = lists.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = docs.withColumn("__of", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
+    return left.join(salted, F.col(host_col).eqNullSafe(F.col(_HOST)) & (F.col("__of") == F.col(_SALT)), "left").drop("__of", _SALT)
+
+
+def on_many_groups(docs: DataFrame, drops: DataFrame, host_col: str, text_col: str, ratio: float, min_pages: int) -> DataFrame:
+    """Those of the (host, line_hash) that pass when the copies of a page, exact or near, count once."""
+    page = F.xxhash64(text_col)
+    size = lambda lines: F.aggregate(lines, F.lit(0), lambda n, x: n + F.length(x))
+    own = docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    split = _with_drops(own, drops, "host", "text").where(F.col(_DROPS).isNotNull()).withColumn("lines", _lines("text"))
+    split = split.withColumn("hits", F.filter("lines", lambda x: F.array_contains(F.col(_DROPS), F.xxhash64(x))))
+    held = split.where(F.size("hits") > 0).select(
+        "host",
+        F.xxhash64("text").alias("page"),
+        F.array_distinct(F.transform("hits", lambda x: F.xxhash64(x))).alias("hits"),
+        F.when(2 * size(F.col("hits")) < size(F.col("lines")), F.xxhash64("text")).otherwise(0).alias("of"),
+    )
+    held = written(held, "held")
+    lines = held.select("host", "of", F.explode("hits").alias("line_hash")).distinct()
+    groups = held.select(F.col("host").alias("of_host"), "page", "of").distinct()
+    counts = lines.groupBy("host", "line_hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    others = docs.select(F.col(host_col).alias("of_host"), page.alias("page")).distinct().join(groups.select(F.col("of_host").alias("h"), F.col("page").alias("p")), F.col("of_host").eqNullSafe(F.col("h")) & (F.col("page") == F.col("p")), "left_anti")
+    pages = groups.select("of_host", "of").distinct().unionByName(others.select("of_host", F.col("page").alias("of"))).groupBy("of_host").agg(F.count("*").alias("host_n"))
+    joined = counts.join(pages, counts["host"].eqNullSafe(pages["of_host"])).where(F.col("n") > F.lit(ratio) * F.col("host_n"))
+    return joined.select("host", "line_hash")
+
+
+def drop_boilerplate(
+    docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = 0.05, min_pages: int = 5, copies_once: bool = False
+) -> DataFrame:
     """The same rows with boilerplate lines taken out of the text; adds n_lines, n_dropped.
 
     Columns of docs with these names are replaced.
     """
     docs = docs.drop("n_lines", "n_dropped")
     drops = written(boilerplate(docs, host_col, text_col, ratio, min_pages).select("host", "line_hash"), "boilerplate")
-    lists = drops.groupBy(F.col("host").alias(_HOST)).agg(F.collect_list("line_hash").alias(_DROPS))
-    if small(drops, BROADCAST_LINES):
-        joined = docs.join(F.broadcast(lists), F.col(host_col).eqNullSafe(F.col(_HOST)), "left")
-    else:
-        salted = lists.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        left = docs.withColumn("__of", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
-        joined = left.join(salted, F.col(host_col).eqNullSafe(F.col(_HOST)) & (F.col("__of") == F.col(_SALT)), "left").drop("__of", _SALT)
+    if copies_once and drops.limit(1).count():
+        drops = written(on_many_groups(docs, drops, host_col, text_col, ratio, min_pages), "boilerplate")
+    joined = _with_drops(docs, drops, host_col, text_col)
     listed = F.coalesce(F.col(_DROPS), F.array().cast("array<long>"))
     split = joined.withColumn(_LINES, _lines(text_col))
     kept = F.filter(F.col(_LINES), lambda x: (F.trim(x) == "") | ~F.array_contains(listed, F.xxhash64(x)))

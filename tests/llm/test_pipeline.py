@@ -48,3 +48,21 @@ def test_stages(spark, tmp_path):
         total[r["doc_id"]] = total.get(r["doc_id"], 0) + r["length"]
     assert all(total[r["doc_id"]] == r["doc_tokens"] for r in pieces)
     assert [r["ids_crc32"] for r in pieces if r["doc_id"] == 305] == [zlib.crc32((1).to_bytes(4, "little"))]
+
+
+def test_one_of_a_large_copy_group_keeps_its_text(spark):
+    """Groups of exact and of near copies above the ratio of their source; the menu still goes."""
+    rng = random.Random(5)
+    prose = lambda n: " ".join(f"w{rng.randrange(3000)}q" for _ in range(n))
+    text = {i: f"menu of site\n{prose(60)}" for i in range(40)}
+    same = [prose(30) for _ in range(4)]
+    text |= {i: "\n".join(["menu of site", *same]) for i in range(100, 120)}
+    near = [prose(40) for _ in range(8)]
+    for i in range(200, 220):
+        lines = list(near)
+        lines[i % 8] += f" end{i}"
+        text[i] = "\n".join(["menu of site", *lines])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in text.items()], COLUMNS).repartition(3)
+    kept = {r["doc_id"]: r["text"] for r in pipeline.one_of_each_group(spark, pipeline.drop_lines(spark, docs, ""), "").collect()}
+    assert set(kept) == {*range(40), 100, 200}
+    assert kept == {i: text[i].replace("menu of site\n", "") for i in kept}

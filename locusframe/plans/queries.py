@@ -74,7 +74,17 @@ def interval_annotate_plain(spark: SparkSession, d: str) -> DataFrame:
 @_query(_with(b=adapters.BASES, c=adapters.CONTIGS) + """, s AS (SELECT DISTINCT concat('M', CAST(substr(contig, 2) AS INT) % 50, '.fa_', contig) AS contig, position FROM b WHERE position < 40)
 SELECT contig, position, coalesce(nullif(upper(substr(c.seq, CAST(position AS INT) + 1, 1)), ''), 'X') AS ref_base FROM s LEFT JOIN c USING (contig)""")
 def reference_base(spark: SparkSession, d: str) -> DataFrame:
-    sites = _sites(spark, d).where("position < 40")
+    return _reference(spark, d, _sites(spark, d).where("position < 40"))
+
+
+@_query(_with(b=adapters.BASES, c=adapters.CONTIGS) + """, s AS (SELECT DISTINCT concat('M', CAST(substr(contig, 2) AS INT) % 50, '.fa_', contig) AS contig, position FROM b)
+SELECT contig, position, coalesce(nullif(upper(substr(c.seq, CAST(position AS INT) + 1, 1)), ''), 'X') AS ref_base FROM s LEFT JOIN c USING (contig)""")
+def reference_base_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every site, also those beyond the end of its contig."""
+    return _reference(spark, d, _sites(spark, d))
+
+
+def _reference(spark: SparkSession, d: str, sites: DataFrame) -> DataFrame:
     sites = sites.withColumn("contig", F.concat(F.lit("M"), (F.substring("contig", 2, 9).cast("int") % 50).cast("string"), F.lit(".fa_"), "contig"))
     return pileup.with_reference(sites.distinct(), view(spark, d, adapters.CONTIGS)).select("contig", "position", "ref_base")
 

@@ -47,3 +47,10 @@ def test_runs(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_reference_of_every_site(spark):
+    q = queries.queries()
+    got = q["reference_base_all"](spark, DATA)
+    assert got.count() == q["interval_annotate"](spark, DATA).count() == 5334
+    assert got.where("position >= 40").count() > 5000

@@ -157,6 +157,12 @@ def subjects_single_timepoint(spark: SparkSession, d: str) -> DataFrame:
     return change.single_timepoint_subjects(view(spark, d, adapters.PROFILE).where("position = 7"), *CONFIG.timepoints)
 
 
+@_query(_with(p=adapters.PROFILE) + """ SELECT "subjectID", min(time) AS time FROM p WHERE time IN ('pre', 'end') GROUP BY ALL HAVING count(DISTINCT time) = 1""")
+def subjects_single_timepoint_all(spark: SparkSession, d: str) -> DataFrame:
+    """Judged on all rows of the study."""
+    return change.single_timepoint_subjects(view(spark, d, adapters.PROFILE), *CONFIG.timepoints)
+
+
 @_query(_with(p=adapters.PROFILE) + """, s AS (SELECT DISTINCT sample_id, "subjectID", time, "group", replicate FROM p), f AS (SELECT DISTINCT "MAG_ID", sample_id FROM p)
 SELECT "MAG_ID", sample_id, "subjectID", time, "group", replicate, concat(sample_id, '/', "MAG_ID") AS file_path FROM f JOIN s USING (sample_id) WHERE time IN ('pre', 'end') AND "group" IN ('fat', 'control')""")
 def metadata_filter_join(spark: SparkSession, d: str) -> DataFrame:

@@ -54,3 +54,9 @@ def test_reference_of_every_site(spark):
     got = q["reference_base_all"](spark, DATA)
     assert got.count() == q["interval_annotate"](spark, DATA).count() == 5334
     assert got.where("position >= 40").count() > 5000
+
+
+def test_single_subjects_of_all_rows(spark):
+    q = queries.queries()
+    some, whole = ({r["subjectID"] for r in q[n](spark, DATA).collect()} for n in ("subjects_single_timepoint", "subjects_single_timepoint_all"))
+    assert len(whole) == 1 and len(some) == 7

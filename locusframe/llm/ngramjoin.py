@@ -12,11 +12,16 @@ sets form a class; classes link when the Jaccard similarity is 75 % or more.
    share a hash among their first n - ceil(3n/4) + 1. An entry carries its position, so
    that entries from which the needed overlap can't be reached any more are skipped, and
    its size block, so that lists are read only in blocks of possible sizes.
-3. Answers come first from representatives: each class is verified against the least
-   class of its lists (by two orders). What these answers connect is one component, and
-   list entries of the same component are skipped from then on: a set's links within the
-   group of a highly similar set follow from that set's. All remaining pairs of different
-   components in a list are verified on the whole sets. No link between components is lost.
+3. Answers of one set come first: in every list the set whose hashes are most common (its
+   head, such as the text that copies were made from) is verified against the others, and
+   then a second head against those that did not link. What links with a head is one
+   component and skipped in the lists from then on. The others' answers derive from the
+   head's: if a and b share x and y hashes with the head h, and have p and q hashes in
+   common with any set but not with h, they share min(x, y) + min(p, q) at most.
+4. Of what is left, the smaller set of a pair looks only into the size blocks that its
+   position in the list and its answers leave open, often none; pairs of different
+   components that pass all bounds are verified on the whole sets, a few for each set and
+   then the rest. No link between components is lost.
 
 Scale: shards grow with the input, lists of one component cost nothing, and joins that a
 hot class skews have its rows on one side only, where AQE splits them.
@@ -33,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER_VALUES, U64, chunks, mix, prefix_hashes, released, shards_for, span_hashes, text_buffer, words_of, written
@@ -108,8 +113,11 @@ def _deal(shards: int):
             for shard in np.unique(of).tolist():
                 mine = np.flatnonzero(of == shard)
                 rows.append((shard, classes[mine].tobytes(), sizes[mine].astype("<u4").tobytes(), b"", b"", np.array(ids, np.int64)[mine].tobytes()))
-            flat = np.concatenate(sets) if held else np.zeros(0, U64)
-            owner = np.repeat(np.arange(len(sets)), sizes)
+            # Copies need not be dealt out again.
+            _, firsts = np.unique(classes, return_index=True)
+            firsts = np.sort(firsts)
+            flat = np.concatenate([sets[i] for i in firsts.tolist()]) if held else np.zeros(0, U64)
+            owner = np.repeat(firsts, sizes[firsts])
             shard = ((flat >> U64(40)) * U64(shards)) >> U64(24)
             order = np.argsort(shard.astype(np.uint16) if shards < 65536 else shard, kind="stable")
             flat, owner = flat[order], owner[order]
@@ -199,12 +207,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-SETS = "cls long, n long, others long, hashes binary, prefix array<long>, p0 long, p1 long, p2 long, p3 long"
+SETS = "cls long, n long, others long, common double, hashes binary, prefix array<long>, p0 long, p1 long, p2 long, p3 long"
 _PARITY = [f"p{k}" for k in range(4)]
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A class's shared hashes, sorted, and its index entries, rarest first."""
+    """A class's shared hashes, sorted, its index entries, rarest first, and the mean number of sets of its hashes."""
     for batch in batches:
         rows: list[tuple] = []
         for row in batch.to_pylist():
@@ -214,30 +222,31 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             length = n - -(-3 * n // 4) + 1 - others
             prefix = hashes[np.lexsort((hashes, df))[:length]]
             parity = np.packbits((np.bincount((mix(hashes) >> U64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64)
-            rows.append((row["cls"], n, others, np.sort(hashes).tobytes(), prefix.astype(np.int64).tolist(), *parity.tolist()))
+            rows.append((row["cls"], n, others, (float(df.sum()) + others) / n, np.sort(hashes).tobytes(), prefix.astype(np.int64).tolist(), *parity.tolist()))
         if rows:
             cols = list(zip(*rows, strict=True))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), *[pa.int64()] * 4)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.int64()), *[pa.int64()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in SETS.split(", ")])
 
 
+ANSWERS = "a long, b long, both long, linked boolean"
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x, y = batch.column("x"), batch.column("y")
         n = np.asarray(batch.column("an")) + np.asarray(batch.column("bn"))
-        linked = np.zeros(len(n), bool)
+        shared = np.zeros(len(n), np.int64)
         for i in range(len(n)):
-            p, q = np.frombuffer(x[i].as_buffer(), U64), np.frombuffer(y[i].as_buffer(), U64)
-            both = np.concatenate([p, q])
+            both = np.concatenate([np.frombuffer(x[i].as_buffer(), U64), np.frombuffer(y[i].as_buffer(), U64)])
             both.sort()
-            inter = int((both[1:] == both[:-1]).sum())
-            linked[i] = 100 * inter >= 75 * (int(n[i]) - inter)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], names=["a", "b", "linked"])
+            shared[i] = (both[1:] == both[:-1]).sum()
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared), pa.array(100 * shared >= 75 * (n - shared))], names=["a", "b", "both", "linked"])
 
 
-def _entry(prefix: str) -> list[Column]:
+def _entry(prefix: str, *more: str) -> list[Column]:
     """An index entry's columns under other names."""
-    return [F.col(c).alias(prefix + c) for c in ("n", "i", "others", *_PARITY)]
+    return [F.col(c).alias(prefix + c) for c in ("n", "i", "others", *_PARITY, *more)]
 
 
 def _possible(a: str, b: str) -> Column:
@@ -254,44 +263,93 @@ def _possible(a: str, b: str) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """(a, b, linked) of candidate pairs (a, b), decided on the whole sets."""
+    """(a, b, both, linked) of candidate pairs (a, b), counted on the whole sets."""
     a = sets.select(F.col("cls").alias("a"), F.col("n").alias("an"), F.col("hashes").alias("x"))
     b = sets.select(F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("hashes").alias("y"))
-    return written(pairs.join(a, "a").join(b, "b").mapInArrow(released(_verify), "a long, b long, linked boolean"), name)
+    return written(pairs.join(a, "a").join(b, "b").mapInArrow(released(_verify), ANSWERS), name)
+
+
+def _heads(index: DataFrame, rank: Column) -> DataFrame:
+    """The index with its list's head: the entry of least rank."""
+    heads = index.groupBy("hash").agg(F.min(F.struct(rank.alias("r"), F.col("cls").alias("b"), *_entry("b"))).alias("head"))
+    return index.join(heads.select("hash", "head.*").drop("r"), "hash")
 
 
-def linked_classes(sets: DataFrame) -> DataFrame:
-    """(node, root) of all classes that link with another."""
-    index = sets.select("cls", "n", F.posexplode("prefix").alias("i", "hash"), "others", *_PARITY).withColumn("i", F.col("i") + F.col("others"))
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def linked_classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of all classes that link with another, and the links (a, b, both) that show it."""
+    index = sets.select("cls", "n", F.posexplode("prefix").alias("i", "hash"), "others", "common", *_PARITY).withColumn("i", F.col("i") + F.col("others"))
     listed = written(index.groupBy("hash").agg(F.count("*").alias("k")).where("k > 1").select("hash"), "lists")
     index = written(index.join(listed, "hash"), "index")
-    tried = None
-    for order in (1, 2, 3):
-        rank = F.xxhash64("cls", F.lit(order))
-        heads = written(index.groupBy("hash").agg(F.min(F.struct(rank.alias("r"), F.col("cls").alias("b"), *_entry("b"))).alias("head")).select("hash", "head.*"), "heads")
-        pairs = index.select("hash", F.col("cls").alias("a"), *_entry("a")).join(heads, "hash").where((F.col("a") != F.col("b")) & _possible("a", "b"))
-        pairs = pairs.groupBy("a").agg(F.min(F.struct("r", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        done = verified(pairs, sets, "answers")
-        tried = done if tried is None else tried.union(done)
-    roots = components(tried.where("linked"))
-    # Lists whose entries are all of one component are skipped; so are pairs within one in the others.
-    named = index.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    # The first heads' answers, and what follows from them for each entry: the hashes shared with the head, and the others that any set shares.
+    led = written(_heads(index, F.struct(-F.col("common"), "cls")), "led")
+    able = led.where((F.col("cls") != F.col("b")) & _possible("", "b")).select(F.col("cls").alias("a"), "b").distinct()
+    first = verified(able, sets, "answers")
+    known = led.withColumnRenamed("b", "head").drop(*[c for c in led.columns if c in {f"b{x}" for x in ("n", "i", "others", *_PARITY)}])
+    known = known.join(first.select(F.col("a").alias("cls"), F.col("b").alias("head"), "both", "linked"), ["cls", "head"], "left")
+    known = known.withColumn("rest", F.col("n") - F.col("others") - F.col("both"))
+    known = written(known, "known")
+    # Second heads, another for each list, of the entries that are not of the first head's component.
+    apart = known.where(~F.coalesce("linked", F.lit(False)) & (F.col("cls") != F.col("head"))).select(*index.columns)
+    able = _heads(apart, F.xxhash64("cls", "hash")).where((F.col("cls") != F.col("b")) & _possible("", "b"))
+    seen = _ordered(first)
+    second = verified(_ordered(able.select(F.col("cls").alias("a"), "b")).join(seen, ["a", "b"], "left_anti"), sets, "answers")
+    links = first.where("linked").select("a", "b", "both").union(second.where("linked").select("a", "b", "both"))
+    roots = components(links)
+    seen = written(seen.union(_ordered(second)), "seen")
+    rest = None
+    for few in (2, None):
+        if rest is None:
+            rest = written(_ordered(_open_pairs(known, roots)).join(seen, ["a", "b"], "left_anti"), "rest")
+        else:
+            rest = _between(rest, roots).join(seen, ["a", "b"], "left_anti")
+        if rest.limit(1).count() == 0:
+            break
+        now = rest
+        if few:
+            ranked = [rest.select("a", "b", F.row_number().over(Window.partitionBy(side).orderBy(F.xxhash64("a", "b"))).alias("k")) for side in ("a", "b")]
+            now = ranked[0].where(F.col("k") <= few).union(ranked[1].where(F.col("k") <= few)).select("a", "b").distinct()
+        more = verified(now, sets, "answers")
+        seen = seen.union(more.select("a", "b"))
+        new = written(more.where("linked").select("a", "b", "both"), "links")
+        if new.limit(1).count():
+            links = links.union(new)
+            roots = components(links)
+    return roots, links
+
+
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs of different components."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}r"))
+        pairs = pairs.join(own, side, "left").withColumn(f"{side}r", F.coalesce(f"{side}r", side))
+    return pairs.where("ar <> br").select("a", "b")
+
+
+def _block(n: Column) -> Column:
+    """A size's block; a block's sizes differ by a fifteenth."""
+    return F.floor(F.log(n) / F.log(F.lit(16 / 15)) + 1e-9)
+
+
+def _open_pairs(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of entries that no answer, position, size or component rules out."""
+    named = known.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = written(named, "named")
-    mixed = written(named.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("hash"), "mixed")
-    left = named.join(mixed, "hash").withColumn("block", F.floor(F.log("n") / F.log(F.lit(4 / 3))))
-    x = left.select("hash", F.col("cls").alias("a"), *_entry("a"), F.col("root").alias("ar"), F.explode(F.array("block", F.col("block") + 1)).alias("block"))
-    y = left.select("hash", F.col("cls").alias("b"), *_entry("b"), F.col("root").alias("br"), "block")
+    lists = named.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least"), F.max(F.when(F.col("rest") > 0, 1).otherwise(F.col("rest").isNull().cast("int"))).alias("loose"))
+    left = named.join(lists.where("lo <> hi").drop("lo", "hi"), "hash")
+    # Sizes of sets that entry can still link with: by its position, and by its head's answer unless both have other hashes.
+    by_place = F.floor((F.col("n") * 4 - F.col("i") * 7) / 3)
+    by_head = F.when(F.col("both").isNotNull() & ((F.col("rest") == 0) | (F.col("loose") == 0)), F.floor(F.col("both") * 7 / 3) - F.col("n"))
+    left = left.withColumn("most", F.least(F.floor(F.col("n") * 4 / 3), by_place, by_head)).where("most >= least")
+    small = left.where("most >= n").select("hash", F.col("cls").alias("a"), *_entry("a", "both", "rest"), F.col("root").alias("ar"), F.explode(F.sequence(_block(F.col("n")), _block(F.col("most")))).alias("block"), F.col("most").alias("amost"))
+    large = left.select("hash", F.col("cls").alias("b"), *_entry("b", "both", "rest"), F.col("root").alias("br"), _block(F.col("n")).alias("block"))
     smaller = (F.col("an") < F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))
-    rest = x.join(y, ["hash", "block"]).where((F.col("ar") != F.col("br")) & smaller & _possible("a", "b"))
-    rest = rest.select("a", "b").distinct()
-    seen = tried.select("a", "b").union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    last = verified(rest.join(seen, ["a", "b"], "left_anti"), sets, "answers")
-    links = tried.where("linked").select("a", "b").union(last.where("linked").select("a", "b"))
-    if last.where("linked").limit(1).count() == 0:
-        return roots
-    return components(links)
+    derived = F.coalesce((F.least("aboth", "bboth") + F.least("arest", "brest")) * 7 >= (F.col("an") + F.col("bn")) * 3, F.lit(True))
+    by_answers = F.col("aboth").isNull() | F.col("bboth").isNull() | derived
+    return small.join(large, ["hash", "block"]).where((F.col("ar") != F.col("br")) & smaller & (F.col("bn") <= F.col("amost")) & by_answers & _possible("a", "b")).select("a", "b")
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -303,7 +361,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = counted.where("doc_id is not null").select("doc_id", "cls", "n")
     parts = counted.where("doc_id is null").groupBy("cls").agg(F.first("n").alias("n"), F.sum("k").alias("k"), F.collect_list(F.struct("shard", "hashes", "df")).alias("parts"))
     sets = written(parts.where(F.col("k") >= _least(F.col("n"))).select("cls", "n", "parts").mapInArrow(released(_assemble), SETS), "sets")
-    roots = linked_classes(sets)
+    roots, _ = linked_classes(sets)
     groups = members.where("n > 0").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("g"))
     groups = written(groups, "groups")
     least = written(groups.where(F.col("doc_id") != NO_ID).groupBy("g").agg(F.min("doc_id").alias("component_id")), "least")

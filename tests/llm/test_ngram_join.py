@@ -59,6 +59,47 @@ def test_chain_beyond_the_threshold(frame):
     assert sorted(str(tuple(r)) for r in got.collect()) == brute(rows)
 
 
+def edited(n, seed=5):
+    rng, base = random.Random(seed), [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(2):
+            own[rng.randrange(60)] = f"n{rng.randrange(40)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_answers_grow_with_the_group(frame, monkeypatch):
+    """Of a group of near copies, each set is verified against a few others, not against all."""
+    counts, verified = [], ngramjoin.verified
+
+    def counted(pairs, sets, name):
+        counts[-1] += (found := verified(pairs, sets, name)).count()
+        return found
+
+    monkeypatch.setattr(ngramjoin, "verified", counted)
+    for n in (300, 600):
+        counts.append(0)
+        rows = edited(n)
+        got = ngramjoin.join_components(frame(rows))
+        assert sorted(str(tuple(r)) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute(rows)
+    assert counts[0] <= 300 and counts[1] <= 600
+
+
+def test_hot_head(frame):
+    """A group around one text: links come from it, few other pairs are opened."""
+    rng, base = random.Random(3), [f"w{k}" for k in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):
+        own = list(base)
+        for _ in range(rng.randrange(1, 12)):
+            own[rng.randrange(150)] = f"n{rng.randrange(400)}"
+        rows.append((i, " ".join(own)))
+    got = ngramjoin.join_components(frame(rows))
+    assert sorted(str(tuple(r)) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute(rows)
+
+
 def test_empty(frame):
     assert ngramjoin.join_components(frame([])).collect() == []
 

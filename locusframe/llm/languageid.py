@@ -5,11 +5,16 @@ probability is the sum over all its segmentations into pieces, by the forward al
 a text's is the product over its words (runs of letters in lower case, each behind the
 vocabulary's word mark). The models are fitted by expectation maximisation (forward and
 backward over all segmentations) on about ``TRAIN_DOCS`` labelled texts a language, taken
-by a hash of the id. Bytes without a piece have a small fixed probability; words over
-``MOST_BYTES`` bytes are scored in parts of that length.
+by a hash of the id. Bytes without a piece have a small fixed probability. A word of over
+``SHORT`` bytes is first parted wherever no piece of the vocabulary crosses, which changes
+no sum, and what is still longer is summed in scaled arithmetic, byte by byte: neither
+words nor pieces have a greatest length.
 
 The result is the language of highest posterior, with that posterior as score.
 
+Very long texts: memory follows the chunk and the longest single text; a word that can't
+be parted takes some microseconds a byte.
+
 Nulls and texts without a letter: ``und`` with score 0. Rows with null lang or null id
 are never learned from; a null id counts as held out. Without a labelled row, all is
 ``und``. Repeated rows are scored alike. Other columns are ignored.
@@ -29,14 +34,14 @@ from .common import BYTE_VALUES, LETTER, U64, chunks, distinct, lowered, mix, pr
 
 TRAIN_DOCS = 1500
 ROUNDS = 4
-MOST_BYTES = 40
-MOST_PIECE = 14
+#: Up to so many bytes, and the mark, products of probabilities stay within a double's range.
+SHORT = 32
 MARK = 1  # stands for the vocabulary's word mark
 UNKNOWN = 1e-8
 SMOOTH = 0.02
 CHUNK = 2 << 20
 #: Values of a string's bytes by place, so that equal strings have equal sums.
-_PLACES = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(64)], U64)
+_PLACES = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(256)], U64)
 
 
 class Pieces:
@@ -44,6 +49,7 @@ class Pieces:
 
     def __init__(self, pieces: list[bytes]) -> None:
         self.n = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
         data = [np.frombuffer(p, np.uint8) for p in pieces]
         self.hash = np.array([mix(np.array([(BYTE_VALUES[d] * _PLACES[: len(d)]).sum(dtype=U64)]))[0] for d in data] + [0], U64)
         self.tables = []
@@ -71,7 +77,7 @@ class Pieces:
 
 
 def load_pieces(model_path: str) -> list[bytes]:
-    """The vocabulary's pieces of at most MOST_PIECE bytes, in lower case letters only as they stand."""
+    """The vocabulary's pieces, as they stand."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
@@ -79,7 +85,7 @@ def load_pieces(model_path: str) -> list[bytes]:
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             piece = sp.id_to_piece(i).replace("▁", chr(MARK)).encode()
-            if len(piece) <= MOST_PIECE and piece != bytes([MARK]):
+            if piece != bytes([MARK]):
                 out.append(piece)
     return sorted(set(out))
 
@@ -90,7 +96,7 @@ def lattice(words: np.ndarray, pieces: Pieces) -> list[list[np.ndarray]]:
     width = words.shape[1]
     for end in range(1, width + 1):
         row = []
-        values = BYTE_VALUES[words[:, max(0, end - MOST_PIECE) : end]]
+        values = BYTE_VALUES[words[:, max(0, end - pieces.longest) : end]]
         have = values.shape[1]
         for k in range(1, have + 1):
             row.append(pieces.find((values[:, have - k :] * _PLACES[:k]).sum(1, dtype=U64)))
@@ -136,21 +142,82 @@ def expected(words: np.ndarray, weights: np.ndarray, pieces: Pieces, theta: np.n
     return counts[:-1]
 
 
+def _occurrences(word: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Piece numbers [end - 1, length - 1] of one string of bytes; no piece where it would start before the string."""
+    n, values = len(word), BYTE_VALUES[word]
+    out = np.full((n, min(pieces.longest, n)), pieces.n, np.int32)
+    for k in range(1, out.shape[1] + 1):
+        sums = np.zeros(n - k + 1, U64)
+        for j in range(k):
+            sums += values[j : j + n - k + 1] * _PLACES[j]
+        out[k - 1 :, k - 1] = pieces.find(sums)
+    return out
+
+
+def parted(word: np.ndarray, pieces: Pieces) -> list[np.ndarray]:
+    """A string's parts between places that no piece crosses: its probability is the product of theirs."""
+    ends, lengths = np.nonzero(_occurrences(word, pieces) < pieces.n)
+    ends, starts = ends + 1, ends - lengths
+    crossed = np.zeros(len(word) + 2, np.int64)
+    np.add.at(crossed, starts + 1, 1)
+    np.add.at(crossed, ends, -1)
+    cuts = np.flatnonzero(np.cumsum(crossed[: len(word)])[1:] == 0) + 1
+    return np.split(word, cuts)
+
+
+def _scaled(ids: np.ndarray, table: np.ndarray, back: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Forward (or backward) sums of one string, for every place between its bytes: values and their log scales."""
+    n, most = ids.shape
+    value, scale = np.zeros((n + 1, table.shape[1])), np.zeros(n + 1)
+    value[n if back else 0] = 1.0
+    for at in range(n - 1, -1, -1) if back else range(1, n + 1):
+        k = min(most, n - at) if back else min(most, at)
+        own = ids[at + np.arange(k), np.arange(k)] if back else ids[at - 1, :k]
+        near = slice(at + 1, at + 1 + k) if back else slice(at - k, at)
+        p = table[own]
+        p[0] = np.maximum(p[0], UNKNOWN)
+        v, s = (value[near], scale[near]) if back else (value[near][::-1], scale[near][::-1])
+        met = p.max(1) > 0
+        top = s[met].max()
+        total = (v[met] * p[met] * np.exp(s[met] - top)[:, None]).sum(0)
+        most_now = total.max()
+        value[at], scale[at] = total / most_now, top + np.log(most_now)
+    return value, scale
+
+
+def log_forward_long(word: np.ndarray, pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    """Log probability of one string of any length under every language."""
+    value, scale = _scaled(_occurrences(word, pieces), table)
+    return np.log(np.maximum(value[-1], 1e-300)) + scale[-1]
+
+
+def expected_long(word: np.ndarray, weight: float, pieces: Pieces, theta: np.ndarray) -> np.ndarray:
+    """expected() of one string of any length."""
+    table, ids = np.append(theta, 0.0)[:, None], _occurrences(word, pieces)
+    (a, sa), (b, sb) = _scaled(ids, table), _scaled(ids, table, back=True)
+    counts = np.zeros(len(theta) + 1)
+    for k in range(1, ids.shape[1] + 1):
+        own = ids[k - 1 :, k - 1]
+        p = table[own, 0]
+        p = np.maximum(p, UNKNOWN) if k == 1 else p
+        ends = np.arange(k, len(word) + 1)
+        counts += np.bincount(own, a[ends - k, 0] * p * b[ends, 0] * np.exp(sa[ends - k] + sb[ends] - sa[-1]) * weight / a[-1, 0], len(counts))
+    return counts[:-1]
+
+
 def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and rows of the letter runs, cut at MOST_BYTES."""
+    """Starts, ends and rows of the letter runs."""
     s, e = spans_of(LETTER[raw], offsets)
-    if len(s) and (e - s).max() > MOST_BYTES:
-        parts = -(-(e - s) // MOST_BYTES)
-        first = np.cumsum(parts) - parts
-        cut = (np.arange(parts.sum()) - np.repeat(first, parts)) * MOST_BYTES
-        s, e = np.repeat(s, parts) + cut, np.repeat(e, parts)
-        e = np.minimum(e, s + MOST_BYTES)
     return s, e, np.searchsorted(offsets, s, "right") - 1
 
 
+def _marked(raw: np.ndarray, s: int, n: int) -> np.ndarray:
+    return np.concatenate([np.array([MARK], np.uint8), raw[s : s + n]])
+
+
 def _by_length(raw: np.ndarray, s: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Indices and byte rows (mark first) of words of one length."""
-    for width in np.unique(n).tolist():
+    """Indices and byte rows (mark first) of words of one length, up to ``SHORT`` bytes."""
+    for width in np.unique(n[n <= SHORT]).tolist():
         own = np.flatnonzero(n == width)
         rows = np.empty((len(own), width + 1), np.uint8)
         rows[:, 0] = MARK
@@ -159,6 +226,27 @@ def _by_length(raw: np.ndarray, s: np.ndarray, n: np.ndarray) -> Iterator[tuple[
             yield own[a : a + 20_000], rows[a : a + 20_000]
 
 
+def _long_parts(raw: np.ndarray, s: np.ndarray, n: np.ndarray, pieces: Pieces) -> Iterator[tuple[bytes, list[int]]]:
+    """The distinct parts of words of over ``SHORT`` bytes, and the words that have each (as often as they do)."""
+    parts: dict[bytes, list[int]] = {}
+    for i in np.flatnonzero(n > SHORT).tolist():
+        for part in parted(_marked(raw, int(s[i]), int(n[i])), pieces):
+            parts.setdefault(part.tobytes(), []).append(i)
+    yield from parts.items()
+
+
+def log_words(raw: np.ndarray, s: np.ndarray, n: np.ndarray, pieces: Pieces, table: np.ndarray) -> np.ndarray:
+    """Log probability of every word (start and length in raw) under every language."""
+    out = np.zeros((len(s), table.shape[1]))
+    for own, words in _by_length(raw, s, n):
+        out[own] = np.log(forward(words, pieces, table))
+    for part, owners in _long_parts(raw, s, n, pieces):
+        bytes_ = np.frombuffer(part, np.uint8)
+        logp = np.log(forward(bytes_[None], pieces, table))[0] if len(bytes_) <= SHORT else log_forward_long(bytes_, pieces, table)
+        np.add.at(out, np.array(owners), logp)
+    return out
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist())
@@ -195,11 +283,13 @@ def fit(docs: DataFrame, model_path: str, id_col: str, text_col: str, lang_col:
         n = pdf["word"].map(len).to_numpy()
         raw = np.frombuffer(b"".join(pdf["word"]), np.uint8)
         s, weight = np.cumsum(n) - n, pdf["n"].to_numpy(float)
-        theta = np.full(len(data), 1.0 / len(data))
+        theta, long = np.full(len(data), 1.0 / len(data)), list(_long_parts(raw, s, n, pieces))
         for _ in range(ROUNDS):
             got = np.zeros(len(data))
             for own, words in _by_length(raw, s, n):
                 got += expected(words, weight[own], pieces, theta)
+            for part, owners in long:
+                got += expected_long(np.frombuffer(part, np.uint8), weight[owners].sum(), pieces, theta)
             theta = (got + SMOOTH) / (got.sum() + SMOOTH * len(got))
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "theta": [theta.tobytes()]})
 
@@ -230,9 +320,7 @@ def identify(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
                 ascii_letter = np.zeros(b - a, bool)
                 if len(s) and len(langs):
                     keys, index, inverse = distinct(span_hashes(prefix_hashes(BYTE_VALUES[low]), s, e))
-                    logp = np.empty((len(keys), len(langs)))
-                    for own, words in _by_length(low, s[index], (e - s)[index]):
-                        logp[own] = np.log(forward(words, pieces, table))
+                    logp = log_words(low, s[index], (e - s)[index], pieces, table)
                     for k in range(len(langs)):
                         total[:, k] += np.bincount(row, logp[inverse, k], b - a)
                 at = np.flatnonzero((low >= 97) & (low <= 122))

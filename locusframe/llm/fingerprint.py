@@ -2,7 +2,7 @@
 
 A text's paragraphs are its lines. A paragraph's leaves are its sentences, longer ones
 cut every ``LEAF_CHARS`` code points, so cuts fall in step again after the next sentence
-end. A paragraph's digest is the SHA-256 of its leaves' digests; sections are runs of
+end; a blank paragraph has one leaf, that of the empty string. A paragraph's digest is the SHA-256 of its leaves' digests; sections are runs of
 paragraphs that end after a paragraph whose digest starts with 0 or 1 (or with the
 text); a section's digest is that of its paragraphs' digests, the root that of the
 sections. The fingerprint writes the tree: ``root=section(paragraph:leaf.leaf,...);...``
@@ -15,6 +15,9 @@ Likeness of two fingerprints: twice the leaves they share over the leaves of bot
 Scale: the text is shuffled once, for the next document's text. Ids are dealt into
 ranges by approximate quantiles; every range gets a copy of the row that follows it.
 
+Very long texts: every step is linear in a text's length, and no pattern repeats a group,
+so a million blank or equal lines are as safe as one.
+
 Nulls: a null text is empty; null ids come last in descending order. Repeated ids are
 ordered by their texts. In a table of one row, the next document is the row itself.
 """
@@ -36,7 +39,8 @@ _LOWEST = -(1 << 63)
 
 def _leaves(text: Column) -> Column:
     """Paragraphs as arrays of full leaf digests."""
-    return F.transform(F.split(text, "\n", -1), lambda p: F.transform(F.regexp_extract_all(p, F.lit(f"({_LEAF})"), F.lit(1)), lambda s: F.sha2(s, 256)))
+    parts = lambda p: F.when(p == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all(p, F.lit(f"({_LEAF})"), F.lit(1)))
+    return F.transform(F.split(text, "\n", -1), lambda p: F.transform(parts(p), lambda s: F.sha2(s, 256)))
 
 
 def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -45,8 +49,10 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str) -> DataFrame:
     df = df.withColumn(tree, _leaves(F.col(text_col)))
     short = lambda p: F.array_join(F.transform(p, lambda x: F.substring(x, 1, 8)), ".")
     # A paragraph as "digest:leaf.leaf", and after it a comma; the digest in full until the sections are made.
-    df = df.withColumn(paras, F.concat(F.array_join(F.transform(tree, lambda p: F.concat(F.sha2(F.array_join(p, ""), 256), F.lit(":"), short(p))), ","), F.lit(",")))
-    df = df.withColumn(sections, F.regexp_extract_all(paras, F.lit(r"((?:[2-9a-f][^,]*,)*[01][^,]*,|(?:[2-9a-f][^,]*,)+)"), F.lit(1)))
+    # A mark follows those whose digest ends a section, and the text is split there.
+    ending = lambda p: F.concat(p, F.when(p.rlike("^[01]"), F.lit(",;")).otherwise(F.lit(",")))
+    df = df.withColumn(paras, F.array_join(F.transform(tree, lambda p: ending(F.concat(F.sha2(F.array_join(p, ""), 256), F.lit(":"), short(p)))), ""))
+    df = df.withColumn(sections, F.split(F.rtrim(F.col(paras), F.lit(";")), ";", -1))
     digest = lambda s: F.sha2(F.regexp_replace(s, r":[^,]*,", ""), 256)
     brief = lambda s: F.rtrim(F.regexp_replace(s, r"([0-9a-f]{8})[0-9a-f]{56}:([^,]*)", "$1:$2"), F.lit(","))
     df = df.withColumn(sections, F.transform(sections, lambda s: F.struct(digest(s).alias("d"), brief(s).alias("b"))))
@@ -79,7 +85,7 @@ def with_next(df: DataFrame, id_col: str, order: list[str], carry: list[str], ra
     targets = F.when(F.col("__k").isin(*heads.values()), F.array(F.struct(F.lit(0).alias("copy"), F.col("__p").alias("at")), F.struct(F.lit(1).alias("copy"), F.element_at(F.create_map(*[F.lit(x) for p in used for x in (p, above[p])]), F.col("__p")).alias("at")))) if used else F.lit(None)
     alone = F.array(F.struct(F.lit(0).alias("copy"), F.col("__p").alias("at")))
     dealt = df.withColumn("__k", key).withColumn("__p", place).withColumn("__x", F.explode(F.coalesce(targets, alone) if used else alone))
-    w = W.partitionBy("__x.at").orderBy(F.col("__x.copy"), F.col("__k").desc(), *order)
+    w = W.partitionBy("__x.at").orderBy(F.col("__x.copy"), F.col(id_col).desc_nulls_last(), *order)
     led = dealt.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carry])
     return led.where(F.col("__x.copy") == 0).drop("__k", "__p", "__x")
 
@@ -101,7 +107,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _duck(text: str, name: str, source: str) -> str:
     """DuckDB steps that give ``source`` with the fingerprint of a text column."""
     return rf"""
-{name}1 AS (SELECT *, list_transform(string_split({text}, chr(10)), lambda p: list_transform(regexp_extract_all(p, '({_LEAF})', 1), lambda s: sha256(s))) AS tree FROM {source}),
+{name}1 AS (SELECT *, list_transform(string_split({text}, chr(10)), lambda p: list_transform(CASE WHEN p = '' THEN [''] ELSE regexp_extract_all(p, '({_LEAF})', 1) END, lambda s: sha256(s))) AS tree FROM {source}),
 {name}2 AS (SELECT * EXCLUDE (tree), concat(array_to_string(list_transform(tree, lambda p: concat(sha256(coalesce(array_to_string(p, ''), '')), ':', coalesce(array_to_string(list_transform(p, lambda x: substr(x, 1, 8)), '.'), ''))), ','), ',') AS paras FROM {name}1),
 {name}3 AS (SELECT * EXCLUDE (paras), list_transform(regexp_extract_all(paras, '((?:[2-9a-f][^,]*,)*[01][^,]*,|(?:[2-9a-f][^,]*,)+)', 1), lambda s: {{'d': sha256(regexp_replace(s, ':[^,]*,', '', 'g')), 'b': rtrim(regexp_replace(s, '([0-9a-f]{{8}})[0-9a-f]{{56}}:([^,]*)', '\1:\2', 'g'), ',')}}) AS sections FROM {name}2),
 {name} AS (SELECT * EXCLUDE (sections), concat(sha256(array_to_string(list_transform(sections, lambda s: s.d), '')), '=', array_to_string(list_transform(sections, lambda s: concat(substr(s.d, 1, 8), '(', s.b, ')')), ';')) AS {name}_print FROM {name}3)"""

@@ -32,5 +32,30 @@ def test_tree(frame):
     assert r["edited_text"] == "A b.\nA b."
 
 
+def test_many_lines(frame):
+    """Long runs of blank or equal lines: the tree is as by hand, and blank lines count in the likeness."""
+    texts = ["\n" * 500, "\n" * 1_000_000, "same line\n" * 1_000_000, "a.\n" * 3 + "\n" * 5000 + "z"]
+    got = {r["doc_id"]: r for r in f.fingerprints(frame(list(enumerate(texts)))).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for i, text in enumerate(texts):
+        own = [sha(sha(p)) for p in text.split("\n")] if len(text) < 20_000 else []
+        sections, at = [], []
+        for p, d in enumerate(own):
+            at.append(d)
+            if d[0] in "01" or p + 1 == len(own):
+                sections.append(sha("".join(at)))
+                at = []
+        if own:
+            assert got[i]["fingerprint"].split("=")[0] == sha("".join(sections))
+        assert len(got[i]["fingerprint"]) > 64 and got[i]["n_chars"] == len(text)
+    assert 0 < got[0]["near_edited"] < 1 and 0 < got[3]["near_edited"] < 1
+
+
+def test_least_id_and_null(frame):
+    """A null id comes after the least one."""
+    got = f.fingerprints(frame([(None, "null"), (-(1 << 63), "least"), (4, "four")])).collect()
+    assert {r["text"]: r["edited_text"] for r in got} == {"four": "fole", "least": "leanu", "null": "nufo"}
+
+
 def test_empty(frame):
     assert f.fingerprints(frame([])).collect() == []

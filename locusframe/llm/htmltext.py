@@ -1,19 +1,25 @@
 """Operator 3: main text of web pages by the maximum-scoring subsequence.
 
-A page is a sequence of words and tags. A word's weight is the log odds that a word of
-its place (the innermost container with its class, and whether a container around it is
-of a known kind of boilerplate) is content, counted on labelled pages: at most
-``SAMPLE`` pages, by a hash of their text, that mark their content with exactly one
-article or main element. Tags weigh ``TAG``. One scan finds the contiguous region of
-greatest sum. In it, words of negative weight (menus, adverts, comments and so on inside
-the article) are left out.
+A page is a sequence of words and tags, whose weights are counted on labelled pages:
+about ``SAMPLE`` pages, by a hash of their text, that mark their content with exactly one
+article or main element. A word's weight is the log odds that a word of its place (the
+innermost container with its class) is content; a tag's is the log of the share of its
+occurrences in its place that are in content, so it is never positive. Places, and tags in
+places, that no labelled page has get the weights of ``PRIOR_*``. One scan finds the contiguous region of greatest
+sum, and words of negative weight in it are left out.
+
+What the marks can't teach is a prior: containers whose element or name is known for
+boilerplate (menus, adverts, comments and so on) count as not content for the labels, at
+whatever depth; inside marked content they neither add to the region nor part it.
 
 Text: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by a line feed. br counts as white space; comments,
-scripts and styles have no words.
+scripts, styles and the text of controls have no words.
 
 Nulls and empty pages give the empty text; so do pages without a word of positive
-weight. Repeated rows are read each on its own; other columns are ignored.
+weight. Very long pages: one pass over the page, memory in proportion to the longest.
+Unclosed elements end with the element around them. Repeated rows are read each on its
+own; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,13 +37,16 @@ from pyspark.sql import functions as F
 from .common import released
 
 SAMPLE = 400
-TAG = -0.2
-MOST_PLACES = 20_000
+#: Weights of what no labelled page has: a word's, a word's in known boilerplate, a tag's.
+PRIOR_WORD, PRIOR_BAD, PRIOR_TAG = 0.5, -2.0, math.log(0.8)
+LEAST, MOST = -3.0, 3.0
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
-CLASS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_VALUE = r"=\s*(?>\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?"
+TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][\w:-]*)((?>[^>\"'=]+|{_VALUE}|[\"'])*+)>|[^<]+|<", re.DOTALL)
+CLASS = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 #: Elements by their part in HTML, and names that mark boilerplate.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "option", "button"}
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
+SILENT = set("noscript template svg math select datalist optgroup option button object canvas audio video".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 LEAVES = set("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption".split())
@@ -56,13 +65,18 @@ def pieces(page: str) -> Iterator[tuple[str, str, bool, str]]:
         if m[2]:
             name = m[2].lower()
             yield "tag", name, bool(m[1]), m[3]
-            if name in RAW and not m[1] and not m[3].rstrip().endswith("/"):
+            if name in RAW and not m[1] and not _closed(m[3]):
                 end = re.compile(rf"</{name}\b", re.IGNORECASE).search(page, at)
                 at = end.start() if end else n
         elif not m[0].startswith(("<!", "<?")):
             yield "text", m[0], False, ""
 
 
+def _closed(attributes: str) -> bool:
+    """Whether a tag ends itself: a slash that is no part of an unquoted value."""
+    return bool(re.search(r"(?:^|[\s\"'])/\s*$", attributes))
+
+
 def _names(attributes: str) -> list[str]:
     found = " ".join(next(g for g in m.groups() if g is not None) for m in CLASS.finditer(attributes)).lower()
     return found.split()
@@ -74,19 +88,25 @@ def _boilerplate(tag: str, names: list[str], inside_content: bool) -> bool:
     return any(part in BOILERPLATE_NAMES for n in names for part in re.split(r"[-_:]", n))
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
-    """("text", place, labelled content, text), or ("tag", name, breaks a block, "")."""
-    stack: list[tuple[str, str, bool, bool]] = []
+def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """("text", place, labelled content, text), or ("tag", place and name, labelled content, what it puts into the text).
+
+    A place starts with ! in known boilerplate, with ? if that is inside marked content.
+    A tag puts a space (br), a line feed (the end of a block) or nothing.
+    """
+    stack: list[tuple[str, str, bool, bool, bool]] = []
     for kind, what, closing, attributes in pieces(page):
+        _, name, content, bad, silent = stack[-1] if stack else ("", "", False, False, False)
+        place = ("" if not bad else "?" if content else "!") + name
         if kind == "text":
-            top = stack[-1] if stack else ("", "", False, False)
-            yield "text", ("" if not top[3] else "?" if top[2] else "!") + top[1], top[2], what
+            if not silent:
+                yield "text", place, content and not bad, what
             continue
+        puts = " " if what == "br" else "" if what in INLINE or what in RAW or what in SILENT else "\n"
+        yield "tag", f"{place} {what}", content and not bad, puts
         if what in INLINE:
-            yield "tag", what, False, " " if what == "br" else ""
             continue
-        yield "tag", what, True, ""
-        if what in VOID or attributes.rstrip().endswith("/"):
+        if what in VOID or _closed(attributes):
             continue
         if closing:
             for i in range(len(stack) - 1, -1, -1):
@@ -94,55 +114,66 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     del stack[i:]
                     break
         elif what not in LEAVES and what not in RAW:
+            if what in ("option", "optgroup") and stack and stack[-1][0] == "option":
+                stack.pop()
             names = _names(attributes)
-            content = bool(stack and stack[-1][2]) or what in ("article", "main")
-            bad = bool(stack and stack[-1][3]) or _boilerplate(what, names, content)
-            stack.append((what, ".".join([what, *sorted(names)[:3]]), content, bad))
+            inside = content or what in ("article", "main")
+            stack.append((what, ".".join([what, *sorted(names)[:3]]), inside, bad or _boilerplate(what, names, inside), silent or what in SILENT))
 
 
 def labelled(page: str) -> Counter | None:
-    """Words of each (place, content) of a page that marks its content once."""
+    """Words and tags by (kind, place or name, content) of a page that marks its content once."""
     if len(re.findall(r"<(?:article|main)\b", page, re.IGNORECASE)) != 1:
         return None
     out: Counter = Counter()
-    for kind, place, content, text in tokens(page):
-        if kind == "text":
-            out[place, content and place[:1] not in ("!", "?")] += len(text.split())
+    for kind, what, content, text in tokens(page):
+        out[kind, what, content] += len(text.split()) if kind == "text" else 1
     return out
 
 
-def weight(place: str, weights: dict[str, float]) -> float:
-    """Boilerplate inside marked content (?) is left out anyway, so it hardly parts the region."""
-    if place.startswith("?"):
-        return TAG
-    known = weights.get(place)
-    if known is None:
-        known = 0.5
-    return min(known, -2.0) if place.startswith("!") else known
+Weights = dict[tuple[str, str], float]
 
 
-def main_text(page: str | None, weights: dict[str, float]) -> str:
-    if not page:
-        return ""
-    sequence = list(tokens(page))
+def weight(kind: str, what: str, weights: Weights) -> float:
+    if what.startswith("?"):
+        return 0.0
+    if kind == "tag":
+        return weights.get((kind, what), PRIOR_TAG)
+    return weights.get((kind, what), PRIOR_BAD if what.startswith("!") else PRIOR_WORD)
+
+
+def learned(kind: str, yes: int, no: int) -> float:
+    """A word's log odds, a tag's log share, each counted as seen once more either way."""
+    return max(LEAST, min(MOST, math.log((yes + 1) / (no + 1)) if kind == "text" else math.log((yes + 1) / (yes + no + 2))))
+
+
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """The contiguous run of greatest sum, the first and shortest of equal ones; empty if none is positive."""
     best, start, end = 0.0, 0, 0
     total, first = 0.0, 0
-    for i, (kind, what, _, text) in enumerate(sequence):
-        total += weight(what, weights) * len(text.split()) if kind == "text" else TAG
+    for i, x in enumerate(scores):
+        total += x
         if total <= 0:
             total, first = 0.0, i + 1
         elif total > best:
             best, start, end = total, first, i + 1
-    blocks: list[list[str]] = [[]]
-    for kind, what, breaks, text in sequence[start:end]:
+    return start, end
+
+
+def main_text(page: str | None, weights: Weights) -> str:
+    if not page:
+        return ""
+    sequence = list(tokens(page))
+    of = {(kind, what): weight(kind, what, weights) for kind, what, _, _ in sequence}
+    start, end = best_region([of[kind, what] * (len(text.split()) if kind == "text" else 1) for kind, what, _, text in sequence])
+    parts = []
+    for kind, what, _, text in sequence[start:end]:
         if kind == "tag":
-            if breaks:
-                blocks.append([])
-            elif text:
-                blocks[-1].append(text)
-        elif weight(what, weights) > 0:
-            blocks[-1].append(html.unescape(text))
-    found = (" ".join("".join(b).split()) for b in blocks)
+            parts.append(text)
+        elif of[kind, what] > 0:
+            # Line feeds of the page are white space; those of tags end a block.
+            parts.append(html.unescape(text).replace("\n", " "))
+    found = (" ".join(b.split()) for b in "".join(parts).split("\n"))
     return "\n".join(b for b in found if b)
 
 
@@ -151,17 +182,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for page in batch.column(0).to_pylist():
             total.update(labelled(page) or {})
-        places = sorted({p for p, _ in total})
-        yield pa.RecordBatch.from_arrays([pa.array(places, pa.string()), pa.array([total[p, True] for p in places], pa.int64()), pa.array([total[p, False] for p in places], pa.int64())], names=["place", "yes", "no"])
-
-
-def fit(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
-    """Weights of the places that labelled pages have."""
-    marked = F.col("html").rlike(r"(?i)<(article|main)\b")
-    sample = pages.select(F.col(html_col).cast("string").alias("html")).where(marked).orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
-    counts = sample.mapInArrow(released(_count), "place string, yes long, no long").groupBy("place").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    rows = counts.orderBy((F.col("yes") + F.col("no")).desc(), "place").limit(MOST_PLACES).collect()
-    return {r["place"]: max(-3.0, min(3.0, math.log((r["yes"] + 1) / (r["no"] + 1)))) for r in rows}
+        keys = sorted({x[:2] for x in total})
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in keys], pa.string()), pa.array([w for _, w in keys], pa.string()), *[pa.array([total[k, w, y] for k, w in keys], pa.int64()) for y in (True, False)]], names=["kind", "what", "yes", "no"])
+
+
+def fit(pages: DataFrame, html_col: str = "html") -> Weights:
+    """Weights of the places and tags that the sampled labelled pages have."""
+    marked = pages.select(F.col(html_col).cast("string").alias("html")).where(F.col("html").rlike(r"(?i)<(article|main)\b"))
+    n = marked.count()
+    # Copies are drawn together and count once, so the sample's size doesn't depend on them.
+    drawn = marked.where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < min(1.0, SAMPLE / max(n, 1)) * (1 << 30)).distinct()
+    counts = drawn.mapInArrow(released(_count), "kind string, what string, yes long, no long").groupBy("kind", "what").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    return {(r["kind"], r["what"]): learned(r["kind"], r["yes"], r["no"]) for r in counts.collect()}
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

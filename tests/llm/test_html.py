@@ -1,3 +1,5 @@
+import random
+
 from locusframe.llm import htmltext as h
 
 SCHEMA = "page_id long, url string, html string, text string, place string, id string"
@@ -22,5 +24,39 @@ def test_extract(spark):
     assert text[12] == f"Head & line\n{words}\nmore 2" and len(text[6].split()) == 80_003
 
 
+def test_tokens():
+    """Quotes in unquoted values, unclosed and silent elements, quotes around >."""
+    text = lambda p: h.main_text(p, {})
+    assert text("<p><a title=it's href=x>one</a> two") == "one two"
+    assert text("<datalist><option value=a>no</datalist><p>rest of it</p>") == "rest of it"
+    assert text("<select><option>a<option>b</select><p>after</p>") == "after"
+    assert text('<p title="a > b">x</p><p data-u=a/b/>y</p><p title=\'">\'>z</p>') == "x\ny\nz"
+    assert text("<p>a<script>if (x < 1) '</p>'</script>b\n c</p><style>p{}") == "ab c"
+    assert text("<p>1 < 2 &amp;&lt; <3</p>") == "1 < 2 &< <3"
+    assert text("<article><p>kept so far</p><ul><li><a href=/x>two words</a><li><a href=/y>two more</a></ul></article>") == "kept so far\ntwo words\ntwo more"
+    assert text("<article><p>kept as it is</p><div class=comments><p>not kept</p></div><p>kept too</p></article>") == "kept as it is\nkept too"
+    assert text('<a b="' * 2000 + "x") is not None
+
+
+def test_region_is_the_best():
+    rng = random.Random(1)
+    for _ in range(200):
+        scores = [rng.choice((-2.0, -1.0, -0.5, 1.0, 2.0)) for _ in range(rng.randrange(25))]
+        start, end = h.best_region(scores)
+        sums = [sum(scores[a:b]) for a in range(len(scores)) for b in range(a, len(scores) + 1)]
+        assert sum(scores[start:end]) == max([0.0, *sums])
+
+
+def test_learned_weights(spark):
+    """Places and tags outside the marked content turn negative, and no tag is positive."""
+    rows = [(i, "u", f"<body><div class=xq{i % 2}><em>left out {i}</em></div><article><p>some words {i} here</p></article><table><td>cell</table></body>", "t", "p", "i") for i in range(40)]
+    weights = h.fit(spark.createDataFrame(rows, SCHEMA))
+    assert weights["text", "article"] > 0 > max(weights["text", "div.xq0"], weights["text", "table"])
+    tags = {w: x for (k, w), x in weights.items() if k == "tag"}
+    assert all(x < 0 for x in tags.values()) and tags["article p"] > tags["table td"] == tags["div.xq0 em"]
+    # The same places without the marks.
+    assert h.main_text("<body><div class=xq1>no words here</div><section><p>yes these</p></section><table><td>nor this</table></body>", weights) == "yes these"
+
+
 def test_empty(spark):
     assert h.extract(spark.createDataFrame([], SCHEMA)).collect() == []

@@ -4,15 +4,19 @@ The base kinds are three patterns (leftmost, non-overlapping within a kind). The
 matches are labelled credentials: of each kind the ``SAMPLE`` distinct values of least
 hash, over all texts, go into a prefix tree, whose states are merged while they are
 statistically compatible (ALERGIA: red and blue states, Hoeffding bound at ``ALPHA``)
-into a probabilistic automaton. Every other candidate (a run of 16 or more credential
-characters with a digit that meets no base match) is scored by its log likelihood per
-character under the best automaton, less that under a character-pair model of the
-sampled candidates that are not credentials. It is a span of kind ``format`` if the first
-is no worse than that of all but ``TAIL`` of the labelled values and the difference is at
-least ``LEAST_GAIN``.
-
-Nulls and empty texts have no spans. Rows are scanned each on its own; repeated rows
-and null ids are kept. Without a labelled value there are no format spans.
+into a probabilistic automaton; a kind of fewer than ``LEAST_LABELLED`` values gets none.
+
+Every other candidate is scored: a run of credential characters that meets no base match
+and is at least as long as the shortest labelled value, as a whole, without closing
+punctuation, and what follows its ``=`` signs, each in turn. Its score is its log
+likelihood per character under the best automaton, less that under a character-pair model
+of the sampled candidates. The reading of best score is a span of kind ``format`` if its
+likelihood is no worse than that of all but ``TAIL`` of the labelled values and the score
+is at least ``LEAST_GAIN``.
+
+Nulls and empty texts have no spans. Very long texts: base matches and candidates are
+walked through once, in order. Rows are scanned each on its own; repeated rows and null
+ids are kept. Without a labelled value there are no format spans.
 """
 
 from __future__ import annotations
@@ -36,22 +40,22 @@ ALPHA = 0.05
 TAIL = 0.02
 LEAST_GAIN = 0.4
 KINDS = ("assign", "access", "hex", "format")
-LEAST_CANDIDATE = 16
+LEAST_LABELLED = 10
+#: The least length of a base match's value.
+SHORTEST = 6
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _WORDS = ("passw", "secret", "token", "api")
 
 _HEX = np.zeros(256, bool)
 _HEX[48:58] = _HEX[97:103] = True
 _CRED = np.zeros(256, bool)
 _CRED[list(b"+/_.=-")] = _CRED[48:58] = _CRED[65:91] = _CRED[97:123] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[48:58] = True
 
 Span = tuple[int, int, int]
+Span2 = tuple[int, int]
 
 
 def base_spans(text: str, has_hex: bool = True) -> list[Span]:
@@ -67,39 +71,48 @@ def base_spans(text: str, has_hex: bool = True) -> list[Span]:
     return sorted(out)
 
 
-def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Credential-like runs that meet no base match."""
+def candidates(runs: list[Span2], base: list[Span]) -> Iterator[Span2]:
+    """The runs that meet no base match; both in order."""
     at = 0
-    for m in CANDIDATE.finditer(text):
-        s, e = m.span()
-        if not any(c.isdigit() for c in m[0]):
-            continue
-        while at < len(base) and base[at][2] <= s and base[at][0] < s:
+    for s, e in runs:
+        while at < len(base) and base[at][2] <= s:
             at += 1
-        if not any(b[0] < e and b[2] > s for b in base[at:]):
+        # What is passed over or stands behind this match ends before s or starts behind it.
+        if at == len(base) or base[at][0] >= e:
             yield s, e
 
 
-def _scan(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, str, list[Span], bool]]:
-    """Row, text, base spans and whether there may be candidates, for every row of a batch."""
+def readings(run: str, least: int) -> Iterator[tuple[int, int]]:
+    """Places in a run of what may be the credential: whole, behind = signs, each with and without closing punctuation."""
+    starts = [0, *[m.end() for m in re.finditer(r"=+(?=[^=])", run)]]
+    for a in starts:
+        for b in sorted({len(run), len(run.rstrip(".")), len(run.rstrip(".=-_/+"))}, reverse=True):
+            if b - a >= least:
+                yield a, b
+
+
+def _scan(batch: pa.RecordBatch, column: int, least: int) -> Iterator[tuple[int, str, list[Span], list[Span2]]]:
+    """Row, text, base spans and the runs of ``least`` credential characters, for every row of a batch."""
     raw, offsets = text_buffer(batch.column(column))
     for a, b in chunks(offsets):
         part = offsets[a : b + 1] - offsets[a]
         own = raw[offsets[a] : offsets[b]]
-        flags = []
-        for mask, least in ((_HEX, 24), (_CRED, LEAST_CANDIDATE)):
-            s, e = spans_of(mask[own], part)
-            long = e - s >= least
-            if mask is _CRED:
-                digits = np.concatenate([[0], np.cumsum(_DIGIT[own])])
-                long &= digits[e] > digits[s]
-            has = np.zeros(b - a, bool)
-            has[np.searchsorted(part, s[long], "right") - 1] = True
-            flags.append(has)
+        s, e = spans_of(_HEX[own], part)
+        hexed = np.zeros(b - a, bool)
+        hexed[np.searchsorted(part, s[e - s >= 24], "right") - 1] = True
+        s, e = spans_of(_CRED[own], part)
+        long = e - s >= least
+        s, e = s[long], e[long]
+        # Places in code points.
+        points = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
+        row = np.searchsorted(part, s, "right") - 1
+        s, e = points[s] - points[part[row]], points[e] - points[part[row]]
+        cuts = np.searchsorted(row, np.arange(b - a + 1)).tolist()
+        pairs = list(zip(s.tolist(), e.tolist(), strict=True))
         data = own.tobytes()
         for i in range(b - a):
             text = data[part[i] : part[i + 1]].decode()
-            yield a + i, text, base_spans(text, bool(flags[0][i])), bool(flags[1][i])
+            yield a + i, text, base_spans(text, bool(hexed[i])), pairs[cuts[i] : cuts[i + 1]]
 
 
 class Automaton:
@@ -197,8 +210,9 @@ class Formats:
     def __init__(self, labelled: dict[str, list[str]], others: list[str]) -> None:
         self.background = Background(others)
         self.known = []
+        self.least = min((len(s) for strings in labelled.values() for s in strings), default=SHORTEST)
         for _, strings in sorted(labelled.items()):
-            if len(strings) >= 10:
+            if len(strings) >= LEAST_LABELLED:
                 automaton = Automaton(strings)
                 scores = sorted(automaton.per_char(s) for s in strings)
                 self.known.append((automaton, scores[int(TAIL * len(scores))]))
@@ -212,18 +226,26 @@ class Formats:
                 best = p - plain
         return best
 
+    def best(self, run: str) -> tuple[int, int, float] | None:
+        """The reading of a run that scores best, the first and longest of equal ones."""
+        found = None
+        for a, b in readings(run, self.least):
+            gain = self.score(run[a:b])
+            if gain is not None and (found is None or gain > found[2]):
+                found = (a, b, gain)
+        return found
+
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's SAMPLE distinct values of least hash, of each kind; candidates are kind 3."""
     heaps: list[list] = [[], [], [], []]
     held: list[set] = [set(), set(), set(), set()]
     for batch in batches:
-        for _, text, base, maybe in _scan(batch, 0):
+        for _, text, base, runs in _scan(batch, 0, SHORTEST):
             values = [(k, ASSIGN.match(text[s:e])[2] if k == 0 else text[s:e]) for s, k, e in base]
-            if maybe:
-                values += [(3, text[s:e]) for s, e in candidates(text, base)]
+            values += [(3, text[s:e]) for s, e in candidates(runs, base)]
             for k, value in values:
-                rank = -xxhash.xxh32_intdigest(value.encode())
+                rank = -xxhash.xxh32_intdigest(value)
                 if value in held[k] or (len(heaps[k]) >= SAMPLE and rank <= heaps[k][0][0]):
                     continue
                 held[k].add(value)
@@ -251,19 +273,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Formats = formats.value
-        seen: dict[str, float | None] = {}
+        seen: dict[str, tuple[int, int, float] | None] = {}
         for batch in batches:
             out: list[list] = [[]] * batch.num_rows
-            for i, text, base, maybe in _scan(batch, 1):
+            for i, text, base, runs in _scan(batch, 1, model.least):
                 spans = [(s, k, e, None) for s, k, e in base]
-                for s, e in candidates(text, base) if maybe else ():
-                    value = text[s:e]
-                    if value not in seen:
-                        if len(seen) > 100_000:
+                for s, e in candidates(runs, base) if model.known else ():
+                    run = text[s:e]
+                    if run not in seen:
+                        if len(seen) > 200_000:
                             seen.clear()
-                        seen[value] = model.score(value)
-                    if seen[value] is not None:
-                        spans.append((s, 3, e, seen[value]))
+                        seen[run] = model.best(run)
+                    if seen[run] is not None:
+                        x, y, gain = seen[run]
+                        spans.append((s + x, 3, s + y, gain))
                 out[i] = [{"kind": KINDS[k], "start": s, "end": e, "value": text[s:e], "gain": g} for s, k, e, g in sorted(spans, key=lambda x: x[:3])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["doc_id", "spans"])
 

@@ -18,13 +18,33 @@ def test_base_and_formats(frame):
     hexed = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
     rows = [(i, f'é some words token = "{hexed(40)}" and more') for i in range(60)]
     rows += [(100 + i, f"number {rng.randrange(10**15, 10**16)} and address a-{i}.b@mail{i}.example.com/abcdefgh") for i in range(60)]
-    rows += [(200, None), (201, ""), (202, "token:token:abcdefgh PASSWORD= 'abc' Api_Key:abcdef apikey=a"), (203, "AKIA" + "A1" * 8 + " AKIASHORT"), (204, "f" * 23 + " " + "0" * 24 + "é" + "a" * 5000), (205, "K ſecret=abcdefgh"), (206, f"x {hexed(40)[:22]} y"), (None, "secret=abcdef"), (0, rows[0][1]), (0, rows[0][1])]
+    rows += [(200, None), (201, ""), (202, "token:token:abcdefgh PASSWORD= 'abc' Api_Key:abcdef apikey=a"), (203, "AKIA" + "A1" * 8 + " AKIASHORT"), (204, "f" * 23 + " " + "0" * 24 + "é" + "a" * 5000), (205, "K ſecret=abcdefgh"), (206, f"x {hexed(40)[:22]} y"), *[(300 + i, f"é ACCESS={hexed(22)}. end") for i in range(10)], (None, "secret=abcdef"), (0, rows[0][1]), (0, rows[0][1])]
     got = s.scan(frame(rows)).collect()
     assert len(got) == len(rows)
     want = sorted((str(i), str(brute(t or ""))) for i, t in rows)
     assert sorted((str(r["doc_id"]), str([(x["kind"], x["start"], x["end"]) for x in r["spans"] if x["kind"] != "format"])) for r in got) == want
+    assert all(x["value"][:7] != "ACCESS=" and x["value"][-1] != "." for r in got for x in r["spans"] if x["kind"] == "format" and 300 <= (r["doc_id"] or 0))
     formats = {r["doc_id"] for r in got if any(x["kind"] == "format" for x in r["spans"])}
-    assert 206 in formats and not any(i is not None and 100 <= i < 200 for i in formats)
+    assert 206 in formats and sum(300 + i in formats for i in range(10)) >= 8 and not any(i is not None and 100 <= i < 200 for i in formats)
+
+
+def test_candidates():
+    """Against all pairs: runs that meet no base match; and in time that grows with the text."""
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice(("token=abcdefgh", "a1b2c3d4" * 4, " ", "é", "secret: zz", "-", "plainword", "0f" * 13)) for _ in range(12))
+        base = s.base_spans(text)
+        runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=-]{6,}", text)]
+        assert list(s.candidates(runs, base)) == [(a, b) for a, b in runs if not any(x < b and y > a for x, _, y in base)]
+    text = "token=abcdefgh word1234567 " * 200_000
+    base = s.base_spans(text)
+    assert len(list(s.candidates([m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=-]{6,}", text)], base))) == 200_000
+
+
+def test_readings():
+    run = "NAME=abc=12345678.="
+    got = {run[a:b] for a, b in s.readings(run, 6)}
+    assert {run, "abc=12345678.=", "12345678.=", "12345678", "NAME=abc=12345678"} <= got and all(len(x) >= 6 for x in got)
 
 
 def test_automaton():

@@ -1,6 +1,6 @@
 """Operator 4: toxicity from the nearest labelled examples, by exact TF-IDF cosine.
 
-Terms are words (letter runs, lower case) and their beginnings of 4 to 8 bytes. A bounded
+Terms are words (letter runs, lower case) and their beginnings of 4 and 6 bytes. A bounded
 sample of labelled rows (at most about ``SAMPLE`` of a class, by a hash of the id) are the
 examples: unit vectors of (1 + ln tf) * idf over all their terms, whose document
 frequencies are counted over all rows. Terms of a text that no example holds are left out
@@ -8,10 +8,13 @@ of its vector: they lengthen it, but its nearest examples and votes are the same
 
 The index keeps, for each term, its examples' weights and, for terms of many examples, the
 greatest weight of every block of ``BLOCK`` like examples. A block's bound is the part of
-the cosines by rarer terms plus the text's weights times those maxima; blocks whose bound
-is below the K-th neighbour stay closed: the K nearest are exact. Their votes count by the
-square of their cosine and by their class's sampling rate. Votes become probabilities by
-the isotonic fit of the sample's own leave-one-out votes; a text without a term gets the
+the cosines by rarer terms plus the text's weights times those maxima, or times the length
+of the block's longest example if that is less; blocks whose bound is below the K-th
+neighbour stay closed. Cosines that single precision can't tell apart are made again in
+double, so the K nearest are exact. Their votes count by the square of their cosine and by
+their class's sampling rate. Votes become probabilities by the isotonic fit of the sample's
+own leave-one-out votes (of about ``CALIBRATION`` examples), and K is the one of ``KS``
+whose fit has the least squared error there; a text without a term gets the
 rate of such texts in the sample, or of all labelled rows if the sample has fewer than K.
 The three nearest examples are the evidence.
 
@@ -36,12 +39,15 @@ from pyspark.sql import types as T
 from .common import BYTE_VALUES, LETTER, U64, broadcast_if_small, chunks, distinct, lowered, mix, prefix_hashes, ragged, released, span_hashes, spans_of, text_buffer
 
 SAMPLE = 8000
-BEGINNINGS = (4, 5, 6, 7, 8)
-K = 25
+BEGINNINGS = (4, 6)
+KS = (25, 50, 100)
+CALIBRATION = 4000
+#: Nearest examples whose order is exact too; they are the evidence.
+EVIDENCE = 3
 BLOCK = 128
 FIRST_BLOCKS = 8
 FREQUENT = 1 / 16
-GROUP = 64
+GROUP = 256
 GROUPS = 64
 ROUNDS = 6
 #: More than the rounding of single precision; what is that near the K-th is compared in double.
@@ -177,7 +183,9 @@ class Examples:
         self.begin = np.concatenate([[0], np.cumsum(np.where(self.slot < 0, count, 0))])
         self.dense = np.zeros((len(frequent), self.blocks * BLOCK), np.float32)
         self.example, self.weight = np.zeros(self.begin[-1], np.int32), np.zeros(self.begin[-1], np.float32)
-        self.norm = np.ones(self.n)
+        self.norm, self.seen = np.ones(self.n), np.zeros(len(idf))
+        texts: dict[bytes, int] = {}
+        self.twin = np.array([texts.setdefault(hashlib.blake2b(terms[a:b].tobytes() + tf[a:b].tobytes(), digest_size=16).digest(), i) for i, (a, b) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True))], np.int64)
         free = self.begin[:-1].copy()
         # A few examples at a time, so that little more memory than the index's own is taken.
         for a in range(0, self.n, BLOCK):
@@ -201,67 +209,92 @@ class Examples:
             self.dense[k : k + BLOCK] = self.dense[k : k + BLOCK][:, self.number]
         self.example = self.place[self.example]
         self.most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(2) if len(frequent) else np.zeros((0, self.blocks), np.float32)
+        self.longest = np.sqrt(sum((np.einsum("ij,ij->j", part, part) for part in np.array_split(self.dense, 16)), np.zeros(self.blocks * BLOCK, np.float32)).reshape(self.blocks, BLOCK).max(1))
 
     def unit(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = (1 + np.log(tf)) * self.idf[terms]
         return w / np.sqrt((w * w).sum())
 
-    def nearest(self, terms: np.ndarray, tf: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The K nearest examples and their cosines, exactly; ties by the example's number."""
-        return self.nearest_of([(terms, tf)], [leave])[0]
+    def nearest(self, terms: np.ndarray, tf: np.ndarray, k: int, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest examples in order and their cosines, exactly; ties by the example's number."""
+        return self.nearest_of([(terms, tf)], k, [leave], k)[0]
 
-    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], leave: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """nearest() of several texts at once, ``leave`` being an example to leave out of each."""
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None, ordered: int = EVIDENCE) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The k nearest of several texts at once, the first ``ordered`` in exact order; ``leave`` is an example to leave out of each."""
         out: list[tuple[np.ndarray, np.ndarray]] = []
         for a in range(0, len(texts), GROUP):
-            out += self._group(texts[a : a + GROUP], [-1] * len(texts[a : a + GROUP]) if leave is None else leave[a : a + GROUP])
+            out += self._group(texts[a : a + GROUP], k, [-1] * len(texts[a : a + GROUP]) if leave is None else leave[a : a + GROUP], ordered)
         return out
 
-    def _group(self, texts: list[tuple[np.ndarray, np.ndarray]], leave: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def _group(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int], ordered: int) -> list[tuple[np.ndarray, np.ndarray]]:
         size, wide = len(texts), self.blocks * BLOCK
         q = [self.unit(t, tf) for t, tf in texts]
-        row = np.repeat(np.arange(size), [len(t) for t, _ in texts])
-        term, weight = np.concatenate([t for t, _ in texts]), np.concatenate(q)
-        slot = self.slot[term]
         dense = np.zeros((size, len(self.dense)), np.float32)
-        dense[row[slot >= 0], slot[slot >= 0]] = weight[slot >= 0]
         cosine = np.empty((size, wide), np.float32)
-        ends = np.cumsum([0, *[len(t) for t, _ in texts]])
-        for i in range(size):
-            rare = ends[i] + np.flatnonzero(slot[ends[i] : ends[i + 1]] < 0)
-            lo = self.begin[term[rare]]
-            many = self.begin[term[rare] + 1] - lo
-            posting = ragged(lo, many)
-            cosine[i] = np.bincount(self.example[posting], np.repeat(weight[rare].astype(np.float32), many) * self.weight[posting], wide)
+        for i, (terms, _) in enumerate(texts):
+            slot = self.slot[terms]
+            dense[i, slot[slot >= 0]] = q[i][slot >= 0]
+            rare = terms[slot < 0]
+            lo, hi = self.begin[rare], self.begin[rare + 1]
+            spans = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+            weight = np.repeat(q[i][slot < 0].astype(np.float32), hi - lo)
+            if spans:
+                weight *= np.concatenate([self.weight[x] for x in spans])
+                cosine[i] = np.bincount(np.concatenate([self.example[x] for x in spans]), weight, wide)
+            else:
+                cosine[i] = 0
         # Blocks are opened for the texts whose bound there reaches the K-th cosine found so far.
-        bounds = cosine.reshape(size, self.blocks, BLOCK).max(2) + dense @ self.most + SLACK
+        length = np.sqrt(np.einsum("ij,ij->i", dense, dense))[:, None]
+        bounds = cosine.reshape(size, self.blocks, BLOCK).max(2) + np.minimum(dense @ self.most, length * self.longest) + SLACK
+        few = min(FIRST_BLOCKS, self.blocks)
+        begin = np.argpartition(-bounds, few - 1, 1)[:, :few]
         first = np.zeros(bounds.shape, bool)
-        np.put_along_axis(first, np.argsort(-bounds, 1)[:, :FIRST_BLOCKS], True, 1)
+        np.put_along_axis(first, begin, True, 1)
         least = np.zeros(size, np.float32)
         for open_now in (first, ~first):
             open_now &= bounds >= least[:, None]
             for block in np.flatnonzero(open_now.any(0)).tolist():
                 at, own = np.flatnonzero(open_now[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
-                cosine[at, own] += dense[at] @ self.dense[:, own]
+                if len(at) == size:
+                    cosine[:, own] += dense @ self.dense[:, own]
+                else:
+                    cosine[at, own] += dense[at] @ self.dense[:, own]
             for i, x in enumerate(leave):
                 if x >= 0:
                     cosine[i, self.place[x]] = 0
-            if wide > K:
-                least = np.partition(cosine, wide - K, 1)[:, wide - K] - SLACK
-        out, seen = [], np.zeros(len(self.idf))
-        for i, (terms, _) in enumerate(texts):
-            near = np.sort(self.number[np.flatnonzero((cosine[i] >= least[i]) & (cosine[i] > 0))])
-            seen[terms] = q[i]
-            many = self.start[near + 1] - self.start[near]
-            own = ragged(self.start[near], many)
-            part = seen[self.term[own]]
+            if open_now is first and few * BLOCK > k:
+                opened = np.take_along_axis(cosine.reshape(size, self.blocks, BLOCK), begin[:, :, None], 1).reshape(size, -1)
+                least = np.partition(opened, few * BLOCK - k, 1)[:, few * BLOCK - k] - SLACK
+        return [self._in_order(terms, q[i], cosine[i], least[i], k, ordered) for i, (terms, _) in enumerate(texts)]
+
+    def _in_order(self, terms: np.ndarray, weights: np.ndarray, cosine: np.ndarray, least: np.float32, k: int, ordered: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest of a text by its cosines in single precision; where these can't tell who is in, or the first ones' order, they are made again."""
+        near = np.flatnonzero(cosine >= max(least, np.float32(1e-30)))
+        if len(near) > k:
+            own = cosine[near]
+            near = near[own >= np.partition(own, len(near) - k)[len(near) - k] - SLACK]
+        near = near[np.argsort(-cosine[near], kind="stable")]
+        found, near = cosine[near].astype(float), self.number[near]
+        unsure = np.arange(len(near)) < ordered
+        if len(near) > ordered > 0:
+            unsure |= np.abs(found - found[ordered - 1]) <= SLACK
+        if len(near) > k:
+            unsure |= np.abs(found - found[k - 1]) <= SLACK
+        again = np.flatnonzero(unsure)
+        if len(again):
+            # Examples of one text have one cosine.
+            kinds, which = np.unique(self.twin[near[again]], return_inverse=True)
+            self.seen[terms] = weights
+            many = self.start[kinds + 1] - self.start[kinds]
+            own = ragged(self.start[kinds], many)
+            part = self.seen[self.term[own]]
+            self.seen[terms] = 0
             met = np.flatnonzero(part)
-            own, of = own[met], np.repeat(np.arange(len(near)), many)[met]
-            exact = np.bincount(of, part[met] * (1 + np.log(self.tf[own].astype(float))) * self.idf[self.term[own]], len(near)) / self.norm[near]
-            seen[terms] = 0
-            top = np.lexsort((near, -np.round(exact, 12)))[:K]
-            out.append((near[top], exact[top]))
-        return out
+            own = own[met]
+            part = part[met] * (1 + np.log(self.tf[own].astype(float))) * self.idf[self.term[own]]
+            found[again] = (np.bincount(np.repeat(np.arange(len(kinds)), many)[met], part, len(kinds)) / self.norm[kinds])[which]
+        top = np.lexsort((near, -np.round(found, 12)))[:k]
+        return near[top], found[top]
 
     def text(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         own = slice(self.start[i], self.start[i + 1])
@@ -295,18 +328,18 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    """The examples' terms, the examples, the isotonic points, and the score of a text without terms."""
+    """The examples' terms, the examples, the isotonic points, the score of a text without terms, and K."""
 
-    def __init__(self, chosen: Broadcast | None, examples: Broadcast | None, points: tuple[np.ndarray, np.ndarray], bare: float) -> None:
-        self.chosen, self.examples, self.points, self.bare = chosen, examples, points, bare
+    def __init__(self, chosen: Broadcast | None, examples: Broadcast | None, points: tuple[np.ndarray, np.ndarray], bare: float, k: int = KS[0]) -> None:
+        self.chosen, self.examples, self.points, self.bare, self.k = chosen, examples, points, bare, k
 
     def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[int, float, int]]]]:
         e, out = self.examples.value if self.examples else None, [(self.bare, [])] * len(texts)
         known = [i for i, (terms, _) in enumerate(texts) if len(terms)] if e is not None else []
-        for i, (found, cosines) in zip(known, e.nearest_of([texts[i] for i in known]) if known else [], strict=True):
+        for i, (found, cosines) in zip(known, e.nearest_of([texts[i] for i in known], self.k) if known else [], strict=True):
             vote = e.vote(found, cosines)
             if vote >= 0:
-                out[i] = float(np.interp(vote, *self.points)), [(e.ids[k], float(c), int(e.toxic[k])) for k, c in zip(found[:3].tolist(), cosines[:3].tolist(), strict=True)]
+                out[i] = float(np.interp(vote, *self.points)), [(e.ids[k], float(c), int(e.toxic[k])) for k, c in zip(found[:EVIDENCE].tolist(), cosines[:EVIDENCE].tolist(), strict=True)]
         return out
 
 
@@ -334,7 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     with_terms = [r for r in got if r["terms"]]
     without = [r for r in got if not r["terms"]]
     bare = sizes.get(1, 0) / sum(sizes.values())
-    if len(without) >= K:
+    if len(without) >= KS[0]:
         w = np.array([rate[r["toxic"]] for r in without])
         bare = float((w * [r["toxic"] for r in without]).sum() / w.sum())
     if not with_terms:
@@ -356,14 +389,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             e, at = index.value, np.asarray(batch.column(0)).tolist()
-            votes = [e.vote(*x) for x in e.nearest_of([e.text(i) for i in at], at)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["i", "vote"])
-
-    votes = np.zeros(len(ids))
-    for r in spark.range(0, len(ids), 1, -(-len(ids) // 512)).mapInArrow(released(left_out), "i long, vote double").collect():
-        votes[r["i"]] = r["vote"]
-    ok = votes >= 0
-    return Model(shared, index, isotonic(votes[ok], toxic[ok], weights[ok]) if ok.any() else (np.zeros(1), np.zeros(1)), bare)
+            found = e.nearest_of([e.text(i) for i in at], KS[-1], at)
+            votes = [[e.vote(near[:k], cosines[:k]) for k in KS] for near, cosines in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.list_(pa.float64()))], names=["i", "votes"])
+
+    drawn = spark.range(0, len(ids), 1, -(-len(ids) // 512)).where(F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(1 << 20)) < min(1.0, CALIBRATION / len(ids)) * (1 << 20))
+    rows = drawn.mapInArrow(released(left_out), "i long, votes array<double>").collect()
+    at, votes = np.array([r["i"] for r in rows], np.int64), np.array([r["votes"] for r in rows]).reshape(-1, len(KS))
+    best = None
+    for k, own in zip(KS, votes.T, strict=True):
+        ok = own >= 0
+        if ok.any():
+            y, w = toxic[at][ok], weights[at][ok]
+            points = isotonic(own[ok], y, w)
+            error = float((w * (np.interp(own[ok], *points) - y) ** 2).sum() / w.sum())
+            if best is None or error < best[0]:
+                best = (error, k, points)
+    if best is None:
+        return Model(shared, index, (np.zeros(1), np.zeros(1)), bare)
+    return Model(shared, index, best[2], bare, best[1])
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 3, held: int = 1, threshold: float = 0.7) -> DataFrame:

@@ -56,9 +56,11 @@ def test_nearest_is_exact():
     for q in range(0, 3000, 50):
         cosines = dense @ dense[q]
         cosines[q] = -1
-        found, got = index.nearest(*vectors[q], leave=q)
-        want = np.lexsort((np.arange(3000), -np.round(cosines, 12)))[: t.K]
+        found, got = index.nearest(*vectors[q], 25, leave=q)
+        want = np.lexsort((np.arange(3000), -np.round(cosines, 12)))[:25]
         assert np.allclose(got, cosines[want]) and np.array_equal(found, want)
+        some, near = index.nearest_of([vectors[q]], 25, [q])[0]
+        assert np.allclose(np.sort(near), np.sort(cosines[want])) and set(some.tolist()) == set(want.tolist()) and np.array_equal(some[:3], want[:3])
 
 
 def test_isotonic():

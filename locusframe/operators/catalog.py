@@ -45,8 +45,11 @@ def check_study(samples: DataFrame, config: StudyConfig) -> None:
 
 
 def copy_manifest(samples: DataFrame, genomes: DataFrame, files: DataFrame) -> DataFrame:
-    """(MAG_ID, sample_id, file_path, found): every wanted pair, with its file if there is one."""
-    pairs = samples.select("sample_id").distinct().crossJoin(F.broadcast(genomes.select("MAG_ID").distinct()))
+    """(MAG_ID, sample_id, file_path, found): every wanted pair, with its file if there is one.
+
+    The result is the product of both lists; Spark broadcasts one only below its own limit.
+    """
+    pairs = samples.select("sample_id").distinct().crossJoin(genomes.select("MAG_ID").distinct())
     return pairs.join(files, ["MAG_ID", "sample_id"], "left").withColumn("found", F.col("file_path").isNotNull())
 
 

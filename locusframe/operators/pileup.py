@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import base
@@ -36,31 +37,68 @@ def _blocks(cigar: Column) -> Column:
         return F.struct(
             F.when(aligned | on_ref, acc["r"] + s["n"]).otherwise(acc["r"]).alias("r"),
             F.when(aligned | on_query, acc["q"] + s["n"]).otherwise(acc["q"]).alias("q"),
-            F.when(aligned, F.concat(acc["blocks"], block)).otherwise(acc["blocks"]).alias("blocks"),
+            F.when(aligned & (s["n"] > 0), F.concat(acc["blocks"], block)).otherwise(acc["blocks"]).alias("blocks"),
         )
 
     return F.aggregate(steps, start, step, lambda acc: acc["blocks"])
 
 
+def _base_at(read: Column, position: Column) -> Column:
+    """(base, quality) that a read has at a position; null if it has none there."""
+    block = F.get(F.filter(read["blocks"], lambda b: (read["pos"] + b["r"] <= position) & (position < read["pos"] + b["r"] + b["n"])), F.lit(0))
+    at = block["q"] + position - read["pos"] - block["r"]
+    return F.when(block.isNotNull(), F.struct(base(F.substring(read["seq"], at + 1, F.lit(1))).alias("base"), F.get(read["qual"], at).alias("quality")))
+
+
+def _cells(blocks: Column, mate: Column | None) -> Column:
+    """(position, base, quality) of a read's aligned bases; with a mate, what both say where they overlap.
+
+    Equal bases have the sum of both qualities, 200 at most; of different ones the better
+    has eight tenths of its quality. The pair's first read has the cell, the second none.
+    """
+
+    def cell(b: Column, k: Column) -> Column:
+        position = (F.col("pos") + b["r"] + k).cast("bigint")
+        own, quality = base(F.substring("seq", b["q"] + k + 1, F.lit(1))), F.get("qual", b["q"] + k)
+        if mate is None:
+            return F.struct(position.alias("position"), own.alias("base"), quality.alias("quality"))
+        other = _base_at(mate, position)
+        same, better = own == other["base"], quality >= other["quality"]
+        merged = F.when(same, F.least(F.lit(200), quality + other["quality"])).otherwise((F.greatest(quality, other["quality"]) * 4 / 5).cast("int"))
+        winner = F.when(same | better, own).otherwise(other["base"])
+        met = other.isNotNull()
+        return F.struct(
+            position.alias("position"),
+            F.when(met, winner).otherwise(own).alias("base"),
+            F.when(met & (F.col("nth") == 2), F.lit(None)).when(met, merged).otherwise(quality).alias("quality"),
+        )
+
+    return F.flatten(F.transform(blocks, lambda b: F.transform(F.sequence(F.lit(0), b["n"] - 1), lambda k: cell(b, k))))
+
+
 def bases(reads: DataFrame, least_quality: int = LEAST_QUALITY, once_per_pair: bool = True) -> DataFrame:
     """(sample_id, contig, position, base): one row for each counted base.
 
-    Deletions and skips have none. With ``once_per_pair`` the mates of a pair count once
-    where they overlap: the base of higher quality, the first mate's if equal.
+    Deletions and skips have none. With ``once_per_pair`` the two reads of a proper pair
+    count once where they overlap. Only such pairs are shuffled, as reads; their bases are
+    made afterwards and are only counted from then on.
     """
     kept = usable_reads(reads)
-    block = kept.select("sample_id", "read_name", "flag", "contig", "pos", "seq", "qual", F.explode(_blocks(F.col("cigar"))).alias("b"))
-    one = block.select("sample_id", "read_name", "flag", "contig", "pos", "seq", "qual", "b", F.explode(F.sequence(F.lit(0), F.col("b.n") - 1)).alias("k"))
-    placed = one.select(
-        "sample_id", "read_name", "flag", "contig",
-        (F.col("pos") + F.col("b.r") + F.col("k")).cast("bigint").alias("position"),
-        base(F.substring("seq", F.col("b.q") + F.col("k") + 1, F.lit(1))).alias("base"),
-        F.get("qual", F.col("b.q") + F.col("k")).alias("quality"),
-    ).where(F.col("quality") >= least_quality)
-    if once_per_pair:
-        order = F.struct("quality", (-F.col("flag").bitwiseAND(F.lit(0x80))).alias("mate"))
-        placed = placed.groupBy("sample_id", "read_name", "contig", "position").agg(F.max_by("base", order).alias("base"))
-    return placed.select("sample_id", "contig", "position", "base")
+
+    def out(df: DataFrame, cells: Column) -> DataFrame:
+        found = df.select("sample_id", "contig", F.explode(cells).alias("c"))
+        return found.where(F.col("c.quality") >= least_quality).select("sample_id", "contig", "c.position", "c.base")
+
+    if not once_per_pair:
+        return out(kept, _cells(_blocks(F.col("cigar")), None))
+    paired = F.col("flag").bitwiseAND(F.lit(PAIRED | PROPER)) == (PAIRED | PROPER)
+    alone = out(kept.where(~paired), _cells(_blocks(F.col("cigar")), None))
+    own = F.struct("pos", "seq", "qual", _blocks(F.col("cigar")).alias("blocks"))
+    pair = kept.where(paired).select("sample_id", "contig", "read_name", "flag", "pos", "seq", "qual", "cigar", own.alias("own"))
+    order = W.partitionBy("sample_id", "read_name", "contig").orderBy("pos", F.col("flag").bitwiseAND(F.lit(0x80)), "flag", "cigar", F.upper("seq"), "qual")
+    pair = pair.withColumn("nth", F.row_number().over(order))
+    pair = pair.withColumn("mate", F.when(F.col("nth") == 1, F.lead("own").over(order)).when(F.col("nth") == 2, F.lag("own").over(order)))
+    return alone.unionByName(out(pair, _cells(F.col("own.blocks"), F.col("mate"))))
 
 
 def count_bases(found: DataFrame, keys: list[str]) -> DataFrame:

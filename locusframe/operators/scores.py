@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import gene_list, is_overlapping, sites_columns, taxa, test_columns
 from ..schemas import RANKS
 
-#: Fixed value: the message of the check for partly missing p-values.
-PARTLY_MISSING = "NaNs found in p-value column."
+PARTLY_MISSING = "a row has some of a test's p-values, but not all"
 
 
 def total(test: str) -> str:
@@ -113,8 +112,8 @@ def gene_scores(pvalues: DataFrame, threshold: float = 0.05, keys: list[str] | N
     }
 
 
-def legacy_gene_scores(pvalues: DataFrame, columns: list[str], threshold: float = 0.05, how: str = "combined") -> DataFrame:
-    """Older score: rows with any null p-value and rows without a gene drop out."""
+def legacy_gene_scores(pvalues: DataFrame, columns: list[str], threshold: float = 0.05, how: str = "combined", ordered: bool = False) -> DataFrame:
+    """Older score: rows with any null p-value and rows without a gene drop out. In order, the greatest score comes first."""
     df = pvalues.dropna(how="any", subset=columns)
     if how == "individual":
         df = df.withColumn("gene_id", F.explode(gene_list(F.col("gene_id"))))
@@ -123,4 +122,5 @@ def legacy_gene_scores(pvalues: DataFrame, columns: list[str], threshold: float
     df = df.where(F.col("gene_id").isNotNull())
     hit = F.count_if(_any([F.col(c) < threshold for c in columns]))
     out = df.groupBy("gene_id").agg(F.count("position").alias("total_sites"), hit.alias("significant_sites"))
-    return out.withColumn("score", F.try_divide(F.col("significant_sites"), F.col("total_sites")) * 100)
+    out = out.withColumn("score", F.try_divide(F.col("significant_sites"), F.col("total_sites")) * 100)
+    return out.orderBy(F.desc_nulls_last("score"), "gene_id") if ordered else out

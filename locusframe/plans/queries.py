@@ -71,15 +71,9 @@ def interval_annotate_plain(spark: SparkSession, d: str) -> DataFrame:
     return annotate.annotate_plain(_sites(spark, d), view(spark, d, adapters.GENES))
 
 
-@_query(_with(b=adapters.BASES, c=adapters.CONTIGS) + """, s AS (SELECT DISTINCT concat('M', CAST(substr(contig, 2) AS INT) % 50, '.fa_', contig) AS contig, position FROM b WHERE position < 40)
-SELECT contig, position, coalesce(nullif(upper(substr(c.seq, CAST(position AS INT) + 1, 1)), ''), 'X') AS ref_base FROM s LEFT JOIN c USING (contig)""")
-def reference_base(spark: SparkSession, d: str) -> DataFrame:
-    return _reference(spark, d, _sites(spark, d).where("position < 40"))
-
-
 @_query(_with(b=adapters.BASES, c=adapters.CONTIGS) + """, s AS (SELECT DISTINCT concat('M', CAST(substr(contig, 2) AS INT) % 50, '.fa_', contig) AS contig, position FROM b)
 SELECT contig, position, coalesce(nullif(upper(substr(c.seq, CAST(position AS INT) + 1, 1)), ''), 'X') AS ref_base FROM s LEFT JOIN c USING (contig)""")
-def reference_base_all(spark: SparkSession, d: str) -> DataFrame:
+def reference_base(spark: SparkSession, d: str) -> DataFrame:
     """Every site, also those beyond the end of its contig."""
     return _reference(spark, d, _sites(spark, d))
 
@@ -152,15 +146,9 @@ def mean_change(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(change.mean_changes(change.allele_changes(change.one_sample_each(_freq(spark, d)), *CONFIG.timepoints)))
 
 
-@_query(_with(p=adapters.PROFILE) + """ SELECT "subjectID", min(time) AS time FROM p WHERE time IN ('pre', 'end') AND position = 7 GROUP BY ALL HAVING count(DISTINCT time) = 1""")
+@_query(_with(p=adapters.SUBJECTS) + """ SELECT "subjectID", min(time) AS time FROM p WHERE time IN ('pre', 'end') GROUP BY ALL HAVING count(DISTINCT time) = 1""")
 def subjects_single_timepoint(spark: SparkSession, d: str) -> DataFrame:
-    return change.single_timepoint_subjects(view(spark, d, adapters.PROFILE).where("position = 7"), *CONFIG.timepoints)
-
-
-@_query(_with(p=adapters.PROFILE) + """ SELECT "subjectID", min(time) AS time FROM p WHERE time IN ('pre', 'end') GROUP BY ALL HAVING count(DISTINCT time) = 1""")
-def subjects_single_timepoint_all(spark: SparkSession, d: str) -> DataFrame:
-    """Judged on all rows of the study."""
-    return change.single_timepoint_subjects(view(spark, d, adapters.PROFILE), *CONFIG.timepoints)
+    return change.single_timepoint_subjects(view(spark, d, adapters.SUBJECTS), *CONFIG.timepoints)
 
 
 @_query(_with(p=adapters.PROFILE) + """, s AS (SELECT DISTINCT sample_id, "subjectID", time, "group", replicate FROM p), f AS (SELECT DISTINCT "MAG_ID", sample_id FROM p)
@@ -251,17 +239,96 @@ def wilcoxon_w(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(s.select(*SITE, "nucleotide", sitetests.signed_rank_test("x1")["t"].alias("w")))
 
 
-@_query()
+#: Weights of Simpson's rule with 400 intervals.
+_WEIGHT = "(CASE WHEN i = 0 OR i = 400 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+
+
+def _normal(z: str) -> str:
+    """Two-sided tail of a standard normal z: 1 less twice the density's integral from 0 to z."""
+    return f"least(1.0, 1 - 2 * ({z}) / 1200 * (SELECT sum({_WEIGHT} * exp(-(({z}) * i / 400) * (({z}) * i / 400) / 2)) FROM range(401) r(i)) / sqrt(2 * pi()))"
+
+
+def _same(keys: str, a: str, b: str) -> str:
+    return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys.split(", "))
+
+
+def _keyed(keys: str, of: str) -> str:
+    return ", ".join(f"{of}.{k}" for k in keys.split(", "))
+
+
+def _rank_sum(keys: str, least: int) -> str:
+    """CTEs to mw(keys, n_1, n_2, p): Mann-Whitney over l(keys, "group", x). Exact tails count the choices of ranks, element by element."""
+    part = "PARTITION BY " + keys
+    high = "greatest(u, n_1 * n_2 - u)"
+    var = "(n_1 * n_2 / 12 * (n_1 + n_2 + 1 - ties / ((n_1 + n_2) * (n_1 + n_2 - 1))))"
+    own = "k = n_1 + n_2 AND c = least(n_1, n_2)"
+    exact = f"least(1.0, 2 * (SELECT sum(w) FROM ways WHERE {own} AND s - c * (c + 1) / 2 >= {high}) / (SELECT sum(w) FROM ways WHERE {own}))"
+    return f""", rk AS (SELECT *, rank() OVER ({part} ORDER BY x) + (count(*) OVER ({part}, x) - 1) / 2 AS r FROM l),
+rt AS (SELECT {keys}, sum(n * n * n - n) AS ties FROM (SELECT {keys}, x, count(*)::DOUBLE AS n FROM l GROUP BY ALL) GROUP BY ALL),
+ru AS (SELECT {keys}, count(*) FILTER ("group" = 'fat') AS n_1, count(*) FILTER ("group" = 'control') AS n_2, sum(r) FILTER ("group" = 'fat') AS ra FROM rk GROUP BY ALL),
+rv AS (SELECT ru.*, ra - n_1 * (n_1 + 1) / 2 AS u, ties FROM ru JOIN rt ON {_same(keys, "ru", "rt")} WHERE n_1 >= {least} AND n_2 >= {least}),
+rx AS (SELECT *, {var} AS var, least(n_1, n_2) <= 8 AND ties = 0 AS exact FROM rv),
+ways AS (SELECT 0::BIGINT AS k, 0::BIGINT AS c, 0::BIGINT AS s, 1.0::DOUBLE AS w UNION ALL SELECT k + 1, c + d, s + d * (k + 1), sum(w) FROM ways, (VALUES (0::BIGINT), (1::BIGINT)) choice(d) WHERE k < (SELECT coalesce(max(n_1 + n_2), 0) FROM rx WHERE exact) AND c + d <= 8 GROUP BY ALL),
+ry AS (SELECT *, ({high} - n_1 * n_2 / 2 - 0.5) / sqrt(CASE WHEN var > 0 THEN var END) AS z FROM rx),
+mw AS (SELECT {keys}, n_1, n_2, CASE WHEN exact THEN {exact} WHEN z IS NULL THEN 1.0 ELSE {_normal("z")} END AS p FROM ry)"""
+
+
+def _signed_rank(keys: str) -> str:
+    """CTEs to sr(keys, n, p): the signed-rank test over d(keys, x). Exact tails count the subsets of 1 to n by their sum."""
+    part = "PARTITION BY " + keys
+    exact = "least(1.0, 2 * (SELECT sum(w) FROM sums WHERE k = n AND s <= t) / (SELECT sum(w) FROM sums WHERE k = n))"
+    return f""", sk AS (SELECT *, rank() OVER ({part} ORDER BY abs(x)) + (count(*) OVER ({part}, abs(x)) - 1) / 2 AS r FROM d WHERE x <> 0),
+st AS (SELECT {keys}, sum(n * n * n - n) AS ties FROM (SELECT {keys}, abs(x) AS x, count(*)::DOUBLE AS n FROM d WHERE x <> 0 GROUP BY ALL) GROUP BY ALL),
+sw AS (SELECT {keys}, count(*) AS n, coalesce(sum(r) FILTER (x > 0), 0) AS up, coalesce(sum(r) FILTER (x < 0), 0) AS down FROM sk GROUP BY ALL),
+sn AS (SELECT {keys}, count(*) AS pairs, count(*) FILTER (x = 0) AS zeros FROM d GROUP BY ALL),
+sx AS (SELECT sn.*, n, least(up, down) AS t, ties, n <= 50 AND zeros = 0 AND ties = 0 AS exact, n * (n + 1) * (2 * n + 1) / 24 - ties / 48 AS var FROM sn LEFT JOIN sw ON {_same(keys, "sn", "sw")} LEFT JOIN st ON {_same(keys, "sn", "st")}),
+sums AS (SELECT 0::BIGINT AS k, 0::BIGINT AS s, 1.0::DOUBLE AS w UNION ALL SELECT k + 1, s + d * (k + 1), sum(w) FROM sums, (VALUES (0::BIGINT), (1::BIGINT)) choice(d) WHERE k < (SELECT coalesce(max(n), 0) FROM sx WHERE exact) GROUP BY ALL),
+sy AS (SELECT *, abs(t - n * (n + 1) / 4) / sqrt(CASE WHEN var > 0 THEN var END) AS z FROM sx),
+sr AS (SELECT {keys}, pairs AS n, CASE WHEN n IS NULL THEN 1.0 WHEN exact THEN {exact} WHEN z IS NULL THEN 1.0 ELSE {_normal("z")} END AS p FROM sy)"""
+
+
+def _one_sample(keys: str) -> str:
+    """CTEs to ot(keys, n, zero, p): the t-test against 0 over d(keys, x)."""
+    return f""", oa AS (SELECT {keys}, count(x) AS n, avg(x) AS m, CASE WHEN min(x) = max(x) THEN 0.0 ELSE var_samp(x) END AS v, min(x) = 0 AND max(x) = 0 AS zero FROM d GROUP BY ALL),
+ob AS (SELECT *, CASE WHEN v > 0 THEN m / sqrt(v / n) END AS t, n - 1 AS df FROM oa),
+ot AS (SELECT {keys}, n, zero, CASE WHEN zero THEN 1.0 WHEN t IS NULL THEN 0.0 ELSE greatest(0.0, {_SIMPSON}) END AS p FROM ob)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_SK = '"MAG_ID", contig, gene_id, position'
+_PLACE = "list_position(['A', 'T', 'G', 'C'], nucleotide)"
+
+
+def _by_nucleotide(p: str, test: str, where: str = "true", suffix: str = "") -> str:
+    return ", ".join(_r(f"max({p}) FILTER (nucleotide = '{n}' AND {where})", f"{n}_frequency_p_value_{test}{suffix}") for n in NUCLEOTIDES)
+
+
+_UNPAIRED = f""", j AS (SELECT {_keyed(_LK, "t")}, t.n_1, t.n_2, t IS NULL AND m1 = m2 AS same, CASE WHEN t IS NOT NULL THEN greatest(0.0, {_SIMPSON}) WHEN m1 = m2 THEN 1.0 ELSE 0.0 END AS p_t, mw.p AS p_u FROM t JOIN mw ON {_same(_LK, "t", "mw")})
+SELECT {_SK}, {_by_nucleotide("p_t", "tTest")}, {_by_nucleotide("p_u", "MannWhitney")}, max(n_1)::BIGINT AS num_samples_fat, max(n_2)::BIGINT AS num_samples_control,
+coalesce(string_agg(concat(nucleotide, '{sitetests.NOTE_UNPAIRED}'), '' ORDER BY {_PLACE}) FILTER (same), '') AS notes FROM j GROUP BY ALL"""
+_PAIRED = f""", j AS (SELECT {_keyed(_LK, "ot")}, ot.n, zero, ot.p AS p_t, sr.p AS p_w FROM ot JOIN sr ON {_same(_LK, "ot", "sr")} WHERE ot.n >= 4)
+SELECT {_SK}, {_by_nucleotide("p_t", "paired_tTest")}, {_by_nucleotide("p_w", "Wilcoxon")}, max(n)::BIGINT AS num_pairs,
+coalesce(string_agg(concat(nucleotide, '{sitetests.NOTE_PAIRED}'), '' ORDER BY {_PLACE}) FILTER (zero), '') AS notes FROM j GROUP BY ALL"""
+_GK = _LK + ', "group"'
+_SINGLE_TESTS = f""", j AS (SELECT {_keyed(_GK, "ot")}, ot.n, zero AND ot.n >= 4 AS zero, CASE WHEN ot.n >= 4 THEN ot.p END AS p_t, CASE WHEN ot.n >= 4 THEN sr.p END AS p_w FROM ot JOIN sr ON {_same(_GK, "ot", "sr")})
+SELECT {_SK}, """ + ", ".join(f"""{_by_nucleotide("p_t", "tTest", f"\"group\" = '{g}'", f"_{g}")}, {_by_nucleotide("p_w", "Wilcoxon", f"\"group\" = '{g}'", f"_{g}")}, coalesce(max(n) FILTER ("group" = '{g}'), 0)::BIGINT AS num_samples_{g}""" for g in CONFIG.groups) + f""",
+coalesce(string_agg(concat(nucleotide, ' in ', "group", '{sitetests.NOTE_SINGLE}'), '' ORDER BY "group" DESC, {_PLACE}) FILTER (zero), '') AS notes FROM j GROUP BY ALL HAVING max(n) >= 4"""
+
+
+@_query(_recursive(_LONG + _STAT + _rank_sum(_LK, 4) + _UNPAIRED))
 def two_sample_unpaired(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(sitetests.unpaired(_means(spark, d), *CONFIG.groups, CONFIG.min_sample_num))
 
 
-@_query()
+@_query(_recursive(_PAIR + _one_sample(_LK) + _signed_rank(_LK) + _PAIRED))
 def two_sample_paired(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(sitetests.paired(_means(spark, d), *CONFIG.groups, CONFIG.min_sample_num))
 
 
-@_query()
+@_query(_recursive(_LONG + ", d AS (SELECT * FROM l)" + _one_sample(_GK) + _signed_rank(_GK) + _SINGLE_TESTS))
 def single_sample(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(sitetests.single(_means(spark, d), CONFIG.groups, CONFIG.min_sample_num))
 
@@ -274,13 +341,40 @@ def single_sample_guard(spark: SparkSession, d: str) -> DataFrame:
     return sitetests.single(_means(spark, d), CONFIG.groups, CONFIG.min_sample_num).select(*SITE, "num_samples_fat", "num_samples_control", "notes")
 
 
-@_query()
+_OLD = '"MAG_ID", contig, position, gene_id'
+_OLD_K = _OLD + ", nucleotide"
+
+
+def _old_long(group: str) -> str:
+    each = " UNION ALL ".join(f"""SELECT {_OLD}, "subjectID", {group} AS "group", '{n}' AS nucleotide, "{n}" / total_coverage AS x FROM p""" for n in NUCLEOTIDES)
+    return _with(p=adapters.PROFILE) + f""", l AS (SELECT * FROM ({each}) WHERE gene_id IS NOT NULL AND "group" IN ('fat', 'control'))"""
+
+
+def _old_wide(source: str, n_1: str, n_2: str) -> str:
+    cols = ", ".join(f"max(p) FILTER (nucleotide = '{n}') AS \"{n}_frequency_p_value\"" for n in NUCLEOTIDES)
+    return f", ow AS (SELECT {_OLD}, {cols}, max({n_1})::BIGINT AS num_samples_fat, max({n_2})::BIGINT AS num_samples_control FROM {source} GROUP BY ALL)"
+
+
+_OLD_P = [f'"{n}_frequency_p_value"' for n in NUCLEOTIDES]
+_OLD_NAMES = f"{_OLD}, num_samples_fat, num_samples_control"
+_OLD_RAW = ", ".join(f"{c} * count(*) OVER () / row_number() OVER (ORDER BY {c}) AS raw_{i}, row_number() OVER (ORDER BY {c}) AS rn_{i}" for i, c in enumerate(_OLD_P))
+_OLD_ADJ = ", ".join(f"least(1, min(raw_{i}) OVER (ORDER BY rn_{i} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS adj_{i}" for i in range(4))
+_OLD_BH = f""", full_rows AS (SELECT * FROM ow WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _OLD_P)}), ranked AS (SELECT *, {_OLD_RAW} FROM full_rows), done AS (SELECT *, {_OLD_ADJ} FROM ranked)
+SELECT {_OLD_NAMES}, {", ".join(_r(c, c[1:-1]) for c in _OLD_P)}, {", ".join(_r(f"adj_{i}", f"{c[1:-1]}_adj") for i, c in enumerate(_OLD_P))}, {_r(f"least({', '.join(_OLD_P)})", "min_p_value")}, {_r("least(adj_0, adj_1, adj_2, adj_3)", "min_p_value_adj")} FROM done"""
+
+
+@_query(_recursive(_old_long('"group"') + _rank_sum(_OLD_K, 6) + _old_wide("mw", "n_1", "n_2") + _OLD_BH))
 def legacy_group_tests(spark: SparkSession, d: str) -> DataFrame:
     freq = frequency.frequencies(view(spark, d, adapters.PROFILE))
     return _rounded(legacy.adjusted(legacy.group_tests(freq, *CONFIG.groups, ["MAG_ID", "contig", "position", "gene_id"])))
 
 
-@_query()
+_OLD_PAIRS = f""", d AS (SELECT {_OLD_K}, "subjectID", max(x) FILTER ("group" = 'fat') - max(x) FILTER ("group" = 'control') AS x FROM l GROUP BY ALL
+ HAVING count(*) FILTER ("group" = 'fat') > 0 AND count(*) FILTER ("group" = 'control') > 0)"""
+_OLD_PLAIN = f" SELECT {_OLD_NAMES}, {', '.join(_r(c, c[1:-1]) for c in _OLD_P)}, {_r(f'least({', '.join(_OLD_P)})', 'min_p_value')} FROM ow"
+
+
+@_query(_recursive(_old_long("CASE WHEN time = 'pre' THEN 'fat' ELSE 'control' END") + _OLD_PAIRS + _signed_rank(_OLD_K) + _old_wide("(SELECT * FROM sr WHERE n >= 6)", "n", "n") + _OLD_PLAIN))
 def legacy_group_tests_paired(spark: SparkSession, d: str) -> DataFrame:
     freq = frequency.frequencies(view(spark, d, adapters.PROFILE)).withColumn("group", F.when(F.col("time") == "pre", "fat").otherwise("control"))
     return _rounded(legacy.group_tests(freq, *CONFIG.groups, ["MAG_ID", "contig", "position", "gene_id"], paired=True))
@@ -522,9 +616,17 @@ def copy_counts(spark: SparkSession, d: str) -> DataFrame:
     return catalog.copy_counts(_manifest(spark, d))
 
 
+def oracle_text(name: str) -> str:
+    return _ORACLES[name]
+
+
 def queries() -> dict[str, Query]:
+    from . import filequeries  # noqa: F401
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import filequeries  # noqa: F401
+
     return dict(_ORACLES)

@@ -1,56 +1,124 @@
 """Alignment files as a Spark data source: ``spark.read.format("bam").load(path)``.
 
-A file is a partition. BGZF blocks are gzip members, so they are inflated one after the
-other and records are parsed as the bytes come; memory does not depend on the file size.
+BGZF files are cut into ranges of ``splitBytes`` (an option) that are read on their own: a
+task starts at the first block in its range and at the first record that begins there,
+which is told by a chain of records that fit the header. Blocks are inflated one after the
+other, so memory does not depend on the file size. Plain gzip files are one range.
 """
 
 from __future__ import annotations
 
-import glob
 import io
 import itertools
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..schemas import READS
+from .shared import find, store
 
 _SEQ = "=ACMGRSVTWYHKDBN"
 _OPS = "MIDNSHP=X"
+_PAIRS = [a + b for a in _SEQ for b in _SEQ]
 BLOCK = 1 << 18
-
-
-class _Bytes:
-    """Exact reads from a BGZF (or plain gzip) file."""
-
-    def __init__(self, file: BinaryIO) -> None:
-        self.file, self.held = file, bytearray()
-        self.inflate, self.rest = zlib.decompressobj(31), b""
-
-    def read(self, n: int) -> bytes:
-        while len(self.held) < n:
+SPLIT = 64 << 20
+ROWS = 10_000
+#: Records that must follow one another for a start to be taken as one.
+CHAIN = 6
+_KINDS = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()))
+_NAMES = [c.split()[0] for c in READS.split(", ")]
+
+
+def block_size(head: bytes) -> int:
+    """The whole size of the BGZF block that starts with these bytes; 0 if none does."""
+    if len(head) < 18 or head[:4] != b"\x1f\x8b\x08\x04":
+        return 0
+    extra = struct.unpack_from("<H", head, 10)[0]
+    at, end = 12, min(12 + extra, len(head))
+    while at + 6 <= end:
+        n = struct.unpack_from("<H", head, at + 2)[0]
+        if head[at : at + 2] == b"BC" and n == 2:
+            return struct.unpack_from("<H", head, at + 4)[0] + 1
+        at += 4 + n
+    return 0
+
+
+class Stream:
+    """Exact reads from a BGZF (or plain gzip) file, from a block on; it knows in which block the next byte is."""
+
+    def __init__(self, file: BinaryIO, start: int = 0) -> None:
+        self.file, self.held, self.taken = file, bytearray(), 0
+        file.seek(start)
+        self.next = start
+        self.blocks: list[tuple[int, int]] = []  # end in the inflated bytes, place in the file
+        self.end = 0
+        head = file.read(64)
+        file.seek(start)
+        self.plain = None if block_size(head) or not head else zlib.decompressobj(31)
+        self.rest = b""
+
+    def _more(self) -> bool:
+        """Inflate one more block (or part of a plain file); False at the end."""
+        if self.plain is not None:
             data = self.rest or self.file.read(BLOCK)
             if not data:
-                break
-            self.held += self.inflate.decompress(data)
-            self.rest = self.inflate.unused_data
-            if self.inflate.eof:
-                self.inflate = zlib.decompressobj(31)
-        out = bytes(self.held[:n])
+                return False
+            out = self.plain.decompress(data)
+            self.rest = self.plain.unused_data
+            if self.plain.eof:
+                self.plain = zlib.decompressobj(31)
+            place = 0
+        else:
+            head = self.file.read(18)
+            if not head:
+                return False
+            size = block_size(head + self.file.read(46)) if len(head) == 18 else 0
+            if not size:
+                raise ValueError("not a BGZF block")
+            self.file.seek(self.next)
+            data = self.file.read(size)
+            skip = 12 + struct.unpack_from("<H", data, 10)[0]
+            out, place = zlib.decompress(data[skip:-8], -15), self.next
+            self.next += size
+        self.held += out
+        self.end += len(out)
+        if out:
+            self.blocks.append((self.end, place))
+        return True
+
+    def place(self) -> int | None:
+        """The file place of the block that holds the next byte; None at the end."""
+        while not self.held:
+            if not self._more():
+                return None
+        while self.blocks[0][0] <= self.taken:
+            self.blocks.pop(0)
+        return self.blocks[0][1]
+
+    def peek(self, n: int) -> bytes:
+        while len(self.held) < n and self._more():
+            pass
+        return bytes(self.held[:n])
+
+    def read(self, n: int) -> bytes:
+        out = self.peek(n)
         del self.held[:n]
+        self.taken += len(out)
         return out
 
     def close(self) -> None:
         self.file.close()
 
 
-def header(stream: _Bytes) -> list[tuple[str, int]]:
+def header(stream: Stream) -> list[tuple[str, int]]:
     """Names and lengths of the reference contigs."""
     if stream.read(4) != b"BAM\1":
         raise ValueError("not a BAM file")
@@ -62,48 +130,134 @@ def header(stream: _Bytes) -> list[tuple[str, int]]:
     return out
 
 
-def records(stream: _Bytes, contigs: list[tuple[str, int]], sample: str) -> Iterator[tuple]:
-    while len(size := stream.read(4)) == 4:
+def records(stream: Stream, contigs: list[tuple[str, int]], sample: str, until: int | None = None) -> Iterator[tuple]:
+    """The records that begin in blocks before ``until``."""
+    while (place := stream.place()) is not None and (until is None or place < until):
+        size = stream.read(4)
+        if len(size) < 4:
+            return
         data = stream.read(struct.unpack("<i", size)[0])
         ref, pos, name_len, mapq, _, n_cigar, flag, length = struct.unpack_from("<iiBBHHHi", data)
         at = 32 + name_len
         name = data[32 : at - 1].decode()
-        cigar = "".join(f"{c >> 4}{_OPS[c & 15]}" for c in struct.unpack_from(f"<{n_cigar}I", data, at))
+        cigar = "".join([f"{c >> 4}{_OPS[c & 15]}" for c in struct.unpack_from(f"<{n_cigar}I", data, at)])
         at += 4 * n_cigar
         packed = data[at : at + (length + 1) // 2]
         at += len(packed)
-        seq = "".join(_SEQ[b >> 4] + _SEQ[b & 15] for b in packed)[:length]
-        qual = list(data[at : at + length])
-        yield sample, name, flag, contigs[ref][0] if ref >= 0 else None, pos, mapq, cigar, seq, qual
+        seq = "".join([_PAIRS[b] for b in packed])[:length]
+        yield sample, name, flag, contigs[ref][0] if ref >= 0 else None, pos, mapq, cigar, seq, list(data[at : at + length])
+
+
+def _fits(data: bytes, at: int, contigs: list[tuple[str, int]]) -> int:
+    """The end of a plausible record at a place; 0 if there is none, -1 if more bytes are needed."""
+    if at + 36 > len(data):
+        return -1
+    size, ref, pos, name_len, _, _, n_cigar, _, length, mate, mate_pos = struct.unpack_from("<iiiBBHHHiii", data, at)
+    need = 32 + name_len + 4 * n_cigar + (length + 1) // 2 + length
+    if not (0 <= length and name_len >= 2 and need <= size < 1 << 28 and -1 <= ref < len(contigs) and -1 <= mate < len(contigs)):
+        return 0
+    for r, p in ((ref, pos), (mate, mate_pos)):
+        if p < -1 or (r >= 0 and p >= contigs[r][1]):
+            return 0
+    body = at + 36
+    if body + name_len + 4 * n_cigar > len(data):
+        return -1
+    name = data[body : body + name_len]
+    if name[-1] or not all(33 <= c <= 126 for c in name[:-1]):
+        return 0
+    ops = struct.unpack_from(f"<{n_cigar}I", data, body + name_len)
+    if any(c & 15 > 8 for c in ops) or (n_cigar and length and sum(c >> 4 for c in ops if c & 15 in (0, 1, 4, 7, 8)) != length):
+        return 0
+    return at + 4 + size
+
+
+def first_record(stream: Stream, contigs: list[tuple[str, int]]) -> bool:
+    """Skip to the first record of a stream that starts in the middle; False if none begins."""
+    most = 1 << 16
+    at = 0
+    while True:
+        data = stream.peek(most)
+        done = len(data) < most
+        while at < len(data):
+            end, n = at, 0
+            while n < CHAIN and end < len(data) and (step := _fits(data, end, contigs)) > 0:
+                end, n = step, n + 1
+            if n == CHAIN or (n and done and end == len(data)):
+                stream.read(at)
+                return True
+            if not done and end < len(data) + 1 and (end >= len(data) or _fits(data, end, contigs) < 0):
+                break  # more bytes decide
+            at += 1
+        if done:
+            return False
+        most *= 2
+
+
+def first_block(file: BinaryIO, start: int, size: int) -> int | None:
+    """The place of the first block at or behind ``start``: one whose size leads to another or to the end."""
+    at = start
+    while at < size:
+        file.seek(at)
+        data = file.read(1 << 17)
+        for m in re.finditer(rb"\x1f\x8b\x08\x04", data):
+            if m.start() >= 1 << 16:
+                break
+            place = at + m.start()
+            n = block_size(data[m.start() : m.start() + 64])
+            if n:
+                file.seek(place + n)
+                if place + n == size or block_size(file.read(64)):
+                    return place
+        at += 1 << 16
+    return None
 
 
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
+class _Range(InputPartition):
+    def __init__(self, path: str, start: int, end: int | None) -> None:
+        self.path, self.start, self.end = path, start, end
+
+
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    while part := list(itertools.islice(rows, ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), _KINDS, strict=True)], names=_NAMES)
 
 
 class BamReader(DataSourceReader):
-    def __init__(self, path: str, only_header: bool) -> None:
-        self.path, self.only_header = path, only_header
+    def __init__(self, path: str, only_header: bool, split: int) -> None:
+        self.path, self.only_header, self.split = path, only_header, split
 
-    def partitions(self) -> list[_File]:
-        path = self.path.removeprefix("file://")
-        found = sorted(glob.glob(os.path.join(path, "*.bam")) if os.path.isdir(path) else glob.glob(path))
+    def partitions(self) -> list[_Range]:
+        found = find(self.path, "*.bam")
         if not found:
-            raise FileNotFoundError(path)
-        return [_File(p) for p in found]
+            raise FileNotFoundError(self.path)
+        out = []
+        for path in found:
+            system, at = store(path)
+            size = system.get_file_info(at).size
+            with system.open_input_file(at) as file:
+                whole = self.only_header or not block_size(file.read(64))
+            cuts = [0] if whole else list(range(0, max(size, 1), self.split))
+            out += [_Range(path, a, b) for a, b in zip(cuts, [*cuts[1:], None], strict=True)]
+        return out
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        stream = _Bytes(open(partition.path, "rb"))
-        try:
-            sample = os.path.basename(partition.path).split(".")[0]
+    def read(self, partition: _Range) -> Iterator:
+        system, at = store(partition.path)
+        size = system.get_file_info(at).size
+        sample = os.path.basename(at).split(".")[0]
+        with system.open_input_file(at) as file:
+            stream = Stream(file)
             contigs = header(stream)
             if self.only_header:
                 yield from ((sample, name, length) for name, length in contigs)
-            else:
-                yield from records(stream, contigs, sample)
-        finally:
-            stream.close()
+                return
+            if partition.start:
+                start = first_block(file, partition.start, size)
+                if start is None or (partition.end is not None and start >= partition.end):
+                    return
+                stream = Stream(file, start)
+                if not first_record(stream, contigs):
+                    return
+            yield from _batches(records(stream, contigs, sample, partition.end))
 
 
 class Bam(DataSource):
@@ -115,7 +269,7 @@ class Bam(DataSource):
         return READS
 
     def reader(self, schema: object) -> BamReader:
-        return BamReader(self.options["path"], False)
+        return BamReader(self.options["path"], False, int(self.options.get("splitBytes", SPLIT)))
 
 
 class BamHeader(Bam):
@@ -127,7 +281,7 @@ class BamHeader(Bam):
         return "sample_id string, contig string, length bigint"
 
     def reader(self, schema: object) -> BamReader:
-        return BamReader(self.options["path"], True)
+        return BamReader(self.options["path"], True, SPLIT)
 
 
 def register(spark: SparkSession) -> None:
@@ -138,39 +292,54 @@ def register(spark: SparkSession) -> None:
 def _parse_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
-            stream = _Bytes(io.BytesIO(content))
+            stream = Stream(io.BytesIO(content))
             rows = records(stream, header(stream), os.path.basename(path).split(".")[0])
-            while part := list(itertools.islice(rows, 20_000)):
-                yield pd.DataFrame(part, columns=[c.split()[0] for c in READS.split(", ")])
+            while part := list(itertools.islice(rows, ROWS)):
+                yield pd.DataFrame(part, columns=_NAMES)
 
 
 def read_anywhere(spark: SparkSession, path: str) -> DataFrame:
-    """READS of files in any store that Spark reads; a compressed file must fit an executor (2 GB at most).
+    """READS of files in a store that only Spark opens; a compressed file must fit an executor (2 GB at most).
 
-    The data source above needs paths that executors can open, but streams files of any size.
+    The data source above reads files of any size, in every store that pyarrow opens.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bam").load(path).select("path", "content")
     return files.mapInPandas(_parse_contents, READS)
 
 
-def write_bam(path: str, contigs: list[tuple[str, int]], rows: list[dict]) -> None:
-    """A small BAM file from read rows, for tests and exports of few reads."""
+def write_bams(reads: DataFrame, root: str, contigs: list[tuple[str, int]]) -> DataFrame:
+    """``<sample>.sorted.bam`` of each sample below root, by place; (sample_id, file_path, rows). A sample is one task."""
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        sample = pdf["sample_id"].iloc[0]
+        path = f"{root.rstrip('/')}/{sample}.sorted.bam"
+        system, at = store(path)
+        system.create_dir(at.rpartition("/")[0], recursive=True)
+        write_bam(path, contigs, pdf.sort_values(["contig", "pos", "read_name", "flag"]).to_dict("records"))
+        return pd.DataFrame([{"sample_id": sample, "file_path": path, "rows": len(pdf)}])
+
+    return reads.groupBy("sample_id").applyInPandas(write, "sample_id string, file_path string, rows bigint")
+
+
+def write_bam(path: str, contigs: list[tuple[str, int]], rows: list[dict], block: int = 60_000) -> None:
+    """A small BAM file from read rows, for tests and exports of few reads; BGZF, with its end mark."""
     names = [c for c, _ in contigs]
     out = bytearray(b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs)))
     for name, length in contigs:
         raw = name.encode() + b"\0"
         out += struct.pack("<i", len(raw)) + raw + struct.pack("<i", length)
-    import re
-
     for r in rows:
         name = r["read_name"].encode() + b"\0"
         ops = [(int(n) << 4) | _OPS.index(o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", r["cigar"])]
         codes = [_SEQ.index(c) if c in _SEQ else 15 for c in r["seq"].upper()]
         packed = bytes((codes[i] << 4) | (codes[i + 1] if i + 1 < len(codes) else 0) for i in range(0, len(codes), 2))
         body = struct.pack("<iiBBHHHiiii", names.index(r["contig"]), r["pos"], len(name), r["mapq"], 0, len(ops), r["flag"], len(codes), -1, -1, 0)
-        body += name + struct.pack(f"<{len(ops)}I", *ops) + packed + bytes(r["qual"])
+        body += name + struct.pack(f"<{len(ops)}I", *ops) + packed + bytes(int(q) for q in r["qual"])
         out += struct.pack("<i", len(body)) + body
-    with open(path, "wb") as f:
-        for a in range(0, max(len(out), 1), 60_000):
-            gz = zlib.compressobj(6, zlib.DEFLATED, 31)
-            f.write(gz.compress(bytes(out[a : a + 60_000])) + gz.flush())
+    system, at = store(path)
+    with system.open_output_stream(at) as f:
+        for a in [*range(0, len(out), block), len(out)]:
+            part = bytes(out[a : a + block])
+            packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+            data = packer.compress(part) + packer.flush()
+            f.write(b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(part), len(part)))

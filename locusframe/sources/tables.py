@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.ids import contig_of_gene, genome_of, require, sample_of
+from .shared import store
 
 PROFILE_GLOB = "*_profiled.tsv.gz"
 
 
-def read_table(spark: SparkSession, path: str | list[str], schema: str | None = None, sep: str = "\t", columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str | list[str], schema: str | T.StructType | None = None, sep: str = "\t", columns: list[str] | None = None) -> DataFrame:
     """A delimited file with a header. With a schema, its columns are found by their names in the header and typed; the rest is not parsed.
 
     Only the empty string is null. Ids keep their zeros, as nothing is inferred; without a
@@ -28,6 +33,19 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str | None =
     return raw
 
 
+def typed_by_name(df: DataFrame) -> DataFrame:
+    """A table of strings with the types that this engine's column names stand for."""
+
+    def kind(name: str) -> str:
+        if "p_value" in name or "score" in name or "frequency" in name or name in ("breadth",):
+            return "double"
+        if name in ("position", "total_coverage", "total_sites", "significant_sites", "genome_size", *"ACGTN") or "_sites_" in name or name.startswith("num_") or name.endswith("_count"):
+            return "bigint"
+        return "string"
+
+    return df.select(*[F.col(f"`{c}`").cast(kind(c)).alias(c) for c in df.columns])
+
+
 def write_table(df: DataFrame, path: str, compressed: bool = True, partition_by: list[str] | None = None, mode: str = "errorifexists") -> None:
     """TSV with a header; white space at the ends of values is kept."""
     writer = df.write.mode(mode).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -36,6 +54,53 @@ def write_table(df: DataFrame, path: str, compressed: bool = True, partition_by:
     writer.csv(path, sep="\t", header=True, compression="gzip" if compressed else "none")
 
 
+def write_files(df: DataFrame, root: str, by: list[str], name: str, order: list[str] | None = None) -> DataFrame:
+    """One TSV with a header for each group of ``by`` below root; (by..., file_path, rows) of what was written.
+
+    ``name`` is a path with the group's values in braces, such as ``{sample_id}/{MAG_ID}.tsv.gz``;
+    .gz is compressed. A group is one file, so it is written by one task; groups without
+    rows have no file. A task that runs again writes the same file again.
+    """
+    columns = [c for c in df.columns if c not in by]
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        values = {c: pdf[c].iloc[0] for c in by}
+        path = f"{root.rstrip('/')}/{name.format(**values)}"
+        system, at = store(path)
+        system.create_dir(at.rpartition("/")[0], recursive=True)
+        text = (pdf.sort_values(order, kind="stable") if order else pdf)[columns].to_csv(sep="\t", index=False).encode()
+        with system.open_output_stream(at, compression=None) as f:
+            f.write(gzip.compress(text, mtime=0) if name.endswith(".gz") else text)
+        return pd.DataFrame([{**values, "file_path": path, "rows": len(pdf)}])
+
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in by], "file_path string", "rows bigint"])
+    integers = [c for c in columns if kinds[c] in ("bigint", "int")]
+    # A whole number beside nulls would be written as a float.
+    return df.withColumns({c: F.col(c).cast("string") for c in integers if c not in (order or [])}).groupBy(*by).applyInPandas(write, schema)
+
+
+def write_profiles(profiles: DataFrame, root: str) -> DataFrame:
+    """PROFILE files as ``<sample>.sorted/<sample>.sorted_<genome>_profiled.tsv.gz``, by position; the list of them."""
+    names = [c.split()[0] for c in schemas.PROFILE.split(", ")]
+    own = with_genome_id(profiles).select("sample_id", "MAG_ID", *names)
+    return write_files(own, root, ["sample_id", "MAG_ID"], "{sample_id}.sorted/{sample_id}.sorted_{MAG_ID}_profiled.tsv.gz", ["contig", "position"])
+
+
+def read_together(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Tables under one another by the names of their columns; a column that a table lacks is null there."""
+    frames = [read_table(spark, p) for p in paths]
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
+def read_legacy_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """sample, diet and mouse of the older metadata table; all three columns are needed."""
+    return read_table(spark, path, schemas.LEGACY_METADATA)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists") -> None:
     (df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)).parquet(path)
 
@@ -53,8 +118,8 @@ def with_identity(df: DataFrame) -> DataFrame:
     return df.select("*", known.alias("sample_id"), genome.alias("MAG_ID"))
 
 
-def read_profiles(spark: SparkSession, root: str) -> DataFrame:
-    """All profiles below a folder as one relation, with sample_id and MAG_ID."""
+def read_profiles(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """All profiles below a folder (or of a list of files) as one relation, with sample_id and MAG_ID."""
     raw = spark.read.schema(schemas.PROFILE).csv(root, sep="\t", header=True, enforceSchema=True, pathGlobFilter=PROFILE_GLOB, recursiveFileLookup=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return with_identity(raw).where(F.col("sample_id") != "")
 
@@ -113,7 +178,7 @@ def read_snv(spark: SparkSession, glob: str, metadata: DataFrame) -> DataFrame:
     fields = [f.strip().split() for f in schemas.SNV.split(",")]
     require(raw.columns, [name for name, _ in fields])
     typed = raw.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields], "sample")
-    joined = typed.join(F.broadcast(metadata), "sample", "left")
+    joined = typed.join(metadata, "sample", "left")
     return joined.withColumns({c: F.coalesce(c, F.lit("Unknown")) for c in ("diet", "mouse")})
 
 

@@ -39,9 +39,8 @@ def test_same_as_duckdb(spark, duck, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
-def test_runs(spark, name):
-    assert queries.queries()[name](spark, DATA).count() >= 0
+def test_every_query_has_an_oracle():
+    assert set(queries.queries()) == set(queries.oracle_sql())
 
 
 def test_entry(spark):
@@ -49,14 +48,16 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_reference_of_every_site(spark):
+def test_queries_have_rows(spark):
+    """Every site is looked up, and subjects of one time point occur."""
     q = queries.queries()
-    got = q["reference_base_all"](spark, DATA)
+    got = q["reference_base"](spark, DATA)
     assert got.count() == q["interval_annotate"](spark, DATA).count() == 5334
     assert got.where("position >= 40").count() > 5000
+    assert q["subjects_single_timepoint"](spark, DATA).count() > 10
 
 
-def test_single_subjects_of_all_rows(spark):
-    q = queries.queries()
-    some, whole = ({r["subjectID"] for r in q[n](spark, DATA).collect()} for n in ("subjects_single_timepoint", "subjects_single_timepoint_all"))
-    assert len(whole) == 1 and len(some) == 7
+@pytest.mark.parametrize(("name", "first"), [("mag_score_sorted", lambda r: -r["score_tTest (%)"]), ("legacy_gene_score_sorted", lambda r: -r["score"]), ("legacy_group_tests_sorted", lambda r: (r["contig"], r["position"])), ("legacy_outlier_genes", lambda r: r["p_value"])])
+def test_sorted(spark, name, first):
+    rows = queries.queries()[name](spark, DATA).collect()
+    assert len(rows) > 5 and rows == sorted(rows, key=first)

@@ -1,5 +1,7 @@
 """Operators on small frames that hold the edge cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,7 +133,7 @@ def test_scores(spark):
     assert [r["gene_id"] for r in genes["overlapping"].collect()] == ["g1,g2 "]
     none = scores.gene_scores(df.where("position > 1"))["overlapping"]
     assert none.columns == genes["overlapping"].columns and none.count() == 0
-    with pytest.raises(Exception, match="NaNs found in p-value column"):
+    with pytest.raises(Exception, match="some of a test's p-values"):
         scores.score_by(spark.createDataFrame([("m", "g", 1, 0.1, None, 0.1, 0.1)], PV), ["MAG_ID"]).collect()
     with pytest.raises(ValueError):
         scores.genome_scores(df, df, "nothing")
@@ -205,3 +207,48 @@ def test_catalog(spark):
     assert rows(catalog.copy_counts(manifest), "MAG_ID", "found", "missing") == sorted([("m", 2, 1), ("n", 1, 2), (None, 3, 3)], key=str)
     with pytest.raises(ValueError):
         StudyConfig(("a", "a"))
+
+
+def test_pairs_once(spark):
+    """Equal bases of a pair add their qualities, different ones keep eight tenths of the better; other reads stay apart."""
+    reads = [
+        ("s", "p", 0x43, "k", 10, 60, "4M", "ACGT", [20, 20, 40, 36]),
+        ("s", "p", 0x83, "k", 11, 60, "4M", "CTTA", [20, 37, 31, 40]),
+        ("s", "u", 0, "k", 30, 60, "1M", "A", [40]),
+        ("s", "u", 0, "k", 30, 60, "1M", "A", [40]),
+        ("s", "d", 0x43, "k", 50, 60, "2M3D2M", "AACC", [40] * 4),
+        ("s", "d", 0x83, "k", 53, 60, "4M", "GGGG", [50] * 4),
+        ("t", "p", 0x43, "k", 11, 60, "1M", "G", [40]),
+        ("s", "far", 0x43, "k", 100, 60, "2M", "AA", [40, 29]),
+        ("s", "far", 0x83, "k", 300, 60, "2M", "AA", [40, 40]),
+    ]
+    frame = spark.createDataFrame(reads, READS).repartition(3)
+    got = {(r["sample_id"], r["position"]): {b: r[b] for b in "ACGTN" if r[b]} for r in pileup.count_bases(pileup.bases(frame), ["sample_id", "position"]).collect()}
+    assert ("s", 10) not in got and got["s", 11] == {"C": 1} and got["s", 12] == {"G": 1} and got["s", 13] == {"T": 1} and got["s", 14] == {"A": 1}
+    assert got["s", 30] == {"A": 2} and got["t", 11] == {"G": 1}
+    assert got["s", 50] == got["s", 51] == {"A": 1} and got["s", 53] == got["s", 54] == {"G": 1} and got["s", 55] == {"G": 1}
+    assert got["s", 100] == {"A": 1} and ("s", 101) not in got and got["s", 300] == {"A": 1}
+    every = pileup.count_bases(pileup.bases(frame, once_per_pair=False), ["sample_id", "position"])
+    assert {r["position"]: r["total_coverage"] for r in every.where("sample_id = 's'").collect()}[55] == 2
+    plan = pileup.bases(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+
+
+def test_adjusted_where_values_crowd(spark):
+    """P-values that crowd at 0 and 1, with ties and nulls, by family, as by the plain formula."""
+    rng = random.Random(2)
+    data = []
+    for i in range(4000):
+        p = rng.choice((rng.random() ** 30, 1 - rng.random() ** 20, rng.random(), 0.5, 1.0, None))
+        data.append((i, rng.choice("ab"), p))
+    df = spark.createDataFrame(data, "i int, f string, p double")
+    got = {r["i"]: r["q"] for r in fdr.bh(df, "p", "q", ["f"]).collect()}
+    for family in "ab":
+        ps = sorted((p, i) for i, f, p in data if f == family and p is not None)
+        least = 1.0
+        for rank in range(len(ps), 0, -1):
+            p, i = ps[rank - 1]
+            least = min(least, p * len(ps) / rank)
+            assert got[i] == pytest.approx(least, rel=1e-9)
+    assert all(got[i] is None for i, _, p in data if p is None)
+    assert fdr.bh(df.where("p > 2"), "p", "q").count() == 0

@@ -1,4 +1,6 @@
 import gzip
+import os
+import random
 
 import pytest
 
@@ -6,7 +8,7 @@ from locusframe.config import StudyConfig
 from locusframe.operators import pileup
 from locusframe.plans import study
 from locusframe.schemas import PROFILE
-from locusframe.sources import bam, tables
+from locusframe.sources import bam, shared, tables
 from locusframe.streaming import coverage
 
 HEAD = "contig\tposition\tref_base\ttotal_coverage\tA\tC\tG\tT\tN\tgene_id\n"
@@ -115,3 +117,56 @@ def test_study(spark, tmp_path):
     assert spark.read.parquet(paths["two_sample_unpaired"]).count() == 3
     assert spark.read.parquet(paths["two_sample_paired_gene_scores_individual"]).count() == 2
     assert spark.read.parquet(paths["single_sample_taxa_scores"]).count() == 7
+
+
+def test_bam_ranges(tmp_path):
+    """Every record is read once, wherever the ranges and blocks end."""
+    rng = random.Random(3)
+    reads = [{"read_name": f"r{i}", "flag": 67, "contig": f"k{i % 2}", "pos": rng.randrange(390), "mapq": 60, "cigar": "12M", "seq": "".join(rng.choice("ACGTN") for _ in range(12)), "qual": [rng.randrange(60) for _ in range(12)]} for i in range(4000)]
+    path = str(tmp_path / "x.bam")
+    for block in (60_000, 2500):
+        bam.write_bam(path, [("k0", 400), ("k1", 400)], reads, block)
+        for split in (1 << 20, 30_000, 3000):
+            reader = bam.BamReader(path, False, split)
+            names = [n for p in reader.partitions() for b in reader.read(p) for n in b.column(1).to_pylist()]
+            assert len(reader.partitions()) == -(-os.path.getsize(path) // split) and names == [r["read_name"] for r in reads]
+
+
+def test_bam_plain_gzip(tmp_path):
+    bam.write_bam(str(tmp_path / "x.bam"), [("k", 9)], [])
+    raw = gzip.decompress((tmp_path / "x.bam").read_bytes())
+    (tmp_path / "y.bam").write_bytes(gzip.compress(raw))
+    reader = bam.BamReader(str(tmp_path / "y.bam"), True, 10)
+    assert [list(reader.read(p)) for p in reader.partitions()] == [[("y", "k", 9)]]
+
+
+def test_files_by_group(spark, tmp_path):
+    df = spark.createDataFrame([("a", 2, None), ("a", 1, "x"), ("b", 3, "")], "k string, n bigint, v string")
+    made = tables.write_files(df, str(tmp_path), ["k"], "{k}/{k}.tsv", ["n"]).collect()
+    assert sorted((r["k"], r["rows"]) for r in made) == [("a", 2), ("b", 1)]
+    assert (tmp_path / "a" / "a.tsv").read_text() == "n\tv\n1\tx\n2\t\n"
+    tables.write_files(df.withColumn("v", df["n"]), str(tmp_path), ["k"], "{k}/z.tsv").collect()
+    assert (tmp_path / "b" / "z.tsv").read_text() == "n\tv\n3\t3\n"
+
+
+def test_shared_folder(spark):
+    class Elsewhere:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+    with pytest.raises(RuntimeError):
+        shared.shared_dir(Elsewhere)
+    assert shared.fresh(spark, "x") != shared.fresh(spark, "x")
+
+
+def test_tables_together(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("x\ty\n1\t2\n")
+    (tmp_path / "b.tsv").write_text("y\tz\n3\t4\n")
+    got = tables.read_together(spark, [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")])
+    assert sorted((r["x"] or "", r["y"], r["z"] or "") for r in got.collect()) == [("", "3", "4"), ("1", "2", "")]
+    with pytest.raises(ValueError):
+        tables.read_legacy_metadata(spark, str(tmp_path / "a.tsv"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.llm import decontaminate, linededup, ngramjoin, packing, toxicity
-from locusframe.llm.common import broadcast_if_small, table, written
+from locusframe.llm.common import broadcast_if_small, given_back, table, written
 from locusframe.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -35,6 +35,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts linked by 75 % of their shingles, the one of smallest id stays."""
     docs = docs.select(*COLUMNS)
+    given_back(spark)
     found = written(ngramjoin.join_components(docs).select("doc_id", "component_id"), "components")
     gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(broadcast_if_small(gone), "doc_id", "left_anti")
@@ -51,6 +52,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences."""
+    given_back(spark)
     pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -22,8 +22,9 @@ CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 MASK64 = (1 << 64) - 1
 
-#: Rows up to which a side of eight-byte keys may be broadcast; beyond it joins shuffle.
+#: Rows, and bytes written as JSON, up to which a side may be broadcast; beyond either, joins shuffle.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 48 << 20
 UNKNOWN_BYTES = 16 << 20
 
 
@@ -32,10 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; an own one only where none is set."""
+    """The folder that driver and executors share; an own local one only where none is set and all runs on this machine."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="locusframe-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
@@ -57,6 +60,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def given_back(spark: SparkSession) -> None:
+    """Let the executors' JVMs collect garbage and shrink before Python workers need memory.
+
+    A heap that a shuffle has grown stays at its greatest size, and counts against the
+    executor beside the workers. Nothing depends on whether every executor gets a task.
+    """
+    n = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).where(F.coalesce(F.java_method(F.lit("java.lang.System"), F.lit("gc")), F.lit("")) != "-").count()
+
+
 def shards_for(df: DataFrame, bytes_each: int, least: int = 16) -> int:
     """Number of hash-range shards, in proportion to the scanned input's files.
 
@@ -70,15 +83,28 @@ def shards_for(df: DataFrame, bytes_each: int, least: int = 16) -> int:
     return int(min(max(least, -(-size // bytes_each)), 1 << 20))
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a side has at most so many rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a side has at most so many rows and bytes; reads no more rows than that."""
+    found = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()
+    return found["n"] <= rows and (found["b"] or 0) <= most_bytes
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns that are added to df meanwhile: none that it has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def released(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """f for mapInArrow, giving the memory it has freed back to the system as a task ends.
 

@@ -14,7 +14,8 @@ for hits only.
 Definitions: words are runs other than white space (bytes 9-13 and 32) after lower();
 shingles are distinct runs of ``n`` words. Items with fewer words, null or empty texts
 match nothing. Null ids are joined null-safely; repeated rows are judged each on its
-own. Empty tables give no matches.
+own. Very long texts: every step is linear in a text's words. Other columns keep their
+names, whatever they are, but for ``items``. Empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, written
+from .common import broadcast_if_small, own_names, written
 
 #: Sketch hashes, and candidate pairs, up to which a side is broadcast.
 BROADCAST_SKETCH = 200_000
@@ -63,6 +64,7 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
     A column of docs with that name is replaced.
     """
     docs = docs.drop("items")
+    of_id, held_by, w, s = own_names(docs, "__id", "__found", "__w", "__s")
     known = sketches(items, item_id, item_text, n, percent)
     probes = broadcast_if_small(known.select("item_id", F.explode("sketch").alias("hash")), BROADCAST_SKETCH)
     split = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
@@ -71,17 +73,17 @@ def with_items(docs: DataFrame, items: DataFrame, percent: int = 75, n: int = 5,
     held = known.select(F.col("item_id").alias("of_item"), "n_item", "shingles")
     found = pairs.join(held, F.col("item_id").eqNullSafe(F.col("of_item"))).select("id", "item_id", "n_item", "shingles")
     found = found.groupBy("id").agg(F.collect_list(F.struct("item_id", "n_item", "shingles")).alias("found"))
-    found = broadcast_if_small(found.select(F.col("id").alias("__id"), F.col("found").alias("__found")), BROADCAST_PAIRS)
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    joined = joined.withColumn("__w", F.when(F.col("__found").isNotNull(), words(F.col(text_col))))
+    found = broadcast_if_small(found.select(F.col("id").alias(of_id), F.col("found").alias(held_by)), BROADCAST_PAIRS)
+    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col(of_id)), "left")
+    joined = joined.withColumn(w, F.when(F.col(held_by).isNotNull(), words(F.col(text_col))))
     # An item's shingle is in the text if it is in its words, all joined by one space: linear in
     # the text, while Spark's set functions on strings are quadratic. The condition always
     # holds; as it is not deterministic, Catalyst doesn't move filters on the result below,
-    # and naming __s twice keeps it from making it anew inside the lambda for every item.
-    joined = joined.withColumn("__s", F.when(F.monotonically_increasing_id() >= 0, F.concat(F.lit(" "), F.array_join("__w", " "), F.lit(" "))))
-    inside = lambda x: F.size(F.filter(x["shingles"], lambda g: F.contains(F.col("__s"), F.concat(F.lit(" "), g, F.lit(" ")))))
-    shared = lambda x: F.least(inside(x), F.length("__s")).cast("long")
-    held = F.transform("__found", lambda x: F.struct(x["item_id"].alias("item_id"), shared(x).alias("n_shared"), x["n_item"].cast("long").alias("n_item")))
+    # and naming the text twice keeps it from making it anew inside the lambda for every item.
+    joined = joined.withColumn(s, F.when(F.monotonically_increasing_id() >= 0, F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))))
+    inside = lambda x: F.size(F.filter(x["shingles"], lambda g: F.contains(F.col(s), F.concat(F.lit(" "), g, F.lit(" ")))))
+    shared = lambda x: F.least(inside(x), F.length(s)).cast("long")
+    held = F.transform(held_by, lambda x: F.struct(x["item_id"].alias("item_id"), shared(x).alias("n_shared"), x["n_item"].cast("long").alias("n_item")))
     held = F.filter(held, lambda x: x["n_shared"] * 100 >= x["n_item"] * percent)
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], held.alias("items"))
 
@@ -96,9 +98,9 @@ def matches(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options: object) -> DataFrame:
     """The rows of docs that hold no item."""
-    renamed = docs.withColumnRenamed("items", "__items")
-    held = with_items(renamed, items, **options)
-    return held.where(F.coalesce(F.size("items"), F.lit(0)) <= 0).drop("items").withColumnRenamed("__items", "items")
+    (kept,) = own_names(docs, "__items")
+    held = with_items(docs.withColumnRenamed("items", kept), items, **options)
+    return held.where(F.coalesce(F.size("items"), F.lit(0)) <= 0).drop("items").withColumnRenamed(kept, "items")
 
 
 #: DuckDB: the rows of matches over documents and benchmark.

@@ -24,15 +24,19 @@ ordered by their texts. In a table of one row, the next document is the row itse
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import shards_for
+from .common import own_names, shards_for
 
 LEAF_CHARS = 64
 BYTES_A_RANGE = 4 << 20
-MOST_RANGES = 8192
+#: The driver holds three numbers for each range; beyond 256 GB the ranges grow instead.
+MOST_RANGES = 1 << 16
 _LEAF = rf"[^.!?]{{0,{LEAF_CHARS}}}[.!?]+\s?|[^.!?]{{1,{LEAF_CHARS}}}"
 _LOWEST = -(1 << 63)
 
@@ -71,23 +75,39 @@ def likeness(a: Column, b: Column, a_leaves: Column, b_leaves: Column) -> Column
     return F.when(a == b, F.lit(1.0)).otherwise(F.coalesce(F.try_divide(both, F.size(a_leaves) + F.size(b_leaves)), F.lit(0.0)))
 
 
+def _constant(values: list[int]) -> Column:
+    """An array that the optimizer makes once."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+
+def _below(cuts: list[int], key: Column) -> Column:
+    """How many of the sorted cuts are below a key, by every step-th first and then those behind it."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts)) + 1
+    coarse = F.size(F.filter(_constant(cuts[::step]), lambda c: c < key))
+    fine = F.size(F.filter(F.slice(_constant(cuts), (F.greatest(coarse, F.lit(1)) - 1) * step + 1, F.lit(step)), lambda c: c < key))
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine)
+
+
 def with_next(df: DataFrame, id_col: str, order: list[str], carry: list[str], ranges: int) -> DataFrame:
     """df with next_<c> for every c of ``carry``: of the next row by descending id, the first row's after the last."""
-    key = F.coalesce(F.col(id_col), F.lit(_LOWEST))
-    ids = df.select(key.alias("k"))
-    cuts = ids.agg(F.percentile_approx("k", [i / ranges for i in range(1, ranges)], 20 * ranges).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<long>"), lambda c: c < F.col("__k")))
-    heads = {r["p"]: r["m"] for r in ids.withColumnRenamed("k", "__k").groupBy(place.alias("p")).agg(F.max("__k").alias("m")).collect()}
+    key, at_range, copies = own_names(df, "__k", "__p", "__x")
+    keyed = df.withColumn(key, F.coalesce(F.col(id_col), F.lit(_LOWEST)))
+    found = keyed.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 8 * ranges).alias("c")).first()["c"] or []
+    cuts = sorted(set(found))
+    keyed = keyed.withColumn(at_range, _below(cuts, F.col(key)))
+    heads = {r["p"]: r["m"] for r in keyed.groupBy(F.col(at_range).alias("p")).agg(F.max(key).alias("m")).collect()}
     used = sorted(heads, reverse=True)
     # The first row of every range stands after the range above it too; the very first one after the last range.
     above = {p: used[i - 1] for i, p in enumerate(used)}
-    targets = F.when(F.col("__k").isin(*heads.values()), F.array(F.struct(F.lit(0).alias("copy"), F.col("__p").alias("at")), F.struct(F.lit(1).alias("copy"), F.element_at(F.create_map(*[F.lit(x) for p in used for x in (p, above[p])]), F.col("__p")).alias("at")))) if used else F.lit(None)
-    alone = F.array(F.struct(F.lit(0).alias("copy"), F.col("__p").alias("at")))
-    dealt = df.withColumn("__k", key).withColumn("__p", place).withColumn("__x", F.explode(F.coalesce(targets, alone) if used else alone))
-    w = W.partitionBy("__x.at").orderBy(F.col("__x.copy"), F.col(id_col).desc_nulls_last(), *order)
+    of = lambda values: F.get(_constant([values.get(p, 0) for p in range(len(cuts) + 1)]), F.col(at_range))
+    alone = F.struct(F.lit(0).alias("copy"), F.col(at_range).cast("bigint").alias("at"))
+    twice = F.array(alone, F.struct(F.lit(1).alias("copy"), of(above).alias("at")))
+    dealt = keyed.withColumn(copies, F.explode(F.when(F.col(key) == of(heads), twice).otherwise(F.array(alone))))
+    w = W.partitionBy(F.col(copies)["at"]).orderBy(F.col(copies)["copy"], F.col(id_col).desc_nulls_last(), *order)
     led = dealt.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carry])
-    return led.where(F.col("__x.copy") == 0).drop("__k", "__p", "__x")
+    return led.where(F.col(copies)["copy"] == 0).drop(key, at_range, copies)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

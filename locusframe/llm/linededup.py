@@ -17,7 +17,8 @@ Near copies that share less than half of their text as whole lines count as page
 
 Nulls: a null host is a host of its own; a null text stays null and counts as a page
 without lines. Blank lines are kept and not counted. Repeated rows count as pages
-of their own. Empty tables give empty results. Other columns are kept as they are.
+of their own. Very long texts: a row's lines are handled one by one. Empty tables give empty
+results. Other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,12 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import own_names, small, written
 
 SALTS = 32
 BROADCAST_LINES = 200_000
-#: Names that must not clash with the caller's columns.
-_HOST, _DROPS, _SALT, _LINES = "__host", "__drops", "__salt", "__lines"
 
 
 def _lines(text_col: str) -> Column:
@@ -52,14 +51,15 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     return joined.where(F.col("pages") > F.lit(ratio) * F.col("host_pages"))
 
 
-def _with_drops(docs: DataFrame, drops: DataFrame, host_col: str, text_col: str) -> DataFrame:
-    """docs with the list of their host's lines to drop, null without one."""
-    lists = drops.groupBy(F.col("host").alias(_HOST)).agg(F.collect_list("line_hash").alias(_DROPS))
+def _with_drops(docs: DataFrame, drops: DataFrame, host_col: str, text_col: str, name: str) -> DataFrame:
+    """docs with the list of their host's lines to drop as column ``name``, null without one."""
+    host, salt, part = own_names(docs.withColumn(name, F.lit(0)), "__host", "__salt", "__part")
+    lists = drops.groupBy(F.col("host").alias(host)).agg(F.collect_list("line_hash").alias(name))
     if small(drops, BROADCAST_LINES):
-        return docs.join(F.broadcast(lists), F.col(host_col).eqNullSafe(F.col(_HOST)), "left")
-    salted = lists.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    left = docs.withColumn("__of", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
-    return left.join(salted, F.col(host_col).eqNullSafe(F.col(_HOST)) & (F.col("__of") == F.col(_SALT)), "left").drop("__of", _SALT)
+        return docs.join(F.broadcast(lists), F.col(host_col).eqNullSafe(F.col(host)), "left").drop(host)
+    salted = lists.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = docs.withColumn(part, F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int"))
+    return left.join(salted, F.col(host_col).eqNullSafe(F.col(host)) & (F.col(part) == F.col(salt)), "left").drop(part, salt, host)
 
 
 def on_many_groups(docs: DataFrame, drops: DataFrame, host_col: str, text_col: str, ratio: float, min_pages: int) -> DataFrame:
@@ -67,8 +67,8 @@ def on_many_groups(docs: DataFrame, drops: DataFrame, host_col: str, text_col: s
     page = F.xxhash64(text_col)
     size = lambda lines: F.aggregate(lines, F.lit(0), lambda n, x: n + F.length(x))
     own = docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-    split = _with_drops(own, drops, "host", "text").where(F.col(_DROPS).isNotNull()).withColumn("lines", _lines("text"))
-    split = split.withColumn("hits", F.filter("lines", lambda x: F.array_contains(F.col(_DROPS), F.xxhash64(x))))
+    split = _with_drops(own, drops, "host", "text", "drops").where("drops IS NOT NULL").withColumn("lines", _lines("text"))
+    split = split.withColumn("hits", F.filter("lines", lambda x: F.array_contains(F.col("drops"), F.xxhash64(x))))
     held = split.where(F.size("hits") > 0).select(
         "host",
         F.xxhash64("text").alias("page"),
@@ -96,15 +96,16 @@ def drop_boilerplate(
     drops = written(boilerplate(docs, host_col, text_col, ratio, min_pages).select("host", "line_hash"), "boilerplate")
     if copies_once and drops.limit(1).count():
         drops = written(on_many_groups(docs, drops, host_col, text_col, ratio, min_pages), "boilerplate")
-    joined = _with_drops(docs, drops, host_col, text_col)
-    listed = F.coalesce(F.col(_DROPS), F.array().cast("array<long>"))
-    split = joined.withColumn(_LINES, _lines(text_col))
-    kept = F.filter(F.col(_LINES), lambda x: (F.trim(x) == "") | ~F.array_contains(listed, F.xxhash64(x)))
-    cleaned = split.withColumn("__kept", F.when(F.size(listed) > 0, kept).otherwise(F.col(_LINES)))
+    dropped, lines, left = own_names(docs, "__drops", "__lines", "__kept")
+    joined = _with_drops(docs, drops, host_col, text_col, dropped)
+    listed = F.coalesce(F.col(dropped), F.array().cast("array<long>"))
+    split = joined.withColumn(lines, _lines(text_col))
+    kept = F.filter(F.col(lines), lambda x: (F.trim(x) == "") | ~F.array_contains(listed, F.xxhash64(x)))
+    cleaned = split.withColumn(left, F.when(F.size(listed) > 0, kept).otherwise(F.col(lines)))
     return cleaned.select(
-        *[F.array_join("__kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size(_LINES), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(_LINES) - F.size("__kept"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[F.array_join(left, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(lines) - F.size(left), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 

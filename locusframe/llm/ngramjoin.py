@@ -28,7 +28,8 @@ hot class skews have its rows on one side only, where AQE splits them.
 
 Nulls and empty texts: an empty set, linked with nothing. A null doc_id keeps its row
 and is nobody's smallest id. Repeated rows are copies of each other. An empty table
-gives no rows. Other columns are ignored.
+gives no rows. Very long texts: a text's set is made at once, in some 40 times its bytes.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,7 +48,6 @@ from .graph import components
 N = 5
 BYTES_A_SHARD = 12 << 20
 FLUSH_HASHES = 1 << 21
-NO_ID = -(1 << 63)
 _STEP = [U64(pow(0xA24BAED4963EE407, k, 1 << 64)) for k in range(N)]
 _LOW = U64((1 << 40) - 1)
 
@@ -95,6 +95,7 @@ def _eight(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(U64)
 
 
+#: Hashes of classes; or, with ids, the texts of classes: counts says then which ids are there.
 DEALT = "shard int, classes binary, sizes binary, counts binary, hashes binary, ids binary"
 
 
@@ -102,6 +103,7 @@ def _deal(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: list[np.ndarray] = []
         ids: list[int] = []
+        known: list[bool] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
@@ -112,7 +114,7 @@ def _deal(shards: int):
             of = classes % U64(shards)
             for shard in np.unique(of).tolist():
                 mine = np.flatnonzero(of == shard)
-                rows.append((shard, classes[mine].tobytes(), sizes[mine].astype("<u4").tobytes(), b"", b"", np.array(ids, np.int64)[mine].tobytes()))
+                rows.append((shard, classes[mine].tobytes(), sizes[mine].astype("<u4").tobytes(), np.array(known)[mine].tobytes(), b"", np.array(ids, np.int64)[mine].tobytes()))
             # Copies need not be dealt out again.
             _, firsts = np.unique(classes, return_index=True)
             firsts = np.sort(firsts)
@@ -130,18 +132,20 @@ def _deal(shards: int):
                 rows.append((k, classes[who].tobytes(), sizes[who].astype("<u4").tobytes(), n.astype("<u4").tobytes(), _five(flat[a:b] & _LOW).tobytes(), b""))
             sets.clear()
             ids.clear()
+            known.clear()
             held = 0
             cols = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["shard", "classes", "sizes", "counts", "hashes", "ids"])
 
         for batch in batches:
-            own = batch.column(0).fill_null(NO_ID).to_pylist()
+            own, there = batch.column(0).fill_null(0).to_pylist(), batch.column(0).is_valid().to_pylist()
             raw, offsets = text_buffer(batch.column(1))
             for a, b in chunks(offsets):
                 part = offsets[a : b + 1]
                 found = shingle_sets(raw[part[0] : part[-1]], part - part[0])
                 sets += found
                 ids += own[a:b]
+                known += there[a:b]
                 held += sum(map(len, found))
                 if held >= FLUSH_HASHES:
                     yield flush()
@@ -164,7 +168,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids = np.frombuffer(row["ids"], np.int64)
                 n = len(ids)
                 empty = pa.nulls(n, pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.frombuffer(row["classes"], np.int64)), pa.array(np.frombuffer(row["sizes"], "<u4").astype(np.int64)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), empty, empty], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=~np.frombuffer(row["counts"], bool)), pa.array(np.frombuffer(row["classes"], np.int64)), pa.array(np.frombuffer(row["sizes"], "<u4").astype(np.int64)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), empty, empty], names=names)
             else:
                 for c in cols:
                     cols[c].append(row[c])
@@ -358,17 +362,16 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     dealt = texts.mapInArrow(released(_deal(shards)), DEALT)
     counted = written(dealt.repartitionById(shards, "shard").mapInArrow(released(_count), COUNTED), "counted")
-    members = counted.where("doc_id is not null").select("doc_id", "cls", "n")
-    parts = counted.where("doc_id is null").groupBy("cls").agg(F.first("n").alias("n"), F.sum("k").alias("k"), F.collect_list(F.struct("shard", "hashes", "df")).alias("parts"))
+    members = counted.where("shard is null").select("doc_id", "cls", "n")
+    parts = counted.where("shard is not null").groupBy("cls").agg(F.first("n").alias("n"), F.sum("k").alias("k"), F.collect_list(F.struct("shard", "hashes", "df")).alias("parts"))
     sets = written(parts.where(F.col("k") >= _least(F.col("n"))).select("cls", "n", "parts").mapInArrow(released(_assemble), SETS), "sets")
     roots, _ = linked_classes(sets)
     groups = members.where("n > 0").join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("doc_id", "n", F.coalesce("root", "cls").alias("g"))
     groups = written(groups, "groups")
-    least = written(groups.where(F.col("doc_id") != NO_ID).groupBy("g").agg(F.min("doc_id").alias("component_id")), "least")
+    least = written(groups.where("doc_id is not null").groupBy("g").agg(F.min("doc_id").alias("component_id")), "least")
     found = groups.join(least, "g", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    null = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return found.union(alone).select(null("doc_id"), "n_shingles", null("component_id"))
+    return found.union(alone)
 
 
 #: DuckDB: the rows of join_components over documents.

@@ -8,21 +8,24 @@ the square of their number. Here the shard of a string is a function of its cont
 that equal strings meet in one shard and no merge is left over:
 
 1. Every string belongs to the least hash of its K-byte grams (its minimizer). Strings
-   with consecutive starts and one minimizer form a stretch. Tasks send a stretch's
-   minimizer, hash and place (20 bytes for some 25 strings), dealt by minimizer.
-2. A stretch whose minimizer occurs nowhere else is unique. Of equal stretches all but the
-   first go whole. Only where stretches of a minimizer differ (the edges of repeated
-   passages), the first of each kind is looked at byte by byte:
+   with consecutive starts and one minimizer form a stretch. Of a task's equal stretches
+   only the first is sent on, the others go at once; so a line of every text is sent once
+   for some FLUSH stretches. Tasks send a stretch's minimizer, hashes and place, dealt by
+   minimizer.
+2. A stretch whose minimizer occurs nowhere else is unique. Of equal stretches (by two
+   independent 64-bit hashes) all but the first go whole. Only where stretches of a
+   minimizer differ (the edges of repeated passages), the first of each kind is looked at
+   byte by byte:
 3. the stretches' bytes are joined in a shard; its suffix array is refined by
-   Larsson-Sadakane doubling in numpy (depths 8, 16, 32, 64, then 64 + 36, only unsorted
-   groups are sorted again). Neighbours in it with a common prefix of LENGTH bytes are
-   equal strings; all but the first start are removed. Kasai's scan is sequential, so
-   common prefixes are taken from the refined ranks, which decide the same thing exactly.
+   Larsson-Sadakane doubling in numpy (only unsorted groups are sorted again). Kasai's scan,
+   in lanes of the text side by side, gives the common prefix of neighbours in it; runs of
+   LENGTH bytes and more are equal strings, of which all but the first start are removed.
    A minimizer with more than HOT kinds of stretches is split over shards of that many;
    strings that are first in one part are merged with the other parts' by hash and bytes.
 4. Each text is joined with its removed spans.
 
-Nulls: a null text is empty; a null doc_id comes after all others. Rows with one doc_id
+Very long texts: a text's stretches are made at once, in some 40 times its bytes.
+Nulls: a null text is empty; a null doc_id comes after all others, as the greatest id does. Rows with one doc_id
 are ordered by their text's hash; of equal rows, the first keeps what the row keeps and
 the others count as repeated from the start. Empty tables give no rows.
 """
@@ -50,6 +53,9 @@ SLICE = 1 << 20
 HOT = 2000
 LAST = (1 << 63) - 1
 _LOW = U64((1 << 40) - 1)
+#: Lanes of Kasai's scan are this long.
+LANE = 64
+_SECOND = mix(BYTE_VALUES + U64(0x632BE59BD9B4E019)) | U64(1)
 
 
 def _slide(x: np.ndarray, f: np.ufunc) -> np.ndarray:
@@ -63,11 +69,11 @@ def _slide(x: np.ndarray, f: np.ufunc) -> np.ndarray:
 
 
 def stretches(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Start, number of starts, minimizer, hash and whether the minimizer recurs inside."""
+    """Start, number of starts, minimizer, two hashes and whether the minimizer recurs inside."""
     n = len(raw)
     none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none, none, none.astype(U64), none.astype(U64), none.astype(bool)
+        return none, none, none.astype(U64), none.astype(U64), none.astype(U64), none.astype(bool)
     prefix = prefix_hashes(BYTE_VALUES[raw])
     grams = mix((prefix[K:] - prefix[:-K]) * powers(n + 1)[1][: n - K + 1])
     least = _slide(grams, np.minimum)
@@ -99,10 +105,37 @@ def stretches(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         s, e, again = np.repeat(s, parts) + cut, np.repeat(e, parts), np.repeat(again, parts)
         e = np.minimum(e, s + np.where(np.repeat(long, parts), MOST_STARTS, 1 << 30))
     # Least values crowd at the low end; mixed again, they spread over the shards.
-    return s, e - s, mix(least[s] + U64(1)), span_hashes(prefix, s, e + LENGTH - 1), again
+    first_hash = span_hashes(prefix, s, e + LENGTH - 1)
+    del prefix, grams, padded
+    return s, e - s, mix(least[s] + U64(1)), first_hash, span_hashes(prefix_hashes(_SECOND[raw]), s, e + LENGTH - 1), again
 
 
-PLACED = "shard int, keys binary, ths binary, doc binary, at binary, n binary, low binary, hash binary, again binary"
+def _text_ranks(key: np.ndarray, th: np.ndarray) -> np.ndarray:
+    """The order of texts by (key, th); equal ones are one text."""
+    by = np.lexsort((th, key))
+    rank = np.empty(len(key), np.int64)
+    rank[by] = np.cumsum(np.concatenate([[False], (key[by][1:] != key[by][:-1]) | (th[by][1:] != th[by][:-1])])[: len(by)])
+    return rank
+
+
+def repeats_among(rank: np.ndarray, at: np.ndarray, v: np.ndarray, h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal stretches, which are first (or alone), and which stand at a later place; one of those at the same place."""
+    order = np.argsort(h)
+    equal = h[order][1:] == h[order][:-1]
+    some = order[np.append(equal, False) | np.append(False, equal)] if len(order) else order
+    first, later = np.ones(len(h), bool), np.zeros(len(h), bool)
+    own = some[np.lexsort((at[some], rank[some], h2[some], v[some], h[some]))]
+    new = np.ones(len(own), bool)
+    new[1:] = (h[own][1:] != h[own][:-1]) | (v[own][1:] != v[own][:-1]) | (h2[own][1:] != h2[own][:-1])
+    place = new.copy()
+    place[1:] |= (rank[own][1:] != rank[own][:-1]) | (at[own][1:] != at[own][:-1])
+    first[own[~new]] = False
+    later[own[place & ~new]] = True
+    return first, later
+
+
+#: Stretches; or, with an empty doc, spans that a task has found: at is their starts, n their ends.
+PLACED = "shard int, keys binary, ths binary, doc binary, at binary, n binary, low binary, hash binary, second binary, again binary"
 
 
 def _deal(shards: int):
@@ -116,17 +149,29 @@ def _deal(shards: int):
 
         def flush() -> pa.RecordBatch:
             nonlocal docs, count
-            doc, at, n, v, h, again = (np.concatenate(c) for c in zip(*held, strict=True))
+            doc, at, n, v, h, h2, again = (np.concatenate(c) for c in zip(*held, strict=True))
             key, th = np.concatenate(keys), np.concatenate(ths)
+            rank = _text_ranks(key, th)
+            first, later = repeats_among(rank[doc], at, v, h, h2)
+            rows = []
+            if later.any():
+                gone = np.flatnonzero(later)
+                gone = gone[np.lexsort((at[gone], rank[doc[gone]]))]
+                start, end, text = at[gone], at[gone] + n[gone] + LENGTH - 1, rank[doc[gone]]
+                # Ends grow with the starts in a text: spans that meet are one.
+                new = np.concatenate([[True], (text[1:] != text[:-1]) | (start[1:] > end[:-1])])
+                last = np.append(np.flatnonzero(new)[1:] - 1, len(gone) - 1)
+                who = doc[gone][new]
+                rows.append((int(th[who[0]] % shards), key[who].tobytes(), th[who].tobytes(), b"", start[new].astype("<u4").tobytes(), end[last].astype("<u4").tobytes(), b"", b"", b"", b""))
+            doc, at, n, v, h, h2, again = (x[first] for x in (doc, at, n, v, h, h2, again))
             shard = ((v >> U64(40)) * U64(shards)) >> U64(24)
             order = np.argsort(shard.astype(np.uint16) if shards < 65536 else shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=U64))
-            rows = []
             for k in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[k] : cuts[k + 1]]
                 who, local = np.unique(doc[own], return_inverse=True)
                 low = np.ascontiguousarray((v[own] & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-                rows.append((k, key[who].tobytes(), th[who].tobytes(), local.astype("<u4").tobytes(), at[own].astype("<u4").tobytes(), n[own].astype(np.uint8).tobytes(), low.tobytes(), h[own].tobytes(), again[own].tobytes()))
+                rows.append((k, key[who].tobytes(), th[who].tobytes(), local.astype("<u4").tobytes(), at[own].astype("<u4").tobytes(), n[own].astype(np.uint8).tobytes(), low.tobytes(), h[own].tobytes(), h2[own].tobytes(), again[own].tobytes()))
             held.clear()
             keys.clear()
             ths.clear()
@@ -139,10 +184,10 @@ def _deal(shards: int):
             raw, offsets = text_buffer(batch.column(2))
             for a, b in chunks(offsets):
                 part = offsets[a : b + 1] - offsets[a]
-                s, n, v, h, again = stretches(raw[offsets[a] : offsets[b]], part)
+                s, n, v, h, h2, again = stretches(raw[offsets[a] : offsets[b]], part)
                 if len(s):
                     row = np.searchsorted(part, s, "right") - 1
-                    held.append((row + docs, s - part[row], n, v, h, again))
+                    held.append((row + docs, s - part[row], n, v, h, h2, again))
                     count += len(s)
                 keys.append(key[a:b])
                 ths.append(th[a:b])
@@ -186,6 +231,12 @@ def _meet_shard(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.Reco
     base = 0
     for batch in batches:
         for row in batch.to_pylist():
+            if not row["doc"]:
+                own = [np.frombuffer(row[c], np.int64) for c in ("keys", "ths")]
+                span = np.stack([np.frombuffer(row[c], "<u4") for c in ("at", "n")], 1)
+                no = np.zeros(len(span), bool)
+                yield from _per_row(*own, span, no.astype(U64), span, no)
+                continue
             cols[0].append(np.frombuffer(row["keys"], np.int64))
             cols[1].append(np.frombuffer(row["ths"], np.int64))
             cols[2].append(np.frombuffer(row["doc"], "<u4").astype(np.int64) + base)
@@ -196,10 +247,11 @@ def _meet_shard(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.Reco
             low[:, :5] = np.frombuffer(row["low"], np.uint8).reshape(-1, 5)
             cols[5].append(low.reshape(-1).view("<u8") | U64(row["shard"] << 40))
             cols[6].append(np.frombuffer(row["hash"], U64))
-            cols[7].append(np.frombuffer(row["again"], bool))
+            cols[7].append(np.frombuffer(row["second"], U64))
+            cols[8].append(np.frombuffer(row["again"], bool))
     if not base:
         return
-    keys, ths, doc, at, n, v, h, again = (np.concatenate(c) for c in cols[:8])
+    keys, ths, doc, at, n, v, h, h2, again = (np.concatenate(c) for c in cols)
     del cols
     # Minimizers of more than one stretch, or of one that may repeat inside.
     order = np.argsort(v)
@@ -207,19 +259,14 @@ def _meet_shard(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.Reco
     first = np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])
     lone = first[:-1] & first[1:]
     own = order[~lone | again[order]]
-    doc, at, n, v, h, again = doc[own], at[own], n[own], v[own], h[own], again[own]
+    doc, at, n, v, h, h2, again = (x[own] for x in (doc, at, n, v, h, h2, again))
     if not len(doc):
         return
-    rank = np.empty(len(keys), np.int64)
-    rank[np.lexsort((ths, keys))] = np.arange(len(keys))
-    # Equal (key, th) rows are one text.
-    by = np.lexsort((ths, keys))
-    fresh = np.concatenate([[False], (keys[by][1:] != keys[by][:-1]) | (ths[by][1:] != ths[by][:-1])])
-    rank[by] = np.cumsum(fresh)
-    order = np.lexsort((at, rank[doc], h, v))
-    doc, at, n, v, h, again = doc[order], at[order], n[order], v[order], h[order], again[order]
+    rank = _text_ranks(keys, ths)
+    order = np.lexsort((at, rank[doc], h2, h, v))
+    doc, at, n, v, h, h2, again = (x[order] for x in (doc, at, n, v, h, h2, again))
     new_v = np.concatenate([[True], v[1:] != v[:-1]])
-    new_h = new_v | np.concatenate([[True], h[1:] != h[:-1]])
+    new_h = new_v | np.concatenate([[True], (h[1:] != h[:-1]) | (h2[1:] != h2[:-1])])
     same = np.concatenate([[False], (rank[doc][1:] == rank[doc][:-1]) & (at[1:] == at[:-1])]) & ~new_h
     group = np.cumsum(new_v) - 1
     kinds = np.bincount(group, new_h)
@@ -278,8 +325,8 @@ def _rank(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rank, order, np.repeat(size > 1, size)
 
 
-def suffix_ranks(text: np.ndarray, depth: int = 64) -> np.ndarray:
-    """Ranks of all suffixes by their first ``depth`` bytes (a power of two from 8 on).
+def suffix_ranks(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Ranks of all suffixes; with a depth (a power of two from 8 on) by so many first bytes, of which equal ones share a rank.
 
     Larsson-Sadakane: groups of equal rank are sorted by the rank h bytes further on;
     suffixes whose group has no other member are finished and never sorted again.
@@ -292,7 +339,7 @@ def suffix_ranks(text: np.ndarray, depth: int = 64) -> np.ndarray:
     rank, order, more = _rank(words)
     del words
     left, h = order[more], 8
-    while h < depth and len(left):
+    while h < (depth or n) and len(left):
         far = left + h
         key = (rank[left].astype(U64) << U64(32)) | np.where(far < n, rank[np.minimum(far, n - 1)] + 1, 0).astype(U64)
         order = np.argsort(key)
@@ -310,18 +357,48 @@ def suffix_ranks(text: np.ndarray, depth: int = 64) -> np.ndarray:
     return rank
 
 
+def common_prefixes(text: np.ndarray, order: np.ndarray, most: int = LENGTH) -> np.ndarray:
+    """Bytes, up to ``most``, that each suffix of the array shares with the one before it.
+
+    Kasai's scan: a suffix shares at least one byte less with its neighbour than the suffix
+    that starts one byte earlier, so comparing goes on from there. Lanes of ``LANE`` starts
+    are scanned side by side.
+    """
+    n = len(text)
+    before = np.full(n, -1, np.int64)
+    before[order[1:]] = order[:-1]
+    out = np.zeros(n, np.int16)
+    padded = np.concatenate([text, np.zeros(most, np.uint8)])
+    start = np.arange(0, n, LANE)
+    have = np.zeros(len(start), np.int64)
+    for step in range(LANE):
+        i = start + step
+        lanes = np.flatnonzero(i < n)
+        i, j, h = i[lanes], before[i[lanes]], have[lanes]
+        h = np.where(j >= 0, np.maximum(h - 1, 0), 0)
+        go = np.flatnonzero(j >= 0)
+        while len(go):
+            x, y = i[go] + h[go], j[go] + h[go]
+            go = go[(h[go] < most) & (x < n) & (y < n) & (padded[np.minimum(x, n)] == padded[np.minimum(y, n)])]
+            h[go] += 1
+        out[i], have[lanes] = h, h
+    return out[order]
+
+
 def repeated_starts(text: np.ndarray, starts: np.ndarray, order_key: np.ndarray) -> np.ndarray:
     """Which of the LENGTH-byte strings at ``starts`` are equal to one of smaller order_key."""
-    rank = suffix_ranks(text)
-    _, order, more = _rank((rank[starts].astype(U64) << U64(32)) | rank[starts + LENGTH - 64].astype(U64))
     out = np.zeros(len(starts), bool)
-    if not more.any():
+    if not len(starts):
         return out
-    key = (rank[starts].astype(U64) << U64(32)) | rank[starts + LENGTH - 64].astype(U64)
-    ranked, own = key[order], order_key[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(own))))
-    out[order] = own > least
+    order = np.argsort(suffix_ranks(text))
+    run = np.cumsum(common_prefixes(text, order) < LENGTH)
+    of = np.empty(len(text), np.int64)
+    of[order] = run
+    # Strings of one run of the array are equal; the least start of a run stays.
+    by = np.lexsort((order_key, of[starts]))
+    ranked = of[starts][by]
+    first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    out[by] = ~first
     return out
 
 
@@ -434,13 +511,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, n_bytes, n_removed, spans, kept): removed byte spans and the remaining bytes."""
     shards = shards_for(docs, BYTES_A_SHARD)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("th"), text.alias("text"))
-    placed = texts.where(F.octet_length("text") >= LENGTH).mapInArrow(released(_deal(shards)), PLACED)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("key"), F.xxhash64(text).alias("th"), text.alias("text"))
+    placed = texts.where(F.octet_length("text") >= LENGTH).drop("id").mapInArrow(released(_deal(shards)), PLACED)
     met = written(placed.repartitionById(shards, "shard").mapInArrow(released(_meet(hot)), FOUND), "met")
     opened = met.where(F.octet_length("groups") > 0).groupBy("key", "th").agg(F.collect_list("groups").alias("groups"), F.collect_list("open").alias("open"))
-    # Equal rows are one text here.
     bytes_of = texts.where(F.octet_length("text") >= LENGTH).select("key", "th", F.col("text").cast("binary").alias("data"))
-    cut = opened.join(bytes_of, ["key", "th"]).mapInArrow(released(_cut_out(shards)), OPENED)
+    # Equal rows are one text here.
+    cut = opened.join(bytes_of, ["key", "th"]).dropDuplicates(["key", "th"]).mapInArrow(released(_cut_out(shards)), OPENED)
     resolved = written(cut.repartitionById(shards, "shard").mapInArrow(released(_resolve(slice_bytes)), RESOLVED), "resolved")
     # Strings that several parts of a split group have: all but the first of all parts go.
     split = resolved.where("h IS NOT NULL")
@@ -450,6 +527,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = met.where(F.octet_length("spans") > 0).select("key", "th", "spans", start).union(resolved.where("spans IS NOT NULL").select("key", "th", "spans", start)).union(again)
     spans = spans.groupBy("key", "th").agg(F.collect_list("spans").alias("spans"), F.collect_list("start").alias("starts"))
     same = W.partitionBy("key", "th").orderBy("key")
-    rows = texts.select("key", "th", F.col("text").cast("binary").alias("data")).withColumn("copy", F.row_number().over(same))
-    found = rows.join(spans, ["key", "th"], "left").select("key", "data", "copy", "spans", "starts").mapInArrow(released(_keep), RESULT)
-    return found.select(F.when(F.col("key") != LAST, F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "spans", "kept")
+    rows = texts.select("id", "key", "th", F.col("text").cast("binary").alias("data")).withColumn("copy", F.row_number().over(same))
+    found = rows.join(spans, ["key", "th"], "left").select(F.col("id").alias("key"), "data", "copy", "spans", "starts").mapInArrow(released(_keep), RESULT)
+    return found.withColumnRenamed("key", "doc_id").select("doc_id", "n_bytes", "n_removed", "spans", "kept")

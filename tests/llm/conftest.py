@@ -1,6 +1,6 @@
 import pytest
 
-EXTRA = "id string, key string, host string, line string, hash string, th string, toxic string, score string, items string, cls string, value string, n_lines string"
+EXTRA = "id string, key string, host string, line string, hash string, th string, toxic string, score string, items string, cls string, value string, n_lines string, __host string, __drops string, __lines string, __kept string, __id string, __found string, __w string, __s string, __items string, __of string, __salt string, __part string"
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
 
 

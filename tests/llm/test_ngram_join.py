@@ -46,7 +46,7 @@ def test_same_as_brute_force(frame, seed):
                 own += ["extra"] * rng.randrange(len(own) // 2)
             doc -= 1
             rows.append((doc, rng.choice((" ", "\n", "\x0b")).join(own).replace("w1", "W1")))
-    rows += [(2, None), (3, ""), (4, " \n "), (5, "one two"), (6, "One  TWO"), (7, "É é a b"), (8, "é é a b"), (None, rows[0][1]), (None, "alone in null"), (rows[1][0], rows[1][1]), (9, "same " * 3000), (10, "same " * 7)]
+    rows += [(2, None), (3, ""), (4, " \n "), (5, "one two"), (6, "One  TWO"), (7, "É é a b"), (8, "é é a b"), (None, rows[0][1]), (None, "alone in null"), (rows[1][0], rows[1][1]), (-(1 << 63), "least id alone here"), ((1 << 63) - 1, rows[0][1]), (9, "same " * 3000), (10, "same " * 7)]
     got = ngramjoin.join_components(frame(rows))
     assert sorted(str(tuple(r)) for r in got.select("doc_id", "n_shingles", "component_id").collect()) == brute(rows)
 

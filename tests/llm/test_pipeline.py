@@ -66,3 +66,23 @@ def test_one_of_a_large_copy_group_keeps_its_text(spark):
     kept = {r["doc_id"]: r["text"] for r in pipeline.one_of_each_group(spark, pipeline.drop_lines(spark, docs, ""), "").collect()}
     assert set(kept) == {*range(40), 100, 200}
     assert kept == {i: text[i].replace("menu of site\n", "") for i in kept}
+
+
+def test_odd_rows(spark):
+    """Null and repeated ids, null columns: rows of one id share a decision, rows without one stay."""
+    text = " ".join(f"w{k}q" for k in range(40))
+    rows = [(None, text, None, None, None), (None, text, "en", "s", 1), (1, text, "en", "s", 1), (1, text, "en", "s", 1), (1, "other text", "en", None, 1), (2, text + " end", "en", "s", 1), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    lines = pipeline.drop_lines(spark, docs, "")
+    assert lines.count() == 7 and lines.columns == list(pipeline.COLUMNS)
+    kept = pipeline.one_of_each_group(spark, lines, "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept if r["text"]) == sorted([("1", text), ("1", "other text"), ("None", text), ("None", text)])
+    assert [r["doc_id"] for r in kept if r["text"] is None] == [3]
+    assert {r["doc_id"] for r in pipeline.pack(spark, docs, "").collect()} == {None, 1, 2, 3}
+
+
+def test_empty_tables(spark, tmp_path):
+    d = str(tmp_path)
+    for name, schema in (("documents", COLUMNS), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(f"{d}/{name}.parquet")
+    assert pipeline.run(spark, d).collect() == []

@@ -182,8 +182,9 @@ class Examples:
         self.slot[frequent] = np.arange(len(frequent))
         self.begin = np.concatenate([[0], np.cumsum(np.where(self.slot < 0, count, 0))])
         self.dense = np.zeros((len(frequent), self.blocks * BLOCK), np.float32)
-        self.example, self.weight = np.zeros(self.begin[-1], np.int32), np.zeros(self.begin[-1], np.float32)
-        self.norm, self.seen = np.ones(self.n), np.zeros(len(idf))
+        # A posting is a long: the example's place above its weight's bits, so that a list is copied at once.
+        self.posting = np.zeros(self.begin[-1], np.int64)
+        self.norm = np.ones(self.n)
         texts: dict[bytes, int] = {}
         self.twin = np.array([texts.setdefault(hashlib.blake2b(terms[a:b].tobytes() + tf[a:b].tobytes(), digest_size=16).digest(), i) for i, (a, b) in enumerate(zip(self.start[:-1].tolist(), self.start[1:].tolist(), strict=True))], np.int64)
         free = self.begin[:-1].copy()
@@ -200,14 +201,16 @@ class Examples:
             order = np.flatnonzero(~at)[np.argsort(term[~at], kind="stable")]
             names, first, times = np.unique(term[order], return_index=True, return_counts=True)
             to = np.repeat(free[names] - first, times) + np.arange(len(order))
-            self.example[to], self.weight[to] = example[order], own[order]
+            self.posting[to] = example[order] << 32 | own[order].astype(np.float32).view(np.int32)
             free[names] += times
         # Like examples share a block, so that few blocks reach a text's K-th cosine.
         self.number = np.concatenate([np.argsort(alike(self.dense[:, : self.n]), kind="stable"), np.arange(self.n, self.blocks * BLOCK)])
         self.place = np.argsort(self.number).astype(np.int32)
         for k in range(0, len(self.dense), BLOCK):
             self.dense[k : k + BLOCK] = self.dense[k : k + BLOCK][:, self.number]
-        self.example = self.place[self.example]
+        for k in range(0, len(self.posting), 1 << 20):
+            part = self.posting[k : k + (1 << 20)]
+            part[:] = self.place[part >> 32].astype(np.int64) << 32 | part & 0xFFFFFFFF
         self.most = self.dense.reshape(len(frequent), self.blocks, BLOCK).max(2) if len(frequent) else np.zeros((0, self.blocks), np.float32)
         self.longest = np.sqrt(sum((np.einsum("ij,ij->j", part, part) for part in np.array_split(self.dense, 16)), np.zeros(self.blocks * BLOCK, np.float32)).reshape(self.blocks, BLOCK).max(1))
 
@@ -236,11 +239,12 @@ class Examples:
             dense[i, slot[slot >= 0]] = q[i][slot >= 0]
             rare = terms[slot < 0]
             lo, hi = self.begin[rare], self.begin[rare + 1]
-            spans = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-            weight = np.repeat(q[i][slot < 0].astype(np.float32), hi - lo)
-            if spans:
-                weight *= np.concatenate([self.weight[x] for x in spans])
-                cosine[i] = np.bincount(np.concatenate([self.example[x] for x in spans]), weight, wide)
+            if len(rare):
+                posting = np.concatenate([self.posting[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])
+                weight = np.repeat(q[i][slot < 0], hi - lo)
+                weight *= posting.astype(np.int32).view(np.float32)
+                posting >>= 32
+                cosine[i] = np.bincount(posting, weight, wide)
             else:
                 cosine[i] = 0
         # Blocks are opened for the texts whose bound there reaches the K-th cosine found so far.
@@ -282,20 +286,21 @@ class Examples:
             unsure |= np.abs(found - found[k - 1]) <= SLACK
         again = np.flatnonzero(unsure)
         if len(again):
-            # Examples of one text have one cosine.
-            kinds, which = np.unique(self.twin[near[again]], return_inverse=True)
-            self.seen[terms] = weights
-            many = self.start[kinds + 1] - self.start[kinds]
-            own = ragged(self.start[kinds], many)
-            part = self.seen[self.term[own]]
-            self.seen[terms] = 0
-            met = np.flatnonzero(part)
-            own = own[met]
-            part = part[met] * (1 + np.log(self.tf[own].astype(float))) * self.idf[self.term[own]]
-            found[again] = (np.bincount(np.repeat(np.arange(len(kinds)), many)[met], part, len(kinds)) / self.norm[kinds])[which]
+            # Examples of one text have one cosine; the text's terms are looked up in theirs, both sorted.
+            kinds = self.twin[near[again]].tolist()
+            own, part = terms.astype(np.int32), weights * self.idf[terms]
+            exact = {kind: self._cosine(own, part, kind) for kind in set(kinds)}
+            found[again] = [exact[kind] for kind in kinds]
         top = np.lexsort((near, -np.round(found, 12)))[:k]
         return near[top], found[top]
 
+    def _cosine(self, terms: np.ndarray, weights: np.ndarray, i: int) -> float:
+        a, b = self.start[i], self.start[i + 1]
+        at = np.searchsorted(self.term[a:b], terms)
+        at[at == b - a] = 0
+        met = np.flatnonzero(self.term[a + at] == terms)
+        return float((weights[met] * (1 + np.log(self.tf[a + at[met]].astype(float)))).sum() / self.norm[i])
+
     def text(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         own = slice(self.start[i], self.start[i + 1])
         return self.term[own], self.tf[own]

@@ -44,19 +44,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, clean: bool = True) -> DataFrame:
     """Cut the lineage: write to the shared folder and read again.
 
     The shuffles behind it are not needed any more; a collection on the driver lets
-    Spark's cleaner delete their files, which else stay until it happens to run.
+    Spark's cleaner delete their files, which else stay until it happens to run. Small
+    tables can do without.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     schema = df.schema
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if clean:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, htmltext, languageid, linededup, ngramjoin, packing, secretscan, suffixdedup, toxicity
+from . import decontaminate, fingerprint, htmltext, languageid, linededup, manifest, ngramjoin, packing, quality, secretscan, spelling, suffixdedup, toxicity
 from .common import table
 
 
@@ -64,6 +64,25 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaf = lambda text: manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    proved = manifest.prove(docs.select("doc_id", "source", leaf(F.col("text")).alias("leaf"), leaf(cut).alias("altered")))
+    rows = proved.withColumn("folded_root", manifest.folded(F.col("altered"), F.col("path")))
+    return rows.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "rule")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
@@ -76,8 +95,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_fingerprint": op10_fingerprint,
+        "op11_manifest": op11_manifest,
+        "op12_spelling": op12_spelling,
+        "op13_quality": op13_quality,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": linededup.ORACLE, "op6_ngram_join": ngramjoin.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op10_fingerprint": fingerprint.ORACLE}
+    return {"op5_line_dedup": linededup.ORACLE, "op6_ngram_join": ngramjoin.ORACLE, "op7_decontaminate": decontaminate.ORACLE, "op10_fingerprint": fingerprint.ORACLE, "op11_manifest": manifest.ORACLE, "op12_spelling": spelling.ORACLE}

@@ -18,6 +18,7 @@ from .functions.ids import genome_of
 from .operators import annotate, catalog, change, frequency, legacy, outliers, pileup, reshape, scores, sitetests
 from .schemas import MAG_SAMPLES, METADATA, NUCLEOTIDES, RANKS, TAXONOMY_RAW
 from .sources import bam, tables
+from .sources.fasta import read_reference
 
 Command = Callable[[SparkSession, argparse.Namespace], None]
 COMMANDS: dict[str, tuple[Command, list[tuple[tuple[str, ...], dict]]]] = {}
@@ -48,7 +49,7 @@ def profile(spark: SparkSession, a: argparse.Namespace) -> None:
     """Base counts of an alignment file (or a folder of them), one file for each sample and genome."""
     bam.register(spark)
     reads = spark.read.format("bam").load(a.bam_path)
-    found = pileup.profile(reads, tables.read_contigs(spark, a.fasta_path), tables.read_genes(spark, a.prodigal_fasta))
+    found = pileup.profile(reads, read_reference(spark, a.fasta_path), tables.read_genes(spark, a.prodigal_fasta))
     tables.write_profiles(found, a.output_dir).collect()
 
 
@@ -75,7 +76,7 @@ def _two(samples: DataFrame, column: str) -> tuple[str, str]:
 
 
 def _sizes(spark: SparkSession, fasta: str) -> DataFrame:
-    return frequency.genome_sizes(tables.read_contigs(spark, fasta))
+    return frequency.genome_sizes(read_reference(spark, fasta))
 
 
 @command("significance", _option("--magID"), _option("--mag_metadata_file"), _option("--fasta"), _option("--breath_threshold", type=float, default=0.1), CPUS, _option("--min_sample_num", type=int, default=4), _option("--timepoints", nargs=2, default=None), _option("--groups", nargs=2, default=None), _option("--output_dir"))

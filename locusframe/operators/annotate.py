@@ -1,21 +1,48 @@
-"""Positions to genes: a stab query as an equi join on (contig, bin)."""
+"""Positions to genes: a stab query as equi joins on the nodes of a bin tree."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Places in a bin of the finest level, and how many times more each level has.
+FINEST, FANOUT = 1024, 8
 
-def annotate(positions: DataFrame, genes: DataFrame, width: int = 1000) -> DataFrame:
+
+def _widths(finest: int) -> list[int]:
+    """The widths of all levels, until one holds any place."""
+    out = [finest]
+    while out[-1] < 1 << 59:
+        out.append(out[-1] * FANOUT)
+    return out
+
+
+def node_width(start: Column, end: Column, finest: int = FINEST) -> Column:
+    """The width of the smallest bin that holds an interval whole."""
+    *below, last = _widths(finest)
+    same = lambda width: F.floor(start / width) == F.floor(end / width)
+    out = F.when(same(below[0]), F.lit(below[0]))
+    for width in below[1:]:
+        out = out.when(same(width), F.lit(width))
+    return out.otherwise(F.lit(last)).cast("bigint")
+
+
+def annotate(positions: DataFrame, genes: DataFrame, finest: int = FINEST) -> DataFrame:
     """positions with gene_id: the genes with start <= position <= end, by (start, gene_id), joined by commas; null if none.
 
-    A gene stands in every bin it touches, so each position meets only the genes of its own
-    bin: no nested loop, and long contigs are spread. The distinct sites are joined, so a
-    site with many rows is looked up once; hits are joined back null-safely.
+    Bins are nested by eight. A gene stands in one node, the smallest bin that holds it,
+    whatever its length; a position looks into its bin of every level that some gene has. A
+    node's genes cross one of the seven borders in it, or lie in a finest bin, so their number
+    follows the depth of overlapping genes, not the contig's length. The distinct sites are
+    joined, so a site with many rows is looked up once; hits are joined back null-safely.
     """
-    spans = genes.select(F.col("contig").alias("g_contig"), "start", "end", F.col("gene_id").alias("g"), F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))).alias("g_bin")).where("start <= end")
-    sites = positions.select("contig", "position").distinct().withColumn("bin", F.floor(F.col("position") / width))
-    hit = sites.join(spans, (F.col("contig") == F.col("g_contig")) & (F.col("bin") == F.col("g_bin")) & F.col("position").between(F.col("start"), F.col("end")))
+    c = F.col
+    whole = genes.select(c("contig").alias("g_contig"), c("start").cast("bigint").alias("start"), c("end").cast("bigint").alias("end"), c("gene_id").alias("g")).where("start <= end")
+    nodes = whole.withColumn("g_width", node_width(c("start"), c("end"), finest)).withColumn("g_node", F.expr("start div g_width"))
+    used = sorted(r[0] for r in nodes.select("g_width").distinct().collect())
+    levels = F.array(*[F.lit(width).cast("bigint") for width in used]) if used else F.array().cast("array<bigint>")
+    looked = positions.select("contig", "position").distinct().withColumn("width", F.explode(levels)).withColumn("node", F.expr("bigint(position) div width"))
+    hit = looked.join(nodes, (c("contig") == c("g_contig")) & (c("width") == c("g_width")) & (c("node") == c("g_node")) & c("position").between(c("start"), c("end")))
     names = hit.groupBy("contig", "position").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "g"))), lambda x: x["g"]), ",").alias("gene_id"))
     return positions.join(names, ["contig", "position"], "left")
 

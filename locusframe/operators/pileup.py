@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import base
+from ..sources.fasta import WIDTH, blocked
 
 #: Flags of reads that are never counted (unmapped, secondary, failed checks, duplicate).
 SKIPPED_FLAGS = 0x4 | 0x100 | 0x200 | 0x400
@@ -106,16 +107,25 @@ def count_bases(found: DataFrame, keys: list[str]) -> DataFrame:
     return found.groupBy(*keys).agg(F.count("*").alias("total_coverage"), *[F.count_if(F.col("base") == b).alias(b) for b in "ACGTN"])
 
 
-def with_reference(counts: DataFrame, contigs: DataFrame) -> DataFrame:
-    """ref_base of every position (0-based), X where the contig or the place is not known."""
-    letter = F.upper(F.substring("seq", F.col("position").cast("int") + 1, F.lit(1)))
-    joined = counts.join(contigs, "contig", "left")
-    return joined.withColumn("ref_base", F.coalesce(F.nullif(letter, F.lit("")), F.lit("X"))).drop("seq")
+def with_reference(counts: DataFrame, reference: DataFrame, width: int = WIDTH) -> DataFrame:
+    """ref_base of every position (0-based), X where the contig or the place is not known.
+
+    ``reference`` holds (contig, block, seq) of ``width`` bytes a block: a position meets its
+    own block only, so a long contig is spread over all tasks and a lookup is one byte of it.
+    Whole sequences (contig, seq) are cut into blocks first.
+    """
+    if "block" not in reference.columns:
+        reference = blocked(reference, width)
+    own = reference.select(F.col("contig").alias("r_contig"), F.col("block").alias("r_block"), F.col("seq").alias("r_seq"))
+    at = F.pmod(F.col("position"), F.lit(width)).cast("int") + 1
+    letter = F.upper(F.substring("r_seq", at, F.lit(1)).cast("string"))
+    joined = counts.join(own, (F.col("contig") == F.col("r_contig")) & (F.floor(F.col("position") / width) == F.col("r_block")), "left")
+    return joined.select(*counts.columns, F.coalesce(F.nullif(letter, F.lit("")), F.lit("X")).alias("ref_base"))
 
 
-def profile(reads: DataFrame, contigs: DataFrame, genes: DataFrame) -> DataFrame:
-    """The PROFILE relation of all samples at once."""
+def profile(reads: DataFrame, reference: DataFrame, genes: DataFrame) -> DataFrame:
+    """The PROFILE relation of all samples at once; ``reference`` in blocks."""
     from .annotate import annotate
 
     counts = count_bases(bases(reads), ["sample_id", "contig", "position"])
-    return annotate(with_reference(counts, contigs), genes).select("sample_id", "contig", "position", "ref_base", "total_coverage", "A", "C", "G", "T", "N", "gene_id")
+    return annotate(with_reference(counts, reference), genes).select("sample_id", "contig", "position", "ref_base", "total_coverage", "A", "C", "G", "T", "N", "gene_id")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import StudyConfig
 from ..operators import catalog, legacy, outliers, pileup, reshape, scores
 from ..schemas import PROFILE, READS
-from ..sources import bam, tables
+from ..sources import bam, fasta, tables
 from ..sources.shared import fresh
 from . import adapters, queries, study
 from .adapters import view
@@ -29,6 +29,17 @@ def fasta_contigs(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_contigs(spark, path)
 
 
+@_query(_with(c=adapters.CONTIGS) + r""", s AS (SELECT contig, regexp_replace(repeat(seq, 3), '\s', '', 'g') AS seq FROM c)
+SELECT contig, b AS block, substr(seq, (b * 8 + 1)::INT, 8) AS seq FROM s, range(9) t(b) WHERE b = 0 OR b * 8 < length(seq)""")
+def reference_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks of 8 letters from a FASTA file that is read in ranges of 1000 bytes, amid records, headers and lines."""
+    path = fresh(spark, "reference")
+    line = F.concat(F.col("seq"), F.lit("\n"))
+    view(spark, d, adapters.CONTIGS).select(F.concat(F.lit(">"), "contig", F.lit(" of a part\n"), line, "seq", "seq")).coalesce(2).write.text(path)
+    blocks = fasta.read_reference(spark, path, 8, 1000)
+    return blocks.select("contig", "block", F.decode("seq", "UTF-8").alias("seq"))
+
+
 @_query(_with(g=adapters.GENES) + """ SELECT concat(contig, '_', substr(gene_id, 2)) AS gene_id, start, "end", contig FROM g""")
 def gene_headers(spark: SparkSession, d: str) -> DataFrame:
     path = fresh(spark, "genes")

@@ -63,7 +63,7 @@ def _sites(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(_ANNOTATE)
 def interval_annotate(spark: SparkSession, d: str) -> DataFrame:
-    return annotate.annotate(_sites(spark, d), view(spark, d, adapters.GENES), 200)
+    return annotate.annotate(_sites(spark, d), view(spark, d, adapters.GENES))
 
 
 @_query(_ANNOTATE)
@@ -75,11 +75,7 @@ def interval_annotate_plain(spark: SparkSession, d: str) -> DataFrame:
 SELECT contig, position, coalesce(nullif(upper(substr(c.seq, CAST(position AS INT) + 1, 1)), ''), 'X') AS ref_base FROM s LEFT JOIN c USING (contig)""")
 def reference_base(spark: SparkSession, d: str) -> DataFrame:
     """Every site, also those beyond the end of its contig."""
-    return _reference(spark, d, _sites(spark, d))
-
-
-def _reference(spark: SparkSession, d: str, sites: DataFrame) -> DataFrame:
-    sites = sites.withColumn("contig", F.concat(F.lit("M"), (F.substring("contig", 2, 9).cast("int") % 50).cast("string"), F.lit(".fa_"), "contig"))
+    sites = _sites(spark, d).withColumn("contig", F.concat(F.lit("M"), (F.substring("contig", 2, 9).cast("int") % 50).cast("string"), F.lit(".fa_"), "contig"))
     return pileup.with_reference(sites.distinct(), view(spark, d, adapters.CONTIGS)).select("contig", "position", "ref_base")
 
 

@@ -42,7 +42,15 @@ def store(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def find(path: str, pattern: str) -> list[str]:
-    """Files of a folder by a name pattern, or of a path whose last part is one; as paths that store() opens."""
+    """The paths of listed()."""
+    return [found for found, _ in listed(path, pattern)]
+
+
+def listed(path: str, pattern: str) -> list[tuple[str, int]]:
+    """Files of a folder by a name pattern, or of a path whose last part is one, with their sizes; as paths that store() opens.
+
+    One listing of the folder; no file is opened.
+    """
     system, at = store(path)
     prefix = path[: len(path) - len(at)] if path.endswith(at) else ""
     if system.get_file_info(at).type == fs.FileType.Directory:
@@ -51,4 +59,4 @@ def find(path: str, pattern: str) -> list[str]:
         folder, _, pattern = at.rpartition("/")
         folder = folder or "."
     files = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-    return sorted(prefix + f.path for f in files if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, pattern))
+    return sorted((prefix + f.path, f.size) for f in files if f.type == fs.FileType.File and fnmatch.fnmatch(f.base_name, pattern) and not f.base_name.startswith(("_", ".")))

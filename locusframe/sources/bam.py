@@ -3,7 +3,13 @@
 BGZF files are cut into ranges of ``splitBytes`` (an option) that are read on their own: a
 task starts at the first block in its range and at the first record that begins there,
 which is told by a chain of records that fit the header. Blocks are inflated one after the
-other, so memory does not depend on the file size. Plain gzip files are one range.
+other, so memory does not depend on the file size; a block's records are decoded together.
+Plain gzip files are one range. The driver lists the folder and opens no file.
+
+Where a query filters on ``contig`` and ``pos`` and a file has an index (``.bai``), only the
+parts of the file that the index names for those places are read. Filters are pushed down
+once ``register`` has set ``spark.sql.python.filterPushdown.enabled``; Spark applies them
+again to what is read, so files without an index give the same rows.
 """
 
 from __future__ import annotations
@@ -15,25 +21,30 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import BinaryIO
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from ..schemas import READS
-from .shared import find, store
+from .baindex import Index, IndexWriter, ranges_of
+from .shared import listed, store
 
 _SEQ = "=ACMGRSVTWYHKDBN"
 _OPS = "MIDNSHP=X"
-_PAIRS = [a + b for a in _SEQ for b in _SEQ]
+#: The two letters of a packed byte.
+_PAIRS = np.array([[ord(a), ord(b)] for a in _SEQ for b in _SEQ], np.uint8)
 BLOCK = 1 << 18
 SPLIT = 64 << 20
-ROWS = 10_000
+#: Inflated bytes that are decoded together.
+TOGETHER = 1 << 20
 #: Records that must follow one another for a start to be taken as one.
 CHAIN = 6
-_KINDS = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int32()))
 _NAMES = [c.split()[0] for c in READS.split(", ")]
 
 
@@ -52,14 +63,14 @@ def block_size(head: bytes) -> int:
 
 
 class Stream:
-    """Exact reads from a BGZF (or plain gzip) file, from a block on; it knows in which block the next byte is."""
+    """Exact reads from a BGZF (or plain gzip) file, from a block on; it knows which bytes are of which block."""
 
     def __init__(self, file: BinaryIO, start: int = 0) -> None:
         self.file, self.held, self.taken = file, bytearray(), 0
         file.seek(start)
         self.next = start
         self.blocks: list[tuple[int, int]] = []  # end in the inflated bytes, place in the file
-        self.end = 0
+        self.end = self.origin = 0
         head = file.read(64)
         file.seek(start)
         self.plain = None if block_size(head) or not head else zlib.decompressobj(31)
@@ -94,14 +105,19 @@ class Stream:
             self.blocks.append((self.end, place))
         return True
 
-    def place(self) -> int | None:
-        """The file place of the block that holds the next byte; None at the end."""
-        while not self.held:
-            if not self._more():
-                return None
-        while self.blocks[0][0] <= self.taken:
-            self.blocks.pop(0)
-        return self.blocks[0][1]
+    def limit(self, until: tuple[int, int] | None) -> float:
+        """How many of the held bytes are before a place (block, offset in it) of the file."""
+        first = self.origin
+        while self.blocks and self.blocks[0][0] <= self.taken:
+            first = self.blocks.pop(0)[0]
+        self.origin = first
+        if until is None:
+            return float("inf")
+        for end, place in self.blocks:
+            if place >= until[0]:
+                return first - self.taken + (until[1] if place == until[0] else 0)
+            first = end
+        return float("inf")
 
     def peek(self, n: int) -> bytes:
         while len(self.held) < n and self._more():
@@ -130,22 +146,74 @@ def header(stream: Stream) -> list[tuple[str, int]]:
     return out
 
 
-def records(stream: Stream, contigs: list[tuple[str, int]], sample: str, until: int | None = None) -> Iterator[tuple]:
-    """The records that begin in blocks before ``until``."""
-    while (place := stream.place()) is not None and (until is None or place < until):
-        size = stream.read(4)
-        if len(size) < 4:
+def record_chunks(stream: Stream, until: tuple[int, int] | None = None) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Inflated bytes and the places of the whole records in them, of those that begin before ``until`` (block, offset in it)."""
+    most = TOGETHER
+    while True:
+        data = stream.peek(most)
+        limit = stream.limit(until)
+        places, at, n = [], 0, len(data)
+        while at + 4 <= n and at < limit:
+            end = at + 4 + int.from_bytes(data[at : at + 4], "little")
+            if end > n:
+                break
+            places.append(at)
+            at = end
+        if places:
+            stream.read(at)
+            yield data, np.array(places, np.int64)
+            most = TOGETHER
+        elif n < most or limit <= 0:
             return
-        data = stream.read(struct.unpack("<i", size)[0])
-        ref, pos, name_len, mapq, _, n_cigar, flag, length = struct.unpack_from("<iiBBHHHi", data)
-        at = 32 + name_len
-        name = data[32 : at - 1].decode()
-        cigar = "".join([f"{c >> 4}{_OPS[c & 15]}" for c in struct.unpack_from(f"<{n_cigar}I", data, at)])
-        at += 4 * n_cigar
-        packed = data[at : at + (length + 1) // 2]
-        at += len(packed)
-        seq = "".join([_PAIRS[b] for b in packed])[:length]
-        yield sample, name, flag, contigs[ref][0] if ref >= 0 else None, pos, mapq, cigar, seq, list(data[at : at + length])
+        else:
+            most *= 2
+
+
+def _gathered(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all runs, one after the other, and their offsets."""
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    return raw[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)], offsets
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def decoded(data: bytes, places: np.ndarray, names: pa.Array, sample: str, cigars: dict[bytes, str]) -> pa.RecordBatch:
+    """READS of the records at these places, all columns by offsets; ``cigars`` keeps texts of CIGARs seen before."""
+    raw = np.frombuffer(data, np.uint8)
+    head = np.ascontiguousarray(raw[places[:, None] + np.arange(36)])
+    word = lambda at, kind: head[:, at : at + np.dtype(kind).itemsize].copy().view(kind).ravel()
+    ref, pos, length = word(4, "<i4"), word(8, "<i4"), word(20, "<i4").astype(np.int64)
+    name_len, mapq, n_ops, flag = head[:, 12].astype(np.int64), head[:, 13], word(16, "<u2").astype(np.int64), word(18, "<u2")
+    at = places + 36
+    read_name = _strings(*_gathered(raw, at, name_len - 1))
+    at = at + name_len
+    ops = [data[a : a + 4 * n] for a, n in zip(at.tolist(), n_ops.tolist(), strict=True)]
+    for kind in set(ops) - cigars.keys():
+        cigars[kind] = "".join(f"{c >> 4}{_OPS[c & 15]}" for c in struct.unpack(f"<{len(kind) // 4}I", kind))
+    at = at + 4 * n_ops
+    packed_len = (length + 1) // 2
+    packed, offsets = _gathered(raw, at, packed_len)
+    letters = _PAIRS[packed].reshape(-1)
+    seq = _strings(*_gathered(letters, 2 * offsets[:-1], length))
+    qual, offsets = _gathered(raw, at + packed_len, length)
+    quality = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(qual.astype(np.int32)))
+    n = len(places)
+    contig = names.take(pa.array(ref, mask=ref < 0)) if len(names) else pa.nulls(n, pa.string())
+    columns = [pa.array([sample] * n, pa.string()), read_name, pa.array(flag.astype(np.int32)), contig, pa.array(pos.astype(np.int64)), pa.array(mapq.astype(np.int32)), pa.array([cigars[x] for x in ops], pa.string()), seq, quality]
+    return pa.RecordBatch.from_arrays(columns, names=_NAMES)
+
+
+def batches(stream: Stream, contigs: list[tuple[str, int]], sample: str, until: tuple[int, int] | None = None) -> Iterator[pa.RecordBatch]:
+    """READS of the records that begin before ``until``."""
+    names = pa.array([name for name, _ in contigs], pa.string())
+    cigars: dict[bytes, str] = {}
+    for data, places in record_chunks(stream, until):
+        yield decoded(data, places, names, sample, cigars)
+        if len(cigars) > 100_000:
+            cigars.clear()
 
 
 def _fits(data: bytes, at: int, contigs: list[tuple[str, int]]) -> int:
@@ -213,34 +281,91 @@ def first_block(file: BinaryIO, start: int, size: int) -> int | None:
 
 
 class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int | None) -> None:
-        self.path, self.start, self.end = path, start, end
+    """Parts of a file: blocks from ``start`` (and the record at ``offset`` in the first, or one to be found) to a place."""
+
+    def __init__(self, path: str, *parts: tuple[int, int | None, tuple[int, int] | None]) -> None:
+        self.path, self.parts = path, parts
+
+
+class Places:
+    """What filters say of contig and pos: names (None: all) and the least and greatest place."""
 
+    def __init__(self) -> None:
+        self.contigs: set[str] | None = None
+        self.least, self.most = 0, (1 << 31) - 2
 
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    while part := list(itertools.islice(rows, ROWS)):
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), _KINDS, strict=True)], names=_NAMES)
+    def narrow(self, given: Filter) -> None:
+        column, value = getattr(given, "attribute", None), getattr(given, "value", None)
+        if column == ("contig",) and isinstance(given, EqualTo | In):
+            names = {value} if isinstance(given, EqualTo) else set(value)
+            self.contigs = names if self.contigs is None else self.contigs & names
+        elif column == ("pos",) and isinstance(value, int):
+            if isinstance(given, EqualTo | GreaterThanOrEqual | GreaterThan):
+                self.least = max(self.least, value + isinstance(given, GreaterThan))
+            if isinstance(given, EqualTo | LessThanOrEqual | LessThan):
+                self.most = min(self.most, value - isinstance(given, LessThan))
 
 
 class BamReader(DataSourceReader):
     def __init__(self, path: str, only_header: bool, split: int) -> None:
         self.path, self.only_header, self.split = path, only_header, split
+        self.places = Places()
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        """All filters stay with Spark; those on places say which parts of a file to read."""
+        for given in filters:
+            self.places.narrow(given)
+            yield given
 
     def partitions(self) -> list[_Range]:
-        found = find(self.path, "*.bam")
+        found = listed(self.path, "*.bam")
         if not found:
             raise FileNotFoundError(self.path)
+        if self.only_header:
+            return [_Range(path, (0, None, None)) for path, _ in found]
+        # Without names the places of all contigs would be asked for, which is no less than the file.
+        folders = set() if self.places.contigs is None else {os.path.dirname(path) for path, _ in found}
+        indexed = {path for folder in folders for path, _ in listed(folder or ".", "*.bam.bai")}
+        with ThreadPoolExecutor(16) as pool:
+            wanted = dict(pool.map(self._wanted, [path for path, _ in found if path + ".bai" in indexed]))
         out = []
-        for path in found:
-            system, at = store(path)
-            size = system.get_file_info(at).size
-            with system.open_input_file(at) as file:
-                whole = self.only_header or not block_size(file.read(64))
-            cuts = [0] if whole else list(range(0, max(size, 1), self.split))
-            out += [_Range(path, a, b) for a, b in zip(cuts, [*cuts[1:], None], strict=True)]
+        for path, size in found:
+            if path in wanted:
+                out += self._dealt(path, wanted[path])
+            else:
+                cuts = list(range(0, max(size, 1), self.split))
+                out += [_Range(path, (a, None, None if b is None else (b, 0))) for a, b in zip(cuts, [*cuts[1:], None], strict=True)]
         return out
 
-    def read(self, partition: _Range) -> Iterator:
+    def _wanted(self, path: str) -> tuple[str, list[tuple[int, int]]]:
+        """The file and its ranges of virtual places; header and index are all that is read."""
+        system, at = store(path)
+        with system.open_input_file(at) as file:
+            names = [name for name, _ in header(Stream(file))]
+        with system.open_input_file(at + ".bai") as file:
+            index = Index(file.read())
+        wanted = [(k, self.places.least, self.places.most + 1) for k, name in enumerate(names) if name in self.places.contigs]
+        return path, ranges_of(index, wanted)
+
+    def _dealt(self, path: str, ranges: list[tuple[int, int]]) -> Iterator[_Range]:
+        """Partitions of about the split size: long ranges are cut, short ones are read by one task."""
+        parts, held = [], 0
+        for begin, end in ranges:
+            start, offset, last = begin >> 16, begin & 0xFFFF, (end >> 16, end & 0xFFFF)
+            while last[0] - start > self.split:
+                yield _Range(path, (start, offset, (start + self.split, 0)))
+                start, offset = start + self.split, None
+            parts.append((start, offset, last))
+            held += last[0] - start
+            if held >= self.split:
+                yield _Range(path, *parts)
+                parts, held = [], 0
+        if parts:
+            yield _Range(path, *parts)
+
+    def read(self, partition: _Range | None) -> Iterator:
+        if partition is None:  # no range of any file is wanted
+            return
         system, at = store(partition.path)
         size = system.get_file_info(at).size
         sample = os.path.basename(at).split(".")[0]
@@ -250,14 +375,25 @@ class BamReader(DataSourceReader):
             if self.only_header:
                 yield from ((sample, name, length) for name, length in contigs)
                 return
-            if partition.start:
-                start = first_block(file, partition.start, size)
-                if start is None or (partition.end is not None and start >= partition.end):
-                    return
-                stream = Stream(file, start)
-                if not first_record(stream, contigs):
-                    return
-            yield from _batches(records(stream, contigs, sample, partition.end))
+            for start, offset, until in partition.parts:
+                found = self._at(file, size, stream, contigs, start, offset, until)
+                if found is not None:
+                    yield from batches(found, contigs, sample, None if stream.plain is not None else until)
+
+    def _at(self, file: BinaryIO, size: int, whole: Stream, contigs: list[tuple[str, int]], start: int, offset: int | None, until: tuple[int, int] | None) -> Stream | None:
+        """A stream from the first record of a part on; None if it has none. ``whole`` is behind the header."""
+        if offset is not None:
+            found = Stream(file, start)
+            found.read(offset)
+            return found
+        if not start:
+            return whole
+        # A file that isn't made of blocks is read by its first part.
+        place = None if whole.plain is not None else first_block(file, start, size)
+        if place is None or (until is not None and (place, 0) >= until):
+            return None
+        found = Stream(file, place)
+        return found if first_record(found, contigs) else None
 
 
 class Bam(DataSource):
@@ -285,17 +421,16 @@ class BamHeader(Bam):
 
 
 def register(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Bam)
     spark.dataSource.register(BamHeader)
 
 
-def _parse_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            stream = Stream(io.BytesIO(content))
-            rows = records(stream, header(stream), os.path.basename(path).split(".")[0])
-            while part := list(itertools.islice(rows, ROWS)):
-                yield pd.DataFrame(part, columns=_NAMES)
+def _parse_contents(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in given:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            stream = Stream(io.BytesIO(content.as_py()))
+            yield from batches(stream, header(stream), os.path.basename(path.as_py()).split(".")[0])
 
 
 def read_anywhere(spark: SparkSession, path: str) -> DataFrame:
@@ -304,42 +439,88 @@ def read_anywhere(spark: SparkSession, path: str) -> DataFrame:
     The data source above reads files of any size, in every store that pyarrow opens.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bam").load(path).select("path", "content")
-    return files.mapInPandas(_parse_contents, READS)
+    return files.mapInArrow(_parse_contents, READS)
+
+
+class BamWriter:
+    """A BAM file and its index from reads in the order of their places; BGZF, with its end mark. Holds one block."""
+
+    def __init__(self, path: str, contigs: list[tuple[str, int]], block: int = 60_000) -> None:
+        self.path, self.block, self.names = path, block, {name: k for k, (name, _) in enumerate(contigs)}
+        self.system, at = store(path)
+        self.file = self.system.open_output_stream(at)
+        self.held, self.begun = bytearray(b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs))), 0
+        for name, length in contigs:
+            raw = name.encode() + b"\0"
+            self.held += struct.pack("<i", len(raw)) + raw + struct.pack("<i", length)
+        self.index, self.rows = IndexWriter(len(contigs)), 0
+
+    def _place(self) -> int:
+        """The virtual place of the next byte."""
+        self._flush(self.block)
+        return self.begun << 16 | len(self.held)
+
+    def _flush(self, least: int) -> None:
+        while len(self.held) >= max(least, 1):
+            part = bytes(self.held[: self.block])
+            del self.held[: self.block]
+            self._write(part)
+
+    def _write(self, part: bytes) -> None:
+        packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+        data = packer.compress(part) + packer.flush()
+        self.file.write(b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(part), len(part)))
+        self.begun += len(data) + 26
+
+    def add(self, r: dict) -> None:
+        name = r["read_name"].encode() + b"\0"
+        ops = [(int(n) << 4) | _OPS.index(o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", r["cigar"])]
+        codes = [_SEQ.index(c) if c in _SEQ else 15 for c in r["seq"].upper()]
+        packed = bytes((codes[i] << 4) | (codes[i + 1] if i + 1 < len(codes) else 0) for i in range(0, len(codes), 2))
+        ref = self.names[r["contig"]]
+        body = struct.pack("<iiBBHHHiiii", ref, r["pos"], len(name), r["mapq"], 0, len(ops), r["flag"], len(codes), -1, -1, 0)
+        body += name + struct.pack(f"<{len(ops)}I", *ops) + packed + bytes(int(q) for q in r["qual"])
+        start = self._place()
+        self.held += struct.pack("<i", len(body)) + body
+        self.index.add(ref, r["pos"], r["pos"] + max(1, sum(n >> 4 for n in ops if n & 15 in (0, 2, 3, 7, 8))), start, self._place())
+        self.rows += 1
+
+    def close(self) -> None:
+        self._flush(1)
+        self._write(b"")
+        self.file.close()
+        system, at = store(self.path + ".bai")
+        with system.open_output_stream(at) as f:
+            f.write(self.index.content())
 
 
 def write_bams(reads: DataFrame, root: str, contigs: list[tuple[str, int]]) -> DataFrame:
-    """``<sample>.sorted.bam`` of each sample below root, by place; (sample_id, file_path, rows). A sample is one task."""
+    """``<sample>.sorted.bam`` of each sample below root, by place, with ``.bai``; (sample_id, file_path, rows).
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        sample = pdf["sample_id"].iloc[0]
-        path = f"{root.rstrip('/')}/{sample}.sorted.bam"
-        system, at = store(path)
-        system.create_dir(at.rpartition("/")[0], recursive=True)
-        write_bam(path, contigs, pdf.sort_values(["contig", "pos", "read_name", "flag"]).to_dict("records"))
-        return pd.DataFrame([{"sample_id": sample, "file_path": path, "rows": len(pdf)}])
+    A sample is one file, written by one task as its sorted reads come.
+    """
 
-    return reads.groupBy("sample_id").applyInPandas(write, "sample_id string, file_path string, rows bigint")
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for pdf in frames for r in pdf.to_dict("records"))
+        for sample, own in itertools.groupby(rows, key=lambda r: r["sample_id"]):
+            path = f"{root.rstrip('/')}/{sample}.sorted.bam"
+            system, at = store(path)
+            system.create_dir(at.rpartition("/")[0], recursive=True)
+            out = BamWriter(path, contigs)
+            for r in own:
+                out.add(r)
+            out.close()
+            yield pd.DataFrame([{"sample_id": sample, "file_path": path, "rows": out.rows}])
+
+    order = {name: k for k, (name, _) in enumerate(contigs)}
+    rank = F.element_at(F.create_map(*[F.lit(x) for pair in order.items() for x in pair]), F.col("contig"))
+    placed = reads.repartition("sample_id").sortWithinPartitions("sample_id", rank, "pos", "read_name", "flag")
+    return placed.mapInPandas(write, "sample_id string, file_path string, rows bigint")
 
 
 def write_bam(path: str, contigs: list[tuple[str, int]], rows: list[dict], block: int = 60_000) -> None:
-    """A small BAM file from read rows, for tests and exports of few reads; BGZF, with its end mark."""
-    names = [c for c, _ in contigs]
-    out = bytearray(b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs)))
-    for name, length in contigs:
-        raw = name.encode() + b"\0"
-        out += struct.pack("<i", len(raw)) + raw + struct.pack("<i", length)
+    """A small BAM file from read rows, for tests and exports of few reads."""
+    out = BamWriter(path, contigs, block)
     for r in rows:
-        name = r["read_name"].encode() + b"\0"
-        ops = [(int(n) << 4) | _OPS.index(o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", r["cigar"])]
-        codes = [_SEQ.index(c) if c in _SEQ else 15 for c in r["seq"].upper()]
-        packed = bytes((codes[i] << 4) | (codes[i + 1] if i + 1 < len(codes) else 0) for i in range(0, len(codes), 2))
-        body = struct.pack("<iiBBHHHiiii", names.index(r["contig"]), r["pos"], len(name), r["mapq"], 0, len(ops), r["flag"], len(codes), -1, -1, 0)
-        body += name + struct.pack(f"<{len(ops)}I", *ops) + packed + bytes(int(q) for q in r["qual"])
-        out += struct.pack("<i", len(body)) + body
-    system, at = store(path)
-    with system.open_output_stream(at) as f:
-        for a in [*range(0, len(out), block), len(out)]:
-            part = bytes(out[a : a + block])
-            packer = zlib.compressobj(6, zlib.DEFLATED, -15)
-            data = packer.compress(part) + packer.flush()
-            f.write(b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(part), len(part)))
+        out.add(r)
+    out.close()

@@ -1,7 +1,6 @@
 """Command lines: ``python -m locusframe <command> ...``, one for each step of a study.
 
-Tables are written as folders of TSV parts under the name given, profiles and sample lists
-as single files. ``--cpus`` is taken and ignored where it was an option: Spark's master says
+Every table, profile and sample list is one TSV file of the name given. ``--cpus`` is taken and ignored where it was an option: Spark's master says
 how many there are.
 """
 
@@ -41,7 +40,7 @@ def command(name: str, *options: tuple[tuple[str, ...], dict]) -> Callable[[Comm
 
 
 def _put(df: DataFrame, path: str) -> None:
-    tables.write_table(df, path, compressed=path.endswith(".gz"), mode="overwrite")
+    tables.write_file(df, path)
 
 
 @command("profile", _option("--bam_path"), _option("--fasta_path"), _option("--prodigal_fasta"), CPUS, _option("--output_dir"))

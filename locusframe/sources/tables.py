@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import gzip
+import json
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.ids import contig_of_gene, genome_of, require, sample_of
-from .shared import store
+from .shared import fresh
+from .sink import NamedFiles, joined
 
 PROFILE_GLOB = "*_profiled.tsv.gz"
 
@@ -58,26 +60,39 @@ def write_files(df: DataFrame, root: str, by: list[str], name: str, order: list[
     """One TSV with a header for each group of ``by`` below root; (by..., file_path, rows) of what was written.
 
     ``name`` is a path with the group's values in braces, such as ``{sample_id}/{MAG_ID}.tsv.gz``;
-    .gz is compressed. A group is one file, so it is written by one task; groups without
-    rows have no file. A task that runs again writes the same file again.
+    .gz is compressed. A group is one file, streamed by one task; groups without rows have
+    no file. All files appear when all are written, and none if the job fails.
     """
-    columns = [c for c in df.columns if c not in by]
-
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = {c: pdf[c].iloc[0] for c in by}
-        path = f"{root.rstrip('/')}/{name.format(**values)}"
-        system, at = store(path)
-        system.create_dir(at.rpartition("/")[0], recursive=True)
-        text = (pdf.sort_values(order, kind="stable") if order else pdf)[columns].to_csv(sep="\t", index=False).encode()
-        with system.open_output_stream(at, compression=None) as f:
-            f.write(gzip.compress(text, mtime=0) if name.endswith(".gz") else text)
-        return pd.DataFrame([{**values, "file_path": path, "rows": len(pdf)}])
-
+    spark = df.sparkSession
+    spark.dataSource.register(NamedFiles)
+    manifest = f"{fresh(spark, 'files')}.json"
+    placed = df.repartition(*by).sortWithinPartitions(*by, *(order or []))
+    placed.write.format("named_files").mode("append").options(name=name, by=json.dumps(by), manifest=manifest).save(root)
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in by], "file_path string", "rows bigint"])
-    integers = [c for c in columns if kinds[c] in ("bigint", "int")]
-    # A whole number beside nulls would be written as a float.
-    return df.withColumns({c: F.col(c).cast("string") for c in integers if c not in (order or [])}).groupBy(*by).applyInPandas(write, schema)
+    return spark.read.schema(", ".join([*[f"`{c}` {kinds[c]}" for c in by], "file_path string", "rows bigint"])).json(manifest)
+
+
+def write_file(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """A table as one TSV file of this very name, with a header, ordered if asked; .gz is compressed.
+
+    Tasks write and compress parts side by side, in the order of their ranges; one task puts
+    their bytes under one another and moves the whole to its name, replacing what had it.
+    """
+    spark = df.sparkSession
+    spark.dataSource.register(NamedFiles)
+    staged = fresh(spark, "parts")
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    suffix = "table.gz" if path.endswith(".gz") else "table"
+    placed.write.format("named_files").mode("append").options(name=suffix, parts="true", header="false", manifest=f"{staged}.json").save(staged)
+    header = pd.DataFrame(columns=df.columns).to_csv(sep="\t", index=False).encode()
+    parts = spark.read.schema("file_path string, rows bigint").json(f"{staged}.json").coalesce(1)
+
+    def put(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Parts are named by their numbers; a task without rows has none.
+        named = sorted(p for pdf in frames for p in pdf["file_path"])
+        yield pd.DataFrame({"bytes": [joined(named, path, header)]})
+
+    parts.mapInPandas(put, "bytes bigint").collect()
 
 
 def write_profiles(profiles: DataFrame, root: str) -> DataFrame:

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, shards_for, written
 
 FANOUT = 3
+#: Nodes of a level up to which it is handled by one task, without an exchange.
+FEW = 20_000
 #: Bytes of (group, order, digest) rows in a range.
 BYTES_A_RANGE = 16 << 20
 
@@ -74,19 +76,24 @@ def _parents(nodes: DataFrame, fanout: int) -> DataFrame:
     return runs.select("grp", F.col("at").alias("i"), F.ceil(F.col("n") / fanout).alias("n"), F.sha2(_joined(F.col("children")), 256).alias("digest"), "children")
 
 
-def _tree(leaves: DataFrame, fanout: int) -> tuple[list[DataFrame], DataFrame]:
-    """The levels above the leaves, and (grp, depth, subroot) of every group."""
-    most = leaves.agg(F.max("n").alias("n")).first()["n"] or 0
-    levels, nodes = [], leaves
+def _tree(leaves: DataFrame, fanout: int) -> tuple[list[DataFrame], DataFrame, list[bool]]:
+    """The levels above the leaves, (grp, depth, subroot) of every group, and which levels are small."""
+    size = leaves.agg(F.max("n").alias("n"), F.count("*").alias("nodes"), F.count_if(F.col("i") == 0).alias("groups")).first()
+    most, bound, groups = size["n"] or 0, size["nodes"], size["groups"]
+    levels, small, nodes = [], [], leaves
     tops = nodes.where("n = 1").select("grp", F.lit(0).alias("depth"), F.col("digest").alias("subroot"))
     while most > 1:
+        if bound <= FEW:
+            nodes = nodes.coalesce(1)
         levels.append(written(_parents(nodes, fanout), "level", clean=not levels))
-        nodes, most = levels[-1].drop("children"), -(-most // fanout)
+        bound, most = bound // fanout + groups, -(-most // fanout)
+        small.append(bound <= FEW)
+        nodes = levels[-1].drop("children")
         tops = tops.unionByName(nodes.where("n = 1").select("grp", F.lit(len(levels)).alias("depth"), F.col("digest").alias("subroot")))
-    return levels, tops
+    return levels, tops, small
 
 
-def _paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def _paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame, small: list[bool]) -> DataFrame:
     """(row, above..., path) of every leaf; tops: (grp, depth, path, above...) of every group's last node."""
     kept = [c for c in tops.columns if c not in ("grp", "depth", "path")]
     at = lambda depth: tops.where(F.col("depth") == depth).select("grp", F.lit(0).cast("long").alias("i"), "path", *kept)
@@ -94,8 +101,10 @@ def _paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame) -> DataF
     handed: DataFrame | None = None
     for depth in range(len(levels), 0, -1):
         above = at(depth) if handed is None else handed.select("grp", F.col("child")["i"].alias("i"), "path", *kept).unionByName(at(depth))
-        met = levels[depth - 1].select("grp", "i", "children").join(above, ["grp", "i"])
-        met = met.select("grp", "children", F.explode("children").alias("child"), "path", *kept)
+        nodes = levels[depth - 1].select("grp", "i", "children")
+        if small[depth - 1]:
+            nodes, above = nodes.coalesce(1), above.coalesce(1)
+        met = nodes.join(above, ["grp", "i"]).select("grp", "children", F.explode("children").alias("child"), "path", *kept)
         step = F.struct(side(F.col("child"), lambda x, own: x < own).alias("left"), side(F.col("child"), lambda x, own: x > own).alias("right"))
         handed = met.select("grp", "child", F.concat(F.array(step), F.col("path")).alias("path"), *kept)
     alone = leaves.where("n = 1").select("grp", "row").join(at(0), "grp").select("row", "path", *kept)
@@ -114,14 +123,14 @@ def prove(rows: DataFrame, digest: str = "leaf", group: str = "source", order: s
     name = F.coalesce(F.concat(F.lit("="), F.col(f"`{group}`").cast("string")), F.lit("-"))
     packed = rows.select(name.alias("grp"), F.col(f"`{order}`").alias("ord"), F.col(f"`{digest}`").alias("digest"), F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"))
     leaves = written(_numbered(written(packed, "leaves", clean=False)), "leaves")
-    levels, tops = _tree(leaves, fanout)
+    levels, tops, small = _tree(leaves, fanout)
     subroots = written(tops, "subroots", clean=False)
     listed = subroots.select(F.lit("").alias("grp"), F.col("grp").alias("ord"), F.col("subroot").alias("digest"), F.struct("grp", "depth", "subroot").alias("row"))
     groups = written(_numbered(listed), "groups", clean=False)
-    upper, last = _tree(groups, fanout)
-    over = _paths(groups, upper, last.select("grp", "depth", no_path.alias("path"), F.col("subroot").alias("root")))
+    upper, last, few = _tree(groups, fanout)
+    over = _paths(groups, upper, last.select("grp", "depth", no_path.alias("path"), F.col("subroot").alias("root")), few)
     tops = written(over.select("row.grp", "row.depth", "path", "row.subroot", "root"), "tops", clean=False)
-    return _paths(leaves, levels, tops).select(*[F.col("row")[c].alias(c) for c in carried], "subroot", "root", "path")
+    return _paths(leaves, levels, tops, small).select(*[F.col("row")[c].alias(c) for c in carried], "subroot", "root", "path")
 
 
 def proof_digest(path: Column) -> Column:

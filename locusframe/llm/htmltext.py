@@ -10,14 +10,18 @@ sum, and words of negative weight in it are left out.
 
 What the marks can't teach is a prior: containers whose element or name is known for
 boilerplate (menus, adverts, comments and so on) count as not content for the labels, at
-whatever depth; inside marked content they neither add to the region nor part it.
+whatever depth; inside marked content they neither add to the region nor part it. A name
+says so only if all its parts do, or are words of layout: ``ad-box`` does, ``ad-free``,
+``no-sidebar`` and ``related-work`` don't. Names of html, body, main and article say
+nothing, and the page's first main or article is content wherever it stands.
 
 Text: character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by a line feed. br counts as white space; comments,
 scripts, styles and the text of controls have no words.
 
 Nulls and empty pages give the empty text; so do pages without a word of positive
-weight. Very long pages: one pass over the page, memory in proportion to the longest.
+weight. Very long pages: time and memory are linear in the page, also where tags, quotes
+and elements are not closed.
 Unclosed elements end with the element around them. Repeated rows are read each on its
 own; other columns are ignored.
 """
@@ -43,6 +47,10 @@ LEAST, MOST = -3.0, 3.0
 
 _VALUE = r"=\s*(?>\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?"
 TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][\w:-]*)((?>[^>\"'=]+|{_VALUE}|[\"'])*+)>|[^<]+|<", re.DOTALL)
+#: One step within a tag, a mark that it may end or turn at, and the name that it starts with.
+STEP = re.compile(rf"[^>\"'=]+|{_VALUE}|[\"']")
+MARK = re.compile(r"[>\"'=]")
+NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
 CLASS = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 #: Elements by their part in HTML, and names that mark boilerplate.
 RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
@@ -52,24 +60,58 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 LEAVES = set("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption".split())
 BOILERPLATE_TAGS = set("nav header footer aside form menu dialog head".split())
 BOILERPLATE_NAMES = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer header menu nav navbar navigation newsletter notice pagination popup promo related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+LAYOUT_WORDS = set("area bar bars block body bottom box btn button buttons col column container content form global group head holder icons inner item items large left link links list main mobile module outer page panel post posts primary right row secondary section side site slot small thread top unit wrap wrapper zone".split())
+OPEN_TAGS = {"html", "body", "main", "article"}
 
 
 def pieces(page: str) -> Iterator[tuple[str, str, bool, str]]:
     """(kind, name or text, closing, attributes) with kind tag or text; raw elements have no text."""
     at, n = 0, len(page)
+    broken: Broken | None = None
     while at < n:
-        m = TOKEN.match(page, at)
-        if not m:
-            break
-        at = m.end()
-        if m[2]:
-            name = m[2].lower()
-            yield "tag", name, bool(m[1]), m[3]
-            if name in RAW and not m[1] and not _closed(m[3]):
+        if broken is not None and (head := NAME.match(page, at)):
+            # A tag of this page wasn't closed: what is known not to be is not looked through again.
+            end = broken.tag_end(head.end())
+            closing, name, attributes = (bool(head[1]), head[2].lower(), page[head.end() : end - 1]) if end else (False, "", "")
+            text, at = "<", end or at + 1
+        else:
+            m = TOKEN.match(page, at)
+            closing, name, attributes, text, at = bool(m[1]), (m[2] or "").lower(), m[3], m[0], m.end()
+            if text == "<" and broken is None and NAME.match(page, m.start()):
+                broken = Broken(page)
+                at = m.start()
+                continue
+        if name:
+            yield "tag", name, closing, attributes
+            if name in RAW and not closing and not _closed(attributes):
                 end = re.compile(rf"</{name}\b", re.IGNORECASE).search(page, at)
                 at = end.start() if end else n
-        elif not m[0].startswith(("<!", "<?")):
-            yield "text", m[0], False, ""
+        elif not text.startswith(("<!", "<?")):
+            yield "text", text, False, ""
+
+
+class Broken:
+    """What is known of a page with unclosed tags: places from which no tag ends, and the next mark that matters in one."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.dead, self.asked, self.next = page, set(), 0, -1
+
+    def _mark(self, at: int) -> int:
+        if not self.asked <= at <= self.next:
+            found = MARK.search(self.page, at)
+            self.asked, self.next = at, found.start() if found else len(self.page)
+        return self.next
+
+    def tag_end(self, at: int) -> int:
+        """The end of a tag whose name ends at a place, as TOKEN finds it; 0 if it has none. No place is stepped over twice in vain."""
+        at, seen = self._mark(at), []
+        while at < len(self.page) and at not in self.dead:
+            if self.page[at] == ">":
+                return at + 1
+            seen.append(at)
+            at = STEP.match(self.page, at).end()
+        self.dead.update(seen)
+        return 0
 
 
 def _closed(attributes: str) -> bool:
@@ -82,10 +124,16 @@ def _names(attributes: str) -> list[str]:
     return found.split()
 
 
+def _known(name: str) -> bool:
+    """Whether a name is made of boilerplate's names, at least one, and words of layout."""
+    parts = [p for p in re.split(r"[-_:]+", name) if p]
+    return any(p in BOILERPLATE_NAMES for p in parts) and all(p in BOILERPLATE_NAMES or p in LAYOUT_WORDS for p in parts)
+
+
 def _boilerplate(tag: str, names: list[str], inside_content: bool) -> bool:
     if tag in BOILERPLATE_TAGS and not (tag == "header" and inside_content):
         return True
-    return any(part in BOILERPLATE_NAMES for n in names for part in re.split(r"[-_:]", n))
+    return tag not in OPEN_TAGS and any(_known(n) for n in names)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
@@ -95,6 +143,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
     A tag puts a space (br), a line feed (the end of a block) or nothing.
     """
     stack: list[tuple[str, str, bool, bool, bool]] = []
+    opened: Counter = Counter()
+    marked = False
     for kind, what, closing, attributes in pieces(page):
         _, name, content, bad, silent = stack[-1] if stack else ("", "", False, False, False)
         place = ("" if not bad else "?" if content else "!") + name
@@ -109,16 +159,20 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
         if what in VOID or _closed(attributes):
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == what:
-                    del stack[i:]
+            while opened[what]:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == what:
                     break
         elif what not in LEAVES and what not in RAW:
             if what in ("option", "optgroup") and stack and stack[-1][0] == "option":
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             names = _names(attributes)
-            inside = content or what in ("article", "main")
-            stack.append((what, ".".join([what, *sorted(names)[:3]]), inside, bad or _boilerplate(what, names, inside), silent or what in SILENT))
+            if what in ("article", "main"):
+                # The first one on a page is content, whatever it stands in.
+                content, bad, marked = True, bad and marked, True
+            stack.append((what, ".".join([what, *sorted(set(names))]), content, bad or _boilerplate(what, names, content), silent or what in SILENT))
+            opened[what] += 1
 
 
 def labelled(page: str) -> Counter | None:

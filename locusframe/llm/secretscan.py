@@ -15,7 +15,8 @@ likelihood is no worse than that of all but ``TAIL`` of the labelled values and
 is at least ``LEAST_GAIN``.
 
 Nulls and empty texts have no spans. Very long texts: base matches and candidates are
-walked through once, in order. Rows are scanned each on its own; repeated rows and null
+walked through once, in order; the readings of a run with many ``=`` signs are scored
+together, from its end to its start, so its cost is linear in its length. Rows are scanned each on its own; repeated rows and null
 ids are kept. Without a labelled value there are no format spans.
 """
 
@@ -25,7 +26,7 @@ import heapq
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,9 @@ KINDS = ("assign", "access", "hex", "format")
 LEAST_LABELLED = 10
 #: The least length of a base match's value.
 SHORTEST = 6
+#: Starts in a run up to which its readings are scored one by one, and letters of runs whose result is kept.
+FEW_STARTS = 6
+KEPT = 200
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -82,11 +86,17 @@ def candidates(runs: list[Span2], base: list[Span]) -> Iterator[Span2]:
             yield s, e
 
 
-def readings(run: str, least: int) -> Iterator[tuple[int, int]]:
-    """Places in a run of what may be the credential: whole, behind = signs, each with and without closing punctuation."""
+def borders(run: str) -> tuple[list[int], list[int]]:
+    """Where what may be the credential starts in a run, at its start or behind = signs, and where it ends, closing punctuation in or out."""
     starts = [0, *[m.end() for m in re.finditer(r"=+(?=[^=])", run)]]
+    return starts, sorted({len(run), len(run.rstrip(".")), len(run.rstrip(".=-_/+"))}, reverse=True)
+
+
+def readings(run: str, least: int) -> Iterator[tuple[int, int]]:
+    """Places in a run of what may be the credential."""
+    starts, ends = borders(run)
     for a in starts:
-        for b in sorted({len(run), len(run.rstrip(".")), len(run.rstrip(".=-_/+"))}, reverse=True):
+        for b in ends:
             if b - a >= least:
                 yield a, b
 
@@ -115,6 +125,14 @@ def _scan(batch: pa.RecordBatch, column: int, least: int) -> Iterator[tuple[int,
             yield a + i, text, base_spans(text, bool(hexed[i])), pairs[cuts[i] : cuts[i + 1]]
 
 
+def _added(terms: Iterable[float]) -> float:
+    """One after the other, as sums over suffixes are; sum() rounds otherwise."""
+    total = 0.0
+    for x in terms:
+        total += x
+    return total
+
+
 class Automaton:
     """A probabilistic automaton from strings, by merging compatible prefix-tree states."""
 
@@ -181,14 +199,40 @@ class Automaton:
                 red.append(t)
         self.states = red
 
+    def step(self, state: int, c: str) -> tuple[float, int]:
+        """Log likelihood of a character (or "" for the end) in a state, and the next state; missing steps are smoothed."""
+        p = (self.n[state][c] + 0.5 * (self.common[c] + 0.01) / (self.sum + 1)) / (self.total[state] + 0.5)
+        return math.log(p), self.next[state].get(c, 0) if c else state
+
     def per_char(self, s: str) -> float:
-        """Log likelihood, with the end, divided by the length and one; missing steps are smoothed."""
-        state, total = 0, 0.0
+        """Log likelihood, with the end, divided by the length and one; added up from the end."""
+        state, terms = 0, []
         for c in (*s, ""):
-            p = (self.n[state][c] + 0.5 * (self.common[c] + 0.01) / (self.sum + 1)) / (self.total[state] + 0.5)
-            total += math.log(p)
-            state = self.next[state].get(c, 0) if c else state
-        return total / (len(s) + 1)
+            p, state = self.step(state, c)
+            terms.append(p)
+        return _added(reversed(terms)) / (len(s) + 1)
+
+    def suffixes(self, run: str, ends: list[int], starts: list[int]) -> np.ndarray:
+        """per_char of run[a:b] for all ends (rows) and starts (columns), in one pass from the end over all states; -inf for none."""
+        place = {state: k for k, state in enumerate(self.states)}
+        tables = {}
+        for c in set(run):
+            steps = [self.step(state, c) for state in self.states]
+            tables[c] = np.array([p for p, _ in steps]), np.array([place[to] for _, to in steps])
+        closing = np.array([self.step(state, "")[0] for state in self.states])
+        out = np.full((len(ends), len(starts)), -np.inf)
+        column = {a: k for k, a in enumerate(starts)}
+        total = np.full((len(ends), len(self.states)), -np.inf)
+        for at in range(len(run), -1, -1):
+            for k, b in enumerate(ends):
+                if b == at:
+                    total[k] = closing
+            if at in column:
+                out[:, column[at]] = total[:, place[0]]
+            if at:
+                p, to = tables[run[at - 1]]
+                total = p + total[:, to]
+        return out / (np.array(ends)[:, None] - np.array(starts)[None, :] + 1).clip(1)
 
 
 class Background:
@@ -201,9 +245,25 @@ class Background:
                 self.pairs[a + b] += 1
                 self.firsts[a] += 1
 
+    def pair(self, a: str, b: str) -> float:
+        return math.log((self.pairs[a + b] + 0.5) / (self.firsts[a] + 34.0))
+
     def per_char(self, s: str) -> float:
-        total = sum(math.log((self.pairs[a + b] + 0.5) / (self.firsts[a] + 34.0)) for a, b in zip(" " + s, s + " ", strict=True))
-        return total / (len(s) + 1)
+        return _added(self.pair(a, b) for a, b in reversed(list(zip(" " + s, s + " ", strict=True)))) / (len(s) + 1)
+
+    def suffixes(self, run: str, ends: list[int], starts: list[int]) -> np.ndarray:
+        """per_char of run[a:b] for all ends (rows) and starts (columns)."""
+        known: dict[str, float] = {}
+        score = lambda two: known[two] if two in known else known.setdefault(two, self.pair(two[0], two[1]))
+        out = np.full((len(ends), len(starts)), -np.inf)
+        column = {a: k for k, a in enumerate(starts)}
+        for k, b in enumerate(ends):
+            total = 0.0
+            for at in range(b - 1, -1, -1):
+                total += score(run[at] + (run[at + 1] if at + 1 < b else " "))
+                if at in column:
+                    out[k, column[at]] = (total + score(" " + run[at])) / (b - at + 1)
+        return out
 
 
 class Formats:
@@ -228,6 +288,9 @@ class Formats:
 
     def best(self, run: str) -> tuple[int, int, float] | None:
         """The reading of a run that scores best, the first and longest of equal ones."""
+        starts, ends = borders(run)
+        if len(starts) > FEW_STARTS:
+            return self._best_of_many(run, starts, ends)
         found = None
         for a, b in readings(run, self.least):
             gain = self.score(run[a:b])
@@ -235,6 +298,20 @@ class Formats:
                 found = (a, b, gain)
         return found
 
+    def _best_of_many(self, run: str, starts: list[int], ends: list[int]) -> tuple[int, int, float] | None:
+        """The same in time linear in the run."""
+        plain = self.background.suffixes(run, ends, starts)
+        best = np.full(plain.shape, -np.inf)
+        long = np.array(ends)[:, None] - np.array(starts)[None, :] >= self.least
+        for automaton, least in self.known:
+            p = automaton.suffixes(run, ends, starts)
+            with np.errstate(invalid="ignore"):
+                gain = p - plain
+            best = np.maximum(best, np.where(long & (p >= least) & (gain >= LEAST_GAIN), gain, -np.inf))
+        k = int(np.argmax(best.T))
+        a, b = divmod(k, len(ends))
+        return (starts[a], ends[b], float(best[b, a])) if best[b, a] > -np.inf else None
+
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's SAMPLE distinct values of least hash, of each kind; candidates are kind 3."""
@@ -280,12 +357,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 spans = [(s, k, e, None) for s, k, e in base]
                 for s, e in candidates(runs, base) if model.known else ():
                     run = text[s:e]
-                    if run not in seen:
+                    found = seen[run] if run in seen else model.best(run)
+                    if len(run) <= KEPT:
                         if len(seen) > 200_000:
                             seen.clear()
-                        seen[run] = model.best(run)
-                    if seen[run] is not None:
-                        x, y, gain = seen[run]
+                        seen[run] = found
+                    if found is not None:
+                        x, y, gain = found
                         spans.append((s + x, 3, s + y, gain))
                 out[i] = [{"kind": KINDS[k], "start": s, "end": e, "value": text[s:e], "gain": g} for s, k, e, g in sorted(spans, key=lambda x: x[:3])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["doc_id", "spans"])

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from locusframe.llm import secretscan as s
 
@@ -47,6 +48,39 @@ def test_readings():
     assert {run, "abc=12345678.=", "12345678.=", "12345678", "NAME=abc=12345678"} <= got and all(len(x) >= 6 for x in got)
 
 
+def some_formats():
+    rng = random.Random(9)
+    kinds = {"assign": [rng.choice(("k-", "key")) + "".join(rng.choice("0123456789ABCDEF") for _ in range(rng.randint(8, 20))) for _ in range(120)], "hex": ["".join(rng.choice("0123456789abcdef") for _ in range(24)) for _ in range(80)]}
+    return s.Formats(kinds, ["".join(rng.choice("abcdefghij-/=._") for _ in range(rng.randint(6, 30))) for _ in range(200)]), kinds
+
+
+def test_many_starts():
+    """Scored together, a run has the reading and the gain of one by one, to the last bit."""
+    formats, kinds = some_formats()
+    rng, found = random.Random(10), 0
+    for _ in range(150):
+        run = "=".join(rng.choice(("x", "", "name", rng.choice(kinds["assign"]), rng.choice(kinds["hex"]))) for _ in range(rng.randint(1, 9))) + rng.choice(("", ".", "=.", "-"))
+        want = None
+        for a, b in s.readings(run, formats.least):
+            gain = formats.score(run[a:b])
+            if gain is not None and (want is None or gain > want[2]):
+                want = (a, b, gain)
+        assert formats._best_of_many(run, *s.borders(run)) == formats.best(run) == want
+        found += want is not None
+    assert 30 < found < 150
+
+
+def test_long_run_is_linear():
+    formats, kinds = some_formats()
+    took = []
+    for n in (20_000, 80_000):
+        began = time.process_time()
+        run = "a1=" * n + kinds["hex"][0]
+        assert formats.best(run)[:2] == (3 * n, len(run))
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0] + 1 and took[1] < 40
+
+
 def test_automaton():
     rng = random.Random(1)
     a = s.Automaton(["id-" + "".join(rng.choice("01") for _ in range(8)) for _ in range(100)])

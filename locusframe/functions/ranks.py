@@ -3,7 +3,8 @@
 Rules: Mann-Whitney is exact if the smaller sample has at most 8 values and nothing is
 tied, else normal with tie and continuity correction. The signed-rank test drops zeros; it
 is exact up to 50 values without zeros and ties, else normal with tie correction. ``method``
-may also be ``exact`` or ``asymptotic``.
+may also be ``exact`` or ``asymptotic``; exact tails of tied values are those of the ranks
+at hand: of all choices of as many of them, counted by their sums.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: The smaller sample up to which Mann-Whitney, and the size up to which the signed-rank test, is exact.
+EXACT_SMALLER, EXACT_SIGNED = 8, 50
+
+
 def mid_ranks(values: np.ndarray) -> np.ndarray:
     _, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
     ends = np.cumsum(counts)
@@ -53,14 +58,58 @@ def _w_counts(n: int) -> np.ndarray:
     return counts
 
 
+@lru_cache(maxsize=4096)
+def _choices(ranks: tuple[int, ...], n: int) -> np.ndarray:
+    """Ways to choose n of these doubled ranks, by their sum; shifted and added one rank after the other."""
+    ways = np.zeros((n + 1, sum(ranks) + 1))
+    ways[0, 0] = 1.0
+    for r in ranks:
+        ways[1:, r:] += ways[:-1, : ways.shape[1] - r].copy()
+    return ways[n]
+
+
+@lru_cache(maxsize=4096)
+def _signs(ranks: tuple[int, ...]) -> np.ndarray:
+    """Ways to choose any of these doubled ranks, by their sum."""
+    ways = np.zeros(sum(ranks) + 1)
+    ways[0] = 1.0
+    for r in ranks:
+        ways[r:] += ways[: len(ways) - r].copy()
+    return ways
+
+
+def _doubled(ranks: np.ndarray) -> tuple[int, ...]:
+    return tuple(sorted(int(r) for r in np.rint(2 * ranks)))
+
+
+def u_tails(n: int, m: int) -> np.ndarray:
+    """Two-sided p for every U not less than its mean, without ties."""
+    counts = _u_counts(n, m)
+    return np.minimum(1.0, 2 * counts[::-1].cumsum()[::-1] / counts.sum())
+
+
+def signed_rank_tails(n: int) -> np.ndarray:
+    """Two-sided p for every smaller rank sum, without ties."""
+    counts = _w_counts(n)
+    return np.minimum(1.0, 2 * counts.cumsum() / counts.sum())
+
+
 def mann_whitney(x: np.ndarray, y: np.ndarray, method: str = "auto") -> tuple[float, float]:
     """(U of x, two-sided p)."""
     n, m = len(x), len(y)
     both = np.concatenate([x, y])
-    u = float(mid_ranks(both)[:n].sum() - n * (n + 1) / 2)
+    ranks = mid_ranks(both)
+    u = float(ranks[:n].sum() - n * (n + 1) / 2)
     ties = _ties(both)
     high = max(u, n * m - u)
-    if method == "exact" or (method == "auto" and min(n, m) <= 8 and not ties):
+    if method == "exact" and ties:
+        ways = _choices(_doubled(ranks), n)
+        least = round(2 * (high + n * (n + 1) / 2))
+        # The greater U may be the other sample's, whose rank sums mirror these.
+        below = round(2 * (n * m - high + n * (n + 1) / 2))
+        tail = ways[least:].sum() if u >= n * m - u else ways[: below + 1].sum()
+        return u, float(min(1.0, 2 * tail / ways.sum()))
+    if method == "exact" or (method == "auto" and min(n, m) <= EXACT_SMALLER and not ties):
         counts = _u_counts(n, m)
         p = 2 * counts[math.ceil(high) :].sum() / counts.sum()
         return u, float(min(1.0, p))
@@ -83,7 +132,10 @@ def signed_rank(d: np.ndarray, method: str = "auto") -> tuple[float, float]:
     plus = float(ranks[kept > 0].sum())
     t = min(plus, n * (n + 1) / 2 - plus)
     ties = _ties(np.abs(kept))
-    if method == "exact" or (method == "auto" and n <= 50 and not zeros and not ties):
+    if method == "exact" and ties:
+        ways = _signs(_doubled(ranks))
+        return t, float(min(1.0, 2 * ways[: round(2 * t) + 1].sum() / ways.sum()))
+    if method == "exact" or (method == "auto" and n <= EXACT_SIGNED and not zeros and not ties):
         counts = _w_counts(n)
         return t, float(min(1.0, 2 * counts[: math.floor(t) + 1].sum() / counts.sum()))
     var = n * (n + 1) * (2 * n + 1) / 24 - ties / 48
@@ -93,25 +145,36 @@ def signed_rank(d: np.ndarray, method: str = "auto") -> tuple[float, float]:
     return t, float(min(1.0, math.erfc(abs(z) / math.sqrt(2))))
 
 
-def _mann_whitney(x: pd.Series, y: pd.Series) -> pd.DataFrame:
-    rows = [(None, None) if a is None or b is None or not len(a) or not len(b) else mann_whitney(np.asarray(a, float), np.asarray(b, float)) for a, b in zip(x, y, strict=True)]
-    return pd.DataFrame(rows, columns=["u", "p"]).astype(object)
+def _mann_whitney(method: str):  # noqa: ANN202
+    def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        rows = [(None, None) if a is None or b is None or not len(a) or not len(b) else mann_whitney(np.asarray(a, float), np.asarray(b, float), method) for a, b in zip(x, y, strict=True)]
+        return pd.DataFrame(rows, columns=["u", "p"]).astype(object)
 
+    return run
 
-def _signed_rank(d: pd.Series) -> pd.DataFrame:
-    rows = [(None, None) if a is None or not len(a) else signed_rank(np.asarray(a, float)) for a in d]
-    return pd.DataFrame(rows, columns=["t", "p"]).astype(object)
+
+def _signed_rank(method: str):  # noqa: ANN202
+    def run(d: pd.Series) -> pd.DataFrame:
+        rows = [(None, None) if a is None or not len(a) else signed_rank(np.asarray(a, float), method) for a in d]
+        return pd.DataFrame(rows, columns=["t", "p"]).astype(object)
+
+    return run
 
 
 def _pair(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
 
-def mann_whitney_test(x: Column | str, y: Column | str) -> Column:
+def _checked(f, *kinds: str):  # noqa: ANN001, ANN202
+    f.__annotations__ = dict(zip([*f.__code__.co_varnames[: f.__code__.co_argcount], "return"], [*[pd.Series] * f.__code__.co_argcount, pd.DataFrame], strict=True))
+    return F.pandas_udf(f, _pair(*kinds))
+
+
+def mann_whitney_test(x: Column | str, y: Column | str, method: str = "auto") -> Column:
     """Struct (u, p) of two arrays; null where one is null or empty."""
-    return F.pandas_udf(_mann_whitney, _pair("u", "p"))(x, y)
+    return _checked(_mann_whitney(method), "u", "p")(x, y)
 
 
-def signed_rank_test(d: Column | str) -> Column:
+def signed_rank_test(d: Column | str, method: str = "auto") -> Column:
     """Struct (t, p) of an array of differences; null where it is null or empty."""
-    return F.pandas_udf(_signed_rank, _pair("t", "p"))(d)
+    return _checked(_signed_rank(method), "t", "p")(d)

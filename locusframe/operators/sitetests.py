@@ -1,7 +1,8 @@
 """Tests of every site between or within groups.
 
-Statistics and degrees of freedom are plain aggregates; only distribution tails and rank
-tests are Arrow UDFs, over one row for each site and nucleotide. Samples are replicate
+Statistics and degrees of freedom are plain aggregates, and rank tests of samples of up to
+64 values are column expressions; only tails of t, and rank tests of larger samples, are
+Arrow UDFs, over one row for each site and nucleotide. Samples are replicate
 means, so n counts replicates. A sample is constant if its least equals its greatest value.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import rankcols
 from ..functions.ranks import mann_whitney_test, signed_rank_test
 from ..functions.tails import t_p
 from ..schemas import NUCLEOTIDES
@@ -78,6 +80,24 @@ def _tail(same: str) -> Column:
     return F.when(~F.col("enough"), None).when(F.col(same), 1.0).when(F.col("t").isNull(), 0.0).otherwise(t_p("t", "df"))
 
 
+def most_values(means: DataFrame) -> int:
+    """How many values a sample of a site can have: the study's replicates; beyond the limit of ``rankcols`` where they are not known."""
+    return means.select("replicate").distinct().count() if "replicate" in means.columns else rankcols.MOST + 1
+
+
+def _few(size: str, most: int) -> Column:
+    """The size, checked: replicates are unique within a group and site."""
+    return F.when(F.col(size) <= most, F.col(size)).otherwise(F.raise_error(F.lit("a replicate has several values at a site")).cast("bigint"))
+
+
+def _with_rank_sum(long: DataFrame, most: int) -> DataFrame:
+    """p_u of the samples x1 and x2 where there are enough values."""
+    if most > rankcols.MOST:
+        return long.withColumn("p_u", F.when(F.col("enough"), mann_whitney_test("x1", "x2")["p"]))
+    checked = long.withColumn("n_1", _few("n_1", most)).withColumn("n_2", _few("n_2", most))
+    return rankcols.with_mann_whitney(checked, "x1", "x2", most, "__u", "p_u").withColumn("p_u", F.when(F.col("enough"), F.col("p_u"))).drop("__u")
+
+
 def _wide(long: DataFrame, keys: list[str], tests: dict[str, str], note: Column, extra: list[Column]) -> DataFrame:
     """One row a site: {nucleotide}_frequency_p_value_{test}, extra columns and notes; rows without any p-value go."""
     cols = [F.max(F.when(F.col("nucleotide") == n, F.col(c))).alias(f"{n}_frequency_p_value_{test}") for test, c in tests.items() for n in NUCLEOTIDES]
@@ -94,21 +114,24 @@ def unpaired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
     """Welch's t and Mann-Whitney of every site."""
     keys = site_keys(means)
     long = welch(means, keys, g1, g2, min_n).withColumn("p_t", _tail("same"))
-    long = long.withColumn("p_u", F.when(F.col("enough"), mann_whitney_test("x1", "x2")["p"]))
+    long = _with_rank_sum(long, most_values(means))
     note = F.when(F.col("enough") & F.col("same"), F.concat("nucleotide", F.lit(NOTE_UNPAIRED)))
     extra = [F.max("n_1").alias(f"num_samples_{g1}"), F.max("n_2").alias(f"num_samples_{g2}")]
     return _any_p(_wide(long, keys, {"tTest": "p_t", "MannWhitney": "p_u"}, note, extra))
 
 
-def _one(long: DataFrame) -> DataFrame:
+def _one(long: DataFrame, most: int) -> DataFrame:
     long = long.withColumn("p_t", _tail("zero"))
-    return long.withColumn("p_w", F.when(F.col("enough"), F.when(F.col("zero"), 1.0).otherwise(signed_rank_test("x1")["p"])))
+    if most > rankcols.MOST:
+        return long.withColumn("p_w", F.when(F.col("enough"), F.when(F.col("zero"), 1.0).otherwise(signed_rank_test("x1")["p"])))
+    found = rankcols.with_signed_rank(long.withColumn("n_1", _few("n_1", most)), "x1", most, "__w", "p_w")
+    return found.withColumn("p_w", F.when(F.col("enough"), F.when(F.col("zero"), 1.0).otherwise(F.col("p_w")))).drop("__w")
 
 
 def paired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
     """Paired t and signed-rank test of every site; pairs are replicates in both groups."""
     keys = site_keys(means)
-    long = _one(one_sample(pairs(means, keys, g1, g2), keys, min_n))
+    long = _one(one_sample(pairs(means, keys, g1, g2), keys, min_n), most_values(means))
     note = F.when(F.col("enough") & F.col("zero"), F.concat("nucleotide", F.lit(NOTE_PAIRED)))
     return _any_p(_wide(long, keys, {"paired_tTest": "p_t", "Wilcoxon": "p_w"}, note, [F.max("n_1").alias("num_pairs")]))
 
@@ -116,7 +139,7 @@ def paired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
 def single(means: DataFrame, groups: tuple[str, str], min_n: int = 4) -> DataFrame:
     """One-sample t and signed-rank test against 0 of every site, in each group."""
     keys = site_keys(means)
-    long = _one(one_sample(means.where(F.col("group").isin(*groups)), [*keys, "group"], min_n))
+    long = _one(one_sample(means.where(F.col("group").isin(*groups)), [*keys, "group"], min_n), most_values(means))
     cols = [F.max(F.when((F.col("nucleotide") == n) & (F.col("group") == g), F.col(c))).alias(f"{n}_frequency_p_value_{test}_{g}") for g in groups for test, c in (("tTest", "p_t"), ("Wilcoxon", "p_w")) for n in NUCLEOTIDES]
     extra = [F.coalesce(F.max(F.when(F.col("group") == g, F.col("n_1"))), F.lit(0)).alias(f"num_samples_{g}") for g in groups]
     order = F.struct(F.when(F.col("group") == groups[0], 0).otherwise(1).alias("g"), F.array_position(F.array(*[F.lit(n) for n in NUCLEOTIDES]), F.col("nucleotide")).alias("o"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import StudyConfig
 from ..functions.ids import contig_of_gene, gene_list, genome_of
+from ..functions.ranks import mann_whitney_test, signed_rank_test
 from ..operators import annotate, catalog, change, fdr, frequency, legacy, outliers, pileup, reshape, scores, sitetests
 from ..schemas import NUCLEOTIDES, RANKS
 from . import adapters
@@ -235,6 +236,31 @@ def wilcoxon_w(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(s.select(*SITE, "nucleotide", sitetests.signed_rank_test("x1")["t"].alias("w")))
 
 
+_TIED = """, k AS (SELECT *, (2 * rank() OVER (PARTITION BY l_orderkey ORDER BY {by}) + count(*) OVER (PARTITION BY l_orderkey, {by}) - 1)::BIGINT AS r, row_number() OVER (PARTITION BY l_orderkey ORDER BY {by}) AS i, count(*) OVER (PARTITION BY l_orderkey) AS size FROM l),
+o AS (SELECT l_orderkey, sum(r) FILTER (mine) AS s, count(*) FILTER (mine) AS n, count(*) AS size FROM k GROUP BY ALL {having}),
+w AS (SELECT l_orderkey, 0 AS i, 0 AS c, 0::BIGINT AS t, 1.0::DOUBLE AS w FROM o
+  UNION ALL SELECT w.l_orderkey, w.i + 1, w.c + d, w.t + d * k.r, sum(w.w) FROM w JOIN k ON k.l_orderkey = w.l_orderkey AND k.i = w.i + 1, (VALUES (0), (1)) choice(d) GROUP BY ALL)"""
+
+
+@_query("WITH RECURSIVE l AS (SELECT l_orderkey, l_returnflag = 'N' AS mine, l_discount AS x FROM lineitem)" + _TIED.format(by="x", having="HAVING n > 0 AND n < size") + f"""
+SELECT o.l_orderkey, {_r("any_value(o.s / 2 - o.n * (o.n + 1) / 2)", "u")}, {_r("least(1.0, 2 * least(sum(w) FILTER (t <= o.s), sum(w) FILTER (t >= o.s)) / sum(w))", "p")} FROM o JOIN w ON w.l_orderkey = o.l_orderkey AND w.i = o.size AND w.c = o.n GROUP BY o.l_orderkey""")
+def tied_rank_sum(spark: SparkSession, d: str) -> DataFrame:
+    """Exact two-sided tails of samples with equal values: the lines of each order, by their flag."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", F.col("l_discount").cast("double").alias("x"), (F.col("l_returnflag") == "N").alias("mine"))
+    sides = lines.groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("mine"), F.col("x"))).alias("a"), F.collect_list(F.when(~F.col("mine"), F.col("x"))).alias("b"))
+    test = mann_whitney_test("a", "b", "exact")
+    return _rounded(sides.where((F.size("a") > 0) & (F.size("b") > 0)).withColumn("t", test).select("l_orderkey", "t.u", "t.p"))
+
+
+@_query("WITH RECURSIVE l AS (SELECT l_orderkey, l_discount > 0.05 AS mine, abs(l_discount - 0.05) AS x FROM (SELECT l_orderkey, round(l_discount, 2) AS l_discount FROM lineitem) WHERE round(l_discount * 100) <> 5), l0 AS (SELECT l_orderkey, mine, round(x, 2) AS x FROM l)" + _TIED.replace("FROM l)", "FROM l0)").format(by="x", having="") + f"""
+SELECT o.l_orderkey, {_r("any_value(least(coalesce(o.s, 0), o.size * (o.size + 1) - coalesce(o.s, 0)) / 2)", "t")}, {_r("least(1.0, 2 * sum(w) FILTER (t <= least(coalesce(o.s, 0), o.size * (o.size + 1) - coalesce(o.s, 0))) / sum(w))", "p")} FROM o JOIN w ON w.l_orderkey = o.l_orderkey AND w.i = o.size GROUP BY o.l_orderkey""")
+def tied_signed_rank(spark: SparkSession, d: str) -> DataFrame:
+    """The same for the signed ranks of each order's discounts against 0.05."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", F.round(F.col("l_discount").cast("double") - 0.05, 2).alias("x"))
+    of = lines.where("x <> 0").groupBy("l_orderkey").agg(F.collect_list("x").alias("x"))
+    return _rounded(of.withColumn("r", signed_rank_test("x", "exact")).select("l_orderkey", "r.t", "r.p"))
+
+
 #: Weights of Simpson's rule with 400 intervals.
 _WEIGHT = "(CASE WHEN i = 0 OR i = 400 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
 

@@ -128,6 +128,8 @@ def gene_scores(spark: SparkSession, a: argparse.Namespace) -> None:
 def outlier_genes(spark: SparkSession, a: argparse.Namespace) -> None:
     """Genes of a genome with more significant sites than its rate explains."""
     genes, genomes = (tables.typed_by_name(tables.read_table(spark, p)) for p in (a.gene_file, a.mag_file))
+    if not genomes.where(F.col("MAG_ID") == a.mag_id).limit(1).count():
+        raise SystemExit(f"{a.mag_file} has no genome {a.mag_id}")
     _put(outliers.outlier_genes(genes, genomes.where(F.col("MAG_ID") == a.mag_id), a.mag_id).drop("MAG_ID"), a.out_fPath)
 
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import StudyConfig
-from ..operators import catalog, legacy, outliers, pileup, reshape, scores
-from ..schemas import PROFILE, READS
+from ..functions.ids import genome_of
+from ..operators import catalog, frequency, legacy, outliers, pileup, reshape, scores
+from ..schemas import NUCLEOTIDES, PROFILE, READS
 from ..sources import bam, fasta, tables
 from ..sources.shared import fresh
-from . import adapters, queries, study
+from . import adapters, layout, queries, resume, study
 from .adapters import view
 from .queries import CONFIG, _query, _r, _with
 
@@ -290,6 +292,55 @@ def legacy_group_tests_sorted(spark: SparkSession, d: str) -> DataFrame:
     return legacy.by_place(queries._QUERIES["legacy_group_tests"](spark, d))
 
 
+@_query(queries.oracle_text("mean_change"))
+def mean_change_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """Means from a table that is bucketed by site."""
+    name = f"sites_{uuid.uuid4().hex}"
+    p = view(spark, d, adapters.PROFILE)
+    freq = frequency.nucleotide_frequencies(p.drop("group", "subjectID", "time", "replicate"), queries._samples(spark, d), view(spark, d, adapters.SIZES), 0.1)
+    layout.save_sites(freq, name, 8)
+    return queries._rounded(layout.site_means(spark, name, CONFIG))
+
+
+class _Stopped(Exception):
+    pass
+
+
+@_query(queries.oracle_text("mean_change"))
+def mean_change_resumed(spark: SparkSession, d: str) -> DataFrame:
+    """A study in batches of three genomes that stops after the first one and is run again."""
+    out = fresh(spark, "resumed")
+    p = view(spark, d, adapters.PROFILE).drop("group", "subjectID", "time", "replicate")
+    given = (p, queries._samples(spark, d), view(spark, d, adapters.SIZES), CONFIG, out, 3, False)
+
+    def stop(batch: list[str]) -> None:
+        raise _Stopped(batch)
+
+    try:
+        resume.run(*given, after_batch=stop)
+    except _Stopped:
+        pass
+    path = resume.run(*given)["mean_changes"]
+    wanted = queries._QUERIES["mean_change"](spark, d).columns
+    return queries._rounded(spark.read.parquet(path).select(*wanted))
+
+
+_MOUSE = """SELECT concat('M', l_suppkey % 5, '.fa_k', l_linenumber) AS scaffold, CAST(l_partkey % 3 AS BIGINT) AS position, CASE WHEN o_custkey % 40 < 20 THEN 'fat' ELSE 'control' END AS diet, concat('m', o_custkey % 20) AS mouse,
+  CAST(count(*) AS BIGINT) AS position_coverage, """ + ", ".join(f"CAST(sum(CASE WHEN {adapters._BASE} = '{n}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{n}\"" for n in "ACTG") + " FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4"
+_MOUSE_K = '"MAG_ID", scaffold, position, nucleotide'
+_MOUSE_P = [f'"{n}_frequency_p_value"' for n in NUCLEOTIDES]
+_MOUSE_SQL = _with(m=_MOUSE) + ", l AS (" + " UNION ALL ".join(f"SELECT string_split(scaffold, '.fa')[1] AS \"MAG_ID\", scaffold, position, '{n}' AS nucleotide, mouse, diet, \"{n}\" / position_coverage AS x FROM m" for n in NUCLEOTIDES) + f"""),
+d AS (SELECT {_MOUSE_K}, mouse, max(x) FILTER (diet = 'fat') - max(x) FILTER (diet = 'control') AS x FROM l GROUP BY ALL HAVING count(*) FILTER (diet = 'fat') > 0 AND count(*) FILTER (diet = 'control') > 0)""" + queries._signed_rank(_MOUSE_K) + f"""
+SELECT "MAG_ID", scaffold, position, {", ".join(_r(f"max(p) FILTER (nucleotide = '{n}')", f"{n}_frequency_p_value") for n in NUCLEOTIDES)}, max(n)::BIGINT AS num_samples_fat, max(n)::BIGINT AS num_samples_control, {_r("min(p)", "min_p_value")} FROM sr WHERE n >= 6 GROUP BY ALL"""
+
+
+@_query(queries._recursive(_MOUSE_SQL))
+def legacy_snv_tests_paired(spark: SparkSession, d: str) -> DataFrame:
+    """Older tests over variants, paired by mouse."""
+    freq = frequency.frequencies(view(spark, d, _MOUSE).withColumn("MAG_ID", genome_of(F.col("scaffold"))), "position_coverage")
+    return queries._rounded(legacy.group_tests(freq, "fat", "control", ["MAG_ID", "scaffold", "position"], "diet", "mouse", True))
+
+
 _RELATIONS = ["nuc_freq", "allele_changes", "mean_changes"] + [f"{t}{x}" for t in ("two_sample_unpaired", "two_sample_paired", "single_sample") for x in ("", "_mag_scores", "_taxa_scores", "_gene_scores_combined", "_gene_scores_individual", "_gene_scores_overlapping", "_outliers")]
 
 

@@ -463,6 +463,12 @@ def taxa_rollup_genus(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(scores.taxon_scores(scores.genome_scores(_pvalues(spark, d), _taxonomy(spark, d)), "genus"))
 
 
+@_query(_MAG + f", r AS ({_roll('family', False)}), x AS (SELECT DISTINCT domain, phylum, \"class\", \"order\", family FROM m) SELECT r.*, x.* EXCLUDE (family) FROM r LEFT JOIN x USING (family)")
+def taxa_rollup_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """A family's sums with all lineages that its label has."""
+    return _rounded(scores.taxon_scores(scores.genome_scores(_pvalues(spark, d), _taxonomy(spark, d)), "family", with_lineage=True))
+
+
 @_query(_MAG + " " + " UNION ALL ".join(_roll(r, True) for r in RANKS))
 def taxa_rollup(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(scores.all_taxon_scores(scores.genome_scores(_pvalues(spark, d), _taxonomy(spark, d))))
@@ -593,6 +599,18 @@ def pvalue_density(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(reshape.density(_melted(spark, d), [0.0, 0.25, 0.5, 0.75, 1.0]))
 
 
+_CURVES = """, s AS (SELECT label, count(*) AS n, min(p_value) AS lo, max(p_value) AS hi, stddev_samp(p_value) AS sd FROM l WHERE p_value IS NOT NULL GROUP BY label HAVING max(p_value) > min(p_value)),
+g AS (SELECT *, sd * n ** -0.2 AS bandwidth, (hi - lo) / 199 AS step FROM s), a AS (SELECT g.*, (p_value - lo) / step AS at_, least(floor((p_value - lo) / step), 198) AS low FROM l JOIN g USING (label) WHERE p_value IS NOT NULL),
+b AS (SELECT label, low AS k, 1 - (at_ - low) AS w FROM a UNION ALL SELECT label, low + 1, at_ - low FROM a), c AS (SELECT label, k, sum(w) AS w FROM b GROUP BY ALL)
+SELECT label, point::INT AS point, """ + _r("lo + point * step", "x") + ", " + _r("bandwidth", "bandwidth") + ", " + _r("sum(w * exp(-((point - k) * step / bandwidth) * ((point - k) * step / bandwidth) / 2) / (bandwidth * sqrt(2 * pi()))) / n", "density") + " FROM c JOIN g USING (label), range(200) t(point) GROUP BY label, point, lo, step, bandwidth, n"
+
+
+@_query(_MELT + _CURVES)
+def pvalue_density_curves(spark: SparkSession, d: str) -> DataFrame:
+    """200 points for each series, with a bandwidth from its spread and size."""
+    return _rounded(reshape.density_curves(_melted(spark, d)))
+
+
 # ---------------------------------------------------------------- ids and files
 
 

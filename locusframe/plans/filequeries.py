@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import StudyConfig
 from ..functions.ids import genome_of
-from ..operators import catalog, frequency, legacy, outliers, pileup, reshape, scores
+from ..operators import catalog, frequency, guards, legacy, outliers, pileup, reshape, scores
 from ..schemas import NUCLEOTIDES, PROFILE, READS
 from ..sources import bam, fasta, tables
 from ..sources.shared import fresh
@@ -341,6 +341,25 @@ def legacy_snv_tests_paired(spark: SparkSession, d: str) -> DataFrame:
     return queries._rounded(legacy.group_tests(freq, "fat", "control", ["MAG_ID", "scaffold", "position"], "diet", "mouse", True))
 
 
+def _guarded_sql(kind: str, columns: list[str], whole: bool, name: str) -> str:
+    n = " + ".join(f"(\"{c}\" IS NULL)::INT" for c in columns)
+    bad = f"({n}) = {len(columns)}" if whole else f"({n}) BETWEEN 1 AND {len(columns) - 1}"
+    site = "concat(contig, ':', position)"
+    return f"SELECT '{kind} {name}' AS name, count(*) FILTER ({bad})::BIGINT AS rows, min({site}) FILTER ({bad}) AS first, max({site}) FILTER ({bad}) AS last FROM pv"
+
+
+_TT = [f"{n}_frequency_p_value_tTest" for n in NUCLEOTIDES]
+
+
+@_query(_with(pv=adapters.PVALUES) + " " + " UNION ALL ".join((_guarded_sql("untested", _TT, True, "tTest"), _guarded_sql("untested", queries._WX, True, "Wilcoxon"), _guarded_sql("partly missing", [*queries._WX, "gene_id"], False, "Wilcoxon with genes"))))
+def guard_findings(spark: SparkSession, d: str) -> DataFrame:
+    """What guards found in the p-values while gene scores were computed from them."""
+    watched = [guards.untested(_TT, "tTest"), guards.untested(queries._WX, "Wilcoxon"), guards.partly_missing([*queries._WX, "gene_id"], "Wilcoxon with genes")]
+    watch = guards.Watch(view(spark, d, adapters.PVALUES), watched)
+    scores.score_by(watch.df, ["gene_id"]).write.parquet(fresh(spark, "guarded"))
+    return spark.createDataFrame([(f.name, f.rows, f.first, f.last) for f in watch.findings()], "name string, rows bigint, first string, last string")
+
+
 _RELATIONS = ["nuc_freq", "allele_changes", "mean_changes"] + [f"{t}{x}" for t in ("two_sample_unpaired", "two_sample_paired", "single_sample") for x in ("", "_mag_scores", "_taxa_scores", "_gene_scores_combined", "_gene_scores_individual", "_gene_scores_overlapping", "_outliers")]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..config import StudyConfig
-from ..operators import change, frequency, outliers, scores, sitetests
+from ..operators import change, frequency, guards, outliers, scores, sitetests
 
 
 def changes(profiles: DataFrame, samples: DataFrame, sizes: DataFrame, config: StudyConfig) -> dict[str, DataFrame]:
@@ -30,7 +30,7 @@ def results(means: DataFrame, taxonomy: DataFrame, config: StudyConfig) -> dict[
 
 
 def run(profiles: DataFrame, samples: DataFrame, sizes: DataFrame, taxonomy: DataFrame, config: StudyConfig, out_dir: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write every relation as Parquet. Means and tests are read again, so each is computed once."""
+    """Write every relation as Parquet. Means and tests are read again, so each is computed once; the jobs that write tests check them."""
     spark, paths = profiles.sparkSession, {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -42,7 +42,9 @@ def run(profiles: DataFrame, samples: DataFrame, sizes: DataFrame, taxonomy: Dat
     each = put("allele_changes", change.allele_changes(freq, *config.timepoints))
     means = put("mean_changes", change.mean_changes(each))
     for name, p in sitetests.all_tests(means, config.groups, config.min_sample_num).items():
-        p = put(name, p)
+        watch = guards.Watch(p, [guards.partly_missing(c, test) for test, c in scores.test_columns(p.columns).items()])
+        p = put(name, watch.df)
+        watch.refuse()
         genome = put(f"{name}_mag_scores", scores.genome_scores(p, taxonomy, "MAG_ID", config.p_value_threshold))
         put(f"{name}_taxa_scores", scores.all_taxon_scores(genome))
         genes = {k: put(f"{name}_gene_scores_{k}", v) for k, v in scores.gene_scores(p, config.p_value_threshold, ["MAG_ID"]).items()}

@@ -35,9 +35,10 @@ def brute(rows, fanout):
     return sorted((str(r), sub, root, str(path + up)) for (_, rs), (sub, paths), up in zip(groups, made, upper, strict=True) for r, path in zip(rs, paths, strict=True))
 
 
-@pytest.mark.parametrize("fanout,hot,others", [(3, 100, 5), (2, 33, 1), (3, 1, 0), (4, 3, 30)])
-def test_trees(spark, fanout, hot, others):
-    """A hot group, groups of one, null groups and ids, ties, repeated rows, clashing names."""
+@pytest.mark.parametrize("fanout,hot,others,few", [(3, 100, 5, 20), (2, 33, 1, 0), (3, 1, 0, 20_000), (4, 3, 30, 20_000)])
+def test_trees(spark, monkeypatch, fanout, hot, others, few):
+    """With levels in one task, in many or both: a hot group, groups of one, null groups and ids, ties, repeated rows, clashing names."""
+    monkeypatch.setattr(m, "FEW", few)
     rows = [("hot", i * 7 % 101, sha(f"h{i}")) for i in range(hot)] + [(f"g{k}", i, sha(f"{k}-{i}")) for k in range(others) for i in range(k % 4 + 1)]
     if others:
         rows += [(None, None, sha("n")), (None, 3, sha("m")), ("", 5, sha("e")), ("é", 5, sha("u")), ("hot", 7, sha("tie")), ("hot", 7, sha("tie")), ("hot", None, sha("first"))]

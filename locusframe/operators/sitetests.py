@@ -110,11 +110,11 @@ def _any_p(df: DataFrame) -> DataFrame:
     return df.dropna(how="all", subset=[c for c in df.columns if "_p_value_" in c])
 
 
-def unpaired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
-    """Welch's t and Mann-Whitney of every site."""
+def unpaired(means: DataFrame, g1: str, g2: str, min_n: int = 4, replicates: int | None = None) -> DataFrame:
+    """Welch's t and Mann-Whitney of every site. ``replicates``: how many a study has at most, where that is known; else they are counted."""
     keys = site_keys(means)
     long = welch(means, keys, g1, g2, min_n).withColumn("p_t", _tail("same"))
-    long = _with_rank_sum(long, most_values(means))
+    long = _with_rank_sum(long, replicates or most_values(means))
     note = F.when(F.col("enough") & F.col("same"), F.concat("nucleotide", F.lit(NOTE_UNPAIRED)))
     extra = [F.max("n_1").alias(f"num_samples_{g1}"), F.max("n_2").alias(f"num_samples_{g2}")]
     return _any_p(_wide(long, keys, {"tTest": "p_t", "MannWhitney": "p_u"}, note, extra))
@@ -128,18 +128,18 @@ def _one(long: DataFrame, most: int) -> DataFrame:
     return found.withColumn("p_w", F.when(F.col("enough"), F.when(F.col("zero"), 1.0).otherwise(F.col("p_w")))).drop("__w")
 
 
-def paired(means: DataFrame, g1: str, g2: str, min_n: int = 4) -> DataFrame:
+def paired(means: DataFrame, g1: str, g2: str, min_n: int = 4, replicates: int | None = None) -> DataFrame:
     """Paired t and signed-rank test of every site; pairs are replicates in both groups."""
     keys = site_keys(means)
-    long = _one(one_sample(pairs(means, keys, g1, g2), keys, min_n), most_values(means))
+    long = _one(one_sample(pairs(means, keys, g1, g2), keys, min_n), replicates or most_values(means))
     note = F.when(F.col("enough") & F.col("zero"), F.concat("nucleotide", F.lit(NOTE_PAIRED)))
     return _any_p(_wide(long, keys, {"paired_tTest": "p_t", "Wilcoxon": "p_w"}, note, [F.max("n_1").alias("num_pairs")]))
 
 
-def single(means: DataFrame, groups: tuple[str, str], min_n: int = 4) -> DataFrame:
+def single(means: DataFrame, groups: tuple[str, str], min_n: int = 4, replicates: int | None = None) -> DataFrame:
     """One-sample t and signed-rank test against 0 of every site, in each group."""
     keys = site_keys(means)
-    long = _one(one_sample(means.where(F.col("group").isin(*groups)), [*keys, "group"], min_n), most_values(means))
+    long = _one(one_sample(means.where(F.col("group").isin(*groups)), [*keys, "group"], min_n), replicates or most_values(means))
     cols = [F.max(F.when((F.col("nucleotide") == n) & (F.col("group") == g), F.col(c))).alias(f"{n}_frequency_p_value_{test}_{g}") for g in groups for test, c in (("tTest", "p_t"), ("Wilcoxon", "p_w")) for n in NUCLEOTIDES]
     extra = [F.coalesce(F.max(F.when(F.col("group") == g, F.col("n_1"))), F.lit(0)).alias(f"num_samples_{g}") for g in groups]
     order = F.struct(F.when(F.col("group") == groups[0], 0).otherwise(1).alias("g"), F.array_position(F.array(*[F.lit(n) for n in NUCLEOTIDES]), F.col("nucleotide")).alias("o"))
@@ -149,9 +149,10 @@ def single(means: DataFrame, groups: tuple[str, str], min_n: int = 4) -> DataFra
 
 
 def all_tests(means: DataFrame, groups: tuple[str, str], min_n: int = 4) -> dict[str, DataFrame]:
-    """The three families over the same replicate means."""
+    """The three families over the same replicate means, whose replicates are counted once."""
+    most = most_values(means)
     return {
-        "two_sample_unpaired": unpaired(means, *groups, min_n),
-        "two_sample_paired": paired(means, *groups, min_n),
-        "single_sample": single(means, groups, min_n),
+        "two_sample_unpaired": unpaired(means, *groups, min_n, most),
+        "two_sample_paired": paired(means, *groups, min_n, most),
+        "single_sample": single(means, groups, min_n, most),
     }

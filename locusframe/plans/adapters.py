@@ -28,6 +28,8 @@ MEANS = """SELECT concat('M', l_suppkey % 5) AS "MAG_ID", concat('k', l_suppkey
   concat('r', o_custkey % 12) AS replicate, CASE WHEN o_custkey % 24 < 12 THEN 'fat' ELSE 'control' END AS "group",
   avg(l_discount - 0.05) AS "A_frequency_diff_mean", avg(l_tax - 0.04) AS "T_frequency_diff_mean", avg(l_quantity / 50 - 0.5) AS "G_frequency_diff_mean", 0.0E0 AS "C_frequency_diff_mean"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4, 5, 6"""
+#: Replicates that these means have at most.
+MEANS_REPLICATES = 12
 #: Profiles of ten samples, as files hold them.
 PROFILE_FILES = f"""SELECT concat('s', l_orderkey % 10) AS sample_id, concat('M', l_suppkey % 5) AS "MAG_ID", concat('M', l_suppkey % 5, '.fa_k', l_linenumber) AS contig, CAST(l_partkey % 200 AS BIGINT) AS position, 'A' AS ref_base,
   CAST(count(*) AS BIGINT) AS total_coverage, CAST(sum(CASE WHEN {_BASE} = 'A' THEN 1 ELSE 0 END) AS BIGINT) AS "A", CAST(sum(CASE WHEN {_BASE} = 'C' THEN 1 ELSE 0 END) AS BIGINT) AS "C",

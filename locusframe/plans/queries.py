@@ -342,17 +342,17 @@ coalesce(string_agg(concat(nucleotide, ' in ', "group", '{sitetests.NOTE_SINGLE}
 
 @_query(_recursive(_LONG + _STAT + _rank_sum(_LK, 4) + _UNPAIRED))
 def two_sample_unpaired(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(sitetests.unpaired(_means(spark, d), *CONFIG.groups, CONFIG.min_sample_num))
+    return _rounded(sitetests.unpaired(_means(spark, d), *CONFIG.groups, CONFIG.min_sample_num, adapters.MEANS_REPLICATES))
 
 
 @_query(_recursive(_PAIR + _one_sample(_LK) + _signed_rank(_LK) + _PAIRED))
 def two_sample_paired(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(sitetests.paired(_means(spark, d), *CONFIG.groups, CONFIG.min_sample_num))
+    return _rounded(sitetests.paired(_means(spark, d), *CONFIG.groups, CONFIG.min_sample_num, adapters.MEANS_REPLICATES))
 
 
 @_query(_recursive(_LONG + ", d AS (SELECT * FROM l)" + _one_sample(_GK) + _signed_rank(_GK) + _SINGLE_TESTS))
 def single_sample(spark: SparkSession, d: str) -> DataFrame:
-    return _rounded(sitetests.single(_means(spark, d), CONFIG.groups, CONFIG.min_sample_num))
+    return _rounded(sitetests.single(_means(spark, d), CONFIG.groups, CONFIG.min_sample_num, adapters.MEANS_REPLICATES))
 
 
 @_query(_LONG + """, g AS (SELECT "MAG_ID", contig, gene_id, position, "group", count(*) AS n, bool_and(x = 0) AS z FROM l WHERE nucleotide = 'C' GROUP BY ALL)
@@ -360,7 +360,7 @@ SELECT "MAG_ID", contig, gene_id, position, coalesce(max(n) FILTER ("group" = 'f
  concat(CASE WHEN bool_or(z AND n >= 4 AND "group" = 'fat') THEN 'C in fat: identical values, p-value for both tests is set to 1; ' ELSE '' END,
  CASE WHEN bool_or(z AND n >= 4 AND "group" = 'control') THEN 'C in control: identical values, p-value for both tests is set to 1; ' ELSE '' END) AS notes FROM g GROUP BY ALL HAVING max(n) >= 4""")
 def single_sample_guard(spark: SparkSession, d: str) -> DataFrame:
-    return sitetests.single(_means(spark, d), CONFIG.groups, CONFIG.min_sample_num).select(*SITE, "num_samples_fat", "num_samples_control", "notes")
+    return sitetests.single(_means(spark, d), CONFIG.groups, CONFIG.min_sample_num, adapters.MEANS_REPLICATES).select(*SITE, "num_samples_fat", "num_samples_control", "notes")
 
 
 _OLD = '"MAG_ID", contig, position, gene_id'

@@ -63,13 +63,15 @@ def written(df: DataFrame, name: str, clean: bool = True) -> DataFrame:
 
 
 def given_back(spark: SparkSession) -> None:
-    """Let the executors' JVMs collect garbage and shrink before Python workers need memory.
+    """Let the executors give back what earlier stages left: JVM heaps shrink, Python workers drop broadcasts.
 
-    A heap that a shuffle has grown stays at its greatest size, and counts against the
-    executor beside the workers. Nothing depends on whether every executor gets a task.
+    A heap that a shuffle has grown stays at its greatest size, and a worker keeps the
+    broadcasts of its last task until the next one; both count against the executor while
+    other stages run. Nothing depends on whether every executor gets a task.
     """
     n = 4 * spark.sparkContext.defaultParallelism
-    spark.range(0, n, 1, n).where(F.coalesce(F.java_method(F.lit("java.lang.System"), F.lit("gc")), F.lit("")) != "-").count()
+    swept = spark.range(0, n, 1, n).where(F.coalesce(F.java_method(F.lit("java.lang.System"), F.lit("gc")), F.lit("")) != "-")
+    swept.mapInArrow(released(lambda batches: batches), "id long").count()
 
 
 def shards_for(df: DataFrame, bytes_each: int, least: int = 16) -> int:

@@ -28,6 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go from its texts; every row stays. Copies of a text are one page."""
+    given_back(spark)
     cleaned = linededup.drop_boilerplate(docs.select(*COLUMNS), copies_once=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

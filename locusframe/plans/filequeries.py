@@ -321,8 +321,9 @@ def mean_change_resumed(spark: SparkSession, d: str) -> DataFrame:
     except _Stopped:
         pass
     path = resume.run(*given)["mean_changes"]
-    wanted = queries._QUERIES["mean_change"](spark, d).columns
-    return queries._rounded(spark.read.parquet(path).select(*wanted))
+    # Without a schema a study that no change passes can't be read, and names like 001 are taken for numbers.
+    wanted = queries._QUERIES["mean_change"](spark, d)
+    return queries._rounded(spark.read.schema(wanted.schema).parquet(path).select(*wanted.columns))
 
 
 _MOUSE = """SELECT concat('M', l_suppkey % 5, '.fa_k', l_linenumber) AS scaffold, CAST(l_partkey % 3 AS BIGINT) AS position, CASE WHEN o_custkey % 40 < 20 THEN 'fat' ELSE 'control' END AS diet, concat('m', o_custkey % 20) AS mouse,

@@ -33,7 +33,8 @@ def finished(spark: SparkSession, out_dir: str) -> set[str]:
 def run(profiles: DataFrame, samples: DataFrame, sizes: DataFrame, config: StudyConfig, out_dir: str, together: int = TOGETHER, tests: bool = True, after_batch: Callable[[list[str]], None] | None = None) -> dict[str, str]:
     """Paths of nuc_freq, allele_changes, mean_changes and, if asked for, the tests, partitioned by MAG_ID.
 
-    A relation without rows has no file: where that may be, read it with its schema.
+    A relation without rows has no file: where that may be, read it with its schema. A study
+    without any genome has the folders of all relations too.
     ``after_batch`` is called with a batch's genomes once they are listed as finished.
     """
     spark = profiles.sparkSession
@@ -46,7 +47,7 @@ def run(profiles: DataFrame, samples: DataFrame, sizes: DataFrame, config: Study
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("MAG_ID").parquet(paths[name])
         return spark.read.schema(df.schema).parquet(paths[name]).where(F.col("MAG_ID").isin(batch))
 
-    for a in range(0, len(todo), together):
+    for a in range(0, len(todo) if todo or done else 1, together):
         batch = todo[a : a + together]
         own = profiles.where(F.col("MAG_ID").isin(batch))
         freq = put("nuc_freq", change.one_sample_each(frequency.nucleotide_frequencies(own, samples, sizes, config.breadth_threshold)), batch)

@@ -86,3 +86,18 @@ def test_unknown_genome_is_an_error(spark, tmp_path):
     (tmp_path / "g.tsv").write_text("gene_id\tx\ng\t1\n")
     with pytest.raises(SystemExit, match="no genome m9"):
         cli.main(["outliers", "--mag_file", str(tmp_path / "m.tsv"), "--mag_id", "m9", "--gene_file", str(tmp_path / "g.tsv"), "--out_fPath", str(tmp_path / "o.tsv")])
+
+
+def test_resumed_study_without_rows(spark, tmp_path):
+    """No change passes, or no genome is given: the relations are there, typed and empty."""
+    from locusframe.plans import queries
+
+    data = "/root/testdata/sf0.001"
+    for table in ("lineitem", "supplier"):
+        spark.read.parquet(f"{data}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    spark.read.parquet(f"{data}/orders.parquet").withColumn("o_orderdate", F.lit("1998-01-01").cast("timestamp")).write.parquet(str(tmp_path / "orders.parquet"))
+    got = queries.queries()["mean_change_resumed"](spark, str(tmp_path))
+    assert got.count() == 0 and dict(got.dtypes)["MAG_ID"] == "string"
+    profiles, samples, sizes = study(spark)
+    for path in resume.run(profiles.where("false"), samples, sizes, CONFIG, str(tmp_path / "none"), tests=False).values():
+        assert spark.read.schema("MAG_ID string").parquet(path).count() == 0

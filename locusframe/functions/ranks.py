@@ -4,7 +4,9 @@ Rules: Mann-Whitney is exact if the smaller sample has at most 8 values and noth
 tied, else normal with tie and continuity correction. The signed-rank test drops zeros; it
 is exact up to 50 values without zeros and ties, else normal with tie correction. ``method``
 may also be ``exact`` or ``asymptotic``; exact tails of tied values are those of the ranks
-at hand: of all choices of as many of them, counted by their sums.
+at hand: of all choices of as many of them, counted by their sums. Such sums need not be
+symmetric: ``exact`` doubles the tail on U's side of its mean (the upper one at the mean),
+``exact_least`` the lesser of both tails.
 """
 
 from __future__ import annotations
@@ -102,6 +104,9 @@ def mann_whitney(x: np.ndarray, y: np.ndarray, method: str = "auto") -> tuple[fl
     u = float(ranks[:n].sum() - n * (n + 1) / 2)
     ties = _ties(both)
     high = max(u, n * m - u)
+    if method == "exact_least":
+        ways, own = _choices(_doubled(ranks), n), round(2 * ranks[:n].sum())
+        return u, float(min(1.0, 2 * min(ways[: own + 1].sum(), ways[own:].sum()) / ways.sum()))
     if method == "exact" and ties:
         ways = _choices(_doubled(ranks), n)
         least = round(2 * (high + n * (n + 1) / 2))

@@ -30,6 +30,22 @@ def test_exact_tied_example():
     assert ranks.mann_whitney(np.array([1, 1, 2, 3.0]), np.array([1, 2, 2, 4.0]), "exact")[1] == pytest.approx(0.6571428571)
 
 
+@settings(max_examples=150, deadline=None)
+@given(few, few)
+def test_lesser_exact_tail_by_enumeration(x, y):
+    r = ranks.mid_ranks(np.array(x + y, float))
+    sums = [sum(r[list(c)]) for c in itertools.combinations(range(len(r)), len(x))]
+    own = r[: len(x)].sum()
+    tail = min(np.mean([s <= own + 1e-9 for s in sums]), np.mean([s >= own - 1e-9 for s in sums]))
+    assert ranks.mann_whitney(np.array(x, float), np.array(y, float), "exact_least")[1] == pytest.approx(min(1, 2 * tail))
+
+
+def test_lesser_exact_tail_at_the_mean():
+    """U is at its mean of 6, where the tails of tied ranks differ."""
+    x, y = np.array([1.0, 2, 2]), np.array([0.0, 0, 3, 3])
+    assert ranks.mann_whitney(x, y, "exact_least") == (6.0, pytest.approx(32 / 35))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(-3, 3), min_size=1, max_size=8))
 def test_exact_signed_rank_by_enumeration(d):

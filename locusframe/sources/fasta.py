@@ -1,7 +1,7 @@
 """Reference sequences in blocks, from FASTA files of any size.
 
 ``spark.read.format("fasta_pieces")`` cuts files into ranges of ``splitBytes`` and gives
-pieces of records: a task knows the contig of what follows the first header in its range;
+pieces of records: a range knows the contig of what follows the first header in it;
 what precedes it belongs to a record that an earlier range has opened. ``read_reference``
 resolves that from one row for each range, and cuts the sequences into blocks of ``width``
 letters, so no row, task or window holds a record, whether its letters stand on one line or
@@ -25,15 +25,36 @@ from .shared import listed, store
 PIECES = "path string, range bigint, contig string, piece bigint, place bigint, letters binary"
 SPLIT = 64 << 20
 READ = 1 << 20
+#: Bytes of ranges that one task reads at least, one range after the other: in a small file and in a large one.
+TASKS = 1 << 18, 8 << 20
 #: Bytes that a header line may have.
 HEADER = 1 << 16
 WIDTH = 1 << 14
 _BLANK = b" \t\r\n\v\f"
 
 
-def _plain(file: BinaryIO) -> Iterator[bytes]:
-    while data := file.read(READ):
+def _plain(file: BinaryIO, until: int | None = None) -> Iterator[bytes]:
+    """The file from here on; behind byte ``until`` only little at a time, as for the end of a header."""
+    while until is None or until > 0:
+        data = file.read(READ if until is None else min(READ, until))
+        if not data:
+            return
         yield data
+        until = None if until is None else until - len(data)
+    while data := file.read(1 << 12):
+        yield data
+
+
+def _before(file: BinaryIO, start: int) -> bytes:
+    """The bytes before a place as far as the last line's beginning needs them, HEADER at most."""
+    back = 1 << 9
+    while True:
+        back = min(back, start, HEADER)
+        file.seek(start - back)
+        before = file.read(back)
+        if b"\n" in before or back == min(start, HEADER):
+            return before
+        back *= 4
 
 
 def _inflated(file: BinaryIO) -> Iterator[bytes]:
@@ -102,49 +123,53 @@ def pieces(chunks: Iterator[bytes], first: bool, head: bytes, until: int | None
         yield words[0].decode() if words and not open_head[:1].isspace() else "", 0, b""
 
 
-class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int) -> None:
-        self.path, self.start, self.end = path, start, end
+class _Ranges(InputPartition):
+    """Ranges of ``step`` bytes of a file, from ``start`` to ``end``."""
+
+    def __init__(self, path: str, start: int, end: int, step: int) -> None:
+        self.path, self.start, self.end, self.step = path, start, end, step
 
 
 class FastaReader(DataSourceReader):
     def __init__(self, path: str, split: int) -> None:
         self.path, self.split = path, split
 
-    def partitions(self) -> list[_Range]:
+    def partitions(self) -> list[_Ranges]:
+        """Ranges are what is resolved on its own; short ones share a task, so tasks follow the bytes and not the ranges."""
         found = listed(self.path, "*")
         if not found:
             raise FileNotFoundError(self.path)
         out = []
         for path, size in found:
             step = size + 1 if path.endswith(".gz") else self.split
-            out += [_Range(path, a, min(a + step, size)) for a in range(0, max(size, 1), step)]
+            task = step * -(-max(TASKS[0], min(TASKS[1], size // 64)) // step)
+            out += [_Ranges(path, a, min(a + task, size), step) for a in range(0, max(size, 1), task)]
         return out
 
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Ranges) -> Iterator[pa.RecordBatch]:
         system, at = store(partition.path)
+        rows, size = [], 0
         with system.open_input_file(at) as file:
-            if partition.path.endswith(".gz"):
-                found = pieces(_inflated(file), True, b"")
-            else:
-                back = min(partition.start, HEADER)
-                file.seek(partition.start - back)
-                before = file.read(back)
-                head = opening(before, back == partition.start)
-                found = pieces(_plain(file), not before or before.endswith(b"\n"), head, partition.end - partition.start)
-            rows, size, n = [], 0, 0
-            for contig, place, letters in found:
-                rows.append((contig, n, place, letters))
-                size, n = size + len(letters) + 64, n + 1
-                if size > 4 * READ:
-                    yield self._batch(partition, rows)
-                    rows, size = [], 0
-            yield self._batch(partition, rows)
-
-    def _batch(self, partition: _Range, rows: list[tuple]) -> pa.RecordBatch:
-        contig, piece, place, letters = zip(*rows, strict=True) if rows else ((), (), (), ())
-        n = len(rows)
-        columns = [pa.array([partition.path] * n, pa.string()), pa.array([partition.start] * n, pa.int64()), pa.array(contig, pa.string()), pa.array(piece, pa.int64()), pa.array(place, pa.int64()), pa.array(letters, pa.binary())]
+            for start in range(partition.start, max(partition.end, partition.start + 1), partition.step):
+                for n, (contig, place, letters) in enumerate(self._range(file, partition, start)):
+                    rows.append((start, contig, n, place, letters))
+                    size += len(letters) + 64
+                    if size > 4 * READ:
+                        yield self._batch(partition.path, rows)
+                        rows, size = [], 0
+        yield self._batch(partition.path, rows)
+
+    def _range(self, file: BinaryIO, partition: _Ranges, start: int) -> Iterator[tuple[str | None, int, bytes]]:
+        if partition.path.endswith(".gz"):
+            return pieces(_inflated(file), True, b"")
+        until = min(start + partition.step, partition.end) - start
+        before = _before(file, start)
+        file.seek(start)
+        return pieces(_plain(file, until), not before or before.endswith(b"\n"), opening(before, len(before) == start), until)
+
+    def _batch(self, path: str, rows: list[tuple]) -> pa.RecordBatch:
+        start, contig, piece, place, letters = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+        columns = [pa.array([path] * len(rows), pa.string()), pa.array(start, pa.int64()), pa.array(contig, pa.string()), pa.array(piece, pa.int64()), pa.array(place, pa.int64()), pa.array(letters, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=["path", "range", "contig", "piece", "place", "letters"])
 
 

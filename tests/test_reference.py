@@ -103,3 +103,25 @@ def test_bin_tree(spark):
     widths = {r["gene_id"]: r["w"] for r in df.withColumn("w", annotate.node_width(F.col("start"), F.col("end"))).collect()}
     assert widths["point"] == 1024 and widths["border"] == 8192 and widths["huge"] == 1024 * 8**5
     assert annotate.annotate(spark.createDataFrame([("k", 1)], "contig string, position bigint"), df.limit(0)).collect()[0]["gene_id"] is None
+
+
+def test_short_ranges_share_a_task(spark, tmp_path):
+    """Tasks follow the bytes of a file, not its ranges, and a range reads few bytes around it."""
+    line = "ACGT" * 20
+    (tmp_path / "a.fa").write_text("".join(f">k{i} note\n{line}\n" for i in range(400)))
+    reader = fasta.FastaReader(str(tmp_path), 100)
+    assert len(reader.partitions()) == 1
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            Counted.taken += len(data)
+            return data
+
+    text = (tmp_path / "a.fa").read_bytes()
+    got = list(reader._range(Counted(text), reader.partitions()[0], 20_000))
+    assert got and Counted.taken < 6000
+    blocks = {(r["contig"], r["block"]): bytes(r["seq"]).decode() for r in fasta.read_reference(spark, str(tmp_path), 50, 100).collect()}
+    assert blocks == {(f"k{i}", b): line[50 * b : 50 * b + 50] for i in range(400) for b in (0, 1)}

@@ -15,10 +15,10 @@ again to what is read, so files without an index give the same rows.
 from __future__ import annotations
 
 import io
-import itertools
 import os
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -27,13 +27,15 @@ from typing import BinaryIO
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from ..schemas import READS
-from .baindex import Index, IndexWriter, ranges_of
-from .shared import listed, store
+from .baindex import FINEST, Index, IndexWriter, ranges_of
+from .shared import fresh, listed, store
 
 _SEQ = "=ACMGRSVTWYHKDBN"
 _OPS = "MIDNSHP=X"
@@ -442,85 +444,219 @@ def read_anywhere(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(_parse_contents, READS)
 
 
+def _bgzf(part: bytes) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    data = packer.compress(part) + packer.flush()
+    return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(part), len(part))
+
+
+def _head(contigs: list[tuple[str, int]]) -> bytes:
+    out = bytearray(b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs)))
+    for name, length in contigs:
+        raw = name.encode() + b"\0"
+        out += struct.pack("<i", len(raw)) + raw + struct.pack("<i", length)
+    return bytes(out)
+
+
+#: Codes of letters, upper and lower case; others are N.
+_CODES = np.array([_SEQ.index(c) if (c := chr(k).upper()) in _SEQ else 15 for k in range(256)], np.uint8)
+_READS = pa.schema([("sample_id", pa.string()), ("read_name", pa.string()), ("flag", pa.int32()), ("contig", pa.string()), ("pos", pa.int64()), ("mapq", pa.int32()), ("cigar", pa.string()), ("seq", pa.string()), ("qual", pa.list_(pa.int32()))])
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts, one after the other, and their lengths."""
+    whole = column.cast(pa.large_binary())
+    offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(whole) else np.zeros(0, np.uint8)
+    return data, np.diff(offsets)
+
+
+def _put(out: np.ndarray, at: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> None:
+    """Runs of bytes, which follow one another in ``data``, to their places."""
+    out[np.arange(len(data)) + np.repeat(at - (np.cumsum(lengths) - lengths), lengths)] = data
+
+
+def encoded(batch: pa.RecordBatch, numbers: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Records of READS, all columns by offsets: bytes, offsets, contigs' numbers, and the places over which they lie."""
+    n = batch.num_rows
+    ref = pc.index_in(batch["contig"], numbers)
+    if ref.null_count or batch["qual"].null_count or any(batch[c].null_count for c in ("read_name", "cigar", "seq")):
+        raise ValueError("a read without name, CIGAR, letters or qualities, or on a contig that the header lacks")
+    name, name_len = _flat(batch["read_name"])
+    letters, length = _flat(batch["seq"])
+    if (letters > 127).any():
+        letters, length = _flat(pa.array([x.encode("ascii", "replace").decode() for x in batch["seq"].to_pylist()], pa.string()))
+    if n and name_len.max() > 254:
+        raise ValueError("a read's name has more than 254 bytes")
+    kinds = batch["cigar"].dictionary_encode()
+    ops = [[(int(k) << 4) | _OPS.index(o) for k, o in re.findall(r"(\d+)([MIDNSHP=X])", text)] for text in kinds.dictionary.to_pylist()]
+    kind = kinds.indices.to_numpy()
+    n_ops = np.array([len(x) for x in ops], np.int64)[kind]
+    span = np.array([sum(k >> 4 for k in x if k & 15 in (0, 2, 3, 7, 8)) for x in ops], np.int64)[kind]
+    flat = np.frombuffer(b"".join(struct.pack(f"<{len(x)}I", *x) for x in ops), np.uint8)
+    first = np.cumsum([0, *(4 * len(x) for x in ops)])[:-1]
+    packed_len = (length + 1) // 2
+    halves = np.zeros(2 * packed_len.sum(), np.uint8)
+    _put(halves, 2 * (np.cumsum(packed_len) - packed_len), _CODES[letters], length)
+    qual = batch["qual"].flatten().cast(pa.uint8()).to_numpy()
+    qual_len = pc.list_value_length(batch["qual"]).to_numpy().astype(np.int64)
+    size = 36 + name_len + 1 + 4 * n_ops + packed_len + qual_len
+    at = np.cumsum(size) - size
+    pos = batch["pos"].to_numpy()
+    head = np.zeros(n, [("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("ops", "<u2"), ("flag", "<u2"), ("length", "<i4"), ("mate", "<i4"), ("mate_pos", "<i4"), ("over", "<i4")])
+    for field, values in {"size": size - 4, "ref": ref.to_numpy(), "pos": pos, "name": name_len + 1, "mapq": batch["mapq"].to_numpy(), "ops": n_ops, "flag": batch["flag"].to_numpy(), "length": length, "mate": -1, "mate_pos": -1}.items():
+        head[field] = values
+    out = np.zeros(int(size.sum()), np.uint8)
+    out[at[:, None] + np.arange(36)] = head.view(np.uint8).reshape(n, 36)
+    _put(out, at + 36, name, name_len)
+    own, _ = _gathered(flat, first[kind], 4 * n_ops)
+    place = at + 37 + name_len
+    _put(out, place, own, 4 * n_ops)
+    place = place + 4 * n_ops
+    _put(out, place, halves[::2] << 4 | halves[1::2], packed_len)
+    _put(out, place + packed_len, qual, qual_len)
+    return out.tobytes(), np.append(at, len(out)), ref.to_numpy().astype(np.int64), pos, pos + np.maximum(1, span)
+
+
 class BamWriter:
-    """A BAM file and its index from reads in the order of their places; BGZF, with its end mark. Holds one block."""
+    """A BAM file and its index from reads in the order of their places; BGZF, with its end mark. Holds one batch.
+
+    With ``part`` it is a stretch of such a file, without header and end mark, whose index
+    takes the stretch to begin at byte 1 (place 0 says that there is none).
+    """
 
-    def __init__(self, path: str, contigs: list[tuple[str, int]], block: int = 60_000) -> None:
-        self.path, self.block, self.names = path, block, {name: k for k, (name, _) in enumerate(contigs)}
+    def __init__(self, path: str, contigs: list[tuple[str, int]], block: int = 60_000, part: bool = False) -> None:
+        self.path, self.block, self.part, self.numbers = path, block, part, pa.array([name for name, _ in contigs], pa.string())
         self.system, at = store(path)
-        self.file = self.system.open_output_stream(at)
-        self.held, self.begun = bytearray(b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs))), 0
-        for name, length in contigs:
-            raw = name.encode() + b"\0"
-            self.held += struct.pack("<i", len(raw)) + raw + struct.pack("<i", length)
+        self.file = self.system.open_output_stream(at, compression=None)
+        self.held, self.begun = bytearray(b"" if part else _head(contigs)), int(part)
         self.index, self.rows = IndexWriter(len(contigs)), 0
 
-    def _place(self) -> int:
-        """The virtual place of the next byte."""
-        self._flush(self.block)
-        return self.begun << 16 | len(self.held)
-
-    def _flush(self, least: int) -> None:
-        while len(self.held) >= max(least, 1):
-            part = bytes(self.held[: self.block])
-            del self.held[: self.block]
-            self._write(part)
-
     def _write(self, part: bytes) -> None:
-        packer = zlib.compressobj(6, zlib.DEFLATED, -15)
-        data = packer.compress(part) + packer.flush()
-        self.file.write(b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(data) + 25) + data + struct.pack("<II", zlib.crc32(part), len(part)))
-        self.begun += len(data) + 26
-
-    def add(self, r: dict) -> None:
-        name = r["read_name"].encode() + b"\0"
-        ops = [(int(n) << 4) | _OPS.index(o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", r["cigar"])]
-        codes = [_SEQ.index(c) if c in _SEQ else 15 for c in r["seq"].upper()]
-        packed = bytes((codes[i] << 4) | (codes[i + 1] if i + 1 < len(codes) else 0) for i in range(0, len(codes), 2))
-        ref = self.names[r["contig"]]
-        body = struct.pack("<iiBBHHHiiii", ref, r["pos"], len(name), r["mapq"], 0, len(ops), r["flag"], len(codes), -1, -1, 0)
-        body += name + struct.pack(f"<{len(ops)}I", *ops) + packed + bytes(int(q) for q in r["qual"])
-        start = self._place()
-        self.held += struct.pack("<i", len(body)) + body
-        self.index.add(ref, r["pos"], r["pos"] + max(1, sum(n >> 4 for n in ops if n & 15 in (0, 2, 3, 7, 8))), start, self._place())
-        self.rows += 1
+        data = _bgzf(part)
+        self.file.write(data)
+        self.begun += len(data)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if not batch.num_rows:
+            return
+        data, offsets, ref, begin, end = encoded(batch, self.numbers)
+        offsets = offsets + len(self.held)
+        self.held += data
+        begun, at = [self.begun], 0
+        while len(self.held) - at >= self.block:
+            self._write(bytes(self.held[at : at + self.block]))
+            begun.append(self.begun)
+            at += self.block
+        del self.held[:at]
+        # The virtual place of each record, and of what follows the last one.
+        places = np.array(begun, np.int64)[offsets // self.block] << 16 | offsets % self.block
+        # Records of a bin that reach into the same windows follow one another: the index gets them as one.
+        same = np.stack([ref, begin >> FINEST, (end - 1) >> FINEST])
+        cuts = np.flatnonzero(np.append(True, (same[:, 1:] != same[:, :-1]).any(axis=0)))
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(ref)], strict=True):
+            self.index.add(int(ref[a]), int(begin[a]), int(end[a]), int(places[a]), int(places[b]))
+        self.rows += batch.num_rows
 
     def close(self) -> None:
-        self._flush(1)
-        self._write(b"")
+        if self.held:
+            self._write(bytes(self.held))
+            self.held.clear()
+        if not self.part:
+            self._write(b"")
         self.file.close()
-        system, at = store(self.path + ".bai")
-        with system.open_output_stream(at) as f:
-            f.write(self.index.content())
+        _save(self.path + ".bai", self.index.content())
+
+
+def _save(path: str, data: bytes) -> None:
+    system, at = store(path)
+    with system.open_output_stream(at, compression=None) as f:
+        f.write(data)
+
+
+def _load(path: str) -> bytes:
+    system, at = store(path)
+    with system.open_input_file(at) as f:
+        return f.read()
+
+
+def _joined(paths: list[str], target: str, contigs: list[tuple[str, int]], block: int = 60_000) -> None:
+    """One file and its index from stretches in their order, copied as bytes; it appears when it is whole."""
+    system, at = store(target)
+    system.create_dir(at.rpartition("/")[0], recursive=True)
+    index, staged, head = IndexWriter(len(contigs)), f"{at}.{uuid.uuid4().hex}", _head(contigs)
+    with system.open_output_stream(staged, compression=None) as out:
+        size = 0
+        for a in range(0, len(head), block):
+            size += out.write(_bgzf(head[a : a + block]))
+        for path in paths:
+            index.extend(Index(_load(path + ".bai")), size - 1 << 16)
+            other, there = store(path)
+            with other.open_input_stream(there, compression=None) as part:
+                while data := part.read(1 << 20):
+                    size += out.write(data)
+        out.write(_bgzf(b""))
+    _save(target + ".bai", index.content())
+    system.move(staged, at)
+
+
+#: Reads in a stretch that one task sorts and writes.
+PART = 500_000
 
 
 def write_bams(reads: DataFrame, root: str, contigs: list[tuple[str, int]]) -> DataFrame:
     """``<sample>.sorted.bam`` of each sample below root, by place, with ``.bai``; (sample_id, file_path, rows).
 
-    A sample is one file, written by one task as its sorted reads come.
+    Reads are cut into ranges of their order, of about ``PART`` each, whatever the samples:
+    a task sorts and writes a stretch of a file to the shared folder; stretches are then
+    copied under one another, a file by one task, which holds its index and no reads.
     """
-
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (r for pdf in frames for r in pdf.to_dict("records"))
-        for sample, own in itertools.groupby(rows, key=lambda r: r["sample_id"]):
-            path = f"{root.rstrip('/')}/{sample}.sorted.bam"
-            system, at = store(path)
-            system.create_dir(at.rpartition("/")[0], recursive=True)
-            out = BamWriter(path, contigs)
-            for r in own:
-                out.add(r)
-            out.close()
-            yield pd.DataFrame([{"sample_id": sample, "file_path": path, "rows": out.rows}])
+    spark = reads.sparkSession
+    folder = fresh(spark, "stretches")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, out, now = TaskContext.get(), None, None
+        number, made = task.partitionId(), []
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                made.append({"sample_id": now, "part": number, "path": out.path, "rows": out.rows})
+
+        for batch in batches:
+            sample = batch["sample_id"]
+            runs = pc.run_end_encode(sample)
+            begin = 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                if out is None or name != now:
+                    close()
+                    system, at = store(folder)
+                    system.create_dir(at, recursive=True)
+                    now, out = name, BamWriter(f"{folder}/{number}-{task.taskAttemptId()}-{len(made)}", contigs, part=True)
+                out.add(batch.slice(begin, end - begin))
+                begin = end
+        close()
+        yield pa.RecordBatch.from_pylist(made, pa.schema([("sample_id", pa.string()), ("part", pa.int32()), ("path", pa.string()), ("rows", pa.int64())]))
+
+    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for sample, parts in zip(pdf["sample_id"], pdf["parts"], strict=True):
+                path = f"{root.rstrip('/')}/{sample}.sorted.bam"
+                _joined([p["path"] for p in parts], path, contigs)
+                yield pd.DataFrame([{"sample_id": sample, "file_path": path, "rows": sum(p["rows"] for p in parts)}])
 
     order = {name: k for k, (name, _) in enumerate(contigs)}
     rank = F.element_at(F.create_map(*[F.lit(x) for pair in order.items() for x in pair]), F.col("contig"))
-    placed = reads.repartition("sample_id").sortWithinPartitions("sample_id", rank, "pos", "read_name", "flag")
-    return placed.mapInPandas(write, "sample_id string, file_path string, rows bigint")
+    by = ["sample_id", rank, "pos", "read_name", "flag"]
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = reads.select(*_NAMES).repartitionByRange(max(shuffled, -(-reads.count() // PART)), *by).sortWithinPartitions(*by)
+    made = placed.mapInArrow(write, "sample_id string, part int, path string, rows bigint")
+    whole = made.repartition(shuffled, "sample_id").groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("part", "path", "rows"))).alias("parts"))
+    return whole.mapInPandas(join, "sample_id string, file_path string, rows bigint")
 
 
 def write_bam(path: str, contigs: list[tuple[str, int]], rows: list[dict], block: int = 60_000) -> None:
     """A small BAM file from read rows, for tests and exports of few reads."""
     out = BamWriter(path, contigs, block)
-    for r in rows:
-        out.add(r)
+    out.add(pa.RecordBatch.from_pylist(rows, _READS))
     out.close()

@@ -4,6 +4,7 @@ import struct
 
 import pytest
 
+from locusframe.schemas import READS
 from locusframe.sources import bam
 from locusframe.sources.baindex import Index, bin_of, bins_over, ranges_of
 
@@ -79,3 +80,28 @@ def test_pushed_filters(spark, tmp_path):
     narrow = load("with").where("contig = 'k1' AND pos BETWEEN 7000 AND 9000")
     assert narrow.rdd.getNumPartitions() == 1 < load("without").where("contig = 'k1'").rdd.getNumPartitions()
     bam.register(spark)
+
+
+def test_sample_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A sample's file is made of stretches of several tasks; all reads are in it in order, and its index finds them."""
+    monkeypatch.setattr(bam, "PART", 40)
+    rng = random.Random(8)
+    rows = [{"sample_id": f"s{i % 7 // 6}", "read_name": f"r{i}", "flag": 0, "contig": f"k{rng.randrange(3)}", "pos": rng.randrange(90_000), "mapq": 9, "cigar": rng.choice(["5M", "2M9D3M", "5M20000N0M"]), "seq": "ACgTN", "qual": [1, 2, 3, 40, 255]} for i in range(700)]
+    contigs = [(f"k{k}", 200_000) for k in range(3)]
+    df = spark.createDataFrame(rows, READS)
+    made = {r["sample_id"]: r["rows"] for r in bam.write_bams(df, str(tmp_path / "out"), contigs).collect()}
+    assert made == {"s0": 600, "s1": 100}
+    numbers = bam.write_bams(df, str(tmp_path / "again"), contigs)
+    assert "rangepartitioning" in numbers._jdf.queryExecution().executedPlan().toString()
+    bam.register(spark)
+    key = lambda r: (r["sample_id"], r["read_name"], r["flag"], r["contig"], r["pos"], r["mapq"], r["cigar"], r["seq"].upper(), tuple(r["qual"]))
+    read = spark.read.format("bam").load(str(tmp_path / "out"))
+    got = read.collect()
+    assert sorted(map(key, got)) == sorted(map(key, rows))
+    for sample in made:
+        places = [(r["contig"], r["pos"]) for r in got if r["sample_id"] == sample]
+        assert places == sorted(places)
+    for k, a, b in ((0, 0, 20_000), (1, 30_000, 30_500), (2, 70_000, 90_000)):
+        want = sorted(key(r) for r in rows if r["contig"] == f"k{k}" and a <= r["pos"] <= b)
+        found = read.where(f"contig = 'k{k}' AND pos BETWEEN {a} AND {b}").collect()
+        assert want and sorted(map(key, found)) == want

@@ -150,6 +150,40 @@ def signed_rank(d: np.ndarray, method: str = "auto") -> tuple[float, float]:
     return t, float(min(1.0, math.erfc(abs(z) / math.sqrt(2))))
 
 
+#: Values in a sample up to which its tails are kept for others of the same ties.
+KEPT = 24
+
+
+def _sign_tails(doubled: bytes) -> np.ndarray:
+    """Two-sided p by the doubled smaller rank sum, of doubled ranks given as bytes."""
+    ways = _signs.__wrapped__(tuple(np.frombuffer(doubled, np.int64).tolist()))
+    return np.minimum(1.0, 2 * ways.cumsum() / ways.sum())
+
+
+_kept_sign_tails = lru_cache(maxsize=1 << 14)(_sign_tails)
+
+
+def exact_signed_ranks(samples: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(t, p) of each sample as by signed_rank with "exact"; ranks of all samples are taken together."""
+    values = np.concatenate([*samples, np.zeros(0)]).astype(float)
+    row = np.repeat(np.arange(len(samples)), [len(x) for x in samples])
+    row, values = row[values != 0], values[values != 0]
+    order = np.lexsort((np.abs(values), row))
+    row, values, size = row[order], values[order], np.abs(values[order])
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (size[1:] != size[:-1]))[: len(row)])
+    counts = np.diff(np.append(first, len(row)))
+    ends = np.searchsorted(row, np.arange(len(samples) + 1))
+    # Twice the mean of the ranks of equal values.
+    doubled = np.repeat(2 * (first - ends[row[first]]) + counts + 1, counts).astype(np.int64)
+    plus = np.bincount(row, doubled * (values > 0), len(samples)).astype(np.int64)
+    n = np.diff(ends)
+    t, p = np.minimum(plus, n * (n + 1) - plus), np.ones(len(samples))
+    for i, (a, b, own) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), t.tolist(), strict=True)):
+        if a < b:
+            p[i] = (_kept_sign_tails if b - a <= KEPT else _sign_tails)(doubled[a:b].tobytes())[own]
+    return t / 2, p
+
+
 def _mann_whitney(method: str):  # noqa: ANN202
     def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
         rows = [(None, None) if a is None or b is None or not len(a) or not len(b) else mann_whitney(np.asarray(a, float), np.asarray(b, float), method) for a, b in zip(x, y, strict=True)]
@@ -159,6 +193,15 @@ def _mann_whitney(method: str):  # noqa: ANN202
 
 
 def _signed_rank(method: str):  # noqa: ANN202
+    def run_exact(d: pd.Series) -> pd.DataFrame:
+        given = np.array([a is not None and len(a) > 0 for a in d], bool)
+        out = np.full((2, len(d)), np.nan)
+        out[:, given] = exact_signed_ranks([np.asarray(a, float) for a in d[given]])
+        return pd.DataFrame({"t": out[0], "p": out[1]})
+
+    if method == "exact":
+        return run_exact
+
     def run(d: pd.Series) -> pd.DataFrame:
         rows = [(None, None) if a is None or not len(a) else signed_rank(np.asarray(a, float), method) for a in d]
         return pd.DataFrame(rows, columns=["t", "p"]).astype(object)

@@ -92,3 +92,15 @@ def test_repeated_replicates_are_refused(spark):
     df = spark.createDataFrame(rows, "MAG_ID string, contig string, gene_id string, position bigint, replicate string, `group` string, " + ", ".join(f"{n}_frequency_diff_mean double" for n in "ATGC"))
     with pytest.raises(Exception, match="several values"):
         sitetests.unpaired(df, "fat", "control").collect()
+
+
+def test_exact_signed_ranks_together():
+    """Samples taken together have the results of each; many with the same ties share one table of tails."""
+    rng = np.random.default_rng(2)
+    samples = [rng.integers(-4, 5, int(n)) / 4 for n in rng.integers(1, 30, 400)] + [np.zeros(3), rng.normal(size=40)]
+    t, p = ranks.exact_signed_ranks(samples)
+    for own, a, b in zip(samples, t, p, strict=True):
+        assert (a, b) == pytest.approx(ranks.signed_rank(own, "exact"), rel=1e-9)
+    ranks._kept_sign_tails.cache_clear()
+    ranks.exact_signed_ranks([np.array([1.0, -1, 2 + i]) for i in range(500)])
+    assert ranks._kept_sign_tails.cache_info().misses == 1

@@ -27,6 +27,22 @@ def node_width(start: Column, end: Column, finest: int = FINEST) -> Column:
     return out.otherwise(F.lit(last)).cast("bigint")
 
 
+#: Rows that one task looks at for distinct sites.
+ROWS = 500_000
+
+
+def distinct_sites(rows: DataFrame) -> DataFrame:
+    """The distinct (contig, position) of a table that is cheap to count.
+
+    Rows are dealt by site before equal ones are dropped, to tasks whose number follows the
+    rows: few rows of a table repeat a site, so a task of the scan would hold most of a
+    file's rows at once.
+    """
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS))
+    return rows.select("contig", "position").repartition(tasks, "contig", "position").distinct()
+
+
 def annotate(positions: DataFrame, genes: DataFrame, finest: int = FINEST) -> DataFrame:
     """positions with gene_id: the genes with start <= position <= end, by (start, gene_id), joined by commas; null if none.
 

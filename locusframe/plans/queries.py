@@ -59,7 +59,7 @@ FROM s LEFT JOIN g ON s.contig = g.contig AND s.position BETWEEN g.start AND g."
 
 
 def _sites(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, adapters.BASES).select("contig", "position").distinct()
+    return annotate.distinct_sites(view(spark, d, adapters.BASES))
 
 
 @_query(_ANNOTATE)

@@ -252,3 +252,16 @@ def test_adjusted_where_values_crowd(spark):
             assert got[i] == pytest.approx(least, rel=1e-9)
     assert all(got[i] is None for i, _, p in data if p is None)
     assert fdr.bh(df.where("p > 2"), "p", "q").count() == 0
+
+
+def test_distinct_sites_follow_the_rows(spark, monkeypatch):
+    """Sites are dealt before equal ones are dropped, to more tasks than shuffles have if rows are many."""
+    from locusframe.operators import annotate
+
+    monkeypatch.setattr(annotate, "ROWS", 100)
+    df = spark.range(2000).selectExpr("concat('k', id % 5) AS contig", "id % 400 AS position", "id")
+    got = annotate.distinct_sites(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.index("Exchange hashpartitioning")
+    assert got.rdd.getNumPartitions() == 20
+    assert sorted(map(tuple, got.collect())) == sorted({(f"k{i % 5}", i % 400) for i in range(2000)})

@@ -22,13 +22,15 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts scored 0.7 or more go."""
-    return toxicity.score(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("predicted = 0").select(*COLUMNS)
+    """Texts scored 0.7 or more go. The scorer's index is given back here, as the next stage runs no Python that would drop it."""
+    kept = toxicity.score(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("predicted = 0").select(*COLUMNS)
+    kept = written(kept, "not-toxic")
+    given_back(spark)
+    return kept
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go from its texts; every row stays. Copies of a text are one page."""
-    given_back(spark)
     cleaned = linededup.drop_boilerplate(docs.select(*COLUMNS), copies_once=True)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

@@ -86,3 +86,16 @@ def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", COLUMNS), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{d}/{name}.parquet")
     assert pipeline.run(spark, d).collect() == []
+
+
+def test_line_dedup_is_native(spark, monkeypatch):
+    """The stage is DataFrame operations only: no Python of its own, and none to give memory back."""
+    import corpus_pipeline
+
+    def refused(_):
+        raise AssertionError("Python on the executors")
+
+    monkeypatch.setattr(corpus_pipeline, "given_back", refused)
+    docs = spark.createDataFrame([(i, f"same line\nown {i}", "en", "a.com", 10) for i in range(30)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_lines(spark, docs, "")
+    assert got.count() == 30 and "InArrow" not in got._jdf.queryExecution().executedPlan().toString()

@@ -6,13 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.ids import base
 from ..sources.fasta import WIDTH, blocked
 
 #: Flags of reads that are never counted (unmapped, secondary, failed checks, duplicate).
 SKIPPED_FLAGS = 0x4 | 0x100 | 0x200 | 0x400
 PAIRED, PROPER = 0x1, 0x2
 LEAST_QUALITY = 30
+#: An offset that no read reaches, and a part of a read's line.
+BEYOND = 1 << 40
+PART = "struct<start:bigint,end:bigint,q:int>"
 
 
 def usable_reads(reads: DataFrame, keep_orphans: bool = False) -> DataFrame:
@@ -23,58 +25,64 @@ def usable_reads(reads: DataFrame, keep_orphans: bool = False) -> DataFrame:
     return kept.where((flag.bitwiseAND(F.lit(PAIRED)) == 0) | (flag.bitwiseAND(F.lit(PROPER)) != 0))
 
 
-def _blocks(cigar: Column) -> Column:
-    """Aligned blocks (ref offset, query offset, length) of a CIGAR string."""
-    steps = F.transform(
-        F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), F.lit(1)),
-        lambda s: F.struct(F.regexp_extract(s, r"^\d+", 0).cast("int").alias("n"), F.substring(s, -1, 1).alias("op")),
-    )
-    empty = F.array().cast("array<struct<r:int,q:int,n:int>>")
-    start = F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), empty.alias("blocks"))
+def _part(start: Column, end: Column, q: Column) -> Column:
+    return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), q.cast("int").alias("q"))
+
+
+def _parts(cigar: Column) -> Column:
+    """A read's line in parts (start, end, q), by offsets from its place: q is where an aligned part begins in the read, null in gaps."""
+
+    def amounts(s: Column) -> Column:
+        n, op = F.substring(s, F.lit(1), F.length(s) - 1).cast("int"), F.substring(s, -1, 1)
+        return F.struct(F.when(op.isin(*"M=XDN"), n).otherwise(0).alias("on_ref"), F.when(op.isin(*"M=XIS"), n).otherwise(0).alias("on_query"), op.isin(*"M=X").alias("aligned"))
 
     def step(acc: Column, s: Column) -> Column:
-        aligned, on_ref, on_query = s["op"].isin("M", "=", "X"), s["op"].isin("D", "N"), s["op"].isin("I", "S")
-        block = F.array(F.struct(acc["r"].alias("r"), acc["q"].alias("q"), s["n"].alias("n")))
-        return F.struct(
-            F.when(aligned | on_ref, acc["r"] + s["n"]).otherwise(acc["r"]).alias("r"),
-            F.when(aligned | on_query, acc["q"] + s["n"]).otherwise(acc["q"]).alias("q"),
-            F.when(aligned & (s["n"] > 0), F.concat(acc["blocks"], block)).otherwise(acc["blocks"]).alias("blocks"),
-        )
+        end = acc["r"] + s["on_ref"]
+        part = _part(acc["r"], end, F.when(s["aligned"], acc["q"]))
+        return F.struct(end.alias("r"), (acc["q"] + s["on_query"]).alias("q"), F.concat(acc["parts"], F.array(part)).alias("parts"))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["blocks"])
+    steps = F.transform(F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), F.lit(1)), amounts)
+    return F.aggregate(steps, F.struct(F.lit(0).alias("r"), F.lit(0).alias("q"), F.array().cast(f"array<{PART}>").alias("parts")), step, lambda acc: acc["parts"])
 
 
-def _base_at(read: Column, position: Column) -> Column:
-    """(base, quality) that a read has at a position; null if it has none there."""
-    block = F.get(F.filter(read["blocks"], lambda b: (read["pos"] + b["r"] <= position) & (position < read["pos"] + b["r"] + b["n"])), F.lit(0))
-    at = block["q"] + position - read["pos"] - block["r"]
-    return F.when(block.isNotNull(), F.struct(base(F.substring(read["seq"], at + 1, F.lit(1))).alias("base"), F.get(read["qual"], at).alias("quality")))
+def _letters(seq: str) -> Column:
+    return F.split(F.translate(seq, "acgt", "ACGT"), "").alias(seq)
 
 
-def _cells(blocks: Column, mate: Column | None) -> Column:
-    """(position, base, quality) of a read's aligned bases; with a mate, what both say where they overlap.
+def _called(reads: DataFrame, least_quality: int) -> DataFrame:
+    """(sample_id, contig, position, base) of the aligned bases; where the mate (m_pos, m_parts, m_seq, m_qual) has one too, what both say.
 
     Equal bases have the sum of both qualities, 200 at most; of different ones the better
     has eight tenths of its quality. The pair's first read has the cell, the second none.
+    Each part of the read meets each part of its mate's line, so a base costs no search.
     """
-
-    def cell(b: Column, k: Column) -> Column:
-        position = (F.col("pos") + b["r"] + k).cast("bigint")
-        own, quality = base(F.substring("seq", b["q"] + k + 1, F.lit(1))), F.get("qual", b["q"] + k)
-        if mate is None:
-            return F.struct(position.alias("position"), own.alias("base"), quality.alias("quality"))
-        other = _base_at(mate, position)
-        same, better = own == other["base"], quality >= other["quality"]
-        merged = F.when(same, F.least(F.lit(200), quality + other["quality"])).otherwise((F.greatest(quality, other["quality"]) * 4 / 5).cast("int"))
-        winner = F.when(same | better, own).otherwise(other["base"])
-        met = other.isNotNull()
-        return F.struct(
-            position.alias("position"),
-            F.when(met, winner).otherwise(own).alias("base"),
-            F.when(met & (F.col("nth") == 2), F.lit(None)).when(met, merged).otherwise(quality).alias("quality"),
-        )
-
-    return F.flatten(F.transform(blocks, lambda b: F.transform(F.sequence(F.lit(0), b["n"] - 1), lambda k: cell(b, k))))
+    shift = F.col("m_pos") - F.col("pos")
+    met_parts = F.coalesce(F.when(shift.isNotNull(), F.col("m_parts")), F.array().cast(f"array<{PART}>"))
+    past = F.coalesce(F.get(met_parts, F.size(met_parts) - 1)["end"], F.lit(0))
+    line = F.concat(F.array(_part(F.lit(-BEYOND), F.lit(0), F.lit(None))), met_parts, F.array(_part(past, F.lit(BEYOND), F.lit(None))))
+    lines = reads.select("sample_id", "contig", "pos", "nth", _letters("seq"), "qual", _letters("m_seq"), "m_qual", F.coalesce(shift, F.lit(0)).alias("shift"), F.col("parts").alias("own"), line.alias("mate"))
+    # Outer, as else each array is made once more to see if it is empty.
+    kept = ["sample_id", "contig", "pos", "nth", "seq", "qual", "m_seq", "m_qual"]
+    parts = lines.select(*kept, "shift", "mate", F.explode_outer("own").alias("o")).where("o.q IS NOT NULL")
+    parts = parts.select(*kept, "o", F.explode_outer("mate").alias("m"), "shift")
+    first, end = F.greatest(F.col("o.start"), F.col("m.start") + F.col("shift")), F.least(F.col("o.end"), F.col("m.end") + F.col("shift"))
+    counted = (first < end) & (F.col("m.q").isNull() | (F.col("nth") == 1))
+    at, m_at = F.col("o.q") - F.col("o.start"), F.col("m.q") - F.col("m.start") - F.col("shift")
+    places = parts.select(*kept, at.cast("int").alias("at"), m_at.cast("int").alias("m_at"), F.explode_outer(F.when(counted, F.sequence(first.cast("int"), (end - 1).cast("int")))).alias("k"))
+
+    def there(values: str, start: str) -> Column:
+        return F.get(values, F.col(start) + F.col("k"))
+
+    def letter(values: str, start: str) -> Column:
+        found = there(values, start)
+        return F.when(found.isin(*"ACGT"), found).otherwise(F.lit("N"))
+
+    own, other = letter("seq", "at"), letter("m_seq", "m_at")
+    quality, other_quality, met = there("qual", "at"), there("m_qual", "m_at"), F.col("m_at").isNotNull()
+    merged = F.when(own == other, F.least(F.lit(200), quality + other_quality)).otherwise((F.greatest(quality, other_quality) * 4 / 5).cast("int"))
+    winner = F.when(~met | (quality >= other_quality), own).otherwise(other)
+    found = places.where("k IS NOT NULL").where(F.when(met, merged).otherwise(quality) >= least_quality)
+    return found.select("sample_id", "contig", (F.col("pos") + F.col("k")).alias("position"), winner.alias("base"))
 
 
 def bases(reads: DataFrame, least_quality: int = LEAST_QUALITY, once_per_pair: bool = True) -> DataFrame:
@@ -84,22 +92,22 @@ def bases(reads: DataFrame, least_quality: int = LEAST_QUALITY, once_per_pair: b
     count once where they overlap. Only such pairs are shuffled, as reads; their bases are
     made afterwards and are only counted from then on.
     """
-    kept = usable_reads(reads)
-
-    def out(df: DataFrame, cells: Column) -> DataFrame:
-        found = df.select("sample_id", "contig", F.explode(cells).alias("c"))
-        return found.where(F.col("c.quality") >= least_quality).select("sample_id", "contig", "c.position", "c.base")
-
+    columns = ["sample_id", "contig", "pos", "seq", "qual", "parts"]
+    kept = usable_reads(reads).withColumn("parts", _parts(F.col("cigar")))
+    no_mate = [F.lit(None).cast(t).alias(c) for c, t in (("nth", "int"), ("m_pos", "bigint"), ("m_parts", f"array<{PART}>"), ("m_seq", "string"), ("m_qual", "array<int>"))]
     if not once_per_pair:
-        return out(kept, _cells(_blocks(F.col("cigar")), None))
+        return _called(kept.select(*columns, *no_mate), least_quality)
     paired = F.col("flag").bitwiseAND(F.lit(PAIRED | PROPER)) == (PAIRED | PROPER)
-    alone = out(kept.where(~paired), _cells(_blocks(F.col("cigar")), None))
-    own = F.struct("pos", "seq", "qual", _blocks(F.col("cigar")).alias("blocks"))
-    pair = kept.where(paired).select("sample_id", "contig", "read_name", "flag", "pos", "seq", "qual", "cigar", own.alias("own"))
-    order = W.partitionBy("sample_id", "read_name", "contig").orderBy("pos", F.col("flag").bitwiseAND(F.lit(0x80)), "flag", "cigar", F.upper("seq"), "qual")
-    pair = pair.withColumn("nth", F.row_number().over(order))
-    pair = pair.withColumn("mate", F.when(F.col("nth") == 1, F.lead("own").over(order)).when(F.col("nth") == 2, F.lag("own").over(order)))
-    return alone.unionByName(out(pair, _cells(F.col("own.blocks"), F.col("mate"))))
+    alone = _called(kept.where(~paired).select(*columns, *no_mate), least_quality)
+    order = W.partitionBy("read_name", "sample_id", "contig").orderBy("pos", F.col("flag").bitwiseAND(F.lit(0x80)), "flag", "cigar", F.upper("seq"), "qual")
+    pair = kept.where(paired).select(
+        *columns, F.row_number().over(order).alias("nth"), *[F.lead(c).over(order).alias(f"m_{c}") for c in ("pos", "seq", "qual", "parts")],
+        *[F.lag(c).over(order).alias(f"before_{c}") for c in ("pos", "parts")],
+    )
+    # The second read of a pair needs no more of the first than where it lies; further ones have no mate.
+    first, second = F.col("nth") == 1, F.col("nth") == 2
+    mate = {f"m_{c}": F.when(first, F.col(f"m_{c}")).when(second, F.col(f"before_{c}")) for c in ("pos", "parts")}
+    return alone.unionByName(_called(pair.withColumns(mate), least_quality))
 
 
 def count_bases(found: DataFrame, keys: list[str]) -> DataFrame:

@@ -234,6 +234,41 @@ def test_pairs_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
 
 
+def test_bases_of_a_pair_need_no_search(spark):
+    """A CIGAR is parsed once, below the shuffle, and no base is looked for in its mate; counts are those of a plain pileup."""
+    rng = random.Random(5)
+    cigars = {"8M": "MMMMMMMM", "2S3M2D3M": "SSMMMDDMMM", "1H3M40000N1I4=": "MMM" + "N" * 40000 + "IMMMM", "3M2P2I3X": "MMMIIMMM", "*": ""}
+    reads, want = [], {}
+    for i in range(300):
+        each = []
+        for flag in (0x43, 0x83) if i % 5 else (0,):
+            read = (rng.choice("st"), f"r{i}", flag, "k", rng.randrange(40), 60, rng.choice(list(cigars)), "".join(rng.choice("ACGTacgtNR") for _ in range(rng.choice((8, 8, 6)))), [rng.choice((10, 29, 30, 37, 40)) for _ in range(8)])
+            reads.append(read)
+            cells, at, q = {}, read[4], 0
+            for op in cigars[read[6]]:
+                if op == "M":
+                    letter = read[7][q : q + 1].upper()
+                    cells[at] = (letter if letter in set("ACGT") else "N", read[8][q])
+                at, q = at + (op in "MDN"), q + (op in "MIS")
+            each.append((read[0], read[4], flag, cells))
+        if len(each) == 2 and each[0][0] == each[1][0]:
+            (sample, _, _, a), (_, _, _, b) = sorted(each, key=lambda r: r[1:3])
+            for k in set(a) & set(b):
+                (x, p), (y, r) = a[k], b.pop(k)
+                a[k] = (x, min(200, p + r)) if x == y else (x if p >= r else y, max(p, r) * 4 // 5)
+        for sample, _, _, cells in each:
+            for k, (letter, quality) in cells.items():
+                if quality >= 30:
+                    want[sample, k, letter] = want.get((sample, k, letter), 0) + 1
+    frame = spark.createDataFrame(reads, READS).repartition(3)
+    found = pileup.bases(frame)
+    got = {(r["sample_id"], r["position"], b): r[b] for r in pileup.count_bases(found, ["sample_id", "position"]).collect() for b in "ACGTN" if r[b]}
+    assert got == want and len(got) > 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan[plan.rindex("Generate") : plan.rindex("Exchange hashpartitioning")]
+    assert plan[: plan.index("Exchange hashpartitioning")].count("regexp_extract_all") == 1
+
+
 def test_adjusted_where_values_crowd(spark):
     """P-values that crowd at 0 and 1, with ties and nulls, by family, as by the plain formula."""
     rng = random.Random(2)

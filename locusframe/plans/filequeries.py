@@ -296,8 +296,7 @@ def legacy_group_tests_sorted(spark: SparkSession, d: str) -> DataFrame:
 def mean_change_bucketed(spark: SparkSession, d: str) -> DataFrame:
     """Means from a table that is bucketed by site."""
     name = f"sites_{uuid.uuid4().hex}"
-    p = view(spark, d, adapters.PROFILE)
-    freq = frequency.nucleotide_frequencies(p.drop("group", "subjectID", "time", "replicate"), queries._samples(spark, d), view(spark, d, adapters.SIZES), 0.1)
+    freq = frequency.nucleotide_frequencies(*queries._profiles(spark, d), view(spark, d, adapters.SIZES), 0.1)
     layout.save_sites(freq, name, 8)
     return queries._rounded(layout.site_means(spark, name, CONFIG))
 
@@ -310,8 +309,7 @@ class _Stopped(Exception):
 def mean_change_resumed(spark: SparkSession, d: str) -> DataFrame:
     """A study in batches of three genomes that stops after the first one and is run again."""
     out = fresh(spark, "resumed")
-    p = view(spark, d, adapters.PROFILE).drop("group", "subjectID", "time", "replicate")
-    given = (p, queries._samples(spark, d), view(spark, d, adapters.SIZES), CONFIG, out, 3, False)
+    given = (*queries._profiles(spark, d), view(spark, d, adapters.SIZES), CONFIG, out, 3, False)
 
     def stop(batch: list[str]) -> None:
         raise _Stopped(batch)
@@ -367,9 +365,8 @@ _RELATIONS = ["nuc_freq", "allele_changes", "mean_changes"] + [f"{t}{x}" for t i
 @_query("SELECT name, 0::BIGINT AS rows FROM (VALUES " + ", ".join(f"('{r}')" for r in _RELATIONS) + ") AS t(name)")
 def empty_study(spark: SparkSession, d: str) -> DataFrame:
     """A study that no sample passes writes every relation, typed and without rows."""
-    p = view(spark, d, adapters.PROFILE)
     config = StudyConfig(breadth_threshold=1e9)
-    paths = study.run(p.drop("group", "subjectID", "time", "replicate"), queries._samples(spark, d), view(spark, d, adapters.SIZES), queries._taxonomy(spark, d), config, fresh(spark, "study"))
+    paths = study.run(*queries._profiles(spark, d), view(spark, d, adapters.SIZES), queries._taxonomy(spark, d), config, fresh(spark, "study"))
     counts = [spark.read.parquet(path).agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows") for name, path in paths.items()]
     out = counts[0]
     for c in counts[1:]:

@@ -12,6 +12,7 @@ from ..functions.ids import contig_of_gene, gene_list, genome_of
 from ..functions.ranks import mann_whitney_test, signed_rank_test
 from ..operators import annotate, catalog, change, fdr, frequency, legacy, outliers, pileup, reshape, scores, sitetests
 from ..schemas import NUCLEOTIDES, RANKS
+from ..sources.shared import written
 from . import adapters
 from .adapters import duck, view
 
@@ -94,13 +95,21 @@ def genome_size(spark: SparkSession, d: str) -> DataFrame:
     return frequency.genome_sizes(view(spark, d, adapters.CONTIGS))
 
 
+_OF_SAMPLE = ["group", "subjectID", "time", "replicate"]
+
+
 def _samples(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, adapters.PROFILE).select("sample_id", "group", "subjectID", "time", "replicate").distinct()
+    return view(spark, d, adapters.PROFILE).select("sample_id", *_OF_SAMPLE).distinct()
+
+
+def _profiles(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Profiles, as a study reads them from files, and their samples: the tables are gone through once."""
+    p = written(view(spark, d, adapters.PROFILE), "profiles")
+    return p.drop(*_OF_SAMPLE), p.select("sample_id", *_OF_SAMPLE).distinct()
 
 
 def _freq(spark: SparkSession, d: str) -> DataFrame:
-    p = view(spark, d, adapters.PROFILE)
-    return frequency.nucleotide_frequencies(p.drop("group", "subjectID", "time", "replicate"), _samples(spark, d), view(spark, d, adapters.SIZES), 0.1)
+    return frequency.nucleotide_frequencies(*_profiles(spark, d), view(spark, d, adapters.SIZES), 0.1)
 
 
 _BREADTH = _with(p=adapters.PROFILE, z=adapters.SIZES) + """, w AS (SELECT sample_id, "MAG_ID", count(*) FILTER (total_coverage >= 1) AS covered FROM p GROUP BY ALL),

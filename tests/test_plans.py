@@ -101,3 +101,27 @@ def test_resumed_study_without_rows(spark, tmp_path):
     profiles, samples, sizes = study(spark)
     for path in resume.run(profiles.where("false"), samples, sizes, CONFIG, str(tmp_path / "none"), tests=False).values():
         assert spark.read.schema("MAG_ID string").parquet(path).count() == 0
+
+
+def test_tables_are_gone_through_once(spark, monkeypatch):
+    """A study over a view of tables gets profiles and samples that are written, so the view is computed once."""
+    from __spark_entry__ import SMALL
+    from locusframe.plans import filequeries, queries
+
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def run(profiles, samples, *rest):
+        seen.extend((profiles, samples))
+        raise Stop
+
+    monkeypatch.setattr(filequeries.study, "run", run)
+    with pytest.raises(Stop):
+        filequeries.empty_study(spark, SMALL)
+    seen.append(queries._freq(spark, SMALL))
+    assert len(seen) == 3
+    for df in seen:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" in plan and "lineitem" not in plan and "l_orderkey" not in plan
